@@ -110,13 +110,13 @@ def quarter_label(period_end: Column, fye_month: Column) -> Column:
     )
 
 
-def classify_period(period_end: Column, period_start: Column, fye_month: Column) -> Column:
+def period_kind(period_end: Column, period_start: Column, fye_month: Column) -> Column:
     """annual when the period ends in the fiscal month and is long or has no start."""
     long_enough = period_start.isNull() | (F.datediff(period_end, period_start) > 300)
     return F.when((F.month(period_end) == fye_month) & long_enough, "annual").otherwise("quarterly")
 
 
-def classify_filing(period_end: Column, period_start: Column, fye_month: Column) -> Column:
+def filing_kind(period_end: Column, period_start: Column, fye_month: Column) -> Column:
     """annual, h1, q1, q2, q3 or unknown; half-year reports replace Q2 from April 2024."""
     days = F.datediff(period_end, period_start)
     offset = months_after_fye(period_end, fye_month)

@@ -67,7 +67,7 @@ def keyword_hits(text: Column, words: list[str]) -> Column:
     return reduce(lambda a, b: a + b, counts)
 
 
-def classify_category(text: Column, keywords: dict[str, list[str]] = RISK_KEYWORDS) -> Column:
+def risk_category(text: Column, keywords: dict[str, list[str]] = RISK_KEYWORDS) -> Column:
     """Category with most keyword hits; the first listed wins ties; none is other_risk.
 
     The hit counts are built once as an array and searched, so each is computed once per row.
@@ -84,7 +84,7 @@ def classify_category(text: Column, keywords: dict[str, list[str]] = RISK_KEYWOR
     return best.getItem(0)
 
 
-def assess_severity(text: Column, high: list[str] = SEVERITY_HIGH, low: list[str] = SEVERITY_LOW) -> Column:
+def risk_severity(text: Column, high: list[str] = SEVERITY_HIGH, low: list[str] = SEVERITY_LOW) -> Column:
     any_of = lambda words: reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words])
     return F.when(any_of(high), "high").when(any_of(low), "low").otherwise("medium")
 
@@ -108,7 +108,7 @@ def header_unit(text: Column) -> Column:
     return out
 
 
-def classify_statement(text: Column) -> Column:
+def page_statement(text: Column) -> Column:
     out = F.lit(None).cast("string")
     for label, pattern in reversed(STATEMENT_HEADINGS):
         out = F.when(text.rlike(pattern), label).otherwise(out)

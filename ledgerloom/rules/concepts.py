@@ -88,11 +88,11 @@ def statement_of(concept: str) -> str:
     return next(s for s, fields in STATEMENT_FIELDS.items() if concept in fields)
 
 
-def normalize_identifier(c: Column) -> Column:
+def concept_key(c: Column) -> Column:
     return F.regexp_replace(F.lower(c), "[^0-9a-z]+", "")
 
 
-def normalize_alias(c: Column) -> Column:
+def alias_key(c: Column) -> Column:
     """Lower case, letters and digits of any script only."""
     return F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", "")
 
@@ -100,7 +100,7 @@ def normalize_alias(c: Column) -> Column:
 def canonical_concept(name: Column) -> Column:
     """Canonical field of an XBRL element name, by a constant lookup map."""
     pairs = [F.lit(x) for concept, names in XBRL_ALIASES.items() for alias in names for x in (alias, concept)]
-    return F.try_element_at(F.create_map(*pairs), normalize_identifier(name))
+    return F.try_element_at(F.create_map(*pairs), concept_key(name))
 
 
 def item_concept(name: Column) -> Column:

@@ -18,6 +18,7 @@ def build_session(master: str | None = None, app: str = "ledgerloom", **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     settings.update(conf)
     for key, value in settings.items():
