@@ -101,7 +101,8 @@ SELECT * FROM {b_records} WHERE source = 'edinet' AND (suppkey + seq) % 7 <> 0
 
 # Earnings statements: mostly the filing figures with small or large differences, plus own periods.
 BRIDGE_SQL["b_statements"] = """
-SELECT ticker, company_name, fye_month, suppkey, seq,
+SELECT ticker, company_name, fye_month, suppkey,
+       seq * 2 + CASE WHEN source = 'jquants' THEN 1 ELSE 0 END AS seq,
        CASE WHEN suppkey % 5 = 4 THEN NULL ELSE period_start END AS period_start,
        period_end, disclosed_date,
        CASE WHEN month(period_end) = fye_month THEN 'FY'
@@ -130,19 +131,14 @@ SELECT cast(1000 + l_suppkey AS string) AS ticker,
        'S' || cast(1000 + l_suppkey AS string) || '-' || cast(year(l_shipdate) + 24 AS string)
          || 'q' || cast(quarter(l_shipdate) AS string) AS document_id,
        (l_orderkey * 8 + l_linenumber) * 1000003 + l_partkey AS seq,
-       CASE l_partkey % 20 WHEN 0 THEN 'jppfs_cor:TotalAssets' WHEN 1 THEN 'Assets-Total' WHEN 2 THEN 'Current_Assets'
-            WHEN 3 THEN 'FixedAssets' WHEN 4 THEN 'Liabilities' WHEN 5 THEN 'CurrentLiabilities'
-            WHEN 6 THEN 'NoncurrentLiabilities' WHEN 7 THEN 'ShareholdersEquity' WHEN 8 THEN 'NetAssets'
-            WHEN 9 THEN 'NetSales' WHEN 10 THEN 'Operating Revenue' WHEN 11 THEN 'GrossProfit'
-            WHEN 12 THEN 'OperatingIncome' WHEN 13 THEN 'OrdinaryIncomeLoss' WHEN 14 THEN 'ProfitLoss'
-            WHEN 15 THEN 'NetCashProvidedByUsedInOperatingActivities'
-            WHEN 16 THEN 'NetCashProvidedByUsedInInvestmentActivities'
-            WHEN 17 THEN 'NetCashProvidedByUsedInFinancingActivities'
-            WHEN 18 THEN 'FilerNameInJapaneseDEI' ELSE 'NumberOfEmployees' END AS concept,
-       CASE l_orderkey % 8 WHEN 0 THEN 'CurrentYearDuration' WHEN 1 THEN 'CurrentYearInstant'
-            WHEN 2 THEN 'Prior1YearDuration' WHEN 3 THEN 'CurrentYearDuration_NonConsolidatedMember'
-            WHEN 4 THEN 'CurrentQuarterDuration' WHEN 5 THEN 'CurrentYearInstant_ConsolidatedMember'
-            WHEN 6 THEN 'Prior1YearInstant' ELSE 'FilingDateInstant' END AS context_id,
+       split_part('jppfs_cor:TotalAssets|Assets-Total|Current_Assets|FixedAssets|Liabilities|CurrentLiabilities|'
+         || 'NoncurrentLiabilities|ShareholdersEquity|NetAssets|NetSales|Operating Revenue|GrossProfit|OperatingIncome|'
+         || 'OrdinaryIncomeLoss|ProfitLoss|NetCashProvidedByUsedInOperatingActivities|'
+         || 'NetCashProvidedByUsedInInvestmentActivities|NetCashProvidedByUsedInFinancingActivities|'
+         || 'FilerNameInJapaneseDEI|NumberOfEmployees', '|', cast(l_partkey % 20 + 1 AS int)) AS concept,
+       split_part('CurrentYearDuration|CurrentYearInstant|Prior1YearDuration|CurrentYearDuration_NonConsolidatedMember|'
+         || 'CurrentQuarterDuration|CurrentYearInstant_ConsolidatedMember|Prior1YearInstant|FilingDateInstant', '|',
+         cast(l_orderkey % 8 + 1 AS int)) AS context_id,
        CASE WHEN l_partkey % 20 = 18 THEN 'Supplier ' || cast(l_suppkey AS string)
             WHEN l_quantity = 1 THEN '－' WHEN l_quantity = 2 THEN '-' WHEN l_quantity = 3 THEN 'n/a'
             WHEN l_quantity = 4 THEN ''
@@ -168,10 +164,9 @@ SELECT 'S' || cast(1000 + suppkey AS string) || '-' || cast(y AS string) || 'q'
        last_day(make_date(CASE WHEN context_id LIKE 'Prior%' THEN y - 1 ELSE y END, 3 * q, 1)) AS period_end
 FROM (SELECT DISTINCT l_suppkey AS suppkey, cast(year(l_shipdate) + 24 AS int) AS y,
              cast(quarter(l_shipdate) AS int) AS q,
-             CASE l_orderkey % 8 WHEN 0 THEN 'CurrentYearDuration' WHEN 1 THEN 'CurrentYearInstant'
-                  WHEN 2 THEN 'Prior1YearDuration' WHEN 3 THEN 'CurrentYearDuration_NonConsolidatedMember'
-                  WHEN 4 THEN 'CurrentQuarterDuration' WHEN 5 THEN 'CurrentYearInstant_ConsolidatedMember'
-                  ELSE 'Prior1YearInstant' END AS context_id
+             split_part('CurrentYearDuration|CurrentYearInstant|Prior1YearDuration|CurrentYearDuration_NonConsolidatedMember|'
+               || 'CurrentQuarterDuration|CurrentYearInstant_ConsolidatedMember|Prior1YearInstant|Prior1YearInstant', '|',
+               cast(l_orderkey % 8 + 1 AS int)) AS context_id
       FROM {lineitem}) d
 """
 
@@ -398,9 +393,8 @@ SELECT cast(1000 + l_suppkey AS string) AS ticker,
        cast(l_partkey % 3 AS int) AS table_no,
        CASE l_partkey % 3 WHEN 0 THEN '（単位：百万円）' WHEN 1 THEN '科目 千円' ELSE '（円）' END AS header,
        cast(floor(l_partkey / 3) % 50 AS int) AS record_no,
-       CASE l_partkey % 10 WHEN 0 THEN '売上高' WHEN 1 THEN '営業利益' WHEN 2 THEN '親会社株主に帰属する当期純利益'
-            WHEN 3 THEN '売上原価' WHEN 4 THEN '売上総利益' WHEN 5 THEN '営業収益' WHEN 6 THEN '資産合計'
-            WHEN 7 THEN '純資産合計' WHEN 8 THEN '流動資産合計' ELSE '負債合計' END AS item,
+       split_part('売上高|営業利益|親会社株主に帰属する当期純利益|売上原価|売上総利益|営業収益|資産合計|純資産合計|流動資産合計|負債合計',
+                  '|', cast(l_partkey % 10 + 1 AS int)) AS item,
        l_linenumber AS column_index,
        CASE WHEN l_quantity >= 5 THEN l_extendedprice END AS parsed,
        (l_orderkey * 8 + l_linenumber) * 1000003 + l_partkey AS seq

@@ -8,8 +8,6 @@ from pyspark.sql import Column, functions as F
 
 # Strings that mean "no value" in each kind of source.
 WEB_NULLS = ("---", "--", "N/A", "NA", "n/a", "", "-", "－", "—")
-LENIENT_NULLS = ("", "-", "--", "N/A", "n/a", "null", "None")
-XBRL_NULLS = ("", "-", "－", "―")
 CELL_NULLS = ("", "-", "－", "―", "—", "−", "–")
 SITE_NULLS = ("", "---", "－", "—", "N/A")
 CAP_NULLS = ("", "---", "－")
@@ -24,9 +22,12 @@ INTEGER_SHAPE = r"^[+-]?[0-9]+$"
 _UNIT_PARTS = r"^(?:([^兆]*)兆)?(?:([^億]*)億)?(?:(.*?)百万)?(?:([^万]*)万)?(.*)$"
 
 
+_BLANKS = " \t\n\r\x0b\x0c\u3000\u00a0"
+
+
 def strip(c: Column) -> Column:
-    """Remove white space of every kind at both ends (`trim` removes blanks only)."""
-    return F.regexp_replace(c, r"^[\s　 ]+|[\s　 ]+$", "")
+    """Remove white space of every kind at both ends (`trim` alone removes blanks only)."""
+    return F.btrim(c, F.lit(_BLANKS))
 
 
 def to_double(c: Column) -> Column:
@@ -35,30 +36,44 @@ def to_double(c: Column) -> Column:
 
 
 def _no_commas(c: Column) -> Column:
-    return F.regexp_replace(c, ",", "")
+    return F.replace(c, F.lit(","), F.lit(""))
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once per row and bound to a name.
+
+    Long text expressions that use an intermediate value many times would otherwise be copied at every
+    use, beyond what code generation accepts.
+    """
+    return F.transform(F.array(value), body).getItem(0)
 
 
 def parse_jp_number(text: Column) -> Column:
     """Number with Japanese units, signs and suffixes: `1兆2,345億円`, `△1,234`, `13.58倍`."""
-    s = strip(text)
-    negative = s.rlike("^[△▲\\-−ー]")
-    body = strip(F.regexp_replace(strip(F.regexp_replace(s, "^[△▲\\-−ー]", "")), "[%％倍円株]$", ""))
-    parts = [strip(_no_commas(F.regexp_extract(body, _UNIT_PARTS, i))) for i in range(1, 5)]
-    rest = strip(F.regexp_replace(strip(_no_commas(F.regexp_extract(body, _UNIT_PARTS, 5))), "[%％倍円株]$", ""))
-    malformed = reduce(lambda a, b: a | b, [(p != "") & ~p.rlike(FLOAT_SHAPE) for p in parts])
-    total = reduce(
-        lambda a, b: a + b,
-        [F.coalesce(to_double(p) * F.lit(m), F.lit(0.0)) for p, (_, m) in zip(parts, UNIT_WORDS)],
-    ) + F.coalesce(to_double(rest), F.lit(0.0))
-    plain = to_double(_no_commas(body))
-    value = (
-        F.when(~body.rlike("[兆億万]"), plain)
-        .when(malformed, F.lit(None).cast("double"))
-        .otherwise(total)
-    )
-    return F.when(
-        text.isNotNull() & ~s.isin(*WEB_NULLS) & (body != ""), F.when(negative, -value).otherwise(value)
-    )
+    sign = "^[△▲\\-−ー]"
+    suffix = "[%％倍円株]$"
+
+    def with_units(parts: Column) -> Column:
+        words = [parts.getItem(i) for i in range(4)]
+        malformed = reduce(lambda a, b: a | b, [(p != "") & ~p.rlike(FLOAT_SHAPE) for p in words])
+        amounts = [F.coalesce(to_double(p) * F.lit(m), F.lit(0.0)) for p, (_, m) in zip(words, UNIT_WORDS)]
+        rest = F.coalesce(to_double(strip(F.regexp_replace(parts.getItem(4), suffix, ""))), F.lit(0.0))
+        return F.when(~malformed, reduce(lambda a, b: a + b, amounts + [rest]))
+
+    def value_of(body: Column) -> Column:
+        parts = F.array(*[strip(_no_commas(F.regexp_extract(body, _UNIT_PARTS, i))) for i in range(1, 6)])
+        return F.when(~body.rlike("[兆億万]"), to_double(_no_commas(body))).when(
+            body != "", let(parts, with_units)
+        )
+
+    def signed(s: Column) -> Column:
+        body = strip(F.regexp_replace(strip(F.regexp_replace(s, sign, "")), suffix, ""))
+        return F.when(
+            ~s.isin(*WEB_NULLS),
+            F.when(s.rlike(sign), F.lit(-1.0)).otherwise(F.lit(1.0)) * let(body, value_of),
+        )
+
+    return let(strip(text), signed)
 
 
 def parse_market_cap(text: Column) -> Column:
@@ -75,7 +90,7 @@ def parse_market_cap(text: Column) -> Column:
 def parse_plain_number(text: Column) -> Column:
     """Site table cell: commas, one trailing 倍/%/円, and ▲ or △ as a minus sign."""
     s = F.regexp_replace(strip(text), "[  ]", "")
-    signed = _no_commas(F.regexp_replace(s, "[▲△]", "-"))
+    signed = F.translate(s, "▲△,", "--")
     return F.when(~s.isin(*SITE_NULLS), to_double(F.regexp_replace(signed, "[倍%円]$", "")))
 
 
@@ -95,7 +110,8 @@ def parse_statement_cell(raw: Column, multiplier: Column | int = 1) -> Column:
 def coerce_number(text: Column) -> Column:
     """Lenient: commas and outer blanks are dropped, null words give null."""
     cleaned = strip(_no_commas(text))
-    return F.when(~cleaned.isin(*LENIENT_NULLS), to_double(cleaned))
+    # None of the null words has the shape of a number, so the shape test covers them.
+    return to_double(cleaned)
 
 
 def coerce_nested_number(doc: Column, keys: tuple[str, ...] = ("value", "amount", "current", "fy")) -> Column:
@@ -123,10 +139,9 @@ def strict_float(text: Column) -> Column:
 
 def parse_xbrl_number(text: Column, sign: Column) -> Column:
     """Fact text without commas and blanks; `sign = '-'` forces a negative value."""
-    cleaned = F.regexp_replace(strip(text), "[, ]", "")
-    value = F.when(
-        ~cleaned.isin(*XBRL_NULLS) & cleaned.rlike(r"^[+-]?[0-9]+(\.[0-9]+)?$"), cleaned.try_cast("double")
-    )
+    # The number shape also refuses the empty text and every dash that stands for "no value".
+    cleaned = F.translate(strip(text), ", ", "")
+    value = F.when(cleaned.rlike(r"^[+-]?[0-9]+(\.[0-9]+)?$"), cleaned.try_cast("double"))
     return F.when(sign == "-", -F.abs(value)).otherwise(value)
 
 
