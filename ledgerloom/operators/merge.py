@@ -152,8 +152,7 @@ def coverage_matrix(merged: DataFrame) -> DataFrame:
     """One row per merged period with its source and statement type."""
     return merged.select(
         "ticker", "period_end", "fiscal_year", "quarter", "source",
-        F.when(F.contains("source", F.lit("edinet")) | (F.col("source") == "both") | F.contains("source", F.lit("web")), F.col("statement_type"))
-        .otherwise("consolidated").alias("statement_type"),
+        F.when(F.col("source") == "jquants", "consolidated").otherwise(F.col("statement_type")).alias("statement_type"),
         "document_id",
     )
 
