@@ -89,11 +89,12 @@ def s12(t):
         F.create_map(F.lit("Investing CF"), text("investing_cf")).alias("extra"),
     )
     other = (c("suppkey") % 10 == 9) & (c("nest") != 1)
+    by_seq = lambda a, b: (a["seq"] - b["seq"]).cast("int")
     # A document has two periods here, so the collected array is short.
     docs = (
         t.b_edinet.select("ticker", "suppkey", "company_name", "document_id", "seq", period.alias("p"), (F.floor(c("seq") / 2) % 6).alias("nest"))
         .groupBy("ticker", "suppkey", "company_name", "document_id", "nest")
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "p"))), lambda x: x["p"]).alias("ps"))
+        .agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "p")), by_seq), lambda x: x["p"]).alias("ps"))
     )
     own = F.when(other, "9999").otherwise(c("ticker"))
     payloads = docs.select(

@@ -35,9 +35,11 @@ def pick_number(section: Column, record: Column, aliases: list[str] | tuple[str,
         entries = F.coalesce(F.map_entries(m), F.array().cast("array<struct<key:string,value:string>>"))
         return F.transform(entries, lambda e: F.struct(alias_key(e["key"]).alias("k"), e["value"].alias("v")))
 
+    def first_value(entries: Column, alias: str) -> Column:
+        return F.get(F.filter(entries, lambda e: e["k"] == alias_key(F.lit(alias))), F.lit(0))["v"]
+
     def search(entries: Column) -> Column:
-        found = [F.get(F.filter(entries, lambda e, a=a: e["k"] == alias_key(F.lit(a))), F.lit(0))["v"] for a in aliases]
-        return F.coalesce(*[coerce_number(v) for v in found])
+        return F.coalesce(*[coerce_number(first_value(entries, a)) for a in aliases])
 
     return F.coalesce(let(keyed(section), search), let(keyed(record), search))
 
