@@ -46,3 +46,164 @@ def company_name_lookup(wanted: DataFrame, parsed: DataFrame, filings: DataFrame
         wanted.join(from_documents, "ticker", "left").join(from_filings, "ticker", "left")
         .select("ticker", F.coalesce("parsed_name", "filer_name").alias("company_name"))
     )
+
+
+def current_sources(envelopes: DataFrame) -> DataFrame:
+    """Newest envelope of each company and site."""
+    others = [c for c in envelopes.columns if c not in ("ticker", "site", "data")]
+    has_data = "data" in envelopes.columns
+    row = F.struct(*[F.col(c) for c in others], *([F.col("data")] if has_data else []))
+    return envelopes.groupBy("ticker", "site").agg(F.max_by(row, "seq").alias("r")).select("ticker", "site", "r.*")
+
+
+def source_usage(envelopes: DataFrame, rows: DataFrame, allowed: list[str] | None = None) -> DataFrame:
+    """Per company and site whether its rows are used or skipped under a source filter."""
+    chosen = list(allowed) if allowed else list(SITE_ORDER)
+    with_rows = rows.select("ticker", "site").distinct().withColumn("has_rows", F.lit(True))
+    sites = (
+        envelopes.groupBy("ticker").agg(F.collect_set(F.when(F.col("collected"), F.col("site"))).alias("collected_sites"))
+        .select("ticker", "collected_sites", F.explode(F.array(*[F.lit(s) for s in SITE_ORDER])).alias("site"))
+    )
+    used = (
+        F.col("site").isin(*chosen) & F.array_contains("collected_sites", F.col("site")) & F.coalesce("has_rows", F.lit(False))
+    )
+    return sites.join(with_rows, ["ticker", "site"], "left").select(
+        "ticker", "site", F.when(used, "used").otherwise("skipped").alias("status")
+    )
+
+
+def harmonize_rows(rows: DataFrame) -> DataFrame:
+    """Site rows in one annual shape: dates, numbers and the figures that site provides."""
+    c = F.col
+    end = infer_period_end(c("period"))
+
+    def figure(name: str) -> Column:
+        sites = [s for s, fields in SITE_FIELDS.items() if name in fields]
+        return F.when(c("site").isin(*sites), parse_jp_number(c(name))).alias(name)
+
+    shaped = rows.filter(c("collected")).select(
+        "ticker", "site", "seq",
+        F.when(c("site") != "shikiho", end).alias("period_end"),
+        is_forecast(c("period")).alias("is_forecast"),
+        *[figure(n) for n in PL_FIELDS],
+    )
+    known = F.coalesce(*[c(n) for n in PL_FIELDS]).isNotNull()
+    return shaped.filter((c("site") != "shikiho") | known).withColumn("fiscal_year", F.year("period_end"))
+
+
+def harmonize_periods(harmonized: DataFrame) -> DataFrame:
+    """One row per company and period; of known figures the highest site, then the later row, counts."""
+    from pyspark.sql import Window
+
+    rank = F.array_position(F.array(*[F.lit(s) for s in SITE_ORDER]), F.col("site"))
+    best = lambda n: F.max(F.when(F.col(n).isNotNull(), F.struct(F.col("rank"), F.col("seq"), F.col(n).alias("v"))))["v"]
+    used = [F.max(F.when(F.col("site") == s, s)) for s in SITE_ORDER]
+    merged = (
+        harmonized.withColumn("rank", rank).groupBy("ticker", "period_end", "fiscal_year")
+        .agg(
+            F.concat(F.lit("web:"), F.concat_ws("+", *used)).alias("source"),
+            *[best(n).alias(n) for n in PL_FIELDS],
+        )
+    )
+    # One row per period is left, so the order window of a company is short.
+    newest = Window.partitionBy("ticker").orderBy(F.desc_nulls_last("period_end"))
+    return merged.withColumn("position", F.row_number().over(newest))
+
+
+def newest_site_eps(rows: DataFrame, site: str = "kabutan") -> DataFrame:
+    """Per-share earnings of the newest period of a site, the first row on ties."""
+    end = F.coalesce(infer_period_end(F.col("period")).cast("string"), F.lit(""))
+    return (
+        rows.filter((F.col("site") == site) & F.col("collected")).groupBy("ticker")
+        .agg(F.max(F.struct(end.alias("end"), (-F.col("seq")).alias("place"), F.col("eps")))["eps"].alias("eps"))
+        .select("ticker", parse_jp_number(F.col("eps")).alias("eps"))
+    )
+
+
+# Keys under which a site gives an indicator.
+INDICATOR_KEYS = {
+    "shikiho": {"per": ("per", "PER"), "pbr": ("pbr", "PBR"), "dividend_yield": ("dividend_yield", "配当利回り"),
+                "market_cap": ("market_cap", "時価総額")},
+}
+
+
+def extract_indicators(sources: DataFrame, eps: DataFrame) -> DataFrame:
+    """Indicators per company: the highest site that has a number, and the newest per-share earnings."""
+    c = F.col
+
+    def value(site: str, name: str) -> Column:
+        keys = INDICATOR_KEYS.get(site, {}).get(name, (name,))
+        texts = [F.try_variant_get(c("data"), f"$.indicators['{k}']", "string") for k in keys]
+        return F.max(F.when((c("site") == site) & c("collected"), F.coalesce(*[parse_jp_number(x) for x in texts])))
+
+    merged = sources.groupBy("ticker").agg(
+        *[F.coalesce(*[value(s, n) for s in ("kabutan", "shikiho", "yahoo")]).alias(n) for n in INDICATORS],
+        value("yahoo", "shares_outstanding").alias("shares_outstanding"),
+    )
+    return merged.join(eps, "ticker", "left")
+
+
+# Text sections taken from each site.
+SECTIONS = {
+    "shikiho": ("company_overview", "consensus", "shareholders"),
+    "kabutan": ("earnings_flash", "news"),
+    "homepage": ("ir_links", "company_info"),
+}
+
+
+def extract_qualitative(sources: DataFrame) -> DataFrame:
+    """Text sections per company as JSON."""
+    section = lambda site, name: F.max(
+        F.when(
+            (F.col("site") == site) & F.col("collected"),
+            F.to_json(F.try_variant_get("data", f"$.{name}", "variant")),
+        )
+    ).alias(name)
+    return sources.groupBy("ticker").agg(*[section(s, n) for s, names in SECTIONS.items() for n in names])
+
+
+def research_upsert(existing: DataFrame, fresh: DataFrame, chosen: list[str]) -> DataFrame:
+    """Envelopes after a new run: chosen sites are replaced where the run has them, others stay."""
+    keep = ["url", "collected", "error"]
+    row = F.struct(*[F.col(c) for c in keep])
+    stacked = existing.withColumn("rank", F.lit(0)).unionByName(
+        fresh.filter(F.col("site").isin(*chosen)).withColumn("rank", F.lit(1))
+    )
+    return stacked.groupBy("ticker", "site").agg(F.max_by(row, "rank").alias("r")).select("ticker", "site", "r.*")
+
+
+def research_counts(envelopes: DataFrame) -> DataFrame:
+    return envelopes.groupBy("ticker").agg(
+        F.count("*").alias("source_count"), F.count_if("collected").alias("success_count"),
+        F.count(F.nullif("error", F.lit(""))).alias("error_count"),
+    )
+
+
+def source_fallback(sources: DataFrame, failed_site: str = "shikiho", backup_site: str = "yahoo") -> DataFrame:
+    """Envelopes of the failed site, taking over the backup site's result where that was collected."""
+    c = F.col
+    backup = sources.filter((c("site") == backup_site) & c("collected")).select(
+        "ticker", c("url").alias("b_url"), c("per_text").alias("b_value"), F.lit(True).alias("has_backup")
+    )
+    reuse = ~c("collected") & F.coalesce(c("has_backup"), F.lit(False))
+    return sources.filter(c("site") == failed_site).join(backup, "ticker", "left").select(
+        "ticker", "site", F.when(reuse, c("b_url")).otherwise(c("url")).alias("url"),
+        (c("collected") | reuse).alias("collected"),
+        F.when(reuse, c("b_value")).otherwise(c("per_text")).alias("per_text"),
+        F.when(~reuse, c("error")).alias("error"),
+        F.when(reuse, backup_site).alias("fallback_source"), F.when(reuse, c("error")).alias("fallback_reason"),
+    )
+
+
+def web_company_name(research: DataFrame, sources: DataFrame) -> DataFrame:
+    """Explicit name, else the overview's name, else the home page's."""
+    name = lambda site, path: F.max(
+        F.when((F.col("site") == site) & F.col("collected"), F.try_variant_get("data", path, "string"))
+    )
+    found = sources.groupBy("ticker").agg(
+        name("shikiho", "$.company_overview.name").alias("overview"), name("homepage", "$.company_info.company_name").alias("page")
+    )
+    usable = lambda c: F.nullif(c, F.lit(""))
+    return research.join(found, "ticker", "left").select(
+        "ticker", F.coalesce(usable(F.col("company_name")), usable(F.col("overview")), F.col("page")).alias("company_name")
+    )
