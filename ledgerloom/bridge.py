@@ -303,10 +303,12 @@ SELECT p_partkey AS id, p_size AS n,
 FROM {part}
 """
 
-# Narrative text per company.
+# Narrative text per company: a third with numbered lines, a third with blank lines, the rest as it is.
 BRIDGE_SQL["b_text"] = """
 SELECT cast(1000 + cast(floor(doc_id / 10) AS bigint) AS string) AS ticker,
-       'T' || cast(doc_id AS string) AS document_id, doc_id AS seq, text
+       'T' || cast(doc_id AS string) AS document_id, doc_id AS seq,
+       CASE doc_id % 3 WHEN 0 THEN '(1) ' || replace(text, chr(10), chr(10) || ' (2) ')
+            WHEN 1 THEN replace(text, chr(10), chr(10) || chr(10)) ELSE text END AS text
 FROM {documents}
 """
 
@@ -382,6 +384,42 @@ SELECT cast(cast(floor(1000 + c_custkey / 15) AS bigint) AS string) AS ticker,
 FROM {customer}
 """
 
+# Site pages of a company: prices, results, indicators, flash news, lists and an embedded state.
+BRIDGE_SQL["b_html"] = """
+SELECT c_custkey AS page_id, c_name AS name, c_mktsegment AS segment, c_custkey % 97 AS k, c_nationkey AS nation,
+       '<!DOCTYPE html><html><head><title>' || CASE WHEN c_custkey % 10 = 0 THEN '該当なし' ELSE c_name || ' &amp; Co' END || '</title></head><body>'
+       || CASE WHEN c_custkey % 10 = 5 THEN '<p>該当する<b>銘柄</b>は<br>ありません</p>' ELSE '' END
+       || '<div id="stockinfo_i1"><span class="kabuka">' || cast(c_custkey % 97 AS string) || ',720円</span><span class="change">▲' || cast(c_custkey % 97 AS string) || '</span></div>'
+       || '<div id="stockinfo_i2"><table><tr><th>前日終値</th><th>始値</th><th>高値</th><th>出来高</th></tr><tr><td>1,' || lpad(cast(c_custkey % 97 AS string), 3, '0')
+       || '</td><td> ' || cast(c_custkey % 97 AS string) || '.5 </td><td>---</td><td>' || cast(c_custkey AS string) || '</td></tr></table></div>'
+       || '<div id="financial_td"><table><tr><td>note</td></tr><tr><th>決算期</th><th>売上高</th><th>営業益</th><th>経常利益</th><th>1株益</th></tr>'
+       || '<tr><td>2024.03</td><td>' || cast(c_custkey AS string) || ',000</td><td>△' || cast(c_custkey % 97 AS string) || '</td><td>－</td><td>1.5</td></tr>'
+       || CASE WHEN c_custkey % 2 = 0 THEN '<tr><td>2023.03</td><td>7</td><td>' || cast(c_nationkey AS string) || '</td></tr>' ELSE '' END || '</table></div>'
+       || CASE WHEN c_custkey % 3 <> 0 THEN '<div id="stockinfo_i3"><table><tr><th>PER</th><th>PBR</th><th>利回り</th><th>時価総額</th></tr><tr><td>' || cast(c_custkey % 97 AS string)
+            || '.1倍</td><td>－</td><td>2.5%</td><td>' || cast(c_nationkey AS string) || '兆' || cast(c_custkey % 97 AS string) || '億円</td></tr></table></div>' ELSE '' END
+       || CASE WHEN c_custkey % 4 = 1 THEN '<div id="kessan_flash"><h3 class="flash-title">Flash ' || c_name || '</h3><time>2026/02/0' || cast(1 + c_custkey % 9 AS string) || '</time><p>up <i>again</i></p></div>'
+            WHEN c_custkey % 4 = 2 THEN '<div id="kessan_flash"><a href="/x">' || c_mktsegment || '</a></div>' ELSE '' END
+       || '<ul class="news_list"><li><time>2026-02-20</time><a href="/n/' || cast(c_custkey AS string) || '">News ' || c_mktsegment || '</a></li><li>no link</li>'
+       || '<li><a href="/m">Second</a><span class="post-date">2026-02-1' || cast(c_custkey % 10 AS string) || '</span></li></ul>'
+       || '<section data-section="earnings-forecast"><table><tr><th>売上高</th><td>' || cast(c_custkey AS string) || '百万円</td></tr><tr><th>純利益</th><td>9</td></tr></table></section>'
+       || '<section data-section="shareholders"><table><tr><th>name</th></tr><tr><td>' || c_name || '</td><td>' || cast(c_custkey % 97 AS string) || '.0%</td></tr><tr><td>alone</td></tr></table></section>'
+       AS html0,
+       '"mainStocksPriceBoard":{{"price":"' || CASE WHEN c_custkey % 3 = 0 THEN '---' ELSE cast(c_custkey % 97 AS string) || ',000' END || '","savePrice":"3,700","priceChange":"-' || cast(c_custkey % 97 AS string)
+       || '","priceChangeRate":"0.81","shareDividendYield":"1.5"}},"mainStocksDetail":{{"detail":{{"volume":"' || cast(c_custkey AS string) || ',500","tradingValue":"12"}},"referenceIndex":{{"per":"' || cast(c_custkey % 97 AS string)
+       || '.2","pbr":"--","shareDividendYield":"' || CASE WHEN c_custkey % 4 = 0 THEN '---' ELSE '2.' || cast(c_custkey % 10 AS string) END || '","totalPrice":"' || cast(c_custkey AS string)
+       || '","sharesIssued":"1,000"}}}},"stockPerformance":{{"chartInfo":[{{"date":"202303","amount":' || cast(c_custkey AS string) || ',"profitMargin":' || cast(c_custkey % 97 AS string) || '}},{{"date":"2024","amount":null}}]}}'
+       || CASE WHEN c_custkey % 2 = 0 THEN ',"mainStocksNews":{{"articles":[{{"title":"A ' || c_mktsegment || '","url":"/a","date":"d1"}}]}}' ELSE '' END
+       || ',"symbolTopics":{{"topics":[{{"date":"d2","sources":[{{"title":"T ' || c_name || '","url":"/t"}},{{"title":"","url":"/u"}}]}}]}}' AS state_body
+FROM {customer}
+"""
+
+BRIDGE_SQL["b_site_pages"] = """
+SELECT page_id, name, segment, k, nation,
+       html0 || CASE WHEN page_id % 7 = 6 THEN '' WHEN page_id % 7 = 5 THEN '<script>window.__PRELOADED_STATE__ = {{broken}};</script>'
+            ELSE '<script>window.__PRELOADED_STATE__ = {{' || state_body || '}};</script>' END || '</body></html>' AS html
+FROM {b_html}
+"""
+
 # Structured statement tables: one value cell per row.
 BRIDGE_SQL["b_cells"] = """
 SELECT cast(1000 + l_suppkey AS string) AS ticker,
@@ -402,6 +440,11 @@ FROM {lineitem}
 """
 
 
+def bridge_refs(name: str) -> list[str]:
+    """Tables a bridged table reads: single-braced names; doubled braces are literal text."""
+    return re.findall(r"(?<!\{)\{(\w+)\}(?!\})", BRIDGE_SQL[name])
+
+
 def bridge_order(names: list[str]) -> list[str]:
     """The bridged tables needed for ``names``, each after those it reads."""
     out: list[str] = []
@@ -409,7 +452,7 @@ def bridge_order(names: list[str]) -> list[str]:
     def visit(name: str) -> None:
         if name in RAW_TABLES or name in out:
             return
-        for dep in re.findall(r"\{(\w+)\}", BRIDGE_SQL[name]):
+        for dep in bridge_refs(name):
             visit(dep)
         out.append(name)
 
@@ -425,7 +468,7 @@ def check_sql(deps: list[str], body: str) -> str:
         return body.strip()
     ctes = []
     for name in order:
-        refs = {r: r for r in re.findall(r"\{(\w+)\}", BRIDGE_SQL[name])}
+        refs = {r: r for r in bridge_refs(name)}
         ctes.append(f"{name} AS ({BRIDGE_SQL[name].format(**refs)})")
     return "WITH " + ",\n".join(ctes) + f"\nSELECT * FROM ({body.strip()}) AS result"
 
@@ -448,6 +491,8 @@ class Tables:
     def _load(self, name: str) -> DataFrame:
         if name in RAW_TABLES:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        text = BRIDGE_SQL[name].replace('"', "`")
-        refs = {r: getattr(self, r) for r in re.findall(r"\{(\w+)\}", text)}
+        text = BRIDGE_SQL[name]
+        if "{{" not in text:
+            text = text.replace('"', "`")
+        refs = {r: getattr(self, r) for r in bridge_refs(name)}
         return self.spark.sql(text, **refs)
