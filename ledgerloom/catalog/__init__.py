@@ -4,7 +4,9 @@ import importlib
 
 from ledgerloom.catalog.registry import CHECKS, PLANS, as_callables
 
-SECTIONS = ("scalars", "facts", "merge", "records", "inventory", "web", "narrative", "quality", "html")
+SECTIONS = (
+    "scalars", "facts", "merge", "records", "inventory", "web", "narrative", "quality", "html", "files",
+)
 
 for _section in SECTIONS:
     importlib.import_module(f"ledgerloom.catalog.{_section}")

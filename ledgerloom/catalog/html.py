@@ -35,9 +35,9 @@ SELECT page_id, header, cell FROM b_html, LATERAL (VALUES ('前日終値', '1,'
  ('決算期', '2024.03'), ('売上高', page_id || ',000'), ('営業益', '△' || k), ('経常利益', '－'), ('1株益', '1.5'), ('name', name), ('name', 'alone')) v(header, cell)
 UNION ALL SELECT page_id, header, cell FROM b_html, LATERAL (VALUES ('決算期', '2023.03'), ('売上高', '7'), ('営業益', CAST(nation AS VARCHAR))) v(header, cell) WHERE page_id % 2 = 0
 UNION ALL SELECT page_id, header, cell FROM b_html, LATERAL (VALUES ('PER', k || '.1倍'), ('PBR', '－'), ('利回り', '2.5%'), ('時価総額', nation || '兆' || k || '億円')) v(header, cell) WHERE page_id % 3 <> 0
-UNION ALL SELECT page_id, '売上高', '9' FROM b_html""")
+UNION ALL SELECT page_id, '売上高', '純利益' FROM b_html""")
 def h4(t):
-    # The rows of the definition table under its first heading count as table cells too.
+    # Below the first heading row of a definition table its next heading is an ordinary cell.
     return O.html_tables(elements(t)).select("page_id", "header", "cell")
 
 

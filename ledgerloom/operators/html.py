@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.functions.numbers import parse_jp_number, parse_market_cap, parse_plain_number
@@ -51,8 +51,9 @@ VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link",
 READ_TAGS = {"title", "th", "td", "a", "time", "p", "div", "span", "h1", "h3", "li", "section", "script"}
 ELEMENT_SCHEMA = (
     "page_id bigint, node int, tag string, marks array<string>, own array<string>, table_no int, row_no int, "
-    "item_no int, href string, text string"
+    "cell_no int, item_no int, href string, text string"
 )
+_NUMBERED = {"table": "table_no", "tr": "row_no", "li": "item_no"}
 
 
 class _Elements(HTMLParser):
@@ -60,32 +61,33 @@ class _Elements(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[dict] = []
+        self.open: list[dict] = [{"tag": "", "marks": [], "table_no": None, "row_no": None, "item_no": None, "cells": 0, "text": None}]
         self.rows: list[dict] = []
-        self.counts = {"table": 0, "tr": 0, "li": 0}
+        self.counts = dict.fromkeys(_NUMBERED, 0)
 
     def handle_starttag(self, tag, attrs):
-        given = dict(attrs)
+        given, parent = dict(attrs), self.open[-1]
         own = [f"#{given['id']}"] if given.get("id") else []
         own += [f".{c}" for c in (given.get("class") or "").split()]
         own += [f"[{given['data-section']}]"] if given.get("data-section") else []
-        if tag in self.counts:
-            self.counts[tag] += 1
-        inside = {t: None for t in self.counts}
-        for e in self.open:
-            inside.update({e["tag"]: e["number"]} if e["tag"] in inside else {})
         element = {
-            "tag": tag, "own": own, "marks": [m for e in self.open for m in e["own"]] + own, "href": given.get("href"),
-            "number": self.counts.get(tag), "table_no": inside["table"], "row_no": inside["tr"],
-            "item_no": self.counts["li"] if tag == "li" else inside["li"], "text": [], "node": len(self.rows),
+            "tag": tag, "own": own, "marks": parent["marks"] + own, "href": given.get("href"), "cells": 0, "cell_no": None,
+            "table_no": parent["table_no"], "row_no": parent["row_no"], "item_no": parent["item_no"], "text": None,
         }
+        if tag in self.counts:
+            self.counts[tag] += 1
+            element[_NUMBERED[tag]] = self.counts[tag]
+        if tag in ("th", "td"):
+            parent["cells"] += 1
+            element["cell_no"] = parent["cells"]
         if tag in READ_TAGS:
+            element["node"], element["text"] = len(self.rows), []
             self.rows.append(element)
         if tag not in VOID_TAGS:
             self.open.append(element)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.open) - 1, -1, -1):
+        for i in range(len(self.open) - 1, 0, -1):
             if self.open[i]["tag"] == tag:
                 del self.open[i:]
                 return
@@ -94,55 +96,65 @@ class _Elements(HTMLParser):
         piece = data.strip()
         if piece:
             for e in self.open:
-                e["text"].append(piece)
+                if e["text"] is not None:
+                    e["text"].append(piece)
 
 
-def _read_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["page_id", "node", "tag", "marks", "own", "table_no", "row_no", "item_no", "href", "text"]
+def _read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = []
-        for page_id, html in zip(batch["page_id"], batch["html"]):
+        out: dict[str, list] = {name: [] for name in ELEMENT_ARROW.names}
+        for page_id, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             reader = _Elements()
             reader.feed(html or "")
             reader.close()
-            out.extend({**e, "page_id": page_id, "text": "".join(e["text"])} for e in reader.rows)
-        yield pd.DataFrame(out, columns=columns).astype(
-            {"table_no": "Int32", "row_no": "Int32", "item_no": "Int32", "node": "int32"}
-        )
+            for e in reader.rows:
+                for name in ("node", "tag", "marks", "own", "table_no", "row_no", "cell_no", "item_no", "href"):
+                    out[name].append(e[name])
+                out["page_id"].append(page_id)
+                out["text"].append("".join(e["text"]))
+        yield pa.RecordBatch.from_pydict(out, schema=ELEMENT_ARROW)
+
+
+ELEMENT_ARROW = pa.schema(
+    [("page_id", pa.int64()), ("node", pa.int32()), ("tag", pa.string()), ("marks", pa.list_(pa.string())),
+     ("own", pa.list_(pa.string())), ("table_no", pa.int32()), ("row_no", pa.int32()), ("cell_no", pa.int32()),
+     ("item_no", pa.int32()), ("href", pa.string()), ("text", pa.string())]
+)
 
 
 def page_elements(pages: DataFrame) -> DataFrame:
-    """Elements of every page; the pages are read in Arrow batches, everything after that is relational."""
-    return pages.select("page_id", "html").mapInPandas(_read_pages, ELEMENT_SCHEMA)
+    """Elements of every page, laid out by page.
+
+    The pages are read once, in Arrow batches; everything after that is relational. As the elements are
+    partitioned by page, the windows and groups within a page need no further shuffle.
+    """
+    return pages.select("page_id", "html").mapInArrow(_read_pages, ELEMENT_SCHEMA).repartition("page_id")
 
 
 def _under(*marks: str) -> Column:
     return F.arrays_overlap("marks", F.array(*[F.lit(m) for m in marks]))
 
 
-def _row_key() -> list[str]:
-    return ["page_id", "table_no", "row_no"]
+def with_headers(elements: DataFrame) -> DataFrame:
+    """Elements with the column name of the data cells; null for all other elements.
 
+    The first row of a table with a heading cell names the columns; the rows before it are not data.
+    The window holds one table of one page.
+    """
+    table = Window.partitionBy("page_id", "table_no")
+    is_heading = (F.col("tag") == "th") & F.col("table_no").isNotNull()
+    found = elements.withColumn("header_row", F.min(F.when(is_heading, F.col("row_no"))).over(table))
+    names = F.collect_list(F.when(is_heading & (F.col("row_no") == F.col("header_row")), F.struct("cell_no", "text"))).over(table)
+    header = F.get(F.array_sort(F.col("names")), F.col("cell_no") - 1)["text"]
+    return found.withColumn("names", names).withColumn(
+        "header", F.when(F.col("tag").isin("th", "td") & (F.col("row_no") > F.col("header_row")), header)
+    ).drop("names", "header_row")
 
-def html_tables(elements: DataFrame) -> DataFrame:
-    """Cells of header tables: one row per page, table, row and header.
 
-    The first row with a heading cell names the columns; the rows before it are not data. The windows
-    hold the cells of one row and the rows of one table of one page.
-    """
-    cells = elements.filter(F.col("tag").isin("th", "td") & F.col("table_no").isNotNull())
-    placed = cells.withColumn("cell_no", F.row_number().over(Window.partitionBy(*_row_key()).orderBy("node")))
-    header_row = placed.filter(F.col("tag") == "th").groupBy("page_id", "table_no").agg(F.min("row_no").alias("header_row"))
-    tagged = placed.join(header_row, ["page_id", "table_no"])
-    headings = tagged.filter((F.col("row_no") == F.col("header_row")) & (F.col("tag") == "th")).select(
-        "page_id", "table_no", "node", F.col("text").alias("header"),
-        F.row_number().over(Window.partitionBy("page_id", "table_no").orderBy("node")).alias("cell_no"),
-    ).drop("node")
-    data = tagged.filter(F.col("row_no") > F.col("header_row")).select(
-        "page_id", "table_no", "row_no", "cell_no", "marks", F.col("text").alias("cell")
-    )
-    return data.join(headings, ["page_id", "table_no", "cell_no"]).select(
-        "page_id", "marks", "table_no", "row_no", "header", "cell"
+def html_tables(elements: DataFrame) -> DataFrame:
+    """Cells of header tables: one row per page, table, row and header."""
+    return with_headers(elements).filter(F.col("header").isNotNull()).select(
+        "page_id", "marks", "table_no", "row_no", "header", F.col("text").alias("cell")
     )
 
 
@@ -168,23 +180,18 @@ def table_results(elements: DataFrame) -> DataFrame:
 
 def table_prices(elements: DataFrame) -> DataFrame:
     """Current price, change, the day's prices and the indicators of a page."""
-    first_text = lambda *marks: F.min(
-        F.when(_under(marks[0]) & F.array_contains("own", F.lit(marks[1])), F.struct("node", "text"))
+    first_text = lambda inside, own: F.min(
+        F.when(_under(inside) & F.array_contains("own", F.lit(own)), F.struct("node", "text"))
     )["text"]
-    board = elements.groupBy("page_id").agg(
-        first_text("#stockinfo_i1", ".kabuka").alias("current"), first_text("#stockinfo_i1", ".change").alias("change")
-    )
-    cells = html_tables(elements).filter(_under("#stockinfo_i2", "#stockinfo_i3"))
     # The last row with a header counts, as later rows overwrite earlier ones.
-    of = lambda name: F.max(F.when(F.col("header") == name, F.struct("table_no", "row_no", "cell")))["cell"]
-    values = cells.groupBy("page_id").agg(
-        *[parse_plain_number(of(h)).alias(k) for k, h in PRICE_HEADERS.items()],
-        parse_plain_number(of("PER")).alias("per"), parse_plain_number(of("PBR")).alias("pbr"),
-        parse_plain_number(of("利回り")).alias("dividend_yield"), parse_market_cap(of("時価総額")).alias("market_cap"),
-    )
-    return board.join(values, "page_id", "left").select(
-        "page_id", parse_plain_number(F.col("current")).alias("current"), parse_plain_number(F.col("change")).alias("change"),
-        *[c for c in values.columns if c != "page_id"],
+    wanted = _under("#stockinfo_i2", "#stockinfo_i3")
+    of = lambda name: F.max(F.when(wanted & (F.col("header") == name), F.struct("table_no", "row_no", "text")))["text"]
+    texts = {"current": first_text("#stockinfo_i1", ".kabuka"), "change": first_text("#stockinfo_i1", ".change"),
+             **{k: of(h) for k, h in PRICE_HEADERS.items()},
+             "per": of("PER"), "pbr": of("PBR"), "dividend_yield": of("利回り"), "market_cap": of("時価総額")}
+    found = with_headers(elements).groupBy("page_id").agg(*[c.alias(k) for k, c in texts.items()])
+    return found.select(
+        "page_id", *[(parse_market_cap if k == "market_cap" else parse_plain_number)(F.col(k)).alias(k) for k in texts]
     )
 
 
