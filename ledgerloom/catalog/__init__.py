@@ -5,7 +5,7 @@ import importlib
 from ledgerloom.catalog.registry import CHECKS, PLANS, as_callables
 
 SECTIONS = (
-    "scalars", "facts", "merge", "records", "inventory", "web", "narrative", "quality", "html", "files",
+    "scalars", "facts", "merge", "records", "inventory", "web", "narrative", "quality", "html", "files", "report",
 )
 
 for _section in SECTIONS:

@@ -201,7 +201,12 @@ def a25(t):
 
 _UNESC = lambda x: f"replace(replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;', '&')"
 _INNER = lambda x: f"array_to_string(list_transform(string_split(regexp_replace({x}, '<[^>]*>', chr(1), 'g'), chr(1)), lambda p: {s_strip(_UNESC('p'))}), '')"
-_EL = lambda tag: rf"CASE WHEN regexp_matches(html, '(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>') THEN {_INNER(f'''regexp_extract(html, '(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>', 1)''')} END"
+
+
+def _EL(tag: str) -> str:
+    pattern = rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}>"
+    inner = _INNER(f"regexp_extract(html, '{pattern}', 1)")
+    return f"CASE WHEN regexp_matches(html, '{pattern}') THEN {inner} END"
 
 
 @query("h1_page_info", ["pages"], rf"""

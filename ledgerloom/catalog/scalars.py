@@ -338,10 +338,10 @@ def f24(t):
 
 @query("f25_display_format", ["b_records"], rf"""
 WITH m AS (SELECT *, (year(period_end) - year(period_start)) * 12 + month(period_end) - month(period_start) + 1 AS m FROM b_records)
-SELECT {_SKEY}, CASE WHEN revenue IS NULL THEN 'N/A' ELSE format('{{:,.0f}}', round_even(revenue::DOUBLE / 1e6, 0)) END AS man_yen,
+SELECT {_SKEY}, CASE WHEN revenue IS NULL THEN 'N/A' ELSE format('{{:,.0f}}', round_even(revenue::DOUBLE / 1e6, 0) + 0e0) END AS man_yen,
   CASE WHEN revenue IS NULL THEN CASE WHEN suppkey % 2 = 0 THEN '—†' ELSE 'N/A' END
-       ELSE format('{{:,.1f}}', round_even(revenue::DOUBLE / 1e8 * 1e1, 0) / 1e1) END AS oku_yen,
-  CASE WHEN net_income IS NULL THEN 'N/A' ELSE format('{{:.2f}}', round_even(net_income::DOUBLE / 7e0 * 1e2, 0) / 1e2) || '%' END AS raw,
+       ELSE format('{{:,.1f}}', round_even(revenue::DOUBLE / 1e8 * 1e1, 0) / 1e1 + 0e0) END AS oku_yen,
+  CASE WHEN net_income IS NULL THEN 'N/A' ELSE format('{{:.2f}}', round_even(net_income::DOUBLE / 7e0 * 1e2, 0) / 1e2 + 0e0) || '%' END AS raw,
   CASE WHEN m IS NULL OR m = 12 THEN CAST(year(period_end) AS VARCHAR) ELSE year(period_end) || ' (' ||
      CASE m WHEN 3 THEN '四半期' WHEN 6 THEN '半期' WHEN 9 THEN '3Q累計' ELSE m || 'M' END || ')' END AS fiscal_year,
   CASE statement_type WHEN 'standalone' THEN '単体' WHEN 'consolidated' THEN '連結' ELSE '-' END AS statement,

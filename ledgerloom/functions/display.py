@@ -12,9 +12,9 @@ NUMBER_SCALES = {"man_yen": (1_000_000.0, 0), "oku_yen": (100_000_000.0, 1)}
 
 
 def fixed_decimals(value: Column, digits: int, grouped: bool = False) -> Column:
-    """Text with a fixed number of decimals; exact halves go to the even digit."""
+    """Text with a fixed number of decimals; exact halves go to the even digit, negative zero shows as zero."""
     scale = float(10**digits)
-    rounded = F.rint(value * scale) / scale
+    rounded = F.rint(value * scale) / scale + F.lit(0.0)
     return F.format_string(f"%{',' if grouped else ''}.{digits}f", rounded)
 
 
