@@ -73,7 +73,11 @@ def parse_jp_number(text: Column) -> Column:
             F.when(s.rlike(sign), F.lit(-1.0)).otherwise(F.lit(1.0)) * let(body, value_of),
         )
 
-    return let(strip(text), signed)
+    plain = _no_commas(text)
+    # Most figures are plain; only the others need the unit words.
+    return F.when(plain.rlike(FLOAT_SHAPE) & ~plain.startswith("-"), plain.try_cast("double")).otherwise(
+        let(strip(text), signed)
+    )
 
 
 def parse_market_cap(text: Column) -> Column:

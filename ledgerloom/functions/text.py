@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 from ledgerloom.functions.dates import ERA_DATE, END_DATE, START_DATE, WESTERN_DATE, era_offset, half_width, iso_date
-from ledgerloom.functions.numbers import strip
+from ledgerloom.functions.numbers import let, strip
 from ledgerloom.rules.lexicons import RISK_KEYWORDS, SEVERITY_HIGH, SEVERITY_LOW
 
 _NUMBERED_LINE = r"(?:(?<=\n)|^)[\s　]*(?:\(\p{Nd}+\)|\p{Nd}+[.)）]|[①-⑳])"
@@ -41,21 +41,25 @@ def strip_html(c: Column) -> Column:
 
 
 def mask_sensitive(c: Column) -> Column:
-    mails = F.regexp_replace(c, r"[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+", "***")
-    return F.regexp_replace(mails, r"(?i)(password|passwd|secret|token)\s*[:=]\s*\S+", "***")
+    # Few texts hold an address or a secret: a plain search decides whether the pattern has to run.
+    mails = F.when(
+        F.contains(c, F.lit("@")), F.regexp_replace(c, r"[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+", "***")
+    ).otherwise(c)
+    lower = F.lower(c)
+    named = reduce(lambda a, b: a | b, [F.contains(lower, F.lit(w)) for w in ("password", "passwd", "secret", "token")])
+    return F.when(
+        named, F.regexp_replace(mails, r"(?i)(password|passwd|secret|token)\s*[:=]\s*\S+", "***")
+    ).otherwise(mails)
 
 
 def split_paragraphs(text: Column) -> Column:
     """Array of risk paragraphs: cut at numbered line starts, else at blank lines; 20 characters or more."""
-    numbered = F.split(text, _NUMBERED_LINE)
-    parts = F.when(F.size(numbered) > 1, numbered).otherwise(F.split(text, r"\n\n+"))
-    long_enough = F.filter(F.transform(parts, strip), lambda p: F.length(p) >= 20)
     whole = strip(text)
-    return (
-        F.when(F.size(long_enough) > 0, long_enough)
-        .when(whole != "", F.array(whole))
-        .otherwise(F.array().cast("array<string>"))
-    )
+    none = F.array().cast("array<string>")
+    blocks = lambda numbered: F.when(F.size(numbered) > 1, numbered).otherwise(F.split(text, r"\n\n+"))
+    chosen = lambda kept: F.when(F.size(kept) > 0, kept).when(whole != "", F.array(whole)).otherwise(none)
+    parts = let(F.split(text, _NUMBERED_LINE), blocks)
+    return let(F.filter(F.transform(parts, strip), lambda p: F.length(p) >= 20), chosen)
 
 
 def keyword_hits(text: Column, words: list[str]) -> Column:
@@ -74,14 +78,12 @@ def risk_category(text: Column, keywords: dict[str, list[str]] = RISK_KEYWORDS)
     """
     names = F.array(*[F.lit(k) for k in keywords])
     hits = F.array(*[keyword_hits(text, words) for words in keywords.values()])
-    # transform over a one-element array binds the hit array to a variable.
-    best = F.transform(
-        F.array(hits),
+    return let(
+        hits,
         lambda h: F.when(F.array_max(h) == 0, F.lit("other_risk")).otherwise(
             F.element_at(names, F.array_position(h, F.array_max(h)).cast("int"))
         ),
     )
-    return best.getItem(0)
 
 
 def risk_severity(text: Column, high: list[str] = SEVERITY_HIGH, low: list[str] = SEVERITY_LOW) -> Column:
@@ -112,7 +114,8 @@ def page_statement(text: Column) -> Column:
     out = F.lit(None).cast("string")
     for label, pattern in reversed(STATEMENT_HEADINGS):
         out = F.when(text.rlike(pattern), label).otherwise(out)
-    return out
+    # Every heading is bracketed, so most pages are decided by a plain search.
+    return F.when(F.contains(text, F.lit("【")), out)
 
 
 def _all_dates(text: Column, pattern: str, western: bool | None = None) -> Column:
@@ -147,25 +150,32 @@ def page_periods(text: Column, header_chars: int = 1500) -> Column:
     Start and end dates are paired by order; without such pairs the distinct single dates are taken.
     The first of several periods is the prior one. Dates below the page head belong to table rows.
     """
-    head = half_width(F.substring(text, 1, header_chars))
-    starts, ends = _all_dates(head, START_DATE), _all_dates(head, END_DATE)
-    instants = F.array_distinct(F.concat(_all_dates(head, WESTERN_DATE, True), _all_dates(head, ERA_DATE, False)))
     label = lambda i, n: F.when((i == 0) & (n > 1), "prior").otherwise("current")
-    pairs = F.transform(
-        F.arrays_zip(starts.alias("s"), ends.alias("e")),
-        lambda z, i: F.struct(
-            z["s"].alias("period_start"), z["e"].alias("period_end"),
-            F.lit("duration").alias("period_type"), label(i, F.size(starts)).alias("label"),
-        ),
-    )
-    singles = F.transform(
-        instants,
-        lambda d, i: F.struct(
-            F.lit(None).cast("string").alias("period_start"), d.alias("period_end"),
-            F.lit("instant").alias("period_type"), label(i, F.size(instants)).alias("label"),
-        ),
+    period = lambda start, end, kind, i, n: F.struct(
+        start.alias("period_start"), end.alias("period_end"), F.lit(kind).alias("period_type"), label(i, n).alias("label")
     )
-    return F.when((F.size(starts) > 0) & (F.size(starts) == F.size(ends)), pairs).otherwise(singles)
+
+    def from_pairs(d: Column) -> Column:
+        zipped = F.arrays_zip(d["starts"].alias("s"), d["ends"].alias("e"))
+        return F.transform(zipped, lambda z, i: period(z["s"], z["e"], "duration", i, F.size(zipped)))
+
+    def from_singles(head: Column) -> Column:
+        dates = F.concat(_all_dates(head, WESTERN_DATE, True), _all_dates(head, ERA_DATE, False))
+        none = F.lit(None).cast("string")
+        return let(
+            F.array_distinct(dates),
+            lambda ds: F.transform(ds, lambda d, i: period(none, d, "instant", i, F.size(ds))),
+        )
+
+    def of_head(head: Column) -> Column:
+        marked = F.struct(_all_dates(head, START_DATE).alias("starts"), _all_dates(head, END_DATE).alias("ends"))
+        return let(
+            marked,
+            lambda d: F.when((F.size(d["starts"]) > 0) & (F.size(d["starts"]) == F.size(d["ends"])), from_pairs(d))
+            .otherwise(from_singles(head)),
+        )
+
+    return let(half_width(F.substring(text, 1, header_chars)), of_head)
 
 
 def url_host(url: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.functions.numbers import parse_xbrl_number, strip
 from ledgerloom.rules.concepts import (
@@ -30,64 +30,63 @@ def context_facts(facts: DataFrame, contexts: DataFrame) -> DataFrame:
     looked up. That shrinks a document to one row per context and concept ahead of the join, and no
     document, however long, makes a large join group. Facts without a known context drop out.
     """
-    figure = F.when(F.col("value").isNotNull(), F.struct("seq", "value"))
+    place = F.when(F.col("value").isNotNull(), F.col("seq"))
     last = (
         numeric_facts(facts)
         .groupBy("ticker", "document_id", "context_id", "concept")
-        .agg(F.max(figure).alias("last"), F.min(figure)["seq"].alias("first_seq"))
-        .filter(F.col("concept").isNotNull() & F.col("last").isNotNull())
-        .select("*", "last.value", "last.seq")
-        .drop("last")
+        .agg(F.max_by("value", place).alias("value"), F.max(place).alias("seq"), F.min(place).alias("first_seq"))
+        .filter(F.col("concept").isNotNull() & F.col("seq").isNotNull())
     )
     return last.join(contexts, ["document_id", "context_id"]).withColumn(
         "priority", context_priority(F.col("context_id"))
     )
 
 
-def _order() -> Column:
-    return F.struct("priority", "seq", "value")
+def _resolved(rows: DataFrame) -> DataFrame:
+    """Best figure per document, period and concept, over rows laid out by document and period.
+
+    The later fact per priority and then the highest priority: two plain maxima, which run as hash
+    aggregations, where one maximum over a pair would sort.
+    """
+    keys = ["ticker", "document_id", "period_end", "concept"]
+    per_priority = rows.groupBy(*keys, "priority").agg(F.max_by("value", "seq").alias("value"))
+    return per_priority.groupBy(*keys).agg(F.max_by("value", "priority").alias("value"), F.max("priority").alias("priority"))
+
+
+def _laid_out(facts: DataFrame, contexts: DataFrame) -> DataFrame:
+    return context_facts(facts, contexts).repartition("document_id", "period_end")
 
 
 def resolve_facts(facts: DataFrame, contexts: DataFrame) -> DataFrame:
     """One figure per document, period and concept: highest context priority, on ties the later fact."""
-    return (
-        context_facts(facts, contexts)
-        .groupBy("ticker", "document_id", "period_end", "concept")
-        .agg(F.max_by("value", _order()).alias("value"), F.max("priority").alias("priority"))
-    )
+    return _resolved(_laid_out(facts, contexts))
 
 
 def period_rows(facts: DataFrame, contexts: DataFrame) -> DataFrame:
     """One row per document and period with a column per field.
 
-    The figures are laid out by document and period once; choosing the best figure per concept and
-    turning the concepts into columns are then two aggregations over the same partitions.
+    The figures are laid out by document and period once. Resolving, turning concepts into columns,
+    listing the contexts and bringing both together all happen on that layout without a new shuffle.
     """
+    rows = _laid_out(facts, contexts)
+    keys = ["ticker", "document_id", "period_end"]
+    figures = _resolved(rows).groupBy(*keys).agg(
+        *[F.max(F.when(F.col("concept") == c, F.col("value"))).alias(c) for c in FACT_FIELDS]
+    )
     is_kind = lambda kind: F.max(F.col("period_type") == kind)
-    chosen = (
-        context_facts(facts, contexts)
-        .repartition("document_id", "period_end")
-        .groupBy("ticker", "document_id", "period_end", "concept")
-        .agg(
-            F.max(_order())["value"].alias("value"),
-            F.min(F.when(F.col("start_date").isNotNull(), F.struct("first_seq", "start_date"))).alias("opening"),
-            F.collect_set(F.struct("first_seq", "context_id")).alias("used"),
-            is_kind("instant").alias("instant"), is_kind("duration").alias("duration"),
-        )
+    used = rows.groupBy(*keys, "context_id").agg(
+        F.min("first_seq").alias("first_seq"), F.first("start_date").alias("start_date"), F.first("period_type").alias("period_type")
     )
-    contexts_used = F.transform(F.array_sort(F.flatten(F.collect_list("used"))), lambda x: x["context_id"])
-    return (
-        chosen.groupBy("ticker", "document_id", "period_end")
-        .agg(
-            F.when(F.max("instant") & F.max("duration"), "mixed")
-            .when(F.max("instant"), "instant").when(F.max("duration"), "duration").otherwise("unknown")
-            .alias("period_type"),
-            F.min("opening")["start_date"].alias("period_start"),
-            F.array_distinct(contexts_used).alias("source_context_ids"),
-            *[F.max(F.when(F.col("concept") == c, F.col("value"))).alias(c) for c in FACT_FIELDS],
-        )
-        .withColumn("fiscal_year", F.year("period_end"))
+    heads = used.groupBy(*keys).agg(
+        F.when(is_kind("instant") & is_kind("duration"), "mixed")
+        .when(is_kind("instant"), "instant").when(is_kind("duration"), "duration").otherwise("unknown")
+        .alias("period_type"),
+        F.min_by("start_date", F.when(F.col("start_date").isNotNull(), F.col("first_seq"))).alias("period_start"),
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("first_seq", "context_id"))), lambda x: x["context_id"]
+        ).alias("source_context_ids"),
     )
+    return heads.join(figures, keys).withColumn("fiscal_year", F.year("period_end"))
 
 
 def derive_totals(periods: DataFrame) -> DataFrame:

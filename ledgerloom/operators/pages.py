@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerloom.functions.numbers import CELL_NULLS, let, parse_statement_cell, strip
+from ledgerloom.functions.numbers import CELL_NULLS, parse_statement_cell, strip
 from ledgerloom.functions.text import page_periods, page_statement, page_unit
 from ledgerloom.rules.concepts import item_concept
 
@@ -30,7 +30,7 @@ def first_pages(headers: DataFrame) -> DataFrame:
 
 def is_continuation(text: Column) -> Column:
     """A page continues a statement when it names a money unit in its head rows."""
-    return text.rlike("単位|千円|百万円")
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in ("単位", "千円", "百万円")])
 
 
 def statement_spans(headers: DataFrame, max_pages: int = MAX_SPAN) -> DataFrame:

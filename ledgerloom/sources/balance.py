@@ -1,0 +1,16 @@
+"""Spreading inputs that arrive in fewer pieces than there are cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a plain scan over all cores when its files give fewer partitions than that.
+
+    Meant for inputs with heavy work per row, such as page parsing. A large input already comes in many
+    splits and is returned as it is, without a shuffle. Only for scans: asking a plan with shuffles for
+    its partitions would run them.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
