@@ -143,12 +143,19 @@ def statement_rows(t):
 
 @query("a13_inventory_matrix", DDEPS + ["b_raw_statements"], f"""WITH {S_MATRIX},
 st AS (SELECT r.ticker, s.fye_month, {s_fy('CAST(CurrentFiscalYearEndDate AS DATE)', 's.fye_month')} AS fiscal_year,
-    string_agg(TypeOfCurrentPeriod || ' ' || DisclosedDate, ', ' ORDER BY seq) AS jquants FROM b_raw_statements r JOIN b_securities s ON s.ticker = r.ticker GROUP BY ALL)
+    count(*) AS statements FROM b_raw_statements r JOIN b_securities s ON s.ticker = r.ticker GROUP BY ALL)
 SELECT * FROM mat FULL OUTER JOIN st USING (ticker, fye_month, fiscal_year)""")
 def a13(t):
     return I.inventory_matrix(documents(t), statement_rows(t))
 
 
+@query("a13_statement_labels", ["b_raw_statements", "b_securities"], f"""
+SELECT *, row_number() OVER (PARTITION BY ticker, fiscal_year ORDER BY seq) AS position FROM (SELECT r.ticker, {s_fy('CAST(CurrentFiscalYearEndDate AS DATE)', 's.fye_month')} AS fiscal_year, seq,
+  TypeOfCurrentPeriod || ' ' || DisclosedDate AS label FROM b_raw_statements r JOIN b_securities s ON s.ticker = r.ticker)""")
+def a13_labels(t):
+    return I.statement_labels(statement_rows(t))
+
+
 @query("a14_gap_analysis", DDEPS, f"""WITH {S_MATRIX},
 y AS (SELECT *, min(fiscal_year) OVER (PARTITION BY ticker) AS f, max(fiscal_year) OVER (PARTITION BY ticker) AS l FROM mat),
 e AS (SELECT y.*, q.q, q.o, CAST(CASE WHEN fye_month = 12 THEN make_date(fiscal_year, 1, 1) ELSE make_date(fiscal_year - 1, fye_month + 1, 1) END + to_months(q.o) AS DATE) AS qs,

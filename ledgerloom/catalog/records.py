@@ -389,11 +389,16 @@ _PM = f"""SELECT ticker, metric, target, CASE WHEN n > 0 AND target IS NOT NULL
   CASE WHEN n > 0 AND target IS NOT NULL THEN {s_r2('target - list_sum(v) / n')} END AS vs_average FROM pj"""
 
 
+def peer_comparison(t):
+    own = multiples(t).select("ticker", *V.MULTIPLES)
+    return V.peer_multiples(S.select_peers(companies(t), figures=own), own)
+
+
 @query("a20_peer_multiples", VDEPS, f"WITH {S_PEERM} {_PM}")
 def a20(t):
-    return V.peer_multiples(S.select_peers(companies(t)), multiples(t))
+    return peer_comparison(t)
 
 
 @query("v4_peer_comparison", VDEPS, f"WITH {S_PEERM} SELECT * FROM ({_PM}) WHERE peer_median IS NOT NULL")
 def v4(t):
-    return V.peer_multiples(S.select_peers(companies(t)), multiples(t)).filter(F.col("peer_median").isNotNull())
+    return peer_comparison(t).filter(F.col("peer_median").isNotNull())

@@ -80,24 +80,32 @@ def manifest_documents(manifests: DataFrame, periods: DataFrame, securities: Dat
 
 
 def inventory_matrix(documents: DataFrame, statements: DataFrame | None = None) -> DataFrame:
-    """Per company and fiscal year the first document of each kind, and the statements' labels."""
+    """Per company and fiscal year the first document of each kind, and the number of statements."""
     cell = lambda kind: F.min(F.when(F.col("period_type") == kind, F.struct("period_end", "seq", "doc_id")))["doc_id"]
     matrix = documents.filter(F.col("period_type").isin(*KINDS)).groupBy("ticker", "fye_month", "fiscal_year").agg(
         *[cell(k).alias(k) for k in KINDS]
     )
     if statements is None:
         return matrix
-    label = F.concat_ws(" ", F.col("TypeOfCurrentPeriod"), F.nullif("DisclosedDate", F.lit("")))
-    labels = (
+    counts = (
         statements.filter(F.col("fy_end").isNotNull())
         .groupBy("ticker", "fye_month", fiscal_year(F.col("fy_end"), F.col("fye_month")).alias("fiscal_year"))
-        .agg(
-            F.array_join(
-                F.transform(F.array_sort(F.collect_list(F.struct("seq", label.alias("label")))), lambda x: x["label"]), ", "
-            ).alias("jquants")
-        )
+        .agg(F.count("*").alias("statements"))
+    )
+    return matrix.join(counts, ["ticker", "fye_month", "fiscal_year"], "full_outer")
+
+
+def statement_labels(statements: DataFrame) -> DataFrame:
+    """The statements listed in each cell of the inventory, as rows with their place in it.
+
+    Rows instead of one joined text: a company with very many statements is then numbered in pieces
+    and never gathered in one value.
+    """
+    rows = statements.filter(F.col("fy_end").isNotNull()).select(
+        "ticker", fiscal_year(F.col("fy_end"), F.col("fye_month")).alias("fiscal_year"), "seq",
+        F.concat_ws(" ", F.col("TypeOfCurrentPeriod"), F.nullif("DisclosedDate", F.lit(""))).alias("label"),
     )
-    return matrix.join(labels, ["ticker", "fye_month", "fiscal_year"], "full_outer")
+    return running_position(rows, ["ticker", "fiscal_year"], [F.floor(F.col("seq") / 100_000)], [F.col("seq")])
 
 
 def analyze_gaps(matrix: DataFrame) -> DataFrame:

@@ -100,16 +100,23 @@ def peer_candidates(companies: DataFrame, max_peers: int) -> DataFrame:
     )
 
 
-def select_peers(companies: DataFrame, max_peers: int = 10) -> DataFrame:
-    """Peers per company: same industry, not itself, the first ``max_peers`` in master order."""
+def select_peers(companies: DataFrame, max_peers: int = 10, figures: DataFrame | None = None) -> DataFrame:
+    """Peers per company: same industry, not itself, the first ``max_peers`` in master order.
+
+    ``figures`` (by ticker) are added to the few candidates of an industry before these meet the
+    companies: joined afterwards, a candidate of a large industry would be a hot key.
+    """
     candidates = peer_candidates(companies, max_peers)
+    if figures is not None:
+        candidates = candidates.join(figures.withColumnRenamed("ticker", "peer_ticker"), "peer_ticker", "left")
+    extra = [] if figures is None else [c for c in figures.columns if c != "ticker"]
     own_place = candidates.select(F.col("peer_ticker").alias("ticker"), F.col("place").alias("own_place"))
     targets = companies.select("ticker", "industry").join(own_place, "ticker", "left")
     shift = F.when(F.col("place") > F.col("own_place"), 1).otherwise(0)
     return (
         targets.join(candidates, "industry")
         .filter((F.col("peer_ticker") != F.col("ticker")) & (F.col("place") - shift <= max_peers))
-        .select("ticker", "industry", "peer_ticker", "peer_name", (F.col("place") - shift).alias("peer_rank"))
+        .select("ticker", "industry", "peer_ticker", "peer_name", (F.col("place") - shift).alias("peer_rank"), *extra)
     )
 
 
@@ -128,17 +135,15 @@ METRICS = ("roe", "roa", "operating_margin", "revenue_growth")
 
 def benchmark_matrix(companies: DataFrame, snapshots: DataFrame, max_peers: int = 10) -> DataFrame:
     """Target and peer rows with their latest metrics; companies without any metric are flagged."""
-    members = (
-        select_peers(companies, max_peers)
-        .select("ticker", F.col("peer_ticker").alias("member"), F.lit(False).alias("is_target"))
-        .unionByName(companies.select("ticker", F.col("ticker").alias("member"), F.lit(True).alias("is_target")))
-    )
-    values = snapshots.select(F.col("ticker").alias("member"), *METRICS, F.lit(True).alias("has_snapshot"))
+    values = snapshots.select("ticker", *METRICS, F.lit(True).alias("has_snapshot"))
+    peers = select_peers(companies, max_peers, values)
+    own = companies.join(values, "ticker", "left")
     missing = F.coalesce(*[F.col(m) for m in METRICS]).isNull()
-    return members.join(values, "member", "left").select(
-        "ticker", "member", "is_target", *METRICS,
+    row = lambda df, member, is_target: df.select(
+        "ticker", F.col(member).alias("member"), F.lit(is_target).alias("is_target"), *METRICS,
         F.coalesce("has_snapshot", F.lit(False)).alias("has_snapshot"), missing.alias("all_missing"),
     )
+    return row(peers, "peer_ticker", False).unionByName(row(own, "ticker", True))
 
 
 def benchmark_reliability(matrix: DataFrame) -> DataFrame:

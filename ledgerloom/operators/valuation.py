@@ -141,13 +141,12 @@ MULTIPLES = ("per", "pbr", "ev_ebitda")
 def peer_multiples(peers: DataFrame, multiples: DataFrame) -> DataFrame:
     """Median and mean of the peers' multiples against the target's, per company and multiple.
 
-    Companies without peers stay with nulls. Peer lists are bounded, so the joins add at most
-    ``max_peers`` rows per company.
+    ``peers`` carries the peers' multiples. Companies without peers stay with nulls. A collected array
+    holds one company's peers, at most ``max_peers`` values.
     """
     own = multiples.unpivot("ticker", list(MULTIPLES), "metric", "target")
-    peer = multiples.unpivot("ticker", list(MULTIPLES), "metric", "value").withColumnRenamed("ticker", "peer_ticker")
     stats = (
-        peers.select("ticker", "peer_ticker").join(peer, "peer_ticker")
+        peers.unpivot("ticker", list(MULTIPLES), "metric", "value")
         .groupBy("ticker", "metric")
         .agg(F.array_sort(F.collect_list("value")).alias("v"))
     )
