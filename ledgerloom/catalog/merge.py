@@ -72,21 +72,17 @@ SELECT 'edinet' AS source, ticker, fiscal_year, quarter, period_end, seq_id, tot
   (SELECT *, document_id AS seq_id FROM ed)
 UNION ALL SELECT 'jquants', ticker, fiscal_year, quarter, period_end, CAST(disclosed_date AS VARCHAR), total_assets, revenue FROM jq""")
 def a10(t):
-    cols = ["ticker", "fiscal_year", "quarter", "period_end"]
-    return filings(t).select(
-        F.lit("edinet").alias("source"), *cols, F.col("document_id").alias("seq_id"), "total_assets", "revenue"
-    ).unionByName(
-        statements(t).select(
-            F.lit("jquants").alias("source"), *cols, F.col("disclosed_date").cast("string").alias("seq_id"),
-            "total_assets", "revenue",
-        )
+    picked = O.pick_entries(filings(t).unionByName(statements(t)))
+    return picked.select(
+        "source", *O.KEYS, "period_end", F.coalesce("document_id", F.col("disclosed_date").cast("string")).alias("seq_id"),
+        "total_assets", "revenue",
     )
 
 
 @query("p7_web_row_guard", ["b_records"], f"""WITH {S_WEB}
 SELECT ticker, fiscal_year, period_end, web_source, revenue, eps FROM web""")
 def p7(t):
-    return O.web_entries(web_rows(t)).select("ticker", "fiscal_year", "period_end", "web_source", "revenue", "eps")
+    return O.pick_entries(O.web_entries(web_rows(t))).select("ticker", "fiscal_year", "period_end", "web_source", "revenue", "eps")
 
 
 _JQ_NAME = {f: ("j.equity" if f == "total_equity" else f"j.{f}") for f in O.STATEMENT_FIELDS}
@@ -175,7 +171,7 @@ def u3(t):
 SELECT ticker, fiscal_year, quarter, document_id, NULL::DATE AS disclosed_date FROM ed
 UNION ALL SELECT ticker, fiscal_year, quarter, NULL, disclosed_date FROM jq""")
 def u4(t):
-    keys = ["ticker", "fiscal_year", "quarter"]
-    return filings(t).select(*keys, "document_id").unionByName(
-        statements(t).select(*keys, "disclosed_date"), allowMissingColumns=True
+    picked = lambda candidates, column: O.pick_entries(candidates).select(*O.KEYS, column)
+    return picked(filings(t), "document_id").unionByName(
+        picked(statements(t), "disclosed_date"), allowMissingColumns=True
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerloom.functions.numbers import parse_xbrl_number, strip
 from ledgerloom.rules.concepts import (
@@ -65,28 +65,26 @@ def resolve_facts(facts: DataFrame, contexts: DataFrame) -> DataFrame:
 def period_rows(facts: DataFrame, contexts: DataFrame) -> DataFrame:
     """One row per document and period with a column per field.
 
-    The figures are laid out by document and period once. Resolving, turning concepts into columns,
-    listing the contexts and bringing both together all happen on that layout without a new shuffle.
+    The figures are laid out by document and period once. Marking the best figure of a concept, turning
+    concepts into columns and listing the contexts all work on that layout without a new shuffle. A
+    window holds the contexts of one concept, a group those of one document and period.
     """
-    rows = _laid_out(facts, contexts)
-    keys = ["ticker", "document_id", "period_end"]
-    figures = _resolved(rows).groupBy(*keys).agg(
-        *[F.max(F.when(F.col("concept") == c, F.col("value"))).alias(c) for c in FACT_FIELDS]
-    )
+    best = Window.partitionBy("document_id", "period_end", "concept").orderBy(F.desc("priority"), F.desc("seq"))
+    rows = _laid_out(facts, contexts).withColumn("place", F.row_number().over(best))
     is_kind = lambda kind: F.max(F.col("period_type") == kind)
-    used = rows.groupBy(*keys, "context_id").agg(
-        F.min("first_seq").alias("first_seq"), F.first("start_date").alias("start_date"), F.first("period_type").alias("period_type")
-    )
-    heads = used.groupBy(*keys).agg(
-        F.when(is_kind("instant") & is_kind("duration"), "mixed")
-        .when(is_kind("instant"), "instant").when(is_kind("duration"), "duration").otherwise("unknown")
-        .alias("period_type"),
-        F.min_by("start_date", F.when(F.col("start_date").isNotNull(), F.col("first_seq"))).alias("period_start"),
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("first_seq", "context_id"))), lambda x: x["context_id"]
-        ).alias("source_context_ids"),
+    used = F.collect_set(F.struct("first_seq", "context_id"))
+    return (
+        rows.groupBy("document_id", "period_end", "ticker")
+        .agg(
+            F.when(is_kind("instant") & is_kind("duration"), "mixed")
+            .when(is_kind("instant"), "instant").when(is_kind("duration"), "duration").otherwise("unknown")
+            .alias("period_type"),
+            F.min_by("start_date", F.when(F.col("start_date").isNotNull(), F.col("first_seq"))).alias("period_start"),
+            F.array_distinct(F.transform(F.array_sort(used), lambda x: x["context_id"])).alias("source_context_ids"),
+            *[F.max(F.when((F.col("place") == 1) & (F.col("concept") == c), F.col("value"))).alias(c) for c in FACT_FIELDS],
+        )
+        .withColumn("fiscal_year", F.year("period_end"))
     )
-    return heads.join(figures, keys).withColumn("fiscal_year", F.year("period_end"))
 
 
 def derive_totals(periods: DataFrame) -> DataFrame:

@@ -34,18 +34,27 @@ def with_period_keys(rows: DataFrame) -> DataFrame:
     return rows.withColumn("fiscal_year", fiscal_year(end, fye)).withColumn("quarter", quarter_label(end, fye))
 
 
-def _pick(rows: DataFrame, order: Column, keep: list[str]) -> DataFrame:
-    """The row with the greatest order per company, fiscal year and quarter."""
-    row = F.struct(order.alias("order"), *[F.col(c) for c in keep])
-    return (
-        rows.groupBy("ticker", "fiscal_year", "quarter")
-        .agg(F.max(row).alias("r"))
-        .select("ticker", "fiscal_year", "quarter", *[F.col(f"r.{c}").alias(c) for c in keep])
+# Attributes of an entry beside its figures.
+ATTRIBUTES = {
+    "period_end": "date", "period_start": "date", "document_id": "string", "statement_type": "string",
+    "disclosed_date": "date", "web_source": "string",
+}
+KEYS = ["ticker", "fiscal_year", "quarter"]
+
+
+def _candidates(rows: DataFrame, source: str, richness: Column, place: Column) -> DataFrame:
+    """Rows of one source in the common shape; the greatest (richness, place) of a key is its entry."""
+    cols = {**ATTRIBUTES, **dict.fromkeys(MERGE_FIELDS, "bigint"), "eps": "double"}
+    shaped = [(F.col(n) if n in rows.columns else F.lit(None)).cast(kind).alias(n) for n, kind in cols.items()]
+    return rows.select(
+        *KEYS, F.lit(source).alias("source"),
+        F.struct(richness.cast("int").alias("richness"), place.cast("bigint").alias("place")).alias("order"),
+        F.struct(*shaped).alias("entry"),
     )
 
 
 def filing_entries(periods: DataFrame) -> DataFrame:
-    """Annual and quarterly entries of filings.
+    """Annual and quarterly candidates of filings.
 
     Of annual rows the last one counts, of quarterly rows the richest one and then the first. Short
     periods that end in the fiscal month belong to neither.
@@ -53,78 +62,64 @@ def filing_entries(periods: DataFrame) -> DataFrame:
     kind = period_kind(F.col("period_end"), F.col("period_start"), F.col("fye_month"))
     rows = with_period_keys(enough_facts(periods)).filter((kind == "annual") | (F.col("quarter") != "FY"))
     annual = F.col("quarter") == "FY"
-    order = F.struct(
-        F.when(annual, 0).otherwise(non_null_count(*[F.col(f) for f in RICHNESS_FIELDS])).alias("richness"),
-        F.when(annual, F.col("seq")).otherwise(-F.col("seq")).alias("place"),
+    return _candidates(
+        rows, "edinet", F.when(annual, 0).otherwise(non_null_count(*[F.col(f) for f in RICHNESS_FIELDS])),
+        F.when(annual, F.col("seq")).otherwise(-F.col("seq")),
     )
-    keep = ["period_end", "period_start", "document_id", "statement_type", *MERGE_FIELDS]
-    return _pick(rows, order, keep)
 
 
 def statement_entries(statements: DataFrame) -> DataFrame:
-    """Entries of earnings statements: the last annual one, the first of each quarter."""
+    """Candidates of earnings statements: the last annual one, the first of each quarter."""
     rows = with_period_keys(statements.filter(F.col("period_end").isNotNull()))
-    order = F.when(F.col("quarter") == "FY", F.col("seq")).otherwise(-F.col("seq"))
-    return _pick(rows, order, ["period_end", "period_start", "disclosed_date", *STATEMENT_FIELDS])
+    known = [*KEYS, "period_end", "period_start", "disclosed_date", *STATEMENT_FIELDS, "seq"]
+    place = F.when(F.col("quarter") == "FY", F.col("seq")).otherwise(-F.col("seq"))
+    return _candidates(rows.select(*known), "jquants", F.lit(0), place)
 
 
 def web_entries(web: DataFrame) -> DataFrame:
-    """Annual web rows: they need a period end, and the first row of a fiscal year counts."""
+    """Annual web candidates: they need a period end, and the first row of a fiscal year counts."""
     fy = F.coalesce("fiscal_year", fiscal_year(F.col("period_end"), F.col("fye_month")))
     rows = (
         web.filter(F.col("period_end").isNotNull())
         .withColumn("fiscal_year", fy).withColumn("quarter", F.lit("FY"))
     )
-    return _pick(rows, -F.col("seq"), ["period_end", "web_source", *WEB_FIELDS, "eps"])
+    known = [*KEYS, "period_end", "web_source", *WEB_FIELDS, "eps", "seq"]
+    return _candidates(rows.select(*known), "web", F.lit(0), -F.col("seq"))
+
+
+def pick_entries(candidates: DataFrame) -> DataFrame:
+    """The entry of each source and key."""
+    return (
+        candidates.groupBy(*KEYS, "source").agg(F.max_by("entry", "order").alias("e")).select(*KEYS, "source", "e.*")
+    )
 
 
 def merge_entries(filings: DataFrame, statements: DataFrame, web: DataFrame | None = None) -> DataFrame:
     """Merge by company, fiscal year and quarter: filings first, then web, then earnings statements.
 
-    The tagged entries are put together and grouped once, instead of one outer join per source. Every
-    source has at most one row per key, so each maximum picks that source's value.
+    The candidates of all sources are put together and grouped once: the same aggregation chooses each
+    source's entry and merges them, so there is one shuffle and no outer join.
     """
-    names = ["period_end", "period_start", "document_id", "statement_type", "disclosed_date", "web_source",
-             *MERGE_FIELDS, "eps"]
-    frames = {"edinet": filings, "jquants": statements}
+    stacked = filings.unionByName(statements)
     if web is not None:
-        frames["web"] = web
-    types = {"period_end": "date", "period_start": "date", "disclosed_date": "date", "document_id": "string",
-             "statement_type": "string", "web_source": "string", "eps": "double"}
-
-    def tagged(source: str, df: DataFrame) -> DataFrame:
-        cols = [
-            (F.col(n) if n in df.columns else F.lit(None)).cast(types.get(n, "bigint")).alias(n) for n in names
-        ]
-        return df.select("ticker", "fiscal_year", "quarter", F.lit(source).alias("source"), *cols)
-
-    parts = [tagged(s, df) for s, df in frames.items()]
-    stacked = parts[0]
-    for p in parts[1:]:
-        stacked = stacked.unionByName(p)
-    order = [s for s in SOURCES if s in frames]
-    of = lambda s, n: F.max(F.when(F.col("source") == s, F.col(n)))
-    present = {s: F.max(F.col("source") == s) for s in order}
-    first_of = lambda n: F.coalesce(*[of(s, n) for s in order])
+        stacked = stacked.unionByName(web)
+    entry = lambda s: F.max_by("entry", F.when(F.col("source") == s, F.col("order"))).alias(s)
+    merged = stacked.groupBy(*KEYS).agg(*[entry(s) for s in SOURCES])
+    has = {s: F.col(s).isNotNull() for s in SOURCES}
+    joined = F.concat_ws("+", *[F.when(has[s], s) for s in SOURCES])
+    label = F.when(~has["web"] & has["edinet"] & has["jquants"], "both").otherwise(joined)
     # The attributes of an entry come from its leading source, even where they are null there.
-    lead = lambda n: F.min(
-        F.struct(F.array_position(F.array(*[F.lit(s) for s in order]), F.col("source")).alias("p"), F.col(n).alias("v"))
-    )["v"]
-    has_web = present["web"] if "web" in present else F.lit(False)
-    others = present["edinet"] | has_web
-    joined = F.concat_ws("+", *[F.when(present[s], s) for s in order])
-    label = F.when(has_web, joined).when(present["edinet"] & present["jquants"], "both").otherwise(joined)
-    aggregates = [
-        lead("period_end").alias("period_end"), lead("period_start").alias("period_start"),
-        lead("statement_type").alias("statement_type"),
-        of("edinet", "document_id").alias("document_id"),
-        label.alias("source"),
-        F.when(others, of("jquants", "disclosed_date")).alias("jquants_disclosed_date"),
+    leading = F.coalesce(*[F.col(s) for s in SOURCES])
+    first_of = lambda n: F.coalesce(*[F.col(f"{s}.{n}") for s in SOURCES])
+    columns = [
+        *KEYS, *[leading[n].alias(n) for n in ("period_end", "period_start", "statement_type")],
+        F.col("edinet.document_id").alias("document_id"), label.alias("source"),
+        F.when(has["edinet"] | has["web"], F.col("jquants.disclosed_date")).alias("jquants_disclosed_date"),
         *[first_of(n).alias(n) for n in MERGE_FIELDS],
     ]
     if web is not None:
-        aggregates += [of("web", "web_source").alias("web_source"), of("web", "eps").alias("eps")]
-    return stacked.groupBy("ticker", "fiscal_year", "quarter").agg(*aggregates)
+        columns += [F.col("web.web_source").alias("web_source"), F.col("web.eps").alias("eps")]
+    return merged.select(*columns)
 
 
 def coverage_summary(merged: DataFrame) -> DataFrame:

@@ -55,15 +55,14 @@ def test_latest_corrections(spark):
     assert rows(facts.latest_corrections(df), "seq") == [(2,), (3,)]
 
 
-def entry(source, **figures):
-    base = dict.fromkeys(merge.MERGE_FIELDS)
-    return {"ticker": "1", "fiscal_year": 2024, "quarter": "FY", **base, **figures}
+ROW = "ticker string, fye_month int, seq bigint, period_start date, period_end date, disclosed_date date, fiscal_year int, web_source string, eps double, document_id string, statement_type string, " + ", ".join(
+    f"{f} bigint" for f in dict.fromkeys([*merge.MERGE_FIELDS, "noncurrent_liabilities"]))
 
 
-def frame(spark, entries, extra=""):
-    schema = "ticker string, fiscal_year int, quarter string, " + ", ".join(f"{f} bigint" for f in merge.MERGE_FIELDS) + extra
-    names = [x.split()[0] for x in schema.split(", ")]
-    return spark.createDataFrame([tuple(e.get(n) for n in names) for e in entries], schema)
+def side(spark, *entries):
+    names = [x.split()[0] for x in ROW.split(", ")]
+    base = {"ticker": "1", "fye_month": 3, "seq": 1, "period_start": dt.date(2023, 4, 1), "period_end": dt.date(2024, 3, 31), "total_equity": 1}
+    return spark.createDataFrame([tuple({**base, **e}.get(n) for n in names) for e in entries], ROW)
 
 
 @pytest.mark.parametrize(
@@ -74,19 +73,28 @@ def frame(spark, entries, extra=""):
     ],
 )
 def test_three_sources(spark, e, w, j, label, revenue):
-    side = lambda v: frame(spark, [] if v is None else [entry("s", revenue=v)], ", period_end date")
-    web_side = side(w).withColumn("web_source", F.lit("web:yahoo")).withColumn("eps", F.lit(1.0))
-    got = merge.merge_entries(side(e), side(j), web_side).first()
-    assert (got.source, got.revenue) == (label, revenue)
+    mk = lambda v: side(spark, *([] if v is None else [{"revenue": v}]))
+    got = merge.merge_entries(merge.filing_entries(mk(e)), merge.statement_entries(mk(j)), merge.web_entries(mk(w))).first()
+    assert (got.source, got.revenue, got.fiscal_year, got.quarter) == (label, revenue, 2024, "FY")
 
 
 def test_merge_fills_nulls_and_is_identity_without_second(spark):
-    first = frame(spark, [entry("e", revenue=5, net_income=None)], ", period_end date")
-    second = frame(spark, [entry("j", revenue=9, net_income=7)], ", period_end date")
+    first = merge.filing_entries(side(spark, {"revenue": 5}))
+    second = merge.statement_entries(side(spark, {"revenue": 9, "net_income": 7}))
     got = merge.merge_entries(first, second).first()
     assert (got.revenue, got.net_income, got.source) == (5, 7, "both")
     alone = merge.merge_entries(first, second.limit(0))
-    assert rows(alone, *merge.MERGE_FIELDS) == rows(first, *merge.MERGE_FIELDS)
+    assert rows(alone, *merge.MERGE_FIELDS) == rows(merge.pick_entries(first), *merge.MERGE_FIELDS)
+
+
+def test_annual_last_and_quarterly_richest_entries(spark):
+    q = {"period_end": dt.date(2023, 6, 30), "period_start": dt.date(2023, 4, 1)}
+    df = side(
+        spark, {"seq": 1, "revenue": 1}, {"seq": 2, "revenue": 2}, {"seq": 3, "revenue": 3, **q}, {"seq": 4, "revenue": 4, "net_income": 4, **q},
+        {"seq": 5, "revenue": 5, "net_income": 5, **q}, {"seq": 6, "total_equity": None, "revenue": 6},
+    )
+    assert rows(merge.pick_entries(merge.filing_entries(df)), "quarter", "revenue") == [("FY", 2), ("Q1", 4)]
+    assert rows(merge.pick_entries(merge.statement_entries(df)), "quarter", "revenue") == [("FY", 6), ("Q1", 3)]
 
 
 def test_verdicts(spark):
