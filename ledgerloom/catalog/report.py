@@ -1,14 +1,17 @@
-"""Queries: the report's tables."""
+"""Queries: the report's tables and the whole chain from facts to metrics."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerloom.catalog import facts as fac
 from ledgerloom.catalog import merge as mer
 from ledgerloom.catalog import records as rec
 from ledgerloom.catalog.registry import query
+from ledgerloom.catalog.sqlkit import s_fy, s_growth, s_kind, s_quarter, s_r2, s_ratio
 from ledgerloom.operators import records as O
 from ledgerloom.operators import report as R
+from ledgerloom.plans import chains
 
 _OKU = lambda f: f"CASE WHEN {f} IS NULL THEN CASE WHEN absent_{f} THEN '—†' ELSE 'N/A' END ELSE format('{{:,.1f}}', round_even({f} / 1e8 * 1e1, 0) / 1e1 + 0e0) END AS {f}"
 _RAW = lambda f, s="": f"CASE WHEN {f} IS NULL THEN CASE WHEN absent_{f} THEN '—†' ELSE 'N/A' END ELSE format('{{:.2f}}', round_even({f} * 1e2, 0) / 1e2 + 0e0) || '{s}' END AS {f}"
@@ -91,3 +94,25 @@ SELECT ticker, document_id AS key, arg_max(period_end, (fiscal_year, quarter)) A
 UNION ALL SELECT ticker, CAST(period_end AS VARCHAR), arg_max(jquants_disclosed_date, (fiscal_year, quarter)), 'jquants' FROM two WHERE jquants_disclosed_date IS NOT NULL GROUP BY ticker, period_end""")
 def a32(t):
     return R.source_details(mer.two_sources(t))
+
+
+@query("w2_chain_facts_to_metrics", ["b_facts", "b_contexts", "b_statements", "b_securities"], f"""WITH {fac.S_TOTALS},
+pk AS (SELECT t.*, s.fye_month, row_number() OVER (PARTITION BY t.ticker ORDER BY document_id, period_end) AS seq FROM totals t JOIN b_securities s ON s.ticker = t.ticker),
+kp AS (SELECT * REPLACE ({s_fy('period_end', 'fye_month')} AS fiscal_year), {s_quarter('period_end', 'fye_month')} AS quarter, {s_kind('period_end', 'period_start', 'fye_month')} AS kind FROM pk WHERE {mer._COUNT} >= 2),
+ed AS (SELECT * FROM kp WHERE kind = 'annual' OR quarter <> 'FY' QUALIFY row_number() OVER (PARTITION BY ticker, fiscal_year, quarter
+    ORDER BY CASE WHEN quarter = 'FY' THEN 0 ELSE {mer._RICH} END DESC, CASE WHEN quarter = 'FY' THEN -seq ELSE seq END) = 1),
+jq AS (SELECT *, {s_fy('period_end', 'fye_month')} AS fiscal_year, {s_quarter('period_end', 'fye_month')} AS quarter FROM b_statements
+    QUALIFY row_number() OVER (PARTITION BY ticker, {s_fy('period_end', 'fye_month')}, {s_quarter('period_end', 'fye_month')}
+      ORDER BY CASE WHEN {s_quarter('period_end', 'fye_month')} = 'FY' THEN -seq ELSE seq END) = 1),
+m AS (SELECT coalesce(e.ticker, j.ticker) AS ticker, coalesce(e.fiscal_year, j.fiscal_year) AS fiscal_year,
+   coalesce(CAST(trunc(e.revenue) AS BIGINT), j.revenue)::DOUBLE AS revenue, coalesce(CAST(trunc(e.net_income) AS BIGINT), j.net_income)::DOUBLE AS net_income,
+   coalesce(CAST(trunc(e.total_equity) AS BIGINT), j.equity, CAST(trunc(e.net_assets) AS BIGINT), j.net_assets)::DOUBLE AS equity
+   FROM ed e FULL OUTER JOIN jq j ON e.ticker = j.ticker AND e.fiscal_year = j.fiscal_year AND e.quarter = j.quarter WHERE coalesce(e.quarter, j.quarter) = 'FY'),
+l AS (SELECT *, lag(revenue) OVER (PARTITION BY ticker ORDER BY fiscal_year) AS p FROM m)
+SELECT ticker, fiscal_year, revenue, net_income, {s_r2(s_ratio('net_income', 'equity'))} AS roe_percent, {s_r2(s_growth('revenue', 'p'))} AS revenue_growth_yoy_percent FROM l""")
+def chain(t):
+    """Facts to periods, merge with the statements, and annual metrics: one plan for all companies."""
+    periods = chains.period_table(t.b_facts, t.b_contexts, t.b_securities)
+    integrated = chains.integrated_series(periods, t.b_statements.withColumnRenamed("equity", "total_equity"))
+    annual, _, _ = chains.metric_tables(integrated)
+    return annual.select("ticker", "fiscal_year", "revenue", "net_income", "roe_percent", "revenue_growth_yoy_percent")
