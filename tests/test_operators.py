@@ -5,7 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import changes, facts, inventory, merge, narrative, quality, reconcile, records, securities, valuation, web
+from ledgerloom.operators import changes, facts, inventory, merge, narrative, pages, quality, reconcile, records, securities, valuation, web
+from ledgerloom.sources import readers
+from ledgerloom.sources import xbrl as filing_archives
 from ledgerloom.rules.concepts import COMPARE_FIELDS
 
 
@@ -247,3 +249,40 @@ def test_diff_of_itself_is_empty_and_kinds_count(spark):
     other = changes.flatten_values(df.withColumn("a", F.col("a").cast("string")), ["key"], {"a": "s.a", "b": "b"})
     got = rows(changes.snapshot_diff(leaves, other, ["key"]), "key", "path", "change")
     assert got == [("k", "s.a", "changed")]
+
+
+def test_statement_spans(spark):
+    texts = {1: "【連結貸借対照表】", **{n: "単位" for n in range(2, 26)}, 30: "【損益計算書】", 31: "千円", 32: "none", 33: "千円", 34: "【貸借対照表】", 35: "単位"}
+    df = spark.createDataFrame([("d", n, texts.get(n, "")) for n in range(1, 36)], "document_id string, page_no int, text string")
+    got = rows(pages.statement_spans(pages.statement_headers(df)), "page_no", "statement", "first_page")
+    # The second balance sheet is no first heading, so it opens nothing and ends what came before.
+    assert got == sorted([*[(n, "bs", 1) for n in range(1, 11)], (30, "pl", 30), (31, "pl", 30)], key=repr)
+
+
+def test_archives_choose_the_public_member_and_report_damage(spark):
+    import io
+    import zipfile
+
+    ns = 'xmlns="http://www.xbrl.org/2003/instance" xmlns:j="http://x"'
+    body = f'<xbrl {ns}><context id="c"><period><endDate>2024-03-31</endDate><startDate>2023-04-01</startDate></period></context>'
+    body += '<j:NetSales contextRef="c" sign="-">5</j:NetSales><j:NetSales contextRef="gone">6</j:NetSales>'
+    body += '<j:BusinessRisksTextBlock contextRef="c"> &lt;p&gt;risk&lt;/p&gt; </j:BusinessRisksTextBlock></xbrl>'
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as archive:
+        archive.writestr("a.xbrl", f"<xbrl {ns}/>")
+        archive.writestr("XBRL/PublicDoc/long-name.xbrl", body)
+    df = spark.createDataFrame(
+        [("/x/D1.zip", bytearray(buffer.getvalue()), 999), ("/x/D2.zip", bytearray(b""), 0), ("/x/D3.pdf", bytearray(b"\n <HTML>"), 8), ("/x/D4.pdf", bytearray(b"%PDF"), 4)],
+        "path string, content binary, length bigint")
+    facts_read = rows(filing_archives.xbrl_facts(df.filter("path like '%.zip'")), "document_id", "concept", "text", "sign", "period_type", "error")
+    assert [r for r in facts_read if r[1] == "NetSales"] == [("D1", "NetSales", "5", "-", "duration", None)]
+    assert [r for r in facts_read if r[5]] == [("D2", None, None, None, "unknown", "BadZipFile")]
+    assert rows(readers.corrupt_files(df), "path") == [("/x/D2.zip",), ("/x/D3.pdf",)]
+
+
+def test_source_fallback_reuses_the_backup(spark):
+    df = spark.createDataFrame(
+        [("1", "shikiho", "s", False, "E1", None), ("1", "yahoo", "y", True, None, "7"), ("2", "shikiho", "s", True, None, "3"), ("3", "shikiho", "s", False, "E2", None)],
+        "ticker string, site string, url string, collected boolean, error string, per_text string")
+    got = rows(web.source_fallback(df), "ticker", "url", "collected", "per_text", "error", "fallback_reason")
+    assert got == sorted([("1", "y", True, "7", None, "E1"), ("2", "s", True, "3", None, None), ("3", "s", False, None, "E2", None)], key=repr)
