@@ -97,7 +97,7 @@ def a22(t):
 first AS (SELECT document_id, statement, min(page_no) AS page_no FROM hd WHERE statement IS NOT NULL GROUP BY ALL),
 span AS (SELECT document_id, page_no, statement, page_no AS first_page FROM first
   UNION ALL SELECT s.document_id, h.page_no, s.statement, s.first_page FROM span s JOIN hd h ON h.document_id = s.document_id AND h.page_no = s.page_no + 1
-   WHERE h.statement IS NULL AND regexp_matches(h.text, '単位|千円|百万円') AND h.page_no < s.first_page + 10)
+   WHERE h.statement IS NULL AND regexp_matches(h.text, '単位|千円|百万円') AND (h.page_no < s.first_page + 10 OR s.first_page < (SELECT max(page_no) FROM first f WHERE f.document_id = s.document_id)))
 SELECT * FROM span""")
 def w6(t):
     return P.statement_spans(P.statement_headers(t.b_pages))

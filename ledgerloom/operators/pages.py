@@ -33,32 +33,35 @@ def is_continuation(text: Column) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in ("単位", "千円", "百万円")])
 
 
-def statement_spans(headers: DataFrame, max_pages: int = MAX_SPAN) -> DataFrame:
+def statement_spans(headers: DataFrame, max_pages: int = MAX_SPAN, block_pages: int = 1000) -> DataFrame:
     """Pages of each statement: from its first heading up to the next heading or the first other page.
 
-    Only the page flags travel through the window, not the page texts. A span ends after
-    ``max_pages`` pages at the latest, so the window of a page never looks further back than that,
-    and long documents are cut into blocks of pages: each block is repeated with the pages before it.
+    The last statement of a document takes at most ``max_pages`` pages. Only the page flags travel
+    through the windows, not the texts, and a document is worked on in blocks of pages: inside a block
+    the latest opening is a running value, and what a block takes over from earlier ones comes from one
+    row per block. So a very long document is spread over many tasks.
     """
     flags = headers.select("document_id", "page_no", "statement", is_continuation(F.col("text")).alias("continues"))
-    first = first_pages(headers).withColumn("is_first", F.lit(True))
-    marked = flags.join(first, ["document_id", "statement", "page_no"], "left")
-    block = F.floor(F.col("page_no") / max_pages)
-    # A page belongs to its own block, and serves the next block as look-back.
-    spread = marked.select("*", block.alias("own_block"), F.explode(F.array(block, block + 1)).alias("block"))
-    back = Window.partitionBy("document_id", "block").orderBy("page_no").rowsBetween(1 - max_pages, 0)
-    start = F.col("statement").isNotNull() | ~F.col("continues")
-    opened = spread.select(
-        "*",
-        F.last(F.when(start, F.struct("page_no", "statement", F.coalesce("is_first", F.lit(False)).alias("is_first"))), ignorenulls=True)
-        .over(back).alias("opening"),
-    ).filter(F.col("own_block") == F.col("block"))
-    inside = (
-        F.col("opening.is_first") & F.col("opening.statement").isNotNull()
-        & (F.col("page_no") - F.col("opening.page_no") < max_pages)
+    first = first_pages(headers)
+    last_first = first.groupBy("document_id").agg(F.max("page_no").alias("last_first"))
+    marked = (
+        flags.join(first.withColumn("is_first", F.lit(True)), ["document_id", "statement", "page_no"], "left")
+        .join(last_first, "document_id").withColumn("block", F.floor(F.col("page_no") / block_pages))
     )
-    return opened.filter(inside).select(
-        "document_id", "page_no", F.col("opening.statement").alias("statement"), F.col("opening.page_no").alias("first_page")
+    opening = F.struct("page_no", "statement", F.coalesce("is_first", F.lit(False)).alias("is_first"))
+    stops = F.col("statement").isNotNull() | ~F.col("continues")
+    opens = marked.withColumn("opening", F.when(stops, opening))
+    inside = Window.partitionBy("document_id", "block").orderBy("page_no")
+    earlier = Window.partitionBy("document_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        opens.groupBy("document_id", "block").agg(F.max("opening").alias("last_opening"))
+        .select("document_id", "block", F.last("last_opening", ignorenulls=True).over(earlier).alias("carried"))
+    )
+    running = opens.withColumn("own", F.last("opening", ignorenulls=True).over(inside)).join(carried, ["document_id", "block"])
+    o = F.coalesce("own", "carried")
+    within = (F.col("page_no") - o["page_no"] < max_pages) | (o["page_no"] < F.col("last_first"))
+    return running.filter(o["is_first"] & o["statement"].isNotNull() & within).select(
+        "document_id", "page_no", o["statement"].alias("statement"), o["page_no"].alias("first_page")
     )
 
 
