@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import mixing, quality_rules, token_counts, toxicity, url_filter
+from ledgerloom.llm import decontamination, minhash, mixing, quality_rules, token_counts, toxicity, url_filter
 from ledgerloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,31 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select(
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+g AS (SELECT DISTINCT item_id, least(10, len(ws)) AS n, array_to_string(ws[i : i + least(10, len(ws)) - 1], ' ') AS phrase
+      FROM b, unnest(range(1, greatest(2, len(ws) - 8))) AS r(i) WHERE len(ws) > 0),
+lens AS (SELECT DISTINCT n FROM g),
+s AS (SELECT k, n, i, array_to_string(ws[i : i + n - 1], ' ') AS phrase FROM d, lens, unnest(range(1, len(ws) - n + 2)) AS r(i)),
+m AS (SELECT k, i, s.n, item_id FROM s JOIN g ON s.phrase = g.phrase AND s.n = g.n),
+h AS (SELECT k, count(DISTINCT p) AS n_hit FROM (SELECT k, unnest(range(i, i + n)) AS p FROM m) GROUP BY k),
+t AS (SELECT k, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT k, item_id::VARCHAR AS item FROM m) GROUP BY k)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (k) LEFT JOIN t USING (k)
+"""
+
+
+@query("op6_decontamination", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.report(found)
+
+
+@query("op10_minhash")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
