@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import decontamination, minhash, mixing, quality_rules, token_counts, toxicity, url_filter
+from ledgerloom.llm import chat_format, decontamination, minhash, mixing, quality_rules, token_counts, toxicity, url_filter
 from ledgerloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +141,37 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_minhash")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
+# The conversation that the contract adds.
+ADDED_TURNS = ((-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]"))
+
+OP3_SQL = r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')) AS v(a, b, c, d)),
+e AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS no,
+             length(role) + length(text) + len(regexp_extract_all(role || ' ' || text, '(<\\*(?:\|turn\||\|text\||\|end\||\|im_start\||\|im_end\||\|endoftext\||\|system\||\|user\||\|assistant\||s|/s|<SYS>|</SYS>)>)|(\[\\*/?INST\])'))
+               + length('<|turn|><|text|><|end|>') AS f,
+             len(regexp_extract_all(text, '[\p{L}\p{N}]+|[^\s\p{L}\p{N}\x{0B}\x{85}\x{2028}\x{2029}]')) + 4 AS tokens FROM c),
+p AS (SELECT *, sum(tokens) OVER w - tokens AS bef, first(role) OVER w = 'system' AS sys, first(f) OVER w AS sf, first(tokens) OVER w AS st
+      FROM e WINDOW w AS (PARTITION BY conv_id ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+q AS (SELECT *, greatest(1, 384 - CASE WHEN sys THEN st ELSE 0 END) AS step FROM p),
+s AS (SELECT *, CASE WHEN bef // step = (bef + tokens - 1) // step THEN 2 * (bef // step) ELSE 2 * (bef // step) + 1 END AS span FROM q),
+h AS (SELECT conv_id, span, min(no) AS no, min(bef) AS bef, any_value(sys) AS sys, any_value(sf) AS sf FROM s GROUP BY conv_id, span),
+r AS (SELECT h.conv_id, h.span, sum(s.f) AS f FROM h JOIN s ON h.conv_id = s.conv_id AND s.no < h.no AND s.bef >= h.bef - 128
+        AND NOT (h.sys AND s.no = 1) GROUP BY ALL),
+x AS (SELECT h.conv_id, sum(coalesce(r.f, 0) + CASE WHEN sys AND no > 1 THEN sf ELSE 0 END) AS f FROM h LEFT JOIN r USING (conv_id, span) GROUP BY 1)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY no)) AS turns_sha256,
+       coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY no), '')) AS loss_sha256,
+       (sum(s.f) + any_value(x.f))::BIGINT AS formatted_chars
+FROM s JOIN x USING (conv_id) GROUP BY conv_id
+"""
+
+
+@query("op3_chat_format", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = F.explode(F.array(*(F.struct(*(F.lit(v).alias(n) for v, n in zip(row, turns.columns))) for row in ADDED_TURNS)))
+    extra = spark.range(1).select(added.alias("t")).select("t.*")
+    return chat_format.digests(chat_format.windows(turns.unionByName(extra)))
