@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import chat_format, decontamination, minhash, mixing, quality_rules, token_counts, toxicity, url_filter
+from ledgerloom.llm import chat_format, decontamination, minhash, mixing, quality_rules, secrets, token_counts, toxicity, url_filter
 from ledgerloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +175,34 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = F.explode(F.array(*(F.struct(*(F.lit(v).alias(n) for v, n in zip(row, turns.columns))) for row in ADDED_TURNS)))
     extra = spark.range(1).select(added.alias("t")).select("t.*")
     return chat_format.digests(chat_format.windows(turns.unionByName(extra)))
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text FROM documents),
+pat AS (SELECT * FROM (VALUES
+  (0, '(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'), (1, 'AKIA[A-Z0-9]{16,}'), (2, '[0-9a-f]{24,}'), (3, '[A-Za-z0-9+/_=-]{20,}')) AS v(kind, p)),
+raw AS (SELECT k, kind, p, regexp_extract_all(text, p) AS ms, string_split_regex(text, p) AS gaps FROM d, pat),
+flat AS (SELECT k, kind, p, unnest(range(1, len(ms) + 1)) AS i, unnest(ms) AS m, unnest(gaps[1 : len(ms)]) AS g FROM raw WHERE len(ms) > 0),
+each AS (SELECT k, kind, p, m, sum(length(g)) OVER w + coalesce(sum(length(m)) OVER b, 0) AS s FROM flat
+         WINDOW w AS (PARTITION BY k, kind ORDER BY i), b AS (PARTITION BY k, kind ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+base AS (SELECT k, kind, s, s + length(m) AS e FROM each
+         WHERE CASE kind WHEN 0 THEN length(regexp_extract(m, p, 2)) >= 6 WHEN 1 THEN length(m) >= 20 WHEN 2 THEN length(m) >= 24 END),
+runs AS (SELECT k, s, m, CASE WHEN regexp_matches(m, '^[0-9a-fA-F]*$') THEN 2.9 ELSE 3.6 END AS least FROM each x
+         WHERE kind = 3 AND length(m) >= 20 AND NOT regexp_matches(m, '(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|example|x{8}|0{8}|12345678|abcdefgh|^[0-9/_=+-]*$|^[A-Za-z/_=+-]*$')
+         AND NOT EXISTS (SELECT 1 FROM base b WHERE b.k = x.k AND b.s < x.s + length(x.m) AND x.s < b.e)),
+win AS (SELECT k, s, least, o, unnest(string_split(substr(m, o + 1, 20), '')) AS ch FROM runs, unnest(range(0, length(m) - 19)) AS r(o)),
+cnt AS (SELECT k, s, least, o, ch, count(*) AS c FROM win GROUP BY ALL),
+ent AS (SELECT k, s, least, o, log2(20) - sum(c * log2(c)) / 20 AS h FROM cnt GROUP BY k, s, least, o),
+hot AS (SELECT k, 3 AS kind, s + min(o) AS s, s + max(o) + 20 AS e FROM ent WHERE h >= least GROUP BY k, s),
+allspans AS (SELECT k, kind, s, e, ['assign', 'access', 'hex', 'entropy'][kind + 1] || ':' || s::BIGINT || ':' || e::BIGINT AS t
+             FROM (SELECT * FROM base UNION ALL SELECT * FROM hot)),
+agg AS (SELECT k, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS b, count(*) FILTER (kind = 2) AS c,
+               string_agg(t, ',' ORDER BY s, kind) FILTER (kind < 3) AS base, string_agg(t, ',' ORDER BY s, kind) AS spans FROM allspans GROUP BY k)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(b, 0)::BIGINT AS n_access, coalesce(c, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN agg USING (k)
+"""
+
+
+@query("op7_secret_scan", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
