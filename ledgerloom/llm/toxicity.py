@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.llm.wordhash import BASE, many_word_hashes, mix
 
@@ -52,10 +52,11 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col
     """Label and text of the first ``size`` rows of each label by a seeded hash of the id: at most ``2 * size`` rows."""
     known = labels.where(labels[label_col].isin(0, 1) & labels[id_col].isNotNull())
     known = known.groupBy(known[id_col].alias("id")).agg(F.max(label_col).cast("int").alias("toxic"))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64(F.lit(17), "id"), "id")
-    few = known.select("*", F.row_number().over(order).alias("place")).where(F.col("place") <= size)
+    first = [known.where(F.col("toxic") == label).orderBy(F.xxhash64(F.lit(17), "id"), "id").limit(size) for label in (0, 1)]
+    few = first[0].unionByName(first[1])
     texts = docs.select(docs[id_col].alias("id"), docs["text"].cast("string").cast("binary").alias("text"))
-    return few.join(texts, "id").select("toxic", "text", "id")
+    # At most 2 * size ids, so the broadcast has a fixed bound and the texts are not shuffled.
+    return texts.join(F.broadcast(few), "id").select("toxic", "text", "id")
 
 
 class Model:
