@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import mixing, quality_rules
-from ledgerloom.llm.common import stored, table
+from ledgerloom.llm import decontamination, line_dedup, minhash, mixing, quality_rules
+from ledgerloom.llm.common import discard, table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -17,21 +17,45 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.accepted(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without lines that an earlier line matches; documents that lose every word go."""
+    return line_dedup.deduplicated(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: runs of five words, similarity 0.8 or more."""
+    return minhash.representatives(docs, k=5, percent=80)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any passage of the benchmark."""
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per repetition that the mix takes: the columns of documents and the number of the repetition."""
     return mixing.repetitions(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality rules", quality), ("mixing", mixed)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality),
+    ("line dedup", lines),
+    ("near duplicates", near_duplicates),
+    ("decontamination", decontaminated),
+    ("mixing", mixed),
+]
 
 # Near duplicates are found by hashes that SQL does not have; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = stored(docs, name.replace(" ", "-"))
-    return docs
+    """All stages over the documents table; each stage's rows are written to the shared folder and read by the next one."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        place = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = spark.read.parquet(place)
+        if before is not None:
+            discard(spark, before)
+        before = place
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -29,8 +32,43 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows of ``df`` written to the shared folder and read again: lineage ends here, lost executors cost nothing."""
+_IN_USE: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("places in use", default=None)
+
+
+def written(df: DataFrame, name: str) -> str:
+    """The folder, below the shared one, to which the rows of ``df`` are written."""
     place = shared_folder(df.sparkSession, name)
+    if (places := _IN_USE.get()) is not None:
+        places.append(place)
     df.write.parquet(place)
-    return df.sparkSession.read.schema(df.schema).parquet(place)
+    return place
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows of ``df`` written to the shared folder and read again: lineage ends here, lost executors cost nothing."""
+    return df.sparkSession.read.schema(df.schema).parquet(written(df, name))
+
+
+def discard(spark: SparkSession, place: str) -> None:
+    """Delete a folder of the shared store through Spark's own file system layer."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextlib.contextmanager
+def workspace(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables stored inside are deleted at the end; what the given function stores stays, as a result that is read later."""
+    places: list[str] = []
+    token = _IN_USE.set(places)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        out = stored(df, name)
+        places.pop()
+        return out
+
+    try:
+        yield keep
+    finally:
+        _IN_USE.reset(token)
+        for place in places:
+            discard(spark, place)

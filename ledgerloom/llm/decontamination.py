@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerloom.llm.common import INDEX_WORD, ascii_lower, stored
+from ledgerloom.llm.common import INDEX_WORD, ascii_lower, stored, workspace
 
 WIDTH = 10
 ANCHORS = 3
@@ -93,29 +93,51 @@ def proximity(lists: DataFrame, slack: int = 3) -> DataFrame:
     return found.where("n = slots - 1 AND off > 0").select("id", "h", "w", F.col("at").alias("start"))
 
 
-def matches(
-    docs: DataFrame, items: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text",
-) -> DataFrame:
-    """Per row of ``docs``: ``id_col``, ``text_col``'s words ``n_words``, and ``spans``: the exact matches (start, size, items).
+def candidates(docs: DataFrame, items: DataFrame, width: int, id_col: str, text_col: str, item_col: str, item_text_col: str) -> DataFrame:
+    """(id, h, asked): per document the starts that the index gives, with the windows to compare.
 
-    The candidates of a document are bounded by its own words. They are written before the texts are read for the comparison, so
-    Spark knows their size when it decides how to join them.
+    They are bounded by the document's own words, and written before the texts are read for the comparison, so Spark knows
+    their size when it decides how to join them.
     """
-    wins = stored(windows(items, width, item_col, item_text_col), "windows")
-    vocabulary = wins.select(F.explode("ws").alias("term")).distinct()
-    counts = stored(term_counts(docs, vocabulary, id_col, text_col), "term-counts")
-    chosen = stored(anchors(wins, counts), "anchors")
-    index = stored(postings(docs, chosen.select("term").distinct(), id_col, text_col), "postings")
-    starts = intersect(shifted(index, chosen)).join(wins, "w")
-    asked = stored(starts.groupBy("id", "h").agg(F.collect_list(F.struct("start", "ws", "items")).alias("asked")), "candidates")
-    keyed = _keyed(docs, id_col, text_col)
+    with workspace(docs.sparkSession) as keep:
+        wins = stored(windows(items, width, item_col, item_text_col), "windows")
+        vocabulary = wins.select(F.explode("ws").alias("term")).distinct()
+        counts = stored(term_counts(docs, vocabulary, id_col, text_col), "term-counts")
+        chosen = stored(anchors(wins, counts), "anchors")
+        index = stored(postings(docs, chosen.select("term").distinct(), id_col, text_col), "postings")
+        starts = intersect(shifted(index, chosen)).join(wins, "w")
+        return keep(starts.groupBy("id", "h").agg(F.collect_list(F.struct("start", "ws", "items")).alias("asked")), "candidates")
+
+
+def _compared(docs: DataFrame, asked: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows with their ``words`` and exact ``spans``, and the whole row as ``doc``, which is not read unless it is used."""
+    text = docs[text_col].cast("string")
+    keyed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("doc"), docs[id_col].alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
     rows = keyed.join(asked, keyed["id"].eqNullSafe(asked["id"]) & (keyed["h"] == asked["h"]), "left")
-    rows = rows.select(keyed["id"].alias("id"), words_of(F.col("text")).alias("words"), "asked")
+    rows = rows.select("doc", keyed["id"].alias("id"), words_of(F.col("text")).alias("words"), "asked")
     exact = F.filter("asked", lambda c: F.slice("words", c["start"] + 1, F.size(c["ws"])) == c["ws"])
     spans = F.transform(exact, lambda c: F.struct(c["start"].alias("start"), F.size(c["ws"]).alias("size"), c["items"].alias("items")))
     none = F.array().cast("array<struct<start: int, size: int, items: array<string>>>")
-    return rows.select(F.col("id").alias(id_col), F.size("words").cast("bigint").alias("n_words"), F.coalesce(F.array_sort(spans), none).alias("spans"))
+    return rows.select("doc", "id", "words", F.coalesce(F.array_sort(spans), none).alias("spans"))
+
+
+def matches(
+    docs: DataFrame, items: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text",
+    item_col: str = "item_id", item_text_col: str = "text",
+) -> DataFrame:
+    """Per row of ``docs``: ``id_col``, its number of words ``n_words``, and ``spans``: the exact matches (start, size, items)."""
+    asked = candidates(docs, items, width, id_col, text_col, item_col, item_text_col)
+    rows = _compared(docs.select(id_col, text_col), asked, id_col, text_col)
+    return rows.select(F.col("id").alias(id_col), F.size("words").cast("bigint").alias("n_words"), "spans")
+
+
+def clean(
+    docs: DataFrame, items: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text",
+    item_col: str = "item_id", item_text_col: str = "text",
+) -> DataFrame:
+    """The rows, with all their columns, in which no window of any item occurs."""
+    asked = candidates(docs, items, width, id_col, text_col, item_col, item_text_col)
+    return _compared(docs, asked, id_col, text_col).where(F.size("spans") == 0).select("doc.*")
 
 
 def covered(spans: str = "spans") -> Column:

@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerloom.llm.common import stored
+from ledgerloom.llm.common import stored, workspace
 from ledgerloom.llm.components import components
 from ledgerloom.llm.wordhash import many_word_hashes, mix, shingles
 
@@ -122,6 +122,19 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``n_shingles``, ``component_id`` and ``kept`` of every row; only the id and the text are read."""
+    with workspace(docs.sparkSession) as keep:
+        return keep(_near_duplicates(docs, k, percent, id_col, text_col), "near-duplicates")
+
+
+def representatives(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows, with all their columns, of one document for each group; rows without an id stay."""
+    kept = near_duplicates(docs, k, percent, id_col, text_col).where(F.col("kept") & F.col(id_col).isNotNull())
+    # Repeated rows of a kept id are one document: the groups are as small as an id is often.
+    once = docs.join(kept.select(id_col).distinct(), id_col, "left_semi").dropDuplicates([id_col])
+    return once.unionByName(docs.where(docs[id_col].isNull()))
+
+
+def _near_duplicates(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     texts = _texts(docs, id_col, text_col)
     sketches = stored(
         texts.mapInArrow(_sketcher(k, percent), "id bigint, n bigint, h1 bigint, h2 bigint, bands array<bigint>"), "sketches"

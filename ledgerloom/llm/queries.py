@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import chat_format, decontamination, minhash, mixing, quality_rules, secrets, token_counts, toxicity, url_filter
+from ledgerloom.llm import chat_format, decontamination, line_dedup, minhash, mixing, quality_rules, secrets, token_counts, toxicity, url_filter
 from ledgerloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,6 +138,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(found)
 
 
+@query("op9_line_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 @query("op10_minhash")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=85)
