@@ -72,9 +72,11 @@ def shifted(index: DataFrame, chosen: DataFrame) -> DataFrame:
 
 
 def intersect(lists: DataFrame) -> DataFrame:
-    """Starts at which every anchor of a window stands in its place. A term that a window has twice is two slots."""
-    rows = lists.where("start >= 0").groupBy("id", "h", "w", "start").agg(F.count("*").alias("n"), F.first("slots").alias("slots"))
-    return rows.where("n = slots").select("id", "h", "w", "start")
+    """Starts at which every anchor of a window stands in its place. A term that a window has twice is two slots; repeated
+    rows of a document say the same."""
+    seen = F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("slot")))
+    rows = lists.where("start >= 0").groupBy("id", "h", "w", "start").agg(seen.alias("seen"), F.first("slots").alias("slots"))
+    return rows.where(F.bit_count("seen") == F.col("slots")).select("id", "h", "w", "start")
 
 
 def proximity(lists: DataFrame, slack: int = 3) -> DataFrame:
