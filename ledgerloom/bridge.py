@@ -12,16 +12,11 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.sources.balance import spread
-
 RAW_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-# Tables whose rows take long to work on.
-TEXT_TABLES = ("documents", "pages", "customer")
-
 BRIDGE_SQL: dict[str, str] = {}
 
 # Security master: one listed company per supplier.
@@ -496,7 +491,7 @@ class Tables:
     def _load(self, name: str) -> DataFrame:
         if name in RAW_TABLES:
             scan = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-            return spread(scan) if name in TEXT_TABLES else scan
+            return scan
         text = BRIDGE_SQL[name]
         if "{{" not in text:
             text = text.replace('"', "`")

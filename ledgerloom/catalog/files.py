@@ -92,7 +92,7 @@ def s5(t):
     t.b_raw_statements.select(
         "ticker", "DisclosedDate", "TypeOfCurrentPeriod", "CurrentFiscalYearEndDate", "NetSales", "OperatingProfit", "EarningsPerShare", name.alias("file")
     ).write.partitionBy("file").json(folder)
-    return R.read_statements(t.spark, folder).select("ticker", "DisclosedDate", "NetSales", "file")
+    return R.read_statements(t.spark, folder, file_name=F.col("file")).select("ticker", "DisclosedDate", "NetSales", "file")
 
 
 @query("s5_statement_records", ["b_raw_statements"], rf"""
@@ -210,5 +210,7 @@ def st1(t):
 SELECT ticker, doc_id, fetched_at, source_file, status, period_end, seq FROM b_manifests QUALIFY row_number() OVER (PARTITION BY ticker, doc_id ORDER BY fetched_at DESC, source_file, seq) = 1""")
 def st2(t):
     source, store, checkpoint = land_manifests(t), shared_folder(t.spark, "store"), shared_folder(t.spark, "checkpoint")
-    latest = jobs.manifest_upsert(t.spark, source, store, checkpoint, files_per_batch=3)
+    latest = jobs.manifest_upsert(
+        t.spark, source, store, checkpoint, files_per_batch=3, source_file=F.col("edinet_code"), place=F.col("r.file_path").cast("bigint")
+    )
     return t.spark.read.parquet(latest)

@@ -97,7 +97,7 @@ def a22(t):
 first AS (SELECT document_id, statement, min(page_no) AS page_no FROM hd WHERE statement IS NOT NULL GROUP BY ALL),
 span AS (SELECT document_id, page_no, statement, page_no AS first_page FROM first
   UNION ALL SELECT s.document_id, h.page_no, s.statement, s.first_page FROM span s JOIN hd h ON h.document_id = s.document_id AND h.page_no = s.page_no + 1
-   WHERE h.statement IS NULL AND regexp_matches(h.text, '単位|千円|百万円') AND (h.page_no < s.first_page + 10 OR s.first_page < (SELECT max(page_no) FROM first f WHERE f.document_id = s.document_id)))
+   WHERE h.statement IS NULL AND regexp_matches(h.text, '単位|千円|百万円'))
 SELECT * FROM span""")
 def w6(t):
     return P.statement_spans(P.statement_headers(t.b_pages))
@@ -155,7 +155,7 @@ def _s_iso(x: str) -> str:
 
 
 @query("t6_page_periods", ["b_pages"], rf"""
-WITH h AS (SELECT document_id, page_no, left(text, 1500) AS t FROM b_pages),
+WITH h AS (SELECT document_id, page_no, text AS t FROM b_pages),
 x AS (SELECT document_id, page_no, list_transform(regexp_extract_all(t, '自\s*{_DW}'), lambda m: {_s_iso('m')}) AS s, list_transform(regexp_extract_all(t, '至\s*{_DW}'), lambda m: {_s_iso('m')}) AS e,
    list_concat(list_transform(regexp_extract_all(t, '{_D}'), lambda m: {_s_iso('m')}), list_transform(regexp_extract_all(t, '{_E}'), lambda m: {_s_iso('m')})) AS i FROM h),
 d AS (SELECT *, list_filter(i, lambda v, n: list_position(i, v) = n) AS u, len(s) > 0 AND len(s) = len(e) AS pairs FROM x),

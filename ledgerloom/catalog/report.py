@@ -26,7 +26,7 @@ def flagged(t):
     """Annual rows with one field per fiscal year marked as known to be absent."""
     fy = F.col("fiscal_year")
     series = rec.annual(t)
-    absences = t.b_edinet.select("ticker", F.explode(F.sequence(F.lit(2017), F.lit(2027))).alias("fiscal_year")).distinct().select(
+    absences = series.select("ticker", "fiscal_year").filter(fy.isNotNull()).distinct().select(
         "ticker", "fiscal_year",
         F.when(fy % 4 == 1, "revenue").when(fy % 4 == 2, "free_cash_flow").otherwise("roe_percent").alias("field"),
     )

@@ -144,11 +144,11 @@ def _all_dates(text: Column, pattern: str, western: bool | None = None) -> Colum
     )
 
 
-def page_periods(text: Column, header_chars: int = 1500) -> Column:
-    """Array of (period_start, period_end, period_type, label) read from the head of a page.
+def page_periods(text: Column, header_chars: int | None = None) -> Column:
+    """Array of (period_start, period_end, period_type, label) read from a page.
 
     Start and end dates are paired by order; without such pairs the distinct single dates are taken.
-    The first of several periods is the prior one. Dates below the page head belong to table rows.
+    The first of several periods is the prior one. The whole page is read; ``header_chars`` limits it to a head of that length.
     """
     label = lambda i, n: F.when((i == 0) & (n > 1), "prior").otherwise("current")
     period = lambda start, end, kind, i, n: F.struct(
@@ -175,7 +175,7 @@ def page_periods(text: Column, header_chars: int = 1500) -> Column:
             .otherwise(from_singles(head)),
         )
 
-    return let(half_width(F.substring(text, 1, header_chars)), of_head)
+    return let(half_width(text if header_chars is None else F.substring(text, 1, header_chars)), of_head)
 
 
 def url_host(url: Column) -> Column:

@@ -60,7 +60,8 @@ def current_period(periods: DataFrame, targets: DataFrame | None = None) -> Data
 
 
 def manifest_documents(manifests: DataFrame, periods: DataFrame, securities: DataFrame) -> DataFrame:
-    """Manifest rows with their parsed period, filing kind and fiscal year; rows without a date drop out."""
+    """Manifest rows with their parsed period, filing kind and fiscal year; rows without a date drop out. A company that the
+    master lacks keeps its rows, without fiscal month and what follows from it."""
     rows = latest_manifest(manifests).withColumn("manifest_end", F.substring("period_end", 1, 10).try_cast("date"))
     rows = rows.filter(F.col("manifest_end").isNotNull())
     targets = rows.select("ticker", F.col("doc_id").alias("document_id"), F.col("manifest_end").alias("target_end"))
@@ -70,7 +71,7 @@ def manifest_documents(manifests: DataFrame, periods: DataFrame, securities: Dat
     end = F.coalesce("parsed_end", "manifest_end")
     return (
         rows.join(found, ["ticker", "doc_id"], "left")
-        .join(securities.select("ticker", "fye_month"), "ticker")
+        .join(securities.select("ticker", "fye_month"), "ticker", "left")
         .select(
             "ticker", "doc_id", "fye_month", end.alias("period_end"), "period_start", "company_name", "source_file", "fetched_at",
             filing_kind(end, F.col("period_start"), F.col("fye_month")).alias("period_type"),

@@ -13,7 +13,6 @@ from ledgerloom.rules.concepts import item_concept
 _CELL_START = r"[※０-９\d△▲（(－\-]"
 TWO_VALUES = rf"^(.+?)\s+({_CELL_START}[^\n]*?)\s+({_CELL_START}[^\n]*?)$"
 ONE_VALUE = rf"^(.+?)\s+({_CELL_START}[,\d０-９，．.※]+)$"
-MAX_SPAN = 10
 
 
 def statement_headers(pages: DataFrame) -> DataFrame:
@@ -33,21 +32,18 @@ def is_continuation(text: Column) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in ("単位", "千円", "百万円")])
 
 
-def statement_spans(headers: DataFrame, max_pages: int = MAX_SPAN, block_pages: int = 1000) -> DataFrame:
+def statement_spans(headers: DataFrame, max_pages: int | None = None, block_pages: int = 1000) -> DataFrame:
     """Pages of each statement: from its first heading up to the next heading or the first other page.
 
-    The last statement of a document takes at most ``max_pages`` pages. Only the page flags travel
+    With ``max_pages`` the last statement of a document takes at most so many pages. Only the page flags travel
     through the windows, not the texts, and a document is worked on in blocks of pages: inside a block
     the latest opening is a running value, and what a block takes over from earlier ones comes from one
     row per block. So a very long document is spread over many tasks.
     """
     flags = headers.select("document_id", "page_no", "statement", is_continuation(F.col("text")).alias("continues"))
     first = first_pages(headers)
-    last_first = first.groupBy("document_id").agg(F.max("page_no").alias("last_first"))
-    marked = (
-        flags.join(first.withColumn("is_first", F.lit(True)), ["document_id", "statement", "page_no"], "left")
-        .join(last_first, "document_id").withColumn("block", F.floor(F.col("page_no") / block_pages))
-    )
+    marked = flags.join(first.withColumn("is_first", F.lit(True)), ["document_id", "statement", "page_no"], "left")
+    marked = marked.withColumn("block", F.floor(F.col("page_no") / block_pages))
     opening = F.struct("page_no", "statement", F.coalesce("is_first", F.lit(False)).alias("is_first"))
     stops = F.col("statement").isNotNull() | ~F.col("continues")
     opens = marked.withColumn("opening", F.when(stops, opening))
@@ -59,8 +55,12 @@ def statement_spans(headers: DataFrame, max_pages: int = MAX_SPAN, block_pages:
     )
     running = opens.withColumn("own", F.last("opening", ignorenulls=True).over(inside)).join(carried, ["document_id", "block"])
     o = F.coalesce("own", "carried")
-    within = (F.col("page_no") - o["page_no"] < max_pages) | (o["page_no"] < F.col("last_first"))
-    return running.filter(o["is_first"] & o["statement"].isNotNull() & within).select(
+    spans = running.filter(o["is_first"] & o["statement"].isNotNull())
+    if max_pages is not None:
+        last_first = first.groupBy("document_id").agg(F.max("page_no").alias("last_first"))
+        within = (F.col("page_no") - o["page_no"] < max_pages) | (o["page_no"] < F.col("last_first"))
+        spans = spans.join(last_first, "document_id").filter(within)
+    return spans.select(
         "document_id", "page_no", o["statement"].alias("statement"), o["page_no"].alias("first_page")
     )
 

@@ -222,15 +222,21 @@ def missing_quarters(expected: DataFrame, start: str, end: str, *sources: DataFr
     return grid.join(have.distinct(), ["ticker", "period_end"], "left_anti")
 
 
-def gate_rollup(gates: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
-    """Overall result per company: all error gates pass; failed warn gates are only listed."""
+def gate_rollup(gates: DataFrame, overrides: DataFrame | None = None, companies: DataFrame | None = None) -> DataFrame:
+    """Overall result per company: all error gates pass; failed warn gates are only listed.
+
+    A company of ``companies`` without any gate has not passed: its overall result is false.
+    """
     rows = gates
     if overrides is not None:
         new = overrides.select("ticker", "gate_id", F.col("severity").alias("new_severity"))
         rows = gates.join(new, ["ticker", "gate_id"], "left").withColumn("severity", F.coalesce("new_severity", "severity"))
     error = F.col("severity") == "error"
+    if companies is not None:
+        rows = companies.select("ticker").distinct().join(rows, "ticker", "left")
+    count = F.count("gate_id")
     return rows.groupBy("ticker").agg(
-        F.count("*").alias("gates"),
-        F.coalesce(F.min(F.when(error, F.col("pass"))), F.lit(True)).alias("overall_pass"),
+        count.alias("gates"),
+        ((count > 0) & F.coalesce(F.min(F.when(error, F.col("pass"))), F.lit(True))).alias("overall_pass"),
         F.array_join(F.array_sort(F.collect_set(F.when((F.col("severity") == "warn") & ~F.col("pass"), F.col("gate_id")))), ",").alias("warnings"),
     )

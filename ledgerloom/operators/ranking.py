@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -24,8 +26,12 @@ def running_position(
     )
     inside = Window.partitionBy(*keys, *cols).orderBy(*order)
     numbered = tagged.withColumn("_inside", F.row_number().over(inside))
+    # Null keys and buckets are groups like others, so the join takes them for equal.
+    names = [*keys, *cols]
+    its = offsets.select(*[F.col(c).alias(f"_its_{c}") for c in names], "_offset")
+    same = reduce(lambda a, b: a & b, [numbered[c].eqNullSafe(its[f"_its_{c}"]) for c in names])
     return (
-        numbered.join(offsets, [*keys, *cols])
+        numbered.join(its, same)
         .withColumn(name, F.col("_inside") + F.col("_offset"))
-        .drop(*cols, "_inside", "_offset")
+        .drop(*cols, *[f"_its_{c}" for c in names], "_inside", "_offset")
     )

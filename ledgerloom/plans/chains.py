@@ -17,7 +17,7 @@ def period_table(facts: DataFrame, contexts: DataFrame, securities: DataFrame) -
     period rows, of which a document has a handful.
     """
     periods = facts_ops.derive_totals(facts_ops.period_rows(facts, contexts)).join(
-        securities.select("ticker", "fye_month"), "ticker"
+        securities.select("ticker", "fye_month"), "ticker", "left"
     )
     return running_position(
         periods.withColumn("statement_type", F.lit("consolidated")), ["ticker"], [F.substring("document_id", 1, 12)],

@@ -71,29 +71,50 @@ def read_filer_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> D
     return listed_filers(rows)
 
 
-def read_listed_info(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LISTED_SCHEMA).json(path)
+def _records(spark: SparkSession, path: str, schema: str, whole_file: bool) -> DataFrame:
+    """Rows of a record file: one JSON object per line, or with ``whole_file`` one array or object per file, indented or not.
+    Text that is neither gives a row with ``_corrupt_record`` set, see `unreadable`."""
+    rows = spark.read.schema(schema + ", _corrupt_record string").option("multiLine", str(whole_file).lower())
+    return rows.option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
 
 
-def read_statements(spark: SparkSession, path: str) -> DataFrame:
+def _readable(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+
+
+def unreadable(spark: SparkSession, path: str, schema: str, whole_file: bool = False) -> DataFrame:
+    """File and text of what is no record of ``schema``."""
+    rows = _records(spark, path, schema, whole_file).select(F.col("_metadata.file_name").alias("file_name"), "*")
+    return rows.filter(F.col("_corrupt_record").isNotNull()).select("file_name", F.col("_corrupt_record").alias("payload"))
+
+
+def read_listed_info(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
+    return _readable(_records(spark, path, LISTED_SCHEMA, whole_file))
+
+
+def read_statements(spark: SparkSession, path: str, whole_file: bool = False, file_name: Column | None = None) -> DataFrame:
     """Statements of each company's newest file.
 
-    The file is known by name; files of raw responses do not count. The newest names are found from
-    the folder names alone and joined back, one row per company, so the statements are not sorted.
+    The file is known by its own name, or by ``file_name``; files of raw responses do not count. The newest names are one row
+    per company, joined back, so the statements are not sorted. A company is named in its rows, or else by the folder of the file.
     """
-    rows = spark.read.schema(STATEMENT_SCHEMA + ", file string").json(path)
-    kept = rows.filter(~F.contains("file", F.lit("statements_raw_")))
+    source = F.col("_metadata.file_name") if file_name is None else file_name
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    schema = STATEMENT_SCHEMA if file_name is None else STATEMENT_SCHEMA + ", file string"
+    rows = _records(spark, path, schema, whole_file).select("*", source.alias("_source"), folder.alias("_folder"))
+    rows = rows.withColumn("file", F.col("_source")).withColumn("ticker", F.coalesce("ticker", "_folder")).drop("_source", "_folder")
+    kept = _readable(rows).filter(~F.contains("file", F.lit("statements_raw_")))
     newest = kept.groupBy("ticker").agg(F.max("file").alias("file"))
     return kept.join(newest, ["ticker", "file"])
 
 
-def read_quotes(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(QUOTE_SCHEMA).json(path)
+def read_quotes(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
+    return _readable(_records(spark, path, QUOTE_SCHEMA, whole_file))
 
 
-def read_research(spark: SparkSession, path: str) -> DataFrame:
+def read_research(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
     """One row per company and source of the research files, the payload as VARIANT."""
-    rows = spark.read.schema(RESEARCH_SCHEMA).json(path)
+    rows = _readable(_records(spark, path, RESEARCH_SCHEMA, whole_file))
     return rows.select("ticker", "company_name", "collected_at", F.explode("sources").alias("site", "s")).select(
         "ticker", "company_name", "collected_at", "site", "s.*"
     )
@@ -121,12 +142,14 @@ def statement_records(raw: DataFrame) -> DataFrame:
     )
 
 
-def corrupt_files(files: DataFrame, small: int = 1024) -> DataFrame:
-    """Zip and PDF files that are empty, or small with an HTML head, of a `binaryFile` frame.
+def corrupt_files(files: DataFrame, small: int | None = None) -> DataFrame:
+    """Zip and PDF files of a `binaryFile` frame that do not begin as such a file does: empty ones, HTML error pages of any
+    length and the like. ``small`` limits the look to files below that many bytes; by default all are looked at.
 
-    Sizes decide first; only the first bytes of small files are looked at.
+    A PDF may have white space before its mark. Only the leading bytes are compared.
     """
-    head = F.lower(F.ltrim(F.decode(F.substring("content", 1, 256), "ISO-8859-1")))
-    head = F.regexp_replace(head, r"^\s+", "")
-    html = (F.col("length") < small) & head.rlike(r"^<(!doctype html|html)")
-    return files.filter(F.lower("path").rlike(r"\.(zip|pdf)$") & ((F.col("length") == 0) | html)).select("path", "length")
+    head = F.decode(F.substring("content", 1, 1024), "ISO-8859-1")
+    is_zip, is_pdf = F.lower("path").endswith(".zip"), F.lower("path").endswith(".pdf")
+    wrong = (is_zip & ~head.startswith("PK")) | (is_pdf & ~F.regexp_replace(head, r"^\s+", "").startswith("%PDF"))
+    looked_at = F.lit(True) if small is None else F.col("length") < small
+    return files.filter((is_zip | is_pdf) & ((F.col("length") == 0) | (looked_at & wrong))).select("path", "length")

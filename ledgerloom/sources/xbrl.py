@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 from xml.etree import ElementTree
 
@@ -84,7 +85,9 @@ def _reader(narrative: bool):
                 try:
                     root = _instance(content, narrative)
                     rows = list((_blocks if narrative else _rows)(document_id, root))
-                except (zipfile.BadZipFile, ElementTree.ParseError, ValueError) as exc:
+                except (
+                    zipfile.BadZipFile, ElementTree.ParseError, ValueError, RuntimeError, NotImplementedError, zlib.error, EOFError, KeyError,
+                ) as exc:  # damaged, encrypted or oddly compressed archives
                     rows = [(document_id, *([None] * 8), type(exc).__name__)]
                 if rows:
                     columns = [pa.array(c, type=f.type) for c, f in zip(zip(*rows), FACT_ARROW)]
@@ -102,8 +105,14 @@ def xbrl_facts(archives: DataFrame) -> DataFrame:
     )
 
 
+def narrative_errors(archives: DataFrame) -> DataFrame:
+    """Archives whose narrative cannot be read, with the kind of error."""
+    rows = archives.select("path", "content").mapInArrow(_reader(True), FACT_SCHEMA)
+    return rows.filter(F.col("error").isNotNull()).select("document_id", "error")
+
+
 def narrative_blocks(archives: DataFrame) -> DataFrame:
-    """Narrative elements with their text freed of markup; empty texts drop out."""
+    """Narrative elements with their text freed of markup; empty texts drop out, unreadable archives are in `narrative_errors`."""
     rows = archives.select("path", "content").mapInArrow(_reader(True), FACT_SCHEMA).filter(F.col("error").isNull())
     cleaned = rows.select("document_id", "seq", F.col("concept").alias("element"), strip_html(F.coalesce("text", F.lit(""))).alias("text"))
     return cleaned.filter(strip(F.col("text")) != "")
