@@ -85,7 +85,9 @@ def _readable(rows: DataFrame) -> DataFrame:
 def unreadable(spark: SparkSession, path: str, schema: str, whole_file: bool = False) -> DataFrame:
     """File and text of what is no record of ``schema``."""
     rows = _records(spark, path, schema, whole_file).select(F.col("_metadata.file_name").alias("file_name"), "*")
-    return rows.filter(F.col("_corrupt_record").isNotNull()).select("file_name", F.col("_corrupt_record").alias("payload"))
+    # Spark wants a query of corrupt records to read an ordinary column too; all of them are null there.
+    first = schema.split(" ", 1)[0]
+    return rows.filter(F.col("_corrupt_record").isNotNull() & F.col(first).isNull()).select("file_name", F.col("_corrupt_record").alias("payload"))
 
 
 def read_listed_info(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
