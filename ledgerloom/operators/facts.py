@@ -16,11 +16,10 @@ def numeric_facts(facts: DataFrame) -> DataFrame:
     The rows without a figure are left for the aggregation to skip: a filter on these computed columns
     would be pushed below the projection and work out every text twice.
     """
-    return facts.select(
-        "ticker", "document_id", "context_id", "seq",
-        canonical_concept(F.col("concept")).alias("concept"),
-        parse_xbrl_number(F.col("text"), F.col("sign")).alias("value"),
-    )
+    named = facts.select("ticker", "document_id", "context_id", "seq", canonical_concept(F.col("concept")).alias("concept"), "text", "sign")
+    # Numbers are parsed for wanted concepts only.
+    value = F.when(F.col("concept").isNotNull(), parse_xbrl_number(F.col("text"), F.col("sign")))
+    return named.select("ticker", "document_id", "context_id", "seq", "concept", value.alias("value"))
 
 
 def context_facts(facts: DataFrame, contexts: DataFrame) -> DataFrame:

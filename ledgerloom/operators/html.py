@@ -48,7 +48,7 @@ def ir_links(pages: DataFrame, path: str = IR_PATH) -> DataFrame:
 # ------------------------------------------------------------------ element reader
 
 VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-READ_TAGS = {"title", "th", "td", "a", "time", "p", "div", "span", "h1", "h3", "li", "section", "script"}
+READ_TAGS = {"title", "th", "td", "a", "time", "p", "div", "span", "h1", "h3", "li", "section"}
 ELEMENT_SCHEMA = (
     "page_id bigint, node int, tag string, marks array<string>, own array<string>, table_no int, row_no int, "
     "cell_no int, item_no int, href string, text string"
@@ -94,7 +94,8 @@ class _Elements(HTMLParser):
 
     def handle_data(self, data):
         piece = data.strip()
-        if piece:
+        # Script text belongs to no element: embedded state is taken from the page itself.
+        if piece and self.open[-1]["tag"] not in ("script", "style"):
             for e in self.open:
                 if e["text"] is not None:
                     e["text"].append(piece)

@@ -100,7 +100,8 @@ def alias_key(c: Column) -> Column:
 def canonical_concept(name: Column) -> Column:
     """Canonical field of an XBRL element name, by a constant lookup map."""
     pairs = [F.lit(x) for concept, names in XBRL_ALIASES.items() for alias in names for x in (alias, concept)]
-    return F.try_element_at(F.create_map(*pairs), concept_key(name))
+    # A hash test sorts out the many names that no one asks for; the map is searched for the wanted ones only.
+    return F.when(concept_key(name).isin(*[n for names in XBRL_ALIASES.values() for n in names]), F.try_element_at(F.create_map(*pairs), concept_key(name)))
 
 
 def item_concept(name: Column) -> Column:
