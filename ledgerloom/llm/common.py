@@ -16,6 +16,11 @@ INDEX_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once per row, even where ``body`` uses it inside a lambda."""
+    return F.transform(F.array(value), body)[0]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

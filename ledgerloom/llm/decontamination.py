@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerloom.llm.common import INDEX_WORD, ascii_lower, stored, workspace
+from ledgerloom.llm.common import INDEX_WORD, ascii_lower, let, stored, workspace
 
 WIDTH = 10
 ANCHORS = 3
@@ -112,15 +112,18 @@ def candidates(docs: DataFrame, items: DataFrame, width: int, id_col: str, text_
 
 
 def _compared(docs: DataFrame, asked: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows with their ``words`` and exact ``spans``, and the whole row as ``doc``, which is not read unless it is used."""
+    """Rows with ``n_words`` and exact ``spans``, and the whole row as ``doc``, which is not read unless it is used."""
     text = docs[text_col].cast("string")
     keyed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("doc"), docs[id_col].alias("id"), F.xxhash64(text).alias("h"), text.alias("text"))
     rows = keyed.join(asked, keyed["id"].eqNullSafe(asked["id"]) & (keyed["h"] == asked["h"]), "left")
-    rows = rows.select("doc", keyed["id"].alias("id"), words_of(F.col("text")).alias("words"), "asked")
-    exact = F.filter("asked", lambda c: F.slice("words", c["start"] + 1, F.size(c["ws"])) == c["ws"])
-    spans = F.transform(exact, lambda c: F.struct(c["start"].alias("start"), F.size(c["ws"]).alias("size"), c["items"].alias("items")))
     none = F.array().cast("array<struct<start: int, size: int, items: array<string>>>")
-    return rows.select("doc", "id", "words", F.coalesce(F.array_sort(spans), none).alias("spans"))
+
+    def judged(words):
+        exact = F.filter("asked", lambda c: F.slice(words, c["start"] + 1, F.size(c["ws"])) == c["ws"])
+        spans = F.transform(exact, lambda c: F.struct(c["start"].alias("start"), F.size(c["ws"]).alias("size"), c["items"].alias("items")))
+        return F.struct(F.size(words).cast("bigint").alias("n_words"), F.coalesce(F.array_sort(spans), none).alias("spans"))
+
+    return rows.select("doc", keyed["id"].alias("id"), let(words_of(F.col("text")), judged).alias("j")).select("doc", "id", "j.*")
 
 
 def matches(
@@ -130,7 +133,7 @@ def matches(
     """Per row of ``docs``: ``id_col``, its number of words ``n_words``, and ``spans``: the exact matches (start, size, items)."""
     asked = candidates(docs, items, width, id_col, text_col, item_col, item_text_col)
     rows = _compared(docs.select(id_col, text_col), asked, id_col, text_col)
-    return rows.select(F.col("id").alias(id_col), F.size("words").cast("bigint").alias("n_words"), "spans")
+    return rows.select(F.col("id").alias(id_col), "n_words", "spans")
 
 
 def clean(

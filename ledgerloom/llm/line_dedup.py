@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.llm.common import WORD, stored, workspace
+from ledgerloom.llm.common import WORD, let, stored, workspace
 
 PERCENT = 80
 LEAST_WORDS = 5
@@ -95,8 +95,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int,
     text = docs[text_col].cast("string")
     texts = docs.select(docs[id_col].cast("bigint").alias("d"), F.xxhash64(text).alias("g"), text.alias("text"))
     held = texts.join(wanted, F.col("d").eqNullSafe(F.col("doc")) & (F.col("g") == F.col("h")))
-    held = held.select(F.split("text", "\n", -1).alias("l"), F.explode("w").alias("w"))
-    words = F.array_distinct(F.regexp_extract_all(F.get("l", F.col("w.no")), F.lit(WORD), 0))
+    # The wanted lines are taken out of the text before they become rows, so no row carries a whole text.
+    taken = let(F.split("text", "\n", -1), lambda l: F.transform("w", lambda w: F.struct(w["id"].alias("id"), F.get(l, w["no"]).alias("line"))))
+    held = held.select(F.explode(taken).alias("w"))
+    words = F.array_distinct(F.regexp_extract_all(F.col("w.line"), F.lit(WORD), 0))
     # Repeated rows of a document give the same line again; one of them is enough.
     line_words = stored(held.select(F.col("w.id").alias("id"), words.alias("t")).dropDuplicates(["id"]), "line-words")
     rows = pairs.join(line_words.select(F.col("id").alias("x"), F.col("t").alias("a")), "x")

@@ -15,6 +15,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerloom.llm.common import let
+
 # Kinds in order, patterns and least lengths.
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -78,8 +80,8 @@ def hot_stretch(run: Column, least: Column) -> Column:
         F.array_repeat(F.lit(0), CODES).alias("counts"), F.lit(0.0).alias("sum"), F.lit(-1).alias("low"), F.lit(-1).alias("high")
     )
 
-    def step(state, i):
-        new, old = F.get(codes_col, i), F.when(i >= WINDOW, F.get(codes_col, i - WINDOW)).otherwise(F.lit(-1))
+    def step(state, i, code):
+        new, old = F.get(code, i), F.when(i >= WINDOW, F.get(code, i - WINDOW)).otherwise(F.lit(-1))
         n_new, n_old = F.get(state["counts"], new), F.get(state["counts"], old)
         moved = F.when(new == old, state["sum"]).otherwise(
             state["sum"] + F.get(term, n_new + 1) - F.get(term, n_new) + F.when(old >= 0, F.get(term, n_old - 1) - F.get(term, n_old)).otherwise(0.0)
@@ -92,8 +94,8 @@ def hot_stretch(run: Column, least: Column) -> Column:
             F.when(hot & (state["low"] < 0), at).otherwise(state["low"]).alias("low"), F.when(hot, at).otherwise(state["high"]).alias("high"),
         )
 
-    codes_col = codes
-    return F.aggregate(F.sequence(F.lit(0), F.char_length(run) - 1), zero, step, lambda s: F.struct(s["low"], s["high"]))
+    places = F.sequence(F.lit(0), F.char_length(run) - 1)
+    return let(codes, lambda c: F.aggregate(places, zero, lambda s, i: step(s, i, c), lambda s: F.struct(s["low"], s["high"])))
 
 
 def entropy_spans(text: Column, base: Column) -> Column:
