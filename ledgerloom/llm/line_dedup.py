@@ -36,12 +36,19 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.select("doc", "h", F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
 
 
+def _words(line: Column) -> Column:
+    """Words of a line. Most lines have no white space but blanks, and are split at them without a pattern."""
+    plain = ~line.rlike(r"[\x09-\x0D]")
+    return F.when(plain, F.array_remove(F.split(line, " "), "")).otherwise(F.regexp_extract_all(line, F.lit(WORD), 0))
+
+
 def rarity(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """One row with one array: for every hash bucket of words, a level that grows with how often its words stand in all texts.
 
     The counts are combined in the tasks; the array has ``2 ** BUCKET_BITS`` small numbers, whatever the data.
     """
-    words = docs.select(F.explode(F.regexp_extract_all(docs[text_col].cast("string"), F.lit(WORD), 0)).alias("w"))
+    lines = docs.select(F.explode(F.split(docs[text_col].cast("string"), "\n", -1)).alias("line"))
+    words = lines.select(F.explode(_words(F.col("line"))).alias("w"))
     counts = words.groupBy(_bucket(F.xxhash64("w")).alias("b")).agg(F.count("*").alias("n"))
     every = docs.sparkSession.range(1 << BUCKET_BITS).select(F.col("id").cast("int").alias("b"), F.lit(0).cast("bigint").alias("n"))
     summed = counts.unionByName(every).groupBy("b").agg(F.sum("n").alias("n"))
@@ -61,16 +68,16 @@ def _least_overlap(n: Column, up: int, down: int) -> Column:
 
 def sketched(lines: DataFrame, levels: Column, percent: int = PERCENT, least_words: int = LEAST_WORDS) -> DataFrame:
     """Lines with at least ``least_words`` distinct words: class (s1, s2), size n, parity bits, and the first words in order of rarity."""
-    hashes = F.array_distinct(F.transform(F.regexp_extract_all("line", F.lit(WORD), 0), lambda w: F.xxhash64(w)))
-    sets = lines.select("doc", "h", "no", hashes.alias("t")).where(F.size("t") >= least_words)
     # The table is the value of a one-row subquery, known to every task once; lambdas can only name it as a column.
-    sets = sets.select("doc", "h", "no", "t", levels.alias("levels"))
+    hashes = F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w)))
+    words = lines.select("doc", "h", "no", hashes.alias("t")).where(F.size("t") >= least_words)
+    words = words.select("doc", "h", "no", "t", levels.alias("levels"))
 
     def rank(x):
         return F.coalesce(F.get("levels", _bucket(x)), F.lit(0).cast("tinyint")).cast("bigint")
 
     keyed = F.transform("t", lambda x: F.shiftleft(rank(x), 56).bitwiseOR(F.shiftrightunsigned(x, 8)))
-    ordered = sets.select("doc", "h", "no", F.sort_array(keyed).alias("k"))
+    ordered = words.select("doc", "h", "no", F.sort_array(keyed).alias("k"))
     n = F.size("k")
     parity = F.aggregate("k", F.lit(0).cast("bigint"), lambda s, x: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63)).cast("int"))))
     prefix = F.transform(F.slice("k", F.lit(1), n - _least_overlap(n, percent, 100) + 1), lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
@@ -112,35 +119,38 @@ def classes(docs: DataFrame, percent: int, least_words: int, id_col: str, text_c
     levels = stored(rarity(docs, text_col), "rarity").scalar()
     lines = stored(sketched(_lines(docs, id_col, text_col), levels, percent, least_words), "lines")
     first = lines.groupBy("s1", "s2").agg(F.min(F.struct("doc", "h", "no", "n", "bits", "p")).alias("f"))
-    sets = stored(first.select(F.monotonically_increasing_id().alias("id"), "s1", "s2", "f.*"), "line-sets")
-    place = F.struct("doc", "h", "no", "id")
+    # Sorted by place, so that ids are in the order of the lines: an earlier line has a smaller id.
+    sets = first.select("s1", "s2", "f.*").orderBy("doc", "h", "no").select(F.monotonically_increasing_id().alias("id"), "*")
+    sets = stored(sets, "line-sets")
     # Gathering: the earliest line for each of a line's rarest words and its size, to a quarter.
     scale = F.floor(F.log2(F.col("n")) / F.log2(F.lit(1.25))).cast("int")
-    few = sets.select("id", "doc", "h", "no", "n", "bits", scale.alias("scale"), F.explode(F.slice("p", 1, GATHER_KEYS)).alias("e"))
-    heads = few.groupBy("e", "scale").agg(F.min(F.struct("doc", "h", "no", "id", "n", "bits")).alias("x"), F.count("*").alias("c")).where("c > 1")
-    heads = heads.select("e", "scale", F.col("x.id").alias("x"), F.col("x.n").alias("nx"), F.col("x.bits").alias("bitsx"))
+    few = sets.select("id", "n", "bits", scale.alias("scale"), F.explode(F.slice("p", 1, GATHER_KEYS)).alias("e"))
+    # Maxima of numbers are combined in hash tables: the least id, and its size and parity by the same order.
+    heads = few.groupBy("e", "scale").agg(F.min("id").alias("x"), F.min_by("n", "id").alias("nx"), F.min_by("bits", "id").alias("bitsx"), F.count("*").alias("c"))
+    heads = heads.where("c > 1").drop("c")
     near = few.select("e", "scale", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("bits").alias("bitsy")).join(heads, ["e", "scale"])
     near = stored(near.where((F.col("x") != F.col("y")) & _may_match(percent, "x", "y")).select("x", "y").distinct(), "line-pairs")
     settled = stored(_verified(near, sets, docs, percent, id_col, text_col), "settled")
     # The join of all others: the larger set asks with its longer prefix, the smaller answers with its shorter one.
     open_sets = sets.join(settled.select(F.col("y").alias("id"), F.lit(False).alias("open")), "id", "left")
-    open_sets = open_sets.select("id", "doc", "h", "no", "n", "bits", "p", F.coalesce("open", F.lit(True)).alias("open"))
+    open_sets = open_sets.select("id", "n", "bits", "p", F.coalesce("open", F.lit(True)).alias("open"))
     short = F.slice("p", F.lit(1), F.col("n") - _least_overlap(F.col("n"), 2 * percent, 100 + percent) + 1)
 
     def posts(words: Column, side: str) -> DataFrame:
-        rows = open_sets.select("*", F.posexplode(words).alias("i", "e")) if side == "a" else open_sets.withColumn("p", words).select("*", F.posexplode("p").alias("i", "e"))
-        return rows.select("e", *(F.col(c).alias(c + side) for c in ("id", "doc", "no", "n", "i", "bits", "open")))
+        rows = open_sets.select("id", "n", "bits", "open", F.posexplode(words).alias("i", "e"))
+        # Size, place and the open flag share one number, since every posting carries them through the shuffle.
+        packed = F.shiftleft(F.col("n"), 1).bitwiseOR(F.col("open").cast("int"))
+        return rows.select("e", F.col("id").alias(f"id{side}"), F.col("bits").alias(f"bits{side}"), packed.alias(f"m{side}"), F.col("i").alias(f"i{side}"))
 
     larger, smaller = posts(F.col("p"), "a"), posts(short, "b")
-    a_later = F.coalesce(F.col("doca"), F.lit(-(1 << 63))) > F.coalesce(F.col("docb"), F.lit(-(1 << 63)))
-    same_doc = F.col("doca").eqNullSafe(F.col("docb"))
-    a_later = a_later | (same_doc & ((F.col("noa") > F.col("nob")) | ((F.col("noa") == F.col("nob")) & (F.col("ida") > F.col("idb")))))
+    joined = larger.join(smaller, "e").withColumns({f"n{s}": F.shiftright(f"m{s}", 1) for s in "ab"} | {f"open{s}": F.col(f"m{s}").bitwiseAND(1) == 1 for s in "ab"})
+    a_later = F.col("ida") > F.col("idb")
     in_order = (F.col("na") > F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ida") > F.col("idb")))
     left_after = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
     union_least = F.col("ia") + F.col("ib") + F.greatest(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
     places_fit = left_after * 100 >= union_least * percent
     asked = F.when(a_later, F.col("opena")).otherwise(F.col("openb"))
-    pairs = larger.join(smaller, "e").where(in_order & asked & places_fit & _may_match(percent, "a", "b"))
+    pairs = joined.where(in_order & asked & places_fit & _may_match(percent, "a", "b"))
     pairs = pairs.select(F.when(a_later, F.col("idb")).otherwise(F.col("ida")).alias("x"), F.when(a_later, F.col("ida")).otherwise(F.col("idb")).alias("y"))
     pairs = stored(pairs.distinct(), "line-pairs")
     rest = _verified(pairs, sets, docs, percent, id_col, text_col)
