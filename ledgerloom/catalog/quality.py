@@ -21,12 +21,12 @@ def periods(t):
 
 _NULLS = " + ".join(f"({'operating_cf + investing_cf' if f == 'free_cash_flow' else f} IS NULL)::INT" for f in G.NULL_RATE_FIELDS)
 S_NULL = f"""nr AS (SELECT s.ticker, count(p.ticker) * {len(G.NULL_RATE_FIELDS)} AS total_cells, CAST(coalesce(sum(p.n), 0) AS BIGINT) AS null_cells FROM b_securities s
-  LEFT JOIN (SELECT ticker, {_NULLS} AS n FROM b_edinet WHERE suppkey % 13 <> 6) p ON p.ticker = s.ticker GROUP BY s.ticker)"""
+  LEFT JOIN (SELECT ticker, {_NULLS} AS n FROM b_edinet) p ON p.ticker = s.ticker GROUP BY s.ticker)"""
 _RATE = "CASE WHEN total_cells > 0 THEN null_cells / total_cells ELSE 1e0 END"
 
 
 def null_rates(t):
-    return Q.null_rate(periods(t).filter(F.col("suppkey") % 13 != 6), 0.2, t.b_securities)
+    return Q.null_rate(periods(t), 0.2, t.b_securities)
 
 
 @query("q1_null_rate", ["b_edinet", "b_securities"], f"WITH {S_NULL} SELECT ticker, total_cells, null_cells, round_even(({_RATE}) * 1e4, 0) / 1e4 AS null_rate, ({_RATE}) <= 2e-1 AS pass FROM nr")
@@ -130,10 +130,10 @@ def q8(t):
 
 @query("q9_dataset_exists", ["b_securities", "b_edinet", "b_raw_statements"], """
 SELECT s.ticker, d.dataset, coalesce(CASE d.dataset WHEN 'filings' THEN e.n ELSE r.n END, 0) AS rows, coalesce(CASE d.dataset WHEN 'filings' THEN e.n ELSE r.n END, 0) > 0 AS pass
-FROM b_securities s CROSS JOIN (VALUES ('filings'), ('statements')) d(dataset) LEFT JOIN (SELECT ticker, count(*) AS n FROM b_edinet WHERE suppkey % 9 <> 4 GROUP BY 1) e ON e.ticker = s.ticker
+FROM b_securities s CROSS JOIN (VALUES ('filings'), ('statements')) d(dataset) LEFT JOIN (SELECT ticker, count(*) AS n FROM b_edinet GROUP BY 1) e ON e.ticker = s.ticker
 LEFT JOIN (SELECT ticker, count(*) AS n FROM b_raw_statements GROUP BY 1) r ON r.ticker = s.ticker""")
 def q9(t):
-    return Q.dataset_exists(t.b_securities, filings=t.b_edinet.filter(F.col("suppkey") % 9 != 4), statements=t.b_raw_statements)
+    return Q.dataset_exists(t.b_securities, filings=t.b_edinet, statements=t.b_raw_statements)
 
 
 @query("q10_count_match", ["b_edinet", "b_statements"], """

@@ -116,9 +116,15 @@ def a6(t):
 
 
 @query("w1_representative_row", DEPS, f"""WITH {S_DEDUP},
-w AS (SELECT ticker, fiscal_year, period_group, count(*) AS kept FROM ded GROUP BY ALL) SELECT * FROM w""")
+w AS (SELECT ticker, fiscal_year, period_group, period, period_end, seq, revenue, count(*) OVER (PARTITION BY ticker, fiscal_year, period_group) AS kept FROM ded) SELECT * FROM w""")
 def w1(t):
-    return deduped(t).groupBy("ticker", "fiscal_year", "period_group").agg(F.count("*").alias("kept"))
+    # The winning row by its place, and that there is one of each group.
+    won = deduped(t)
+    kept = won.groupBy("ticker", "fiscal_year", "period_group").agg(F.count("*").alias("kept"))
+    return won.select("ticker", "fiscal_year", "period_group", "period", "period_end", "seq", "revenue").join(
+        kept.select(*[F.col(c).alias(f"k_{c}") for c in ("ticker", "fiscal_year", "period_group")], "kept"),
+        F.col("ticker").eqNullSafe(F.col("k_ticker")) & F.col("fiscal_year").eqNullSafe(F.col("k_fiscal_year")) & F.col("period_group").eqNullSafe(F.col("k_period_group")),
+    ).drop("k_ticker", "k_fiscal_year", "k_period_group")
 
 
 @query("w2_annual_series", DEPS, f"WITH {S_ANNUAL} SELECT * FROM annual")
