@@ -51,8 +51,10 @@ def written(df: DataFrame, name: str) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` written to the shared folder and read again: lineage ends here, lost executors cost nothing."""
+    # Shuffle files of finished steps go when the driver forgets their plans; a long operator would else keep all of them. The
+    # listeners may still hold the last plan just after its end, so the driver is asked before a step too.
+    df.sparkSession._jvm.System.gc()
     place = written(df, name)
-    # Shuffle files of finished steps go when the driver forgets their plans; a long operator would else keep all of them.
     df.sparkSession._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
