@@ -255,12 +255,13 @@ def test_statement_spans(spark):
     texts = {1: "【連結貸借対照表】", **{n: "単位" for n in range(2, 26)}, 30: "【損益計算書】", 31: "千円", 32: "none", 33: "千円",
              34: "【貸借対照表】", 35: "単位", 40: "【キャッシュ・フロー計算書】", **{n: "千円" for n in range(41, 56)}}
     df = spark.createDataFrame([("d", n, texts.get(n, "")) for n in range(1, 60)], "document_id string, page_no int, text string")
-    # The second balance sheet is no first heading, so it opens nothing and ends what came before; only
-    # the last statement is limited to ten pages.
-    want = [*[(n, "bs", 1) for n in range(1, 26)], (30, "pl", 30), (31, "pl", 30), *[(n, "cf", 40) for n in range(40, 50)]]
+    # The second balance sheet is no first heading, so it opens nothing and ends what came before.
+    want = [*[(n, "bs", 1) for n in range(1, 26)], (30, "pl", 30), (31, "pl", 30), *[(n, "cf", 40) for n in range(40, 56)]]
+    limited = [w for w in want if w[0] < 50]  # a limit concerns the last statement only
     for block in (1000, 7):
-        got = rows(pages.statement_spans(pages.statement_headers(df), block_pages=block), "page_no", "statement", "first_page")
-        assert got == sorted(want, key=repr)
+        for pages_at_most, expected in ((None, want), (10, limited)):
+            found = pages.statement_spans(pages.statement_headers(df), pages_at_most, block_pages=block)
+            assert rows(found, "page_no", "statement", "first_page") == sorted(expected, key=repr)
 
 
 def test_archives_choose_the_public_member_and_report_damage(spark):
