@@ -44,14 +44,3 @@ NARRATIVE_ELEMENTS = (
 
 # Fixed value: paths of investor pages.
 IR_PATH = r"(?i)/(ir|investor|kabunushi|shareholders?|finance|ir_info)(/|$)"
-
-# Words of the driver's invented texts that stand in for the keyword lists in the registered queries.
-TRIAL_KEYWORDS = {
-    "market_risk": ["the ", "tion", "eau"],
-    "credit_risk": ["and", "que", "sch"],
-    "operational_risk": ["ing", "ment", "er "],
-    "regulatory_risk": ["thi", "elle", "auf"],
-}
-TRIAL_HIGH = ["erenth", "leaux", "ionent", "schen"]
-TRIAL_LOW = ["shat", "ouan", "ndth"]
-TRIAL_PATH = r"(?i)/(the|and|tion|in|de|la|que|der|und|sch|of)(/|$)"
