@@ -94,6 +94,18 @@ def _may_match(percent: int, a: str, b: str) -> Column:
     return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (differ * (100 + percent) <= (na + nb) * (100 - percent))
 
 
+def wide_parity(hashes: Column) -> Column:
+    """512 parity bits of a set, as eight numbers: the bits in which two sets differ are no more than their differing words."""
+    one = F.lit(1).cast("bigint")
+
+    def part(j):
+        own = F.filter(hashes, lambda x: x.bitwiseAND(F.lit(7)) == j)
+        bit = lambda x: F.call_function("shiftleft", one, F.shiftrightunsigned(x, 3).bitwiseAND(F.lit(63)).cast("int"))
+        return F.aggregate(own, F.lit(0).cast("bigint"), lambda s, x: s.bitwiseXOR(bit(x)))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(7)), part)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Ids ``y`` of pairs (x, y) whose lines' words are similar enough."""
     both = pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct()
@@ -107,7 +119,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int,
     held = held.select(F.explode(taken).alias("w"))
     words = F.array_distinct(F.regexp_extract_all(F.col("w.line"), F.lit(WORD), 0))
     # Repeated rows of a document give the same line again; one of them is enough.
-    line_words = stored(held.select(F.col("w.id").alias("id"), words.alias("t")).dropDuplicates(["id"]), "line-words")
+    line_words = held.select(F.col("w.id").alias("id"), words.alias("t")).dropDuplicates(["id"])
+    line_words = stored(line_words.select("id", "t", F.size("t").alias("n"), let(F.transform("t", lambda w: F.xxhash64(w)), wide_parity).alias("w")), "line-words")
+    # Long lines pass the short parity often. The wide one is asked before words travel with pairs.
+    x, y = (line_words.select(F.col("id").alias(s), F.col("n").alias(f"n{s}"), F.col("w").alias(f"w{s}")) for s in "xy")
+    differ = F.aggregate(F.zip_with("wx", "wy", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, c: s + c)
+    near = pairs.join(x, "x").join(y, "y").where(differ * (100 + percent) <= (F.col("nx") + F.col("ny")) * (100 - percent))
+    pairs = stored(near.select("x", "y"), "line-pairs")
     rows = pairs.join(line_words.select(F.col("id").alias("x"), F.col("t").alias("a")), "x")
     rows = rows.join(line_words.select(F.col("id").alias("y"), F.col("t").alias("b")), "y")
     both_n = F.size(F.array_intersect("a", "b"))
