@@ -138,6 +138,12 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(found)
 
 
+@query("op6_proximity")
+def op6_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.proximity_report(found)
+
+
 @query("op9_line_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))

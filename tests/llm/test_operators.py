@@ -233,6 +233,31 @@ def test_proximity(spark):
     assert [r.id for r in decontamination.proximity(lists, 2).collect()] == [2]
 
 
+def test_proximity_matches_beside_exact_spans(spark):
+    rng = random.Random(8)
+    passage = [f"p{i}q" for i in range(40)]
+    every = lambda edit: " ".join(w for i, word in enumerate(passage) for w in (edit(i, word) if i % 8 == 3 else [word]))
+    moved = list(passage)
+    for at in range(3, 36, 8):
+        moved[at], moved[at + 1] = moved[at + 1], moved[at]
+    texts = [" ".join(passage), every(lambda i, w: [w, f"in{i}x"]), every(lambda i, w: []), every(lambda i, w: [f"re{i}x"]), " ".join(moved),
+             " ".join(rng.sample(passage, 40)), "p4q p5q", sentence(rng, 60) + " " + every(lambda i, w: [w, "x"]) + " " + sentence(rng, 60), None]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    bench = spark.createDataFrame([(9, " ".join(passage))], "item_id long, text string")
+    got = {r.doc_id: r for r in decontamination.matches(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert [i for i in got if got[i].spans] == [0] and sorted(i for i in got if got[i].near) == [1, 2, 3, 4, 7]
+    for i in (1, 2, 3, 4, 7):
+        words = texts[i].split(" ")
+        for m in got[i].near:
+            assert m["items"] == ["9"] and 9 <= m.size <= 13
+            run = words[m.start : m.start + m.size]
+            assert sum(w in passage for w in run) >= 9 and run[0] in passage and run[-1] in passage
+    # Words that no other training text has: the replaced word of each window is unknown.
+    alone = decontamination.matches(spark.createDataFrame(rows[3:4], "doc_id long, text string"), bench).collect()
+    assert alone[0].near and not alone[0].spans
+    assert [r.doc_id for r in decontamination.clean(spark.createDataFrame(rows, "doc_id long, text string"), bench).orderBy("doc_id").collect()] == [5, 6, 8]
+
+
 def brute_secrets(text):
     text, out = text or "", []
     for m in re.finditer(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
