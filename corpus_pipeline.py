@@ -19,7 +19,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that an earlier line matches; documents that lose every word go."""
-    return line_dedup.deduplicated(docs)
+    return line_dedup.deduplicated(docs, least_words=line_dedup.EVERY_LINE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

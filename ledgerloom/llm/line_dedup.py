@@ -2,14 +2,16 @@
 
 A line's set holds its distinct words. A line is removed when an earlier line, in the order of document id, document text and
 line number, has a set with ``100 * intersection >= percent * union``. Lines of fewer than ``least_words`` distinct
-words are neither compared nor removed. Whether the earlier line is itself removed does not matter, so the result does not
+words are neither compared nor removed; ``op9_line_dedup`` and the pipeline ask for ``EVERY_LINE``, which leaves out only lines
+without a word. Whether the earlier line is itself removed does not matter, so the result does not
 depend on the order of the work.
 
 Equal sets are one class, represented by its first line. The words of a set are ordered by rarity: how often words of
 the same hash bucket stand in all texts (a table of fixed size), then by hash. Two sets that are similar enough share a word among
 their first ones (prefix filter); sizes must be within the threshold (length filter), places of the shared word must leave
 enough words after them (positional filter), and a 64-bit parity of the words bounds the difference from below.
-What is left is verified on the words of the lines themselves.
+What is left is verified on the words of the lines themselves. Sets so small that one word more or less is beyond the
+threshold (up to three words at 80 percent) match equal sets only, so their class settles them and they are not posted.
 
 A group of near-identical lines would give all its pairs. So each line is first compared with the earliest line that
 shares one of its rarest words at about its size; what that settles is not asked again in the join of all others.
@@ -26,6 +28,7 @@ from ledgerloom.llm.common import WORD, let, stored, workspace
 
 PERCENT = 80
 LEAST_WORDS = 5
+EVERY_LINE = 1
 BUCKET_BITS = 18
 GATHER_KEYS = 3
 
@@ -142,7 +145,9 @@ def classes(docs: DataFrame, percent: int, least_words: int, id_col: str, text_c
     sets = stored(sets, "line-sets")
     # Gathering: the earliest line for each of a line's rarest words and its size, to a quarter.
     scale = F.floor(F.log2(F.col("n")) / F.log2(F.lit(1.25))).cast("int")
-    few = sets.select("id", "n", "bits", scale.alias("scale"), F.explode(F.slice("p", 1, GATHER_KEYS)).alias("e"))
+    # A set that differs by one word is the nearest one that is not equal.
+    pairable = F.col("n") * 100 >= (F.col("n") + 1) * percent
+    few = sets.where(pairable).select("id", "n", "bits", scale.alias("scale"), F.explode(F.slice("p", 1, GATHER_KEYS)).alias("e"))
     # Maxima of numbers are combined in hash tables: the least id, and its size and parity by the same order.
     heads = few.groupBy("e", "scale").agg(F.min("id").alias("x"), F.min_by("n", "id").alias("nx"), F.min_by("bits", "id").alias("bitsx"), F.count("*").alias("c"))
     heads = heads.where("c > 1").drop("c")
@@ -154,13 +159,14 @@ def classes(docs: DataFrame, percent: int, least_words: int, id_col: str, text_c
     open_sets = open_sets.select("id", "n", "bits", "p", F.coalesce("open", F.lit(True)).alias("open"))
     short = F.slice("p", F.lit(1), F.col("n") - _least_overlap(F.col("n"), 2 * percent, 100 + percent) + 1)
 
-    def posts(words: Column, side: str) -> DataFrame:
-        rows = open_sets.select("id", "n", "bits", "open", F.posexplode(words).alias("i", "e"))
+    def posts(words: Column, side: str, fits: Column) -> DataFrame:
+        rows = open_sets.where(fits).select("id", "n", "bits", "open", F.posexplode(words).alias("i", "e"))
         # Size, place and the open flag share one number, since every posting carries them through the shuffle.
         packed = F.shiftleft(F.col("n"), 1).bitwiseOR(F.col("open").cast("int"))
         return rows.select("e", F.col("id").alias(f"id{side}"), F.col("bits").alias(f"bits{side}"), packed.alias(f"m{side}"), F.col("i").alias(f"i{side}"))
 
-    larger, smaller = posts(F.col("p"), "a"), posts(short, "b")
+    larger = posts(F.col("p"), "a", (F.col("n") - 1) * 100 >= F.col("n") * percent)
+    smaller = posts(short, "b", pairable)
     joined = larger.join(smaller, "e").withColumns({f"n{s}": F.shiftright(f"m{s}", 1) for s in "ab"} | {f"open{s}": F.col(f"m{s}").bitwiseAND(1) == 1 for s in "ab"})
     a_later = F.col("ida") > F.col("idb")
     in_order = (F.col("na") > F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ida") > F.col("idb")))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerloom.llm import (
-    chat_format, components, decontamination, line_dedup, minhash, mixing, quality_rules, secrets, token_counts, toxicity, url_filter,
+    chat_format, components, decontamination, line_dedup, minhash, mixing, quality_rules, queries, secrets, token_counts, toxicity, url_filter,
 )
 from ledgerloom.llm.queries import vocabulary_path
 
@@ -339,6 +339,18 @@ def test_line_dedup(docs, empty, texts):
     assert line_dedup.report(empty).count() == 0
 
 
+def test_short_lines_are_deduplicated(spark, tmp_path):
+    rows = [(1, "Of.\nb c\n\nd e f g\none two three four"), (2, "Of.\nd e f g h\nc b\n\nb c d"), (3, "five six\nOf.\none two three four"), (4, "one two three\ni\ni i\n\n"), (5, "Of.")]
+    place = str(tmp_path)
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{place}/documents.parquet")
+    gone = brute_lines(rows, least=1)
+    assert gone == {(2, rows[1][1]): [0, 1, 2], (3, rows[2][1]): [1, 2], (4, rows[3][1]): [2], (5, "Of."): [0]}
+    got = {r.doc_id: r.removed_lines for r in queries.QUERIES["op9_line_dedup"](spark, place).collect()}
+    assert got == {i: ",".join(map(str, gone[i, t])) for i, t in rows}
+    left = dict(corpus_pipeline.lines(spark, spark.read.parquet(f"{place}/documents.parquet"), place).collect())
+    assert left == {1: rows[0][1], 2: "\nb c d", 3: "five six", 4: "one two three\ni\n\n"}
+
+
 def brute_components(texts, k, percent):
     sets = {}
     for i, t in texts:
