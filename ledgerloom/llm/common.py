@@ -82,3 +82,16 @@ def workspace(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFr
         _IN_USE.reset(token)
         for place in places:
             discard(spark, place)
+
+
+def pieces(data: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """A text in cuts of about ``size`` bytes that end at white space, so that no word is cut; a longer word stays whole."""
+    at = 0
+    while at < len(data):
+        end = at + size
+        if end < len(data):
+            cut = max(data.rfind(b" ", at, end), data.rfind(b"\n", at, end)) + 1
+            later = [i for i in (data.find(b" ", end), data.find(b"\n", end)) if i >= 0]
+            end = cut if cut > at else min(later, default=len(data) - 1) + 1
+        yield data[at:end]
+        at = end

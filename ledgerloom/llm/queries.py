@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerloom.llm import chat_format, decontamination, line_dedup, minhash, mixing, quality_rules, secrets, token_counts, toxicity, url_filter
+from ledgerloom.llm import (
+    chat_format, decontamination, license_scan, line_dedup, minhash, mixing, prefix_trie, quality_rules, secrets, spelling, token_counts, toxicity, url_filter,
+)
 from ledgerloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -217,3 +219,93 @@ SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(b, 0)::BIGINT AS n_a
 @query("op7_secret_scan", OP7_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+# CRC-32 by the table of its polynomial, since the SQL dialect has no such function.
+CRC_SQL = """
+crc_table AS (SELECT list(v ORDER BY i) AS tab FROM (
+  SELECT i, list_reduce([i::BIGINT] || list_transform(range(8), lambda x: x::BIGINT),
+         lambda c, x: xor(c >> 1, (c & 1) * 3988292384::BIGINT)) AS v FROM range(256) AS r(i)))"""
+
+
+def _crc(text: str) -> str:
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)"
+    return f"xor(list_reduce([4294967295::BIGINT] || {octets}, lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295::BIGINT)"
+
+
+OP11_SQL = rf"""
+WITH RECURSIVE {CRC_SQL},
+runs AS (SELECT doc_id, run, count(*) AS k FROM (SELECT doc_id, unnest(regexp_extract_all(
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run FROM documents)
+         WHERE length(run) >= 5 GROUP BY ALL),
+marked AS (SELECT run, k, {_crc("coalesce(doc_id::VARCHAR, '') || ':' || run")}::BIGINT AS h FROM runs, crc_table),
+made AS (SELECT k, CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM marked),
+w AS (SELECT word, sum(k)::BIGINT AS n FROM made WHERE length(word) >= 5 GROUP BY word HAVING sum(k) >= 3),
+cut AS (SELECT word, n, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM w, unnest(range(1, length(word) + 1)) AS r(i)),
+near AS (SELECT x.word, y.word AS other, y.n AS m FROM cut x JOIN cut y ON x.a = y.a AND x.b = y.b AND length(x.word) = length(y.word) AND x.word <> y.word
+         UNION SELECT x.word, y.word, y.n FROM cut x JOIN w y ON x.a || x.b = y.word
+         UNION SELECT y.word, x.word, x.n FROM cut x JOIN w y ON x.a || x.b = y.word),
+best AS (SELECT word, count(*) AS n_near, min(struct_pack(l := -m, o := other)) AS b FROM near GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -b.l >= 2 * n THEN b.o END AS form,
+             CASE WHEN -b.l >= 2 * n THEN -b.l END AS form_n FROM w LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS root, form AS up FROM f UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN f ON f.word = c.up)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN chain c ON c.word = f.word AND c.up IS NULL
+"""
+
+
+@query("op11_spelling_variants", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = f"""
+WITH {CRC_SQL},
+t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(r)::VARCHAR || ':' || r || x)) AS pos, r, x
+      FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (SELECT conv_id, ({_crc("conv_id::VARCHAR")} % 6)::BIGINT AS h FROM (SELECT DISTINCT conv_id FROM t), crc_table),
+p AS (SELECT c.conv_id, pos, r, x FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 100 AND pos <= h
+      UNION ALL SELECT c.conv_id, 5 + pos, r, x FROM c JOIN t ON t.conv_id = c.conv_id AND pos > h),
+q AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY pos) AS d, length(x) AS len, md5(length(r)::VARCHAR || ':' || r || x) AS m FROM p),
+path AS (SELECT conv_id, d, len, string_agg(m, '') OVER (PARTITION BY conv_id ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS node FROM q
+         UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+last AS (SELECT conv_id, max_by(node, d) AS node FROM path GROUP BY conv_id),
+ends AS (SELECT node, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS sha, count(*) AS n_ends FROM last GROUP BY node),
+n AS (SELECT node, any_value(d) AS depth, any_value(len) AS len, count(*) AS n_convs, min(conv_id) AS conv_id FROM path GROUP BY node),
+k AS (SELECT left(node, length(node) - 32) AS up, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON k.up = n.node),
+above AS (SELECT left(node, 32 * i) AS top, (n_convs - 1) * len AS weight, n_children = 0 AS leaf FROM m, unnest(range(0, depth + 1)) AS r(i)),
+s AS (SELECT top, sum(weight)::BIGINT AS saved_tokens, (count(*) FILTER (leaf))::BIGINT AS n_leaves FROM above GROUP BY top)
+SELECT m.conv_id, m.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, m.n_convs, m.n_children::BIGINT AS n_children, n_leaves, saved_tokens,
+       coalesce(sha, sha256('')) AS ends_sha256, coalesce(n_ends, 0)::BIGINT AS n_ends
+FROM m JOIN s ON s.top = m.node LEFT JOIN n up ON m.depth > 0 AND up.node = left(m.node, length(m.node) - 32) LEFT JOIN ends e ON e.node = m.node
+"""
+
+
+@query("op12_prefix_trie", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.with_shared_heads(turns))
+
+
+def _license_sql() -> str:
+    every = (*license_scan.PHRASES, *license_scan.TEMPLATES)
+    found = ", ".join(f"CASE WHEN regexp_matches(j, '{license_scan.as_pattern(m)}') THEN '{label}' END" for label, m in every)
+    places = " || ".join(
+        "list_filter(range(1, len(ws) + 1), lambda i: " + " AND ".join(f"ws[i + {k}] = '{w}'" for k, w in enumerate(phrase.split())) + ")"
+        for _, phrase in license_scan.PHRASES
+    )
+    n = len(license_scan.PHRASES)
+    return rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+j AS (SELECT *, ' ' || array_to_string(ws, ' ') || ' ' AS j FROM d),
+p AS (SELECT doc_id, ws, {places} AS places, [{found}] AS f FROM j),
+q AS (SELECT *, list_sort(list_filter(f, lambda x: x IS NOT NULL)) AS l, list_sort(list_filter(f[1:{n}], lambda x: x IS NOT NULL)) AS b FROM p)
+SELECT doc_id, len(ws)::BIGINT AS n_words, len(places)::BIGINT AS n_base, (list_min(places) - 1)::BIGINT AS first_word, (list_max(places) - 1)::BIGINT AS last_word,
+       array_to_string(b, ',') AS base_labels, array_to_string(l, ',') AS labels,
+       CASE WHEN len(l) = 0 THEN 0.0 WHEN len(l) = len(b) THEN 0.5 ELSE 1.0 END::DOUBLE AS score FROM q
+"""
+
+
+@query("op13_license_scan", _license_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")

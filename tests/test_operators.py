@@ -291,3 +291,34 @@ def test_source_fallback_reuses_the_backup(spark):
         "ticker string, site string, url string, collected boolean, error string, per_text string")
     got = rows(web.source_fallback(df), "ticker", "url", "collected", "per_text", "error", "fallback_reason")
     assert got == sorted([("1", "y", True, "7", None, "E1"), ("2", "s", True, "3", None, None), ("3", "s", False, None, "E2", None)], key=repr)
+
+
+def test_running_values_over_measured_ranges(spark):
+    """Sparse, dense, repeated and missing order values; a group that holds most rows is spread over many ranges."""
+    import random
+
+    from ledgerloom.operators import ranking
+
+    rng = random.Random(2)
+    rows = [("hot", i * (1 if i < 3000 else 10**9), i % 13) for i in range(4000)] + [(None, None, 5), (None, 3, 1), ("b", 2, 7), ("b", 1, 8)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, o long, v long").repartition(5)
+    held = []
+    store = lambda d: held.append(ranking.landed(d)) or held[-1]
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")
+    out = ranking.running(
+        df, ["k"], [F.col("o").asc_nulls_first()], position="no", sums={"total": F.col("v")}, folds={"fold": F.col("v")}, store=store
+    )
+    spark.conf.unset(merge)
+    got = {(r.k, r.o): (r.no, r.total, r.fold) for r in out.collect()}
+    want = {}
+    for key in {r[0] for r in rows}:
+        total = fold = 0
+        its = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1] is not None, r[1] or 0))
+        for no, (_, o, v) in enumerate(its, 1):
+            total, fold = total + v, fold ^ v
+            want[key, o] = (no, total, fold)
+    assert got == want
+    sizes = [r["count"] for r in held[0].where("k = 'hot'").groupBy("_range").count().collect()]
+    assert len(sizes) > 1 and max(sizes) <= 2 * sum(sizes) / len(sizes)
