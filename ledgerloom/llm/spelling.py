@@ -3,10 +3,12 @@
 Words are counted over all texts; words with exactly one inserted, deleted or replaced code point between them are near. To find
 near words, a word of L code points contributes two disjoint chunks, its first half and the rest, and every word contributes positional
 grams of the same lengths. One edit lies in one of the two chunks, so the other chunk stands whole in the near word, at its own
-place or shifted by one. So each pair meets in a join by (L, chunk number, letters); as the first word is the one that is not
-longer, the places at which its chunk can stand after one edit are known: the first half at the beginning, the rest at the
-end, which is a shift of one when the other word is longer by one. Only those grams are posted. A pair that shares the first chunk is left to
-it, so no pair comes twice, and the edit distance is verified inside the join, so no unverified pair is written.
+place or shifted by one. The same holds once more inside the chunk that is hit: it has two disjoint halves, and one of them stands
+whole too. So each pair meets in a join by (L, quarter that is hit, letters of the chunk and the half that stand). As the first word
+is the one that is not longer, the places at which its chunks can stand after one edit are known: what is before the hit quarter at its own place,
+what is behind it shifted by the difference in length, which is none or one. Only those grams are posted. A chunk alone would do for the
+result, but words of a large vocabulary share halves by the thousand, and three quarters seldom. The edit distance is verified inside the join, so no
+unverified pair is written.
 
 A word's form is its near word with the largest count (ties: the smallest in code-point order), if that count is at least
 ``RATIO`` times the word's own. Counts grow along the forms, so they are chains without a circle whose length is at most the logarithm of
@@ -79,34 +81,36 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def _half(length: Column) -> Column:
-    return F.floor(length / 2).cast("int")
+def _grams(size: Column, shift: int) -> list[tuple[Column, int, Column]]:
+    """(L, quarter, letters) of the places where the chunks of a word of ``size`` letters stand if that quarter is hit and the word
+    is longer by ``shift``."""
+    word = F.col("word")
+    half = F.floor(size / 2).cast("int")
+    ends = [F.lit(0), F.floor(half / 2).cast("int"), half, half + F.floor((size - half) / 2).cast("int"), size]
+    out = []
+    for hit in range(4):
+        whole = [(ends[q], ends[q + 1], 0 if q < hit else shift) for q in range(4) if q != hit]
+        out.append((size, hit, F.concat_ws("|", *(F.substring(word, a + moved + 1, b - a) for a, b, moved in whole))))
+    return out
 
 
 def _posted(words: DataFrame, places: list[tuple[Column, int, Column]], side: str) -> DataFrame:
-    """One row per place (L, chunk number, letters) of a word."""
-    each = F.array(*(F.struct(size.alias("size"), F.lit(no).alias("no"), gram.alias("gram")) for size, no, gram in places))
+    """One row per place (L, quarter, letters) of a word."""
+    each = F.array(*(F.struct(size.alias("size"), F.lit(hit).alias("hit"), gram.alias("gram")) for size, hit, gram in places))
     rows = words.select(F.col("word").alias(f"word{side}"), F.col("n").alias(f"n{side}"), F.explode(each).alias("c"))
     return rows.select("c.*", f"word{side}", f"n{side}")
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """(worda, na, wordb, nb): every pair of near words once, the shorter one, or of equal length the smaller one, first."""
-    word, length = F.col("word"), F.char_length("word")
-    half = _half(length)
-    chunks = [(length, 0, F.substring(word, F.lit(1), half)), (length, 1, F.substring(word, half + 1, length))]
-    shorter = length - 1
-    grams = chunks + [
-        (shorter, 0, F.substring(word, F.lit(1), _half(shorter))), (shorter, 1, F.substring(word, _half(shorter) + 2, length)),
-    ]
-    a, b = _posted(words, chunks, "a"), _posted(words, grams, "b")
-    longer = F.char_length("wordb") > F.char_length("worda")
-    head = _half(F.char_length("worda"))
-    first_chunk_too = F.substring("worda", F.lit(1), head) == F.substring("wordb", F.lit(1), head)
-    same = [a[c] == b[c] for c in ("size", "no", "gram")]
-    once = (longer | (F.col("worda") < F.col("wordb"))) & ((a["no"] == 0) | ~first_chunk_too)
+    length = F.char_length("word")
+    a = _posted(words, _grams(length, 0), "a")
+    b = _posted(words, _grams(length, 0) + _grams(length - 1, 1), "b")
+    same = [a[c] == b[c] for c in ("size", "hit", "gram")]
+    once = (F.char_length("wordb") > F.char_length("worda")) | (F.col("worda") < F.col("wordb"))
     pairs = a.join(b, [*same, once, F.levenshtein("worda", "wordb", 1) == 1])
-    return pairs.select("worda", "na", "wordb", "nb")
+    # An edit inside a run of equal letters can be seen in two quarters.
+    return pairs.select("worda", "na", "wordb", "nb").distinct()
 
 
 def _ends(links: DataFrame) -> DataFrame:
