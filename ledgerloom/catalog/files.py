@@ -44,20 +44,40 @@ def s1_errors(t):
     return R.filing_index_errors(t.spark, land_filings(t)).select("payload")
 
 
+MANIFEST_ROWS = 10_000
+# Rows by the manifest that holds them and their place in it.
+S_PLACED = f"""placed AS (SELECT ticker, source_file || '.' || (seq // {MANIFEST_ROWS}) AS source_file, fetched_at, doc_id, status, period_end,
+  row_number() OVER (PARTITION BY ticker, source_file, fetched_at, seq // {MANIFEST_ROWS} ORDER BY seq) - 1 AS seq FROM b_manifests)"""
+
+
+def manifest_name(path: str):
+    """The folder that a manifest was found in."""
+    return F.regexp_extract(F.col(path), "/manifest=([^/]+)/", 1)
+
+
 def land_manifests(t) -> str:
-    results = F.collect_list(F.struct("doc_id", "status", "period_end", F.col("seq").cast("string").alias("file_path")))
-    payloads = t.b_manifests.groupBy(
-        "ticker", "source_file", "fetched_at", F.floor(F.col("seq") / 1000).alias("chunk")
-    ).agg(results.alias("results"))
+    """Manifests in folders of their name, as landed by collectors, in pieces of bounded size, with a damaged line in some."""
+    chunk = F.floor(F.col("seq") / MANIFEST_ROWS)
+    results = F.sort_array(F.collect_list(F.struct("seq", "doc_id", "status", "period_end")))
+    payloads = t.b_manifests.groupBy("ticker", "source_file", "fetched_at", chunk.alias("chunk")).agg(results.alias("results"))
+    line = F.to_json(F.struct("ticker", "fetched_at", F.transform("results", lambda r: r.dropFields("seq")).alias("results")))
+    name = lambda c: F.concat("source_file", F.lit("."), c.cast("string")).alias("manifest")
+    good = payloads.select(line.alias("value"), name(F.col("chunk")))
+    damaged = t.b_manifests.filter(F.col("seq") % 5000 == 0).select(F.concat(F.lit('{"ticker": "'), "doc_id").alias("value"), name(chunk))
     folder = shared_folder(t.spark, "manifests")
-    payloads.select("ticker", "fetched_at", F.col("source_file").alias("edinet_code"), "results").write.json(folder)
+    good.unionByName(damaged).repartition("manifest").write.partitionBy("manifest").text(folder)
     return folder
 
 
-@query("s2_manifests", ["b_manifests"], "SELECT ticker, source_file, fetched_at, doc_id, status, period_end, seq FROM b_manifests")
+@query("s2_manifests", ["b_manifests"], f"WITH {S_PLACED} SELECT ticker, source_file, fetched_at, doc_id, status, period_end, seq FROM placed")
 def s2(t):
-    rows = R.read_manifests(t.spark, land_manifests(t), file_name=F.col("edinet_code"))
-    return rows.select("ticker", "source_file", "fetched_at", "doc_id", "status", "period_end", F.col("file_path").cast("bigint").alias("seq"))
+    rows = R.read_manifests(t.spark, land_manifests(t), file_name=manifest_name("_metadata.file_path"))
+    return rows.select("ticker", "source_file", "fetched_at", "doc_id", "status", "period_end", "seq")
+
+
+@query("s2_manifest_errors", ["b_manifests"], """SELECT '{"ticker": "' || doc_id AS payload FROM b_manifests WHERE seq % 5000 = 0""")
+def s2_errors(t):
+    return R.manifest_errors(t.spark, land_manifests(t)).select("payload")
 
 
 @query("s3_filer_master_csv", ["b_securities"], """
@@ -198,19 +218,40 @@ def s14(t):
 
 # ------------------------------------------------------------------ streams
 
+_ST1 = {"keyword": "半期報告書", "form_codes": ["030000", "043000"]}
+
+
+def filing_stream(t) -> tuple:
+    """The lists streamed in small batches, and once more under a new checkpoint, as after the loss of the first one."""
+    source, target = land_filings(t), shared_folder(t.spark, "stream")
+    for _ in range(2):
+        out = jobs.filing_stream(t.spark, source, target, shared_folder(t.spark, "checkpoint"), files_per_batch=4, **_ST1)
+    return out, jobs.read_errors(t.spark, f"{target}_errors")
+
+
 @query("st1_filing_stream", ["b_filings"], """
 SELECT "docID", "edinetCode", list_date FROM b_filings WHERE contains("docDescription", '半期報告書') AND "xbrlFlag" = '1' AND "formCode" IN ('030000', '043000')""")
 def st1(t):
-    source, target, checkpoint = land_filings(t), shared_folder(t.spark, "stream"), shared_folder(t.spark, "checkpoint")
-    jobs.filing_stream(t.spark, source, target, checkpoint, files_per_batch=4, keyword="半期報告書", form_codes=["030000", "043000"])
-    return t.spark.read.parquet(target).select("docID", "edinetCode", "list_date")
+    return filing_stream(t)[0].select("docID", "edinetCode", "list_date")
 
 
-@query("st2_manifest_upsert", ["b_manifests"], """
-SELECT ticker, doc_id, fetched_at, source_file, status, period_end, seq FROM b_manifests QUALIFY row_number() OVER (PARTITION BY ticker, doc_id ORDER BY fetched_at DESC, source_file, seq) = 1""")
-def st2(t):
+@query("st1_filing_stream_errors", ["b_filings"], """SELECT '{"date": "' || docID AS payload FROM b_filings WHERE seq % 500 = 0""")
+def st1_errors(t):
+    return filing_stream(t)[1].select("payload")
+
+
+def manifest_store(t) -> tuple:
     source, store, checkpoint = land_manifests(t), shared_folder(t.spark, "store"), shared_folder(t.spark, "checkpoint")
-    latest = jobs.manifest_upsert(
-        t.spark, source, store, checkpoint, files_per_batch=3, source_file=F.col("edinet_code"), place=F.col("r.file_path").cast("bigint")
-    )
-    return t.spark.read.parquet(latest)
+    rows = jobs.manifest_upsert(t.spark, source, store, checkpoint, files_per_batch=3, source_file=manifest_name("_file_path"))
+    return rows, jobs.read_errors(t.spark, f"{store}_errors")
+
+
+@query("st2_manifest_upsert", ["b_manifests"], f"""
+WITH {S_PLACED} SELECT ticker, doc_id, fetched_at, source_file, status, period_end, seq FROM placed QUALIFY row_number() OVER (PARTITION BY ticker, doc_id ORDER BY fetched_at DESC, source_file, seq) = 1""")
+def st2(t):
+    return manifest_store(t)[0]
+
+
+@query("st2_manifest_errors", ["b_manifests"], """SELECT '{"ticker": "' || doc_id AS payload FROM b_manifests WHERE seq % 5000 = 0""")
+def st2_errors(t):
+    return manifest_store(t)[1].select("payload")

@@ -54,13 +54,21 @@ def filing_index_errors(spark: SparkSession, path: str, whole_file: bool = False
 
 
 def read_manifests(spark: SparkSession, path: str, file_name: Column | None = None, whole_file: bool = False) -> DataFrame:
-    """Manifest results tagged with their file and fetch time; payloads of another shape drop out."""
+    """Manifest results tagged with their file, fetch time and place in the list; see `manifest_errors` for payloads of another shape."""
     payloads = _payloads(spark, path, MANIFEST_SCHEMA, whole_file).filter(F.col("_corrupt_record").isNull())
     source = file_name if file_name is not None else F.col("_metadata.file_name")
     return payloads.select(
         "ticker", source.alias("source_file"), F.coalesce("fetched_at", F.lit("")).alias("fetched_at"),
-        F.explode("results").alias("r"),
-    ).select("ticker", "source_file", "fetched_at", "r.*")
+        F.posexplode("results").alias("pos", "r"),
+    ).select("ticker", "source_file", "fetched_at", F.col("pos").cast("bigint").alias("seq"), "r.*")
+
+
+def manifest_errors(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
+    """Payloads that are no manifest, with their file."""
+    payloads = _payloads(spark, path, MANIFEST_SCHEMA, whole_file)
+    return payloads.filter(F.col("_corrupt_record").isNotNull() | F.col("results").isNull()).select(
+        F.col("_metadata.file_name").alias("file_name"), F.col("_corrupt_record").alias("payload")
+    )
 
 
 def read_filer_csv(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import page_periods
 from ledgerloom.operators import pages, quality
+from ledgerloom.operators.inventory import latest_manifest
 from ledgerloom.operators.ranking import running_position
 from ledgerloom.sources import landing, readers, xbrl
 from ledgerloom.streaming import jobs
+from ledgerloom.streaming.store import BucketStore
 
 
 def put(folder, name, value, indent=2):
@@ -46,13 +48,101 @@ def manifest(doc_ids, fetched):
 def test_upsert_keeps_rows_after_a_new_checkpoint(spark, tmp_path):
     store = str(tmp_path / "store")
     put(tmp_path / "a", "manifest_1.json", manifest(["A", "C"], "2024-01-01"))
-    jobs.manifest_upsert(spark, str(tmp_path / "a"), store, str(tmp_path / "c1"), whole_file=True)
+    jobs.manifest_upsert(spark, str(tmp_path / "a"), store, str(tmp_path / "c1"))
     put(tmp_path / "b", "manifest_2.json", manifest(["B", "C"], "2024-02-01"))
-    last = jobs.manifest_upsert(spark, str(tmp_path / "b"), store, str(tmp_path / "c2"), whole_file=True)
-    rows = {r.doc_id: (r.source_file, r.seq) for r in spark.read.parquet(last).collect()}
+    last = jobs.manifest_upsert(spark, str(tmp_path / "b"), store, str(tmp_path / "c2"))
+    rows = {r.doc_id: (r.source_file, r.seq) for r in last.collect()}
     assert rows == {"A": ("manifest_1.json", 0), "B": ("manifest_2.json", 0), "C": ("manifest_2.json", 1)}
 
 
+def test_unreadable_manifests_leave_a_row(spark, tmp_path):
+    source, store, checkpoint = str(tmp_path / "m"), str(tmp_path / "store"), str(tmp_path / "c")
+    lines = "\n".join([json.dumps(manifest(["A"], "1")), '{"ticker": "72', json.dumps(manifest(["B"], "1"))])
+    put(tmp_path / "m", "lines.json", lines)
+    put(tmp_path / "m", "indented.json", manifest(["C"], "2"))
+    put(tmp_path / "m", "page.json", "<html>\n</html>")
+    put(tmp_path / "m", "other.json", {"ticker": "1"}, indent=None)
+    put(tmp_path / "m", "empty.json", "")
+    rows = jobs.manifest_upsert(spark, source, store, checkpoint)
+    assert sorted(r.doc_id for r in rows.collect()) == ["A", "B", "C"]
+    errors = lambda: sorted(tuple(r) for r in jobs.read_errors(spark, f"{store}_errors").collect())
+    found = errors()
+    assert [f for f, _ in found] == ["lines.json", "other.json", "page.json", "page.json"]
+    assert found[0][1] == '{"ticker": "72'
+    jobs.manifest_upsert(spark, source, store, str(tmp_path / "c2"))
+    assert errors() == found
+
+
+def stored_rows(spark, items):
+    rows = [(t, d, f, "m", "ok", None, 0) for t, d, f in items]
+    return spark.createDataFrame(rows, jobs.STORED_MANIFESTS)
+
+
+def test_store_rewrites_touched_buckets_only(spark, tmp_path):
+    table = BucketStore(spark, str(tmp_path / "s"), jobs.STORED_MANIFESTS, ["ticker"], buckets=16)
+    assert table.read().count() == 0
+    tickers = [str(i) for i in range(40)]
+    assert table.upsert(stored_rows(spark, [(t, "A", "1") for t in tickers]), latest_manifest, "stream", 0) == 0
+    first = table.entry()["folders"]
+    assert table.upsert(stored_rows(spark, [("7", "A", "2"), ("7", "B", "1")]), latest_manifest, "stream", 1) == 1
+    second = table.entry()["folders"]
+    assert sum(first[b] != second[b] for b in first) == 1
+    newest = {(r.ticker, r.doc_id): r.fetched_at for r in table.read().collect()}
+    assert newest == {**{(t, "A"): "1" for t in tickers}, ("7", "A"): "2", ("7", "B"): "1"}
+    # The version before is whole until another one follows; then what nobody names is deleted.
+    assert table.read(0).count() == 40
+    table.upsert(stored_rows(spark, [("7", "C", "1")]), latest_manifest, "stream", 2)
+    assert table.versions() == [1, 2] and table.read(1).count() == 41
+    left = {p.parent.relative_to(tmp_path / "s").as_posix() for p in (tmp_path / "s" / "data").rglob("*.parquet")}
+    assert left == {f for v in (1, 2) for f in table.entry(v)["folders"].values()}
+
+
+def test_store_knows_a_repeated_batch_and_a_second_writer(spark, tmp_path):
+    table = BucketStore(spark, str(tmp_path / "s"), jobs.STORED_MANIFESTS, ["ticker"], buckets=4)
+    table.upsert(stored_rows(spark, [("1", "A", "1")]), latest_manifest, "stream", 5)
+    assert table.upsert(stored_rows(spark, [("1", "A", "9")]), latest_manifest, "stream", 5) is None
+    assert table.upsert(stored_rows(spark, []), latest_manifest, "stream", 6) is None
+    assert table.upsert(stored_rows(spark, [("1", "B", "1")]), latest_manifest, "other", 0) == 1
+    entry = table.entry()
+    with pytest.raises(RuntimeError):
+        table._commit(entry)
+    assert table.versions() == [0, 1] and table.read().count() == 2
+
+
+def filing(doc, date="x"):
+    fields = {"edinetCode": "E1", "docDescription": "有価証券報告書", "xbrlFlag": "1", "formCode": "030000"}
+    return {"docID": doc, **fields, "filerName": date}
+
+
+def listing(date, docs):
+    return json.dumps({"date": date, "results": [filing(d, date) for d in docs]}, ensure_ascii=False)
+
+
+def test_filing_stream_after_a_restart_with_a_damaged_list(spark, tmp_path):
+    source, target = tmp_path / "lists", str(tmp_path / "filings")
+    put(source, "a.json", listing("2024-03-30", ["S1000001", "S1000002"]) + "\n" + listing("2024-04-02", ["S1000002", "S1000003"]))
+    put(source, "b.json", '{"date": "2024-04-0')
+    put(source, "c.json", {"date": "2024-05-01", "results": [filing("S1000004")]})
+    put(source, "d.json", listing(None, ["S1000005"]))
+    first = jobs.filing_stream(spark, str(source), target, str(tmp_path / "c1"))
+    assert sorted((r.docID, str(r.list_date)) for r in first.collect()) == [
+        ("S1000001", "2024-03-30"), ("S1000002", "2024-03-30"), ("S1000003", "2024-04-02"), ("S1000004", "2024-05-01"), ("S1000005", "None")]
+    # The list of a day comes again, with one more filing, under the old checkpoint and under a new one.
+    put(source, "e.json", listing("2024-04-03", ["S1000001", "S1000006"]) + "\n" + listing(None, ["S1000005"]))
+    for checkpoint in ("c1", "c1", "c2"):
+        rows = jobs.filing_stream(spark, str(source), target, str(tmp_path / checkpoint), files_per_batch=2)
+    assert sorted(r.docID for r in rows.collect()) == [f"S100000{i}" for i in range(1, 7)]
+    assert [tuple(r) for r in jobs.read_errors(spark, f"{target}_errors").collect()] == [("b.json", '{"date": "2024-04-0')]
+
+
+def test_filings_far_apart_are_compared_without_a_horizon(spark, tmp_path):
+    source, target = tmp_path / "lists", str(tmp_path / "filings")
+    put(source, "a.json", listing("2020-01-01", ["S1000001"]))
+    jobs.filing_stream(spark, str(source), target, str(tmp_path / "c"))
+    put(source, "b.json", listing("2024-01-01", ["S1000001"]))
+    assert jobs.filing_stream(spark, str(source), target, str(tmp_path / "c"), horizon_days=None).count() == 1
+
+
 def test_landing_needs_a_shared_folder():
     class Conf:
         def get(self, key, default=None):
