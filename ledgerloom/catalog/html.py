@@ -10,8 +10,8 @@ from ledgerloom.operators import html as O
 DEPS = ["b_html"]
 
 
-def elements(t):
-    return O.page_elements(t.b_site_pages)
+def parts(t, *wanted):
+    return O.page_parts(t.b_site_pages, *wanted)
 
 
 def states(t):
@@ -20,14 +20,14 @@ def states(t):
 
 @query("p6_not_found_page", DEPS, "SELECT page_id, page_id % 10 IN (0, 5) AS not_found FROM b_html")
 def p6(t):
-    return O.not_found_pages(elements(t))
+    return O.not_found_pages(parts(t, "titles", "notices"))
 
 
 @query("h3_page_news", DEPS, """
 SELECT page_id, 1 AS item_no, 'News ' || segment AS title, '/n/' || page_id AS href, '2026-02-20' AS date FROM b_html
 UNION ALL SELECT page_id, 3, 'Second', '/m', '2026-02-1' || page_id % 10 FROM b_html""")
 def h3(t):
-    return O.page_news(elements(t))
+    return O.page_news(parts(t, "items"))
 
 
 @query("h4_html_tables", DEPS, """
@@ -38,14 +38,14 @@ UNION ALL SELECT page_id, header, cell FROM b_html, LATERAL (VALUES ('PER', k ||
 UNION ALL SELECT page_id, '売上高', '純利益' FROM b_html""")
 def h4(t):
     # Below the first heading row of a definition table its next heading is an ordinary cell.
-    return O.html_tables(elements(t)).select("page_id", "header", "cell")
+    return O.html_tables(parts(t, "rows")).select("page_id", "header", "cell")
 
 
 @query("h4_table_results", DEPS, """
 SELECT page_id, '2024.03' AS period, page_id * 1e3 AS revenue, -k::DOUBLE AS operating_income, NULL::DOUBLE AS ordinary_income, NULL::DOUBLE AS net_income, 15e-1 AS eps FROM b_html
 UNION ALL SELECT page_id, '2023.03', 7e0, nation::DOUBLE, NULL, NULL, NULL FROM b_html WHERE page_id % 2 = 0""")
 def h4_results(t):
-    return O.table_results(elements(t)).drop("row_no")
+    return O.table_results(parts(t, "rows")).drop("row_no")
 
 
 @query("h4_table_prices", DEPS, """
@@ -53,7 +53,7 @@ SELECT page_id, k * 1e3 + 720 AS current, -k::DOUBLE AS change, 1e3 + k AS prev_
  CASE WHEN page_id % 3 <> 0 THEN CAST(k || '.1' AS DOUBLE) END AS per, NULL::DOUBLE AS pbr, CASE WHEN page_id % 3 <> 0 THEN 25e-1 END AS dividend_yield,
  CASE WHEN page_id % 3 <> 0 AND nation * 1e12 + k * 1e8 > 0 THEN nation * 1e12 + k * 1e8 END AS market_cap FROM b_html""")
 def h4_prices(t):
-    return O.table_prices(elements(t))
+    return O.table_prices(parts(t, "rows", "blocks"))
 
 
 _LIVE = "page_id % 7 < 5"
@@ -84,16 +84,16 @@ def h5_news(t):
 @query("h6_definition_tables", DEPS, """
 SELECT page_id, 'earnings-forecast' AS section, '売上高' AS name, page_id || '百万円' AS value FROM b_html UNION ALL SELECT page_id, 'earnings-forecast', '純利益', '9' FROM b_html""")
 def h6(t):
-    return O.definition_tables(elements(t)).drop("row_no")
+    return O.definition_tables(parts(t, "rows")).drop("row_no")
 
 
 @query("h6_shareholders", DEPS, "SELECT page_id, name, k || '.0%' AS ratio FROM b_html")
 def h6_shareholders(t):
-    return O.shareholder_rows(elements(t)).drop("row_no")
+    return O.shareholder_rows(parts(t, "rows")).drop("row_no")
 
 
 @query("h7_earnings_flash", DEPS, """
 SELECT page_id, CASE WHEN page_id % 4 = 1 THEN 'Flash ' || name ELSE segment END AS title, CASE WHEN page_id % 4 = 1 THEN '2026/02/0' || (1 + page_id % 9) END AS date,
   CASE WHEN page_id % 4 = 1 THEN 'upagain' END AS content FROM b_html WHERE page_id % 4 IN (1, 2)""")
 def h7(t):
-    return O.earnings_flash(elements(t))
+    return O.earnings_flash(parts(t, "blocks"))

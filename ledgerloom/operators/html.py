@@ -1,9 +1,11 @@
-"""Web pages: page facts, links, and tables and lists read through one element reader."""
+"""Web pages: page facts, links, and tables and lists read through one page reader."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from html.parser import HTMLParser
+import re
+from collections.abc import Callable, Iterator
+from html import unescape
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -45,118 +47,236 @@ def ir_links(pages: DataFrame, path: str = IR_PATH) -> DataFrame:
     )
 
 
-# ------------------------------------------------------------------ element reader
+# ------------------------------------------------------------------ page reader
 
 VOID_TAGS = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-READ_TAGS = {"title", "th", "td", "a", "time", "p", "div", "span", "h1", "h3", "li", "section"}
-ELEMENT_SCHEMA = (
-    "page_id bigint, node int, tag string, marks array<string>, own array<string>, table_no int, row_no int, "
-    "cell_no int, item_no int, href string, text string"
-)
-_NUMBERED = {"table": "table_no", "tr": "row_no", "li": "item_no"}
-
-
-class _Elements(HTMLParser):
-    """Flat list of the elements of a page with the marks (#id, .class, [section]) of their ancestors."""
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.open: list[dict] = [{"tag": "", "marks": [], "table_no": None, "row_no": None, "item_no": None, "cells": 0, "text": None}]
-        self.rows: list[dict] = []
-        self.counts = dict.fromkeys(_NUMBERED, 0)
-
-    def handle_starttag(self, tag, attrs):
-        given, parent = dict(attrs), self.open[-1]
-        own = [f"#{given['id']}"] if given.get("id") else []
-        own += [f".{c}" for c in (given.get("class") or "").split()]
-        own += [f"[{given['data-section']}]"] if given.get("data-section") else []
-        element = {
-            "tag": tag, "own": own, "marks": parent["marks"] + own, "href": given.get("href"), "cells": 0, "cell_no": None,
-            "table_no": parent["table_no"], "row_no": parent["row_no"], "item_no": parent["item_no"], "text": None,
-        }
-        if tag in self.counts:
-            self.counts[tag] += 1
-            element[_NUMBERED[tag]] = self.counts[tag]
-        if tag in ("th", "td"):
-            parent["cells"] += 1
-            element["cell_no"] = parent["cells"]
-        if tag in READ_TAGS:
-            element["node"], element["text"] = len(self.rows), []
-            self.rows.append(element)
-        if tag not in VOID_TAGS:
-            self.open.append(element)
-
-    def handle_endtag(self, tag):
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i]["tag"] == tag:
-                del self.open[i:]
-                return
+BLOCK_TAGS = {"a", "time", "p", "div", "span", "h1", "h3", "li", "section"}
+# Blocks whose elements are read, and the marks of news sections.
+BLOCKS = ("#stockinfo_i1", "#kessan_flash")
+NEWS_MARK = r"(?i)^[#.].*(news|press|release)"
+# What a page says that has no security to show.
+NO_SUCH_TITLE = "該当なし"
+NO_SUCH_NOTICE = ("該当する銘柄", "ありません")
+
+_PART = [("tag", pa.string()), ("own", pa.list_(pa.string())), ("marks", pa.list_(pa.string())), ("href", pa.string()), ("text", pa.string())]
+_CELL = [("heading", pa.bool_()), ("header", pa.string()), ("marks", pa.list_(pa.string())), ("text", pa.string())]
+# What can be asked of a page, in the order of the document.
+PAGE_PARTS = {
+    "titles": ("array<string>", pa.list_(pa.string())),
+    "notices": ("array<string>", pa.list_(pa.string())),
+    "rows": (
+        "array<struct<table_no:int,row_no:int,cells:array<struct<heading:boolean,header:string,marks:array<string>,text:string>>>>",
+        pa.list_(pa.struct([("table_no", pa.int32()), ("row_no", pa.int32()), ("cells", pa.list_(pa.struct(_CELL)))])),
+    ),
+    "items": (
+        "array<struct<item_no:int,parts:array<struct<tag:string,own:array<string>,marks:array<string>,href:string,text:string>>>>",
+        pa.list_(pa.struct([("item_no", pa.int32()), ("parts", pa.list_(pa.struct(_PART)))])),
+    ),
+    "blocks": ("array<struct<tag:string,own:array<string>,marks:array<string>,href:string,text:string>>", pa.list_(pa.struct(_PART))),
+}
+BATCH_CHARS = 4_000_000
 
-    def handle_data(self, data):
-        piece = data.strip()
-        # Script text belongs to no element: embedded state is taken from the page itself.
-        if piece and self.open[-1]["tag"] not in ("script", "style"):
-            for e in self.open:
-                if e["text"] is not None:
-                    e["text"].append(piece)
-
-
-def _read_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out: dict[str, list] = {name: [] for name in ELEMENT_ARROW.names}
-        for page_id, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            reader = _Elements()
-            reader.feed(html or "")
-            reader.close()
-            for e in reader.rows:
-                for name in ("node", "tag", "marks", "own", "table_no", "row_no", "cell_no", "item_no", "href"):
-                    out[name].append(e[name])
-                out["page_id"].append(page_id)
-                out["text"].append("".join(e["text"]))
-        yield pa.RecordBatch.from_pydict(out, schema=ELEMENT_ARROW)
-
-
-ELEMENT_ARROW = pa.schema(
-    [("page_id", pa.int64()), ("node", pa.int32()), ("tag", pa.string()), ("marks", pa.list_(pa.string())),
-     ("own", pa.list_(pa.string())), ("table_no", pa.int32()), ("row_no", pa.int32()), ("cell_no", pa.int32()),
-     ("item_no", pa.int32()), ("href", pa.string()), ("text", pa.string())]
+# Whole scripts, comments and declarations are one token each; a tag with an open quote ends at the next bracket.
+_TOKEN = re.compile(
+    r"""<(?:(?:script|style)\b[^>]*+>(?s:.*?)</(?:script|style)\s*+>|!--(?s:.*?)-->|[!?][^>]*+>"""
+    r"""|(/?)([a-z][^\s/>]*+)([^>"']*+(?:(?:"[^"]*+"|'[^']*+')[^>"']*+)*+|[^>]*+)>)""", re.I
 )
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""")
+_NEWS = re.compile(NEWS_MARK)
 
 
-def page_elements(pages: DataFrame) -> DataFrame:
-    """Elements of every page, laid out by page.
+def _attributes(text: str) -> dict[str, str]:
+    found: dict[str, str] = {}
+    for name, *values in _ATTRIBUTE.findall(text):
+        found[name.lower()] = unescape("".join(values))
+    return found
 
-    The pages are read once, in Arrow batches; everything after that is relational. As the elements are
-    partitioned by page, the windows and groups within a page need no further shuffle.
-    """
-    return pages.select("page_id", "html").mapInArrow(_read_pages, ELEMENT_SCHEMA).repartition("page_id")
+
+class _Element(NamedTuple):
+    """An element with the marks (#id, .class, [section]) of itself and of those around it, the numbers of the table, row and list item it is in, and its
+    place among the cells of its row. Its text is the pieces from ``begin`` to ``ends[number]``."""
+
+    tag: str
+    own: list[str]
+    marks: list[str]
+    table: int | None
+    row: int | None
+    item: int | None
+    place: int | None
+    href: str | None
+    begin: int
+    number: int
 
 
-def _under(*marks: str) -> Column:
-    return F.arrays_overlap("marks", F.array(*[F.lit(m) for m in marks]))
+class _Page:
+    """The recorded elements of a page, from one pass over its tokens.
 
+    An element is open until its end tag, an end tag of an element around it, or the end of the page; an end tag without an open element is
+    passed over. The text of an element is that of the pieces between its tags, each trimmed; the text of scripts is nobody's.
+    """
 
-def with_headers(elements: DataFrame) -> DataFrame:
-    """Elements with the column name of the data cells; null for all other elements.
+    def __init__(self, html: str, recorded: frozenset[str], blocks: tuple[str, ...] = BLOCKS) -> None:
+        self.pieces: list[str] = []
+        self.found: list[_Element] = []
+        self.ends: list[int | None] = []
+        self.blocks = set(blocks)
+        pieces, found, ends = self.pieces, self.found, self.ends
+        tables = rows = items = 0
+        cells: dict[int | None, int] = {}
+        # What is open: tag, marks, table, row, item, and the number of the element if it is recorded.
+        marks: list[str] = []
+        stack: list[tuple] = [("", marks, None, None, None, None)]
+        # Text and tags take turns: text, end mark, tag, attributes, text, ...
+        tokens = _TOKEN.split(html)
+        for at in range(0, len(tokens), 4):
+            if (text := tokens[at]) and (piece := text.strip()):
+                if "&" not in piece or (piece := unescape(piece).strip()):
+                    pieces.append(piece)
+            if at + 1 == len(tokens) or (tag := tokens[at + 2]) is None:
+                continue
+            tag = tag.lower()
+            if tokens[at + 1]:
+                self._close(stack, tag)
+                continue
+            if tag == "script" or tag == "style":
+                break  # never closed, so the rest of the page is script
+            _, marks, table, row, item, _ = stack[-1]
+            own, href, attributes = [], None, tokens[at + 3]
+            if "=" in attributes:
+                given = _attributes(attributes)
+                own = [f"#{given['id']}"] if given.get("id") else []
+                own += [f".{c}" for c in given.get("class", "").split()]
+                own += [f"[{given['data-section']}]"] if given.get("data-section") else []
+                href = given.get("href")
+                marks = marks + own if own else marks
+            place = number = None
+            if tag == "tr":
+                row = rows = rows + 1
+            elif tag == "td" or tag == "th":
+                place = cells[row] = cells.get(row, 0) + 1
+            elif tag == "li":
+                item = items = items + 1
+            elif tag == "table":
+                table = tables = tables + 1
+            if tag in recorded:
+                number = len(found)
+                found.append(_Element(tag, own, marks, table, row, item, place, href, len(pieces), number))
+                ends.append(None)
+            if tag not in VOID_TAGS:
+                stack.append((tag, marks, table, row, item, number))
+                if attributes.endswith("/"):
+                    self._close(stack, tag)
+
+    def _close(self, stack: list[tuple], tag: str) -> None:
+        for i in range(len(stack) - 1, 0, -1):
+            if stack[i][0] == tag:
+                for *_, number in stack[i:]:
+                    if number is not None:
+                        self.ends[number] = len(self.pieces)
+                del stack[i:]
+                return
 
-    The first row of a table with a heading cell names the columns; the rows before it are not data.
-    The window holds one table of one page.
+    def text(self, e: _Element) -> str:
+        return "".join(self.pieces[e.begin : self.ends[e.number]])
+
+    def part(self, name: str) -> list:
+        return getattr(self, f"_{name}")()
+
+    def _titles(self) -> list[str]:
+        return [self.text(e) for e in self.found if e.tag == "title"]
+
+    def _notices(self) -> list[str]:
+        texts = (self.text(e) for e in self.found if e.tag in ("p", "div"))
+        return [t for t in texts if all(w in t for w in NO_SUCH_NOTICE)]
+
+    def _rows(self) -> list[dict]:
+        """Rows with their cells. The first row of a table with a heading cell names the columns; the cells of later rows carry the name
+        of their column."""
+        rows: dict[int, list[_Element]] = {}
+        for e in self.found:
+            if e.place is not None and e.row is not None:
+                rows.setdefault(e.row, []).append(e)
+        heads: dict[int, list[str]] = {}
+        out = []
+        for number in sorted(rows):
+            cells = rows[number]
+            table = cells[0].table
+            names = heads.get(table, [])
+            out.append({
+                "table_no": table, "row_no": number,
+                "cells": [
+                    {"heading": c.tag == "th", "header": names[c.place - 1] if c.place <= len(names) else None, "marks": c.marks, "text": self.text(c)}
+                    for c in cells
+                ],
+            })
+            if table is not None and table not in heads and (titles := [self.text(c) for c in cells if c.tag == "th"]):
+                heads[table] = titles
+        return out
+
+    def _as_part(self, e: _Element) -> dict:
+        return {"tag": e.tag, "own": e.own, "marks": e.marks, "href": e.href, "text": self.text(e)}
+
+    def _items(self) -> list[dict]:
+        items: dict[int, list[dict]] = {}
+        for e in self.found:
+            if e.item is not None and e.tag in BLOCK_TAGS and any(map(_NEWS.search, e.marks)):
+                items.setdefault(e.item, []).append(self._as_part(e))
+        return [{"item_no": number, "parts": parts} for number, parts in items.items()]
+
+    def _blocks(self) -> list[dict]:
+        return [self._as_part(e) for e in self.found if e.tag in BLOCK_TAGS and not self.blocks.isdisjoint(e.marks)]
+
+
+# The elements that each part needs.
+_RECORDED = {"titles": {"title"}, "notices": {"p", "div"}, "rows": {"th", "td"}, "items": BLOCK_TAGS, "blocks": BLOCK_TAGS}
+
+
+def page_parts(pages: DataFrame, *wanted: str, blocks: tuple[str, ...] = BLOCKS) -> DataFrame:
+    """One row per page with the wanted parts as nested arrays (names and order: ``PAGE_PARTS``, default: all).
+
+    A page is read once, in one pass, and only what is asked for leaves the reader; everything after it is array functions on the
+    row, so no page is shuffled. The batches that are handed on are bounded by characters.
     """
-    table = Window.partitionBy("page_id", "table_no")
-    is_heading = (F.col("tag") == "th") & F.col("table_no").isNotNull()
-    found = elements.withColumn("header_row", F.min(F.when(is_heading, F.col("row_no"))).over(table))
-    names = F.collect_list(F.when(is_heading & (F.col("row_no") == F.col("header_row")), F.struct("cell_no", "text"))).over(table)
-    header = F.get(F.array_sort(F.col("names")), F.col("cell_no") - 1)["text"]
-    return found.withColumn("names", names).withColumn(
-        "header", F.when(F.col("tag").isin("th", "td") & (F.col("row_no") > F.col("header_row")), header)
-    ).drop("names", "header_row")
+    names = [n for n in PAGE_PARTS if not wanted or n in wanted]
+    id_type = pages.schema["page_id"].dataType.simpleString()
+    recorded = frozenset().union(*(_RECORDED[n] for n in names))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            begin, size, out = 0, 0, {n: [] for n in names}
+            for i, html in enumerate(batch.column(1)):
+                page = _Page(html.as_py() or "", recorded, blocks)
+                for n in names:
+                    out[n].append(page.part(n))
+                size += sum(map(len, page.pieces))
+                if size >= BATCH_CHARS or i + 1 == batch.num_rows:
+                    arrays = [pa.array(out[n], PAGE_PARTS[n][1]) for n in names]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, i + 1 - begin), *arrays], names=["page_id", *names])
+                    begin, size, out = i + 1, 0, {n: [] for n in names}
+
+    return pages.select("page_id", "html").mapInArrow(read, ", ".join([f"page_id {id_type}", *(f"{n} {PAGE_PARTS[n][0]}" for n in names)]))
+
+
+def _under(marks: Column, *wanted: str) -> Column:
+    return F.arrays_overlap(marks, F.array(*[F.lit(m) for m in wanted]))
 
 
-def html_tables(elements: DataFrame) -> DataFrame:
+def _texts(parts: Column, condition: Callable[[Column], Column]) -> Column:
+    return F.transform(F.filter(parts, condition), lambda p: p["text"])
+
+
+def _first_text(parts: Column, condition: Callable[[Column], Column]) -> Column:
+    return F.get(_texts(parts, condition), F.lit(0))
+
+
+def _classed(pattern: str) -> Callable[[Column], Column]:
+    return lambda p: F.exists(p["own"], lambda m: m.rlike(rf"^\..*({pattern})"))
+
+
+def html_tables(parts: DataFrame) -> DataFrame:
     """Cells of header tables: one row per page, table, row and header."""
-    return with_headers(elements).filter(F.col("header").isNotNull()).select(
-        "page_id", "marks", "table_no", "row_no", "header", F.col("text").alias("cell")
-    )
+    rows = parts.select("page_id", F.explode("rows").alias("r")).select("page_id", "r.table_no", "r.row_no", F.explode("r.cells").alias("c"))
+    return rows.filter(F.col("c.header").isNotNull()).select("page_id", "c.marks", "table_no", "row_no", "c.header", F.col("c.text").alias("cell"))
 
 
 # Column names of the result, price and indicator tables, in order of preference.
@@ -167,94 +287,81 @@ RESULT_HEADERS = {
 PRICE_HEADERS = {"prev_close": "前日終値", "open": "始値", "high": "高値", "low": "安値", "volume": "出来高"}
 
 
-def table_results(elements: DataFrame) -> DataFrame:
-    """Result rows of a page's financial table; one pivot over the needed headers."""
-    cells = html_tables(elements).filter(_under("#financial_td"))
-    of = lambda name: F.max(F.when(F.col("header") == name, F.col("cell")))
-    wide = cells.groupBy("page_id", "table_no", "row_no").agg(
-        *[F.coalesce(*[of(h) for h in names]).alias(k) for k, names in RESULT_HEADERS.items()]
-    )
+def table_results(parts: DataFrame) -> DataFrame:
+    """Result rows of a page's financial table."""
+    titled = F.filter("r.cells", lambda c: c["header"].isNotNull() & _under(c["marks"], "#financial_td"))
+    rows = parts.select("page_id", F.explode("rows").alias("r")).select("page_id", "r.row_no", titled.alias("cells")).filter(F.size("cells") > 0)
+    of = lambda name: F.array_max(_texts(F.col("cells"), lambda c: c["header"] == name))
+    wide = rows.select("page_id", "row_no", *[F.coalesce(*[of(h) for h in names]).alias(k) for k, names in RESULT_HEADERS.items()])
     return wide.select(
         "page_id", "row_no", "period", *[parse_plain_number(F.col(k)).alias(k) for k in RESULT_HEADERS if k != "period"]
     )
 
 
-def table_prices(elements: DataFrame) -> DataFrame:
+def table_prices(parts: DataFrame) -> DataFrame:
     """Current price, change, the day's prices and the indicators of a page."""
-    first_text = lambda inside, own: F.min(
-        F.when(_under(inside) & F.array_contains("own", F.lit(own)), F.struct("node", "text"))
-    )["text"]
-    # The last row with a header counts, as later rows overwrite earlier ones.
-    wanted = _under("#stockinfo_i2", "#stockinfo_i3")
-    of = lambda name: F.max(F.when(wanted & (F.col("header") == name), F.struct("table_no", "row_no", "text")))["text"]
-    texts = {"current": first_text("#stockinfo_i1", ".kabuka"), "change": first_text("#stockinfo_i1", ".change"),
-             **{k: of(h) for k, h in PRICE_HEADERS.items()},
+    in_block = lambda own: _first_text(F.col("blocks"), lambda p: _under(p["marks"], "#stockinfo_i1") & F.array_contains(p["own"], F.lit(own)))
+    # The last row with a header counts, as later rows overwrite earlier ones; of cells of one row, the greatest text.
+    titled = lambda r: F.filter(r["cells"], lambda c: c["header"].isNotNull() & _under(c["marks"], "#stockinfo_i2", "#stockinfo_i3"))
+    placed = lambda r: F.transform(titled(r), lambda c: F.struct(c["header"].alias("header"), r["table_no"], r["row_no"], c["text"]))
+    cells = parts.select("page_id", "blocks", F.flatten(F.transform("rows", placed)).alias("cells"))
+    of = lambda name: F.array_max(F.filter("cells", lambda c: c["header"] == name))["text"]
+    texts = {"current": in_block(".kabuka"), "change": in_block(".change"), **{k: of(h) for k, h in PRICE_HEADERS.items()},
              "per": of("PER"), "pbr": of("PBR"), "dividend_yield": of("利回り"), "market_cap": of("時価総額")}
-    found = with_headers(elements).groupBy("page_id").agg(*[c.alias(k) for k, c in texts.items()])
+    found = cells.select("page_id", *[c.alias(k) for k, c in texts.items()])
     return found.select(
         "page_id", *[(parse_market_cap if k == "market_cap" else parse_plain_number)(F.col(k)).alias(k) for k in texts]
     )
 
 
-def page_news(elements: DataFrame) -> DataFrame:
+def page_news(parts: DataFrame) -> DataFrame:
     """Items of a page's news section with link, title and date."""
-    inside = F.exists("marks", lambda m: m.rlike(r"(?i)^[#.].*(news|press|release)"))
-    parts = elements.filter(inside & F.col("item_no").isNotNull())
-    first = lambda cond, field: F.min(F.when(cond, F.struct("node", field)))[field]
-    dated = (F.col("tag") == "time") | F.exists("own", lambda m: m.rlike(r"(?i)^\..*(date|time)"))
-    rows = parts.groupBy("page_id", "item_no").agg(
-        first(F.col("tag") == "a", "text").alias("title"), first(F.col("tag") == "a", "href").alias("href"),
-        F.coalesce(first(F.col("tag") == "time", "text"), first(dated, "text")).alias("date"),
-        F.max(F.col("tag") == "a").alias("has_link"),
-    )
-    return rows.filter("has_link").select("page_id", "item_no", "title", "href", "date")
+    items = parts.select("page_id", F.explode("items").alias("i")).select("page_id", "i.item_no", "i.parts")
+    link = F.get(F.filter("parts", lambda p: p["tag"] == "a"), F.lit(0))
+    time = _first_text(F.col("parts"), lambda p: p["tag"] == "time")
+    dated = _first_text(F.col("parts"), lambda p: F.exists(p["own"], lambda m: m.rlike(r"(?i)^\..*(date|time)")))
+    rows = items.select("page_id", "item_no", link.alias("link"), F.coalesce(time, dated).alias("date")).filter(F.col("link").isNotNull())
+    return rows.select("page_id", "item_no", F.col("link.text").alias("title"), F.col("link.href").alias("href"), "date")
 
 
-def definition_tables(elements: DataFrame, sections: tuple[str, ...] = ("earnings-forecast", "consensus")) -> DataFrame:
+def definition_tables(parts: DataFrame, sections: tuple[str, ...] = ("earnings-forecast", "consensus")) -> DataFrame:
     """Heading and value of each row in the named sections."""
-    first = lambda tag: F.min(F.when(F.col("tag") == tag, F.struct("node", "text")))["text"]
-    section = F.get(F.filter("marks", lambda m: m.isin(*[f"[{s}]" for s in sections])), F.lit(0))
-    rows = elements.filter(F.col("row_no").isNotNull() & F.col("tag").isin("th", "td") & section.isNotNull())
-    return (
-        rows.groupBy("page_id", section.alias("section"), "row_no").agg(first("th").alias("name"), first("td").alias("value"))
-        .filter(F.col("name").isNotNull() & F.col("value").isNotNull())
-        .select("page_id", F.translate("section", "[]", "").alias("section"), "row_no", "name", "value")
-    )
+    rows = parts.select("page_id", F.explode("rows").alias("r")).select("page_id", "r.row_no", "r.cells")
+    # A cell counts for the outermost of the sections around it.
+    section = lambda c: F.get(F.filter(c["marks"], lambda m: m.isin(*[f"[{s}]" for s in sections])), F.lit(0))
+    within = lambda s: F.struct(F.lit(s).alias("section"), F.filter("cells", lambda c: section(c) == f"[{s}]").alias("cells"))
+    each = rows.select("page_id", "row_no", F.explode(F.array(*map(within, sections))).alias("s")).select("page_id", "row_no", "s.*")
+    name, value = _first_text(F.col("cells"), lambda c: c["heading"]), _first_text(F.col("cells"), lambda c: ~c["heading"])
+    return each.select("page_id", "section", "row_no", name.alias("name"), value.alias("value")).filter("name IS NOT NULL AND value IS NOT NULL")
 
 
-def shareholder_rows(elements: DataFrame) -> DataFrame:
+def shareholder_rows(parts: DataFrame) -> DataFrame:
     """First two cells of each shareholder row."""
-    cells = elements.filter(_under("[shareholders]") & (F.col("tag") == "td"))
-    ordered = F.array_sort(F.collect_list(F.struct("node", "text")))
-    rows = cells.groupBy("page_id", "row_no").agg(ordered.alias("c"))
-    return rows.filter(F.size("c") >= 2).select(
-        "page_id", "row_no", F.col("c").getItem(0)["text"].alias("name"), F.col("c").getItem(1)["text"].alias("ratio")
-    )
+    held = F.filter("r.cells", lambda c: ~c["heading"] & _under(c["marks"], "[shareholders]"))
+    rows = parts.select("page_id", F.explode("rows").alias("r")).select("page_id", "r.row_no", held.alias("c"))
+    return rows.filter(F.size("c") >= 2).select("page_id", "row_no", F.col("c")[0]["text"].alias("name"), F.col("c")[1]["text"].alias("ratio"))
 
 
-def earnings_flash(elements: DataFrame) -> DataFrame:
+def earnings_flash(parts: DataFrame) -> DataFrame:
     """Title, date and content of the flash block of a page."""
-    inside = elements.filter(_under("#kessan_flash") & ~F.array_contains("own", F.lit("#kessan_flash")))
-    classed = lambda pattern: F.exists("own", lambda m: m.rlike(rf"^\..*({pattern})"))
-    first = lambda cond: F.min(F.when(cond, F.struct("node", "text")))["text"]
-    rows = inside.groupBy("page_id").agg(
-        F.coalesce(
-            F.nullif(first(F.col("tag").isin("h3", "a", "span") & classed("title|heading")), F.lit("")), first(F.col("tag") == "a")
-        ).alias("title"),
-        F.coalesce(first(F.col("tag") == "time"), first(classed("date"))).alias("date"),
-        F.coalesce(first(F.col("tag") == "p"), first(classed("content|body"))).alias("content"),
+    inside = F.filter("blocks", lambda p: _under(p["marks"], "#kessan_flash") & ~F.array_contains(p["own"], F.lit("#kessan_flash")))
+    rows = parts.select("page_id", inside.alias("p"))
+    first = lambda condition: _first_text(F.col("p"), condition)
+    tagged = lambda *tags: lambda p: p["tag"].isin(*tags)
+    headed = first(lambda p: p["tag"].isin("h3", "a", "span") & _classed("title|heading")(p))
+    found = rows.select(
+        "page_id", F.coalesce(F.nullif(headed, F.lit("")), first(tagged("a"))).alias("title"),
+        F.coalesce(first(tagged("time")), first(_classed("date"))).alias("date"),
+        F.coalesce(first(tagged("p")), first(_classed("content|body"))).alias("content"),
     )
     usable = lambda c: F.coalesce(c != "", F.lit(False))
-    return rows.filter(usable(F.col("title")) | usable(F.col("content")))
+    return found.filter(usable(F.col("title")) | usable(F.col("content")))
 
 
-def not_found_pages(elements: DataFrame) -> DataFrame:
+def not_found_pages(parts: DataFrame) -> DataFrame:
     """Whether a page says that the security does not exist."""
-    text = F.col("text")
-    hit = ((F.col("tag") == "title") & F.contains(text, F.lit("該当なし"))) | (
-        F.col("tag").isin("p", "div") & F.contains(text, F.lit("該当する銘柄")) & F.contains(text, F.lit("ありません"))
-    )
-    return elements.groupBy("page_id").agg(F.coalesce(F.max(hit), F.lit(False)).alias("not_found"))
+    said = F.exists("titles", lambda t: F.contains(t, F.lit(NO_SUCH_TITLE)))
+    return parts.select("page_id", (said | (F.size("notices") > 0)).alias("not_found"))
 
 
 # ------------------------------------------------------------------ state embedded in a script
