@@ -12,6 +12,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.rules.lexicons import RISK_KEYWORDS, SEVERITY_HIGH, SEVERITY_LOW
+
 RAW_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -304,12 +306,26 @@ FROM {part}
 """
 
 # Narrative text per company: a third with numbered lines, a third with blank lines, the rest as it is.
-BRIDGE_SQL["b_text"] = """
+_RISK_WORDS = [w for words in RISK_KEYWORDS.values() for w in words]
+_SEVERITIES = [*SEVERITY_HIGH, *SEVERITY_LOW, "通常の", "一定の", "ある程度の"]
+
+
+def _one_of(words: list[str], number: str) -> str:
+    return f"split_part('{'|'.join(words)}', '|', cast(({number}) % {len(words)} + 1 AS int))"
+
+
+_RISK_SENTENCE = " || ".join([
+    _one_of(_RISK_WORDS, "doc_id"), "'および'", _one_of(_RISK_WORDS, "cast(floor(doc_id / 3) AS bigint)"), "'は、'",
+    _one_of(_SEVERITIES, "doc_id"), "'影響を'", _one_of(_RISK_WORDS, "doc_id * 7"), "'に与えます。'",
+])
+_SHORT_SENTENCE = " || ".join([_one_of(_RISK_WORDS, "doc_id * 5 + 3"), "'と'", _one_of(_RISK_WORDS, "doc_id * 11 + 1"), "'の'", _one_of(_SEVERITIES, "doc_id * 3 + 2")])
+
+BRIDGE_SQL["b_text"] = f"""
 SELECT cast(1000 + cast(floor(doc_id / 10) AS bigint) AS string) AS ticker,
        'T' || cast(doc_id AS string) AS document_id, doc_id AS seq,
-       CASE doc_id % 3 WHEN 0 THEN '(1) ' || replace(text, chr(10), chr(10) || ' (2) ')
-            WHEN 1 THEN replace(text, chr(10), chr(10) || chr(10)) ELSE text END AS text
-FROM {documents}
+       CASE doc_id % 3 WHEN 0 THEN '(1) ' || {_RISK_SENTENCE} || replace(text, chr(10), chr(10) || ' (2) ' || {_SHORT_SENTENCE})
+            WHEN 1 THEN replace(text, chr(10), chr(10) || chr(10) || {_SHORT_SENTENCE}) || {_RISK_SENTENCE} ELSE text END AS text
+FROM {{documents}}
 """
 
 # Report pages as text: statement headers, unit, date and item lines, then the whole document text.

@@ -12,15 +12,6 @@ from ledgerloom.operators import pages as P
 from ledgerloom.rules import lexicons as L
 from ledgerloom.rules.concepts import BS_FIELDS, ITEM_ALIASES
 
-# Words of the driver's invented texts that stand in for the keyword lists in the registered queries.
-TRIAL_KEYWORDS = {
-    "market_risk": ["the ", "tion", "eau"],
-    "credit_risk": ["and", "que", "sch"],
-    "operational_risk": ["ing", "ment", "er "],
-    "regulatory_risk": ["thi", "elle", "auf"],
-}
-TRIAL_HIGH = ["erenth", "leaux", "ionent", "schen"]
-TRIAL_LOW = ["shat", "ouan", "ndth"]
 TRIAL_PATH = r"(?i)/(the|and|tion|in|de|la|que|der|und|sch|of)(/|$)"
 
 _MARK = r"(?m)^[\s　]*(?:\(\p{Nd}+\)|\p{Nd}+[.)）]|[①-⑳])"
@@ -36,16 +27,16 @@ def _hits(words: list[str]) -> str:
     return "(" + " + ".join(f"(length(text) - length(replace(text, '{w}', ''))) // {len(w)}" for w in words) + ")"
 
 
-_H = {c: _hits(w) for c, w in TRIAL_KEYWORDS.items()}
+_H = {c: _hits(w) for c, w in L.RISK_KEYWORDS.items()}
 _TOP = f"greatest({', '.join(_H[c] for c in _H)})"
 _CAT = "CASE WHEN " + _TOP + " = 0 THEN 'other_risk' " + " ".join(f"WHEN {h} = {_TOP} THEN '{c}'" for c, h in _H.items()) + " END"
 _ANYW = lambda words: "(" + " OR ".join(f"contains(text, '{w}')" for w in words) + ")"
 S_ITEMS = S_PARA + f""",
-items AS (SELECT *, {_CAT} AS category, CASE WHEN {_ANYW(TRIAL_HIGH)} THEN 'high' WHEN {_ANYW(TRIAL_LOW)} THEN 'low' ELSE 'medium' END AS severity FROM para)"""
+items AS (SELECT *, {_CAT} AS category, CASE WHEN {_ANYW(L.SEVERITY_HIGH)} THEN 'high' WHEN {_ANYW(L.SEVERITY_LOW)} THEN 'low' ELSE 'medium' END AS severity FROM para)"""
 
 
 def items(t):
-    return O.risk_items(t.b_text, TRIAL_KEYWORDS, TRIAL_HIGH, TRIAL_LOW)
+    return O.risk_items(t.b_text)
 
 
 @query("t1_split_paragraphs", ["b_text"], f"WITH {S_PARA} SELECT document_id, place, text FROM para")

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column, functions as F
 
-from ledgerloom.functions.dates import ERA_DATE, END_DATE, START_DATE, WESTERN_DATE, era_offset, half_width, iso_date
+from ledgerloom.functions.dates import ERA_DATE, WESTERN_DATE, era_offset, half_width, iso_date
 from ledgerloom.functions.numbers import let, strip
 from ledgerloom.rules.lexicons import RISK_KEYWORDS, SEVERITY_HIGH, SEVERITY_LOW
 
-_NUMBERED_LINE = r"(?:(?<=\n)|^)[\s　]*(?:\(\p{Nd}+\)|\p{Nd}+[.)）]|[①-⑳])"
+_NUMBERED_LINE = r"(?<![^\n])[\s　]*(?:\(\p{Nd}+\)|\p{Nd}+[.)）]|[①-⑳])"
 
 # Unit notations on statement pages, with multiplier and label, in order.
 PAGE_UNITS = (
@@ -46,7 +46,7 @@ def mask_sensitive(c: Column) -> Column:
         F.contains(c, F.lit("@")), F.regexp_replace(c, r"[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+", "***")
     ).otherwise(c)
     lower = F.lower(c)
-    named = reduce(lambda a, b: a | b, [F.contains(lower, F.lit(w)) for w in ("password", "passwd", "secret", "token")])
+    named = F.contains(lower, F.lit("password")) | F.contains(lower, F.lit("passwd")) | F.contains(lower, F.lit("secret")) | F.contains(lower, F.lit("token"))
     return F.when(
         named, F.regexp_replace(mails, r"(?i)(password|passwd|secret|token)\s*[:=]\s*\S+", "***")
     ).otherwise(mails)
@@ -62,22 +62,62 @@ def split_paragraphs(text: Column) -> Column:
     return let(F.filter(F.transform(parts, strip), lambda p: F.length(p) >= 20), chosen)
 
 
-def keyword_hits(text: Column, words: list[str]) -> Column:
-    """Number of non-overlapping occurrences of each word, summed."""
-    size = F.length(text)
-    counts = [
-        ((size - F.length(F.replace(text, F.lit(w), F.lit("")))) / len(w)).cast("bigint") for w in words
-    ]
-    return reduce(lambda a, b: a + b, counts)
+def _quoted(text: str) -> str:
+    return re.sub(r"([^\w\s])", r"\\\1", text)
 
 
-def risk_category(text: Column, keywords: dict[str, list[str]] = RISK_KEYWORDS) -> Column:
-    """Category with most keyword hits; the first listed wins ties; none is other_risk.
+def _decided(by_first: list[tuple[str, list[str]]]) -> str:
+    """A pattern for words grouped by their first characters, in order: a range of characters decides which half is tried.
+
+    A class of many characters, or many words side by side, would be tried one after the other at every place.
+    """
+    if len(by_first) == 1:
+        return "(?:" + "|".join(_quoted(w) for w in sorted(by_first[0][1], key=len, reverse=True)) + ")"
+    half = len(by_first) // 2
+    first, last = by_first[0][0], by_first[half - 1][0]
+    return f"(?:(?=[{_quoted(first)}-{_quoted(last)}]){_decided(by_first[:half])}|{_decided(by_first[half:])})"
+
 
-    The hit counts are built once as an array and searched, so each is computed once per row.
+def word_places(text: Column, words: list[str]) -> Column:
+    """For every place of the text where a word begins, the longest such word; the text is passed over once.
+
+    The look-ahead consumes nothing, so words inside other words are found; a place whose character lies outside the range of
+    the words' first characters is left at once.
     """
+    groups: dict[str, list[str]] = {}
+    for w in sorted(set(words)):
+        groups.setdefault(w[0], []).append(w)
+    by_first = sorted(groups.items())
+    ascii_only = [c for c, _ in by_first if c.isascii()]
+    others = [c for c, _ in by_first if not c.isascii()]
+    guard = "".join(map(_quoted, ascii_only)) + (f"{others[0]}-{others[-1]}" if others else "")
+    return F.regexp_extract_all(text, F.lit(f"(?=[{guard}])(?=({_decided(by_first)}))"), F.lit(1))
+
+
+def _overlaps_itself(word: str) -> bool:
+    return any(word.startswith(word[i:]) for i in range(1, len(word)))
+
+
+def _count_of(places: Column, text: Column, words: list[str], every: list[str]) -> Column:
+    """Number of non-overlapping occurrences of each of ``words``, summed, from the places of ``every`` word.
+
+    A word that begins a longer one stands wherever that does. A word that can overlap itself is counted in the text.
+    """
+    plain = [w for w in words if not _overlaps_itself(w)]
+    weights = {v: sum(v.startswith(w) for w in plain) for v in every}
+    out = F.lit(0)
+    for weight in sorted({k for k in weights.values() if k}):
+        its = [v for v, k in weights.items() if k == weight]
+        out = out + F.size(F.filter(places, lambda p: p.isin(*its))) * weight
+    for w in words:
+        if _overlaps_itself(w):
+            out = out + ((F.length(text) - F.length(F.replace(text, F.lit(w), F.lit("")))) / len(w)).cast("int")
+    return out
+
+
+def _category(places: Column, text: Column, keywords: dict[str, list[str]], every: list[str]) -> Column:
     names = F.array(*[F.lit(k) for k in keywords])
-    hits = F.array(*[keyword_hits(text, words) for words in keywords.values()])
+    hits = F.array(*[_count_of(places, text, words, every) for words in keywords.values()])
     return let(
         hits,
         lambda h: F.when(F.array_max(h) == 0, F.lit("other_risk")).otherwise(
@@ -86,11 +126,36 @@ def risk_category(text: Column, keywords: dict[str, list[str]] = RISK_KEYWORDS)
     )
 
 
-def risk_severity(text: Column, high: list[str] = SEVERITY_HIGH, low: list[str] = SEVERITY_LOW) -> Column:
-    any_of = lambda words: reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in words])
+def _severity(places: Column, high: list[str], low: list[str], every: list[str]) -> Column:
+    any_of = lambda words: F.exists(places, lambda p: p.isin(*[v for v in every if any(v.startswith(w) for w in words)]))
     return F.when(any_of(high), "high").when(any_of(low), "low").otherwise("medium")
 
 
+def risk_judgement(
+    text: Column, keywords: dict[str, list[str]] = RISK_KEYWORDS, high: list[str] = SEVERITY_HIGH, low: list[str] = SEVERITY_LOW
+) -> Column:
+    """Struct (category, severity) from one pass over the text.
+
+    The category is the one with most keyword hits; the first listed wins ties; none is other_risk. Severity is high if any word of
+    that list stands in the text, else low if one of the other, else medium. A missing text has neither.
+    """
+    every = sorted({w for words in [*keywords.values(), high, low] for w in words})
+    judged = lambda p: F.struct(_category(p, text, keywords, every).alias("category"), _severity(p, high, low, every).alias("severity"))
+    return let(word_places(text, every), lambda p: F.when(p.isNotNull(), judged(p)))
+
+
+def risk_category(text: Column, keywords: dict[str, list[str]] = RISK_KEYWORDS) -> Column:
+    """Category alone, see ``risk_judgement``."""
+    every = sorted({w for words in keywords.values() for w in words})
+    return let(word_places(text, every), lambda p: _category(p, text, keywords, every))
+
+
+def risk_severity(text: Column, high: list[str] = SEVERITY_HIGH, low: list[str] = SEVERITY_LOW) -> Column:
+    """Severity alone, see ``risk_judgement``."""
+    every = sorted({*high, *low})
+    return let(word_places(text, every), lambda p: _severity(p, high, low, every))
+
+
 def page_unit(text: Column) -> Column:
     """Struct (multiplier, label) of the money unit named on a page."""
     out = F.struct(
@@ -118,64 +183,58 @@ def page_statement(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("【")), out)
 
 
-def _all_dates(text: Column, pattern: str, western: bool | None = None) -> Column:
-    """Array of ISO dates of every match, in order of appearance."""
-    group = lambda i: F.regexp_extract_all(text, F.lit(pattern), F.lit(i))
-    if western is True:
-        zipped = F.arrays_zip(group(1).alias("y"), group(2).alias("m"), group(3).alias("d"))
-        return F.transform(zipped, lambda z: iso_date(z["y"], z["m"], z["d"]))
-    if western is False:
-        zipped = F.arrays_zip(group(1).alias("e"), group(2).alias("n"), group(3).alias("m"), group(4).alias("d"))
-        return F.transform(
-            zipped,
-            lambda z: iso_date((era_offset(z["e"]) + z["n"].try_cast("int")).cast("string"), z["m"], z["d"]),
-        )
-    zipped = F.arrays_zip(
-        group(1).alias("y"), group(2).alias("e"), group(3).alias("n"), group(4).alias("m"), group(5).alias("d")
-    )
-    return F.transform(
-        zipped,
-        lambda z: iso_date(
-            F.when(z["y"] != "", z["y"]).otherwise(
-                (era_offset(z["e"]) + z["n"].try_cast("int")).cast("string")
-            ),
-            z["m"], z["d"],
-        ),
+# A date, with the mark of a start or an end, in either width of digits. One pattern finds all, so a text is passed over once.
+_D = "[0-9０-９]"
+# The first look-ahead is the range that holds every character a date can begin with.
+_ANY_DATE = rf"(?=[0-9令-９])(?:[自至]\s*)?(?:{_D}{{4}}|(?:令和|平成|昭和)\s*{_D}{{1,2}})\s*年\s*{_D}{{1,2}}\s*月\s*{_D}{{1,2}}\s*日"
+
+
+def _dated(found: Column) -> Column:
+    """Struct (mark, western, date) of a found date."""
+    western = found.rlike(WESTERN_DATE)
+    part = lambda pattern, i: F.regexp_extract(found, pattern, i)
+    era_year = (era_offset(part(ERA_DATE, 1)) + part(ERA_DATE, 2).try_cast("int")).cast("string")
+    date = F.when(western, iso_date(part(WESTERN_DATE, 1), part(WESTERN_DATE, 2), part(WESTERN_DATE, 3))).otherwise(
+        iso_date(era_year, part(ERA_DATE, 3), part(ERA_DATE, 4))
     )
+    return F.struct(F.substring(found, 1, 1).alias("mark"), western.alias("western"), date.alias("date"))
 
 
 def page_periods(text: Column, header_chars: int | None = None) -> Column:
     """Array of (period_start, period_end, period_type, label) read from a page.
 
-    Start and end dates are paired by order; without such pairs the distinct single dates are taken.
-    The first of several periods is the prior one. The whole page is read; ``header_chars`` limits it to a head of that length.
+    Start and end dates are paired by order; without such pairs the distinct single dates are taken, western ones first.
+    The first of several periods is the prior one. The whole page is read, once; ``header_chars`` limits it to a head of that length.
     """
     label = lambda i, n: F.when((i == 0) & (n > 1), "prior").otherwise("current")
     period = lambda start, end, kind, i, n: F.struct(
         start.alias("period_start"), end.alias("period_end"), F.lit(kind).alias("period_type"), label(i, n).alias("label")
     )
+    dates_of = lambda found, wanted: F.transform(F.filter(found, wanted), lambda d: d["date"])
 
     def from_pairs(d: Column) -> Column:
         zipped = F.arrays_zip(d["starts"].alias("s"), d["ends"].alias("e"))
         return F.transform(zipped, lambda z, i: period(z["s"], z["e"], "duration", i, F.size(zipped)))
 
-    def from_singles(head: Column) -> Column:
-        dates = F.concat(_all_dates(head, WESTERN_DATE, True), _all_dates(head, ERA_DATE, False))
+    def from_singles(found: Column) -> Column:
+        dates = F.concat(dates_of(found, lambda d: d["western"]), dates_of(found, lambda d: ~d["western"]))
         none = F.lit(None).cast("string")
         return let(
             F.array_distinct(dates),
             lambda ds: F.transform(ds, lambda d, i: period(none, d, "instant", i, F.size(ds))),
         )
 
-    def of_head(head: Column) -> Column:
-        marked = F.struct(_all_dates(head, START_DATE).alias("starts"), _all_dates(head, END_DATE).alias("ends"))
+    def of_dates(found: Column) -> Column:
+        marked = F.struct(dates_of(found, lambda d: d["mark"] == "自").alias("starts"), dates_of(found, lambda d: d["mark"] == "至").alias("ends"))
         return let(
             marked,
             lambda d: F.when((F.size(d["starts"]) > 0) & (F.size(d["starts"]) == F.size(d["ends"])), from_pairs(d))
-            .otherwise(from_singles(head)),
+            .otherwise(from_singles(found)),
         )
 
-    return let(half_width(text if header_chars is None else F.substring(text, 1, header_chars)), of_head)
+    head = text if header_chars is None else F.substring(text, 1, header_chars)
+    found = F.regexp_extract_all(head, F.lit(_ANY_DATE), F.lit(0))
+    return let(F.transform(found, lambda f: _dated(half_width(f))), of_dates)
 
 
 def url_host(url: Column) -> Column:

@@ -154,3 +154,37 @@ def test_display(spark):
         V.shorten(F.lit("a" * 90)),
     ).first()
     assert tuple(row) == ("1,235", "12.3", "N/A", "—†", "0.00%", "2024 (半期)", "5M", "a" * 77 + "...")
+
+
+def test_word_places_and_counts(values):
+    """All places of overlapping, nested and self-overlapping words, against a plain count of each word."""
+    import random
+
+    rng = random.Random(4)
+    keywords = {"a": ["災害", "自然災害", "IT", "I"], "b": ["害", "aa", "C++"], "c": ["然災", "自然", "aab"], "d": ["(1)", "品質"]}
+    high, low = ["害に", "ba"], ["自", "質"]
+    pieces = ["自然災害", "災害に", "IT", "C++", "aaa", "aab", "(1)", "品質", " ", "x", "自", "然"]
+    texts = ["".join(rng.choices(pieces, k=rng.randrange(12))) for _ in range(150)]
+    count = lambda t, words: sum(t.count(w) for w in words)
+    want = []
+    for t in texts:
+        hits = {k: count(t, w) for k, w in keywords.items()}
+        top = max(hits.values())
+        category = next(k for k, n in hits.items() if n == top) if top else "other_risk"
+        want.append((category, "high" if count(t, high) else "low" if count(t, low) else "medium"))
+    assert [tuple(r) for r in values(texts, lambda c: T.risk_judgement(c, keywords, high, low))] == want
+    assert values(texts, lambda c: T.risk_category(c, keywords)) == [c for c, _ in want]
+    assert values(texts, lambda c: T.risk_severity(c, high, low)) == [s for _, s in want]
+    assert values([None], T.risk_judgement) == [None]
+
+
+def test_page_periods_in_one_pass(values):
+    pages = ["自2023年4月1日至２０２４年３月３１日", "自 平成30年4月1日 自2022年4月1日 至2023年3月31日", "令和５年9月30日 12023年9月30日 平成2024年1月1日 2023年9月30日", "至 2024年3月31日 3月31日", None]
+    got = [None if g is None else [tuple(p)[:2] for p in g] for g in values(pages, lambda c: T.page_periods(c))]
+    assert got == [
+        [("2023-04-01", "2024-03-31")],
+        [(None, "2022-04-01"), (None, "2023-03-31"), (None, "2018-04-01")],
+        [(None, "2023-09-30"), (None, "2024-01-01")],
+        [(None, "2024-03-31")],
+        None,
+    ]
