@@ -81,16 +81,19 @@ _FIRSTS = ", ".join(f"arg_min({f}, document_id) FILTER (WHERE {f} IS NOT NULL) A
 
 @query("a4_period_index", DEPS, f"""WITH {S_TOTALS},
 opening AS (SELECT ticker, period_end, period_start, period_type, fiscal_year FROM totals QUALIFY row_number() OVER (PARTITION BY ticker, period_end ORDER BY document_id) = 1),
-firsts AS (SELECT ticker, period_end, {_FIRSTS}, string_agg(document_id, ',' ORDER BY document_id) AS documents FROM totals GROUP BY ticker, period_end),
+firsts AS (SELECT ticker, period_end, {_FIRSTS} FROM totals GROUP BY ticker, period_end),
 calc AS (SELECT ticker, period_end, string_agg(f, ',' ORDER BY f) AS calculated FROM
    (SELECT DISTINCT ticker, period_end, unnest(string_split(calculated, ',')) AS f FROM totals WHERE calculated <> '') GROUP BY ALL)
 SELECT o.*, firsts.* EXCLUDE (ticker, period_end), coalesce(calc.calculated, '') AS calculated
 FROM opening o JOIN firsts USING (ticker, period_end) LEFT JOIN calc USING (ticker, period_end)""")
 def a4(t):
     index = O.period_index(O.derive_totals(O.period_rows(t.b_facts, t.b_contexts)))
-    return index.select(
-        "*", F.concat_ws(",", "source_document_ids").alias("documents"), F.concat_ws(",", "calculated_fields").alias("calculated")
-    ).drop("source_document_ids", "calculated_fields")
+    return index.withColumn("calculated_fields", F.concat_ws(",", "calculated_fields")).withColumnRenamed("calculated_fields", "calculated")
+
+
+@query("a4_period_documents", DEPS, f"WITH {S_TOTALS} SELECT DISTINCT ticker, period_end, document_id FROM totals")
+def a4_documents(t):
+    return O.period_documents(O.period_rows(t.b_facts, t.b_contexts))
 
 
 @query("j13_filer_names", DEPS, rf"""

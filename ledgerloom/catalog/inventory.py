@@ -314,7 +314,7 @@ x AS (SELECT *, parsed * CASE WHEN contains(header, '百万円') THEN 1000000 WH
 f AS (SELECT *, CASE WHEN section = 'income_statement' AND item IN ('売上高','営業収益') THEN 'revenue' WHEN section = 'income_statement' AND item IN ('営業利益','営業利益又は営業損失（△）') THEN 'operating_income'
    WHEN section = 'income_statement' AND contains(item, '親会社株主に帰属する') THEN 'net_income' WHEN section = 'balance_sheet' AND item = '資産合計' THEN 'total_assets'
    WHEN section = 'balance_sheet' AND item = '純資産合計' THEN 'equity' END AS field FROM x),
-b AS (SELECT * FROM f WHERE field IS NOT NULL QUALIFY row_number() OVER (PARTITION BY doc_id, field ORDER BY table_no, record_no, item, amount) = 1),
+b AS (SELECT * FROM f WHERE field IS NOT NULL QUALIFY row_number() OVER (PARTITION BY doc_id, field ORDER BY table_no, record_no, amount) = 1),
 d AS (SELECT DISTINCT ticker, doc_id, doc_type_code, period_end FROM x)
 SELECT d.*, r.amount AS revenue, o.amount AS operating_income, n.amount AS net_income, a.amount AS total_assets, q.amount AS equity FROM d
 LEFT JOIN b r ON r.doc_id = d.doc_id AND r.field = 'revenue' LEFT JOIN b o ON o.doc_id = d.doc_id AND o.field = 'operating_income'

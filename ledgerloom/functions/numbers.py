@@ -141,14 +141,23 @@ def strict_float(text: Column) -> Column:
     return coerce_number(text)
 
 
-def parse_xbrl_number(text: Column, sign: Column) -> Column:
-    """Fact text without commas and blanks; `sign = '-'` forces a negative value."""
+def xbrl_figure(text: Column) -> Column:
+    """Number of a fact's text without commas and blanks, before its sign attribute."""
     # The number shape also refuses the empty text and every dash that stands for "no value".
     cleaned = F.translate(strip(text), ", ", "")
-    value = F.when(cleaned.rlike(r"^[+-]?[0-9]+(\.[0-9]+)?$"), cleaned.try_cast("double"))
+    return F.when(cleaned.rlike(r"^[+-]?[0-9]+(\.[0-9]+)?$"), cleaned.try_cast("double"))
+
+
+def with_sign(value: Column, sign: Column) -> Column:
+    """`sign = '-'` forces a negative value."""
     return F.when(sign == "-", -F.abs(value)).otherwise(value)
 
 
+def parse_xbrl_number(text: Column, sign: Column) -> Column:
+    """Fact text as a number, with its sign attribute."""
+    return with_sign(xbrl_figure(text), sign)
+
+
 def round2(c: Column) -> Column:
     """Two decimals, exact halves to the even digit."""
     return F.rint(c * 100.0) / 100.0

@@ -4,22 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerloom.functions.numbers import parse_xbrl_number, strip
+from ledgerloom.functions.numbers import strip, with_sign, xbrl_figure
+from ledgerloom.operators.ranking import landed
 from ledgerloom.rules.concepts import (
     ALL_FIELDS, COMPANY_NAME_CONCEPTS, FACT_FIELDS, canonical_concept, concept_key, context_priority,
 )
 
 
-def numeric_facts(facts: DataFrame) -> DataFrame:
-    """Facts with their canonical concept and numeric value, either of them null when there is none.
+def concept_dictionary(facts: DataFrame) -> DataFrame:
+    """(concept, canonical) of the element names that facts use and that have a canonical concept.
 
-    The rows without a figure are left for the aggregation to skip: a filter on these computed columns
-    would be pushed below the projection and work out every text twice.
+    Every distinct name is mapped once. The result is written, since the size of what was written is what Spark judges when it
+    plans the join: a small dictionary is broadcast, one beyond the threshold is not.
     """
-    named = facts.select("ticker", "document_id", "context_id", "seq", canonical_concept(F.col("concept")).alias("concept"), "text", "sign")
-    # Numbers are parsed for wanted concepts only.
-    value = F.when(F.col("concept").isNotNull(), parse_xbrl_number(F.col("text"), F.col("sign")))
-    return named.select("ticker", "document_id", "context_id", "seq", "concept", value.alias("value"))
+    names = facts.select("concept").distinct()
+    mapped = names.select("concept", canonical_concept(F.col("concept")).alias("canonical"))
+    return landed(mapped.filter(F.col("canonical").isNotNull()))
+
+
+def numeric_facts(facts: DataFrame) -> DataFrame:
+    """Facts of wanted concepts with their numeric value, which may be missing."""
+    wanted = facts.join(concept_dictionary(facts), "concept")
+    read = wanted.select("ticker", "document_id", "context_id", "seq", F.col("canonical").alias("concept"), xbrl_figure(F.col("text")).alias("figure"), "sign")
+    # The number is read in a step of its own, so that both branches of the sign use it.
+    return read.select("ticker", "document_id", "context_id", "seq", "concept", with_sign(F.col("figure"), F.col("sign")).alias("value"))
 
 
 def context_facts(facts: DataFrame, contexts: DataFrame) -> DataFrame:
@@ -34,7 +42,7 @@ def context_facts(facts: DataFrame, contexts: DataFrame) -> DataFrame:
         numeric_facts(facts)
         .groupBy("ticker", "document_id", "context_id", "concept")
         .agg(F.max_by("value", place).alias("value"), F.max(place).alias("seq"), F.min(place).alias("first_seq"))
-        .filter(F.col("concept").isNotNull() & F.col("seq").isNotNull())
+        .filter(F.col("seq").isNotNull())
     )
     return last.join(contexts, ["document_id", "context_id"]).withColumn(
         "priority", context_priority(F.col("context_id"))
@@ -126,7 +134,10 @@ def company_names(facts: DataFrame, contexts: DataFrame) -> DataFrame:
 
 
 def period_index(periods: DataFrame) -> DataFrame:
-    """Per company and period end: first known value of each field in document order."""
+    """Per company and period end: first known value of each field in document order; see `period_documents` for the documents.
+
+    The calculated fields are three names at most.
+    """
     first = lambda name: F.min(F.when(F.col(name).isNotNull(), F.struct("document_id", name)))[name].alias(name)
     opening = F.min(F.struct("document_id", "period_start", "period_type", "fiscal_year"))
     return periods.groupBy("ticker", "period_end").agg(
@@ -134,11 +145,15 @@ def period_index(periods: DataFrame) -> DataFrame:
         opening["period_type"].alias("period_type"),
         opening["fiscal_year"].alias("fiscal_year"),
         *[first(f) for f in ALL_FIELDS],
-        F.array_sort(F.collect_set("document_id")).alias("source_document_ids"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("calculated_fields")))).alias("calculated_fields"),
     )
 
 
+def period_documents(periods: DataFrame) -> DataFrame:
+    """The documents behind each entry of the period index, one row each: a period of very many documents makes no long value."""
+    return periods.select("ticker", "period_end", "document_id").distinct()
+
+
 VERSIONED_NAME = r"_([0-9]{4}-[0-9]{2}-[0-9]{2})_([0-9]{2})_[0-9]{4}-[0-9]{2}-[0-9]{2}\.xbrl$"
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerloom.functions.dates import HALF_YEAR_RULE_START, filing_kind, fiscal_year, quarter_start
 from ledgerloom.functions.numbers import round_to
-from ledgerloom.operators.ranking import running_position
+from ledgerloom.operators.ranking import running
 
 KINDS = ("q1", "q2", "q3", "h1", "annual")
 # Metrics of the quality summary.
@@ -106,7 +106,7 @@ def statement_labels(statements: DataFrame) -> DataFrame:
         "ticker", fiscal_year(F.col("fy_end"), F.col("fye_month")).alias("fiscal_year"), "seq",
         F.concat_ws(" ", F.col("TypeOfCurrentPeriod"), F.nullif("DisclosedDate", F.lit(""))).alias("label"),
     )
-    return running_position(rows, ["ticker", "fiscal_year"], [F.floor(F.col("seq") / 100_000)], [F.col("seq")])
+    return running(rows, ["ticker", "fiscal_year"], [F.col("seq").asc()], position="position")
 
 
 def analyze_gaps(matrix: DataFrame) -> DataFrame:
@@ -161,11 +161,12 @@ def doc_type_counts(documents: DataFrame) -> DataFrame:
 
 
 def number_documents(documents: DataFrame) -> DataFrame:
-    """Running number of a company's documents by period end and ingest order."""
-    return running_position(
-        documents, ["ticker"], [F.year("period_end"), F.month("period_end"), F.floor(F.col("seq") / 100_000)],
-        [F.col("period_end"), F.col("seq")], "number",
-    )
+    """Running number of a company's documents by period end and ingest order.
+
+    The documents are dealt out by measured ranges of company, period end and order, so numbers that lie close together and far
+    apart give equal shares, and what is computed before is computed once.
+    """
+    return running(documents, ["ticker"], [F.col("period_end").asc(), F.col("seq").asc()], position="number")
 
 
 def collection_stats(manifests: DataFrame) -> DataFrame:

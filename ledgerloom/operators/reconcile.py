@@ -93,25 +93,33 @@ def structured_figures(cells: DataFrame) -> DataFrame:
     """Compared figures of structured statement tables: one row per document.
 
     The current value of a record is its highest column (the first cell on ties), in the unit named by
-    the table header. Of several matching records the first one with a value counts. Cells are reduced
-    to one per record before the records of a document come together.
+    the table header. Of several matching records the first one with a value counts, of several in one place the smallest amount. What decides is
+    packed into one number, column before place and table before record, so every maximum and minimum is one of numbers: the
+    aggregations run in hash tables, are combined before the shuffle, and texts are only keys.
     """
+    keys = ["ticker", "doc_id", "doc_type_code", "period_end"]
+    # A column, then the places below it in reverse: 19 digits hold any of them.
+    below = F.lit(10).cast("decimal(2,0)") * F.lit(10**18).cast("decimal(19,0)")
+    rank = F.col("column_index").cast("decimal(10,0)") * below.cast("decimal(20,0)") - F.col("seq").cast("decimal(19,0)")
     current = (
-        cells.groupBy("ticker", "doc_id", "doc_type_code", "period_end", "section", "table_no", "record_no", "item", "header")
-        .agg(F.max(F.struct("column_index", (-F.col("seq")).alias("place"), "parsed"))["parsed"].alias("parsed"))
+        cells.groupBy(*keys, "section", "table_no", "record_no", "item", "header")
+        .agg(F.max_by("parsed", rank.cast("decimal(38,0)")).alias("parsed"))
         .filter(F.col("parsed").isNotNull())
     )
-    amount = F.col("parsed") * header_unit(F.col("header"))
-    place = F.struct("table_no", "record_no", "item", amount.alias("amount"))
+    item = F.trim("item")
 
-    def figure(section: str, names: tuple[str, ...], how: str) -> Column:
-        item = F.trim("item")
+    def wanted(section: str, names: tuple[str, ...], how: str) -> Column:
         hit = item.isin(*names) if how == "exact" else F.contains(F.col("item"), F.lit(names[0]))
-        return F.min(F.when((F.col("section") == section) & hit, place))["amount"]
-
-    return current.groupBy("ticker", "doc_id", "doc_type_code", "period_end").agg(
-        *[figure(section, names, how).alias(f) for f, section, names, how in STRUCTURED_ITEMS]
-    )
+        return (F.col("section") == section) & hit
+
+    field = F.coalesce(*[F.when(wanted(section, names, how), F.lit(f)) for f, section, names, how in STRUCTURED_ITEMS])
+    place = F.shiftleft(F.col("table_no").cast("bigint"), 32) + F.col("record_no").cast("bigint")
+    named = current.select(*keys, field.alias("field"), place.alias("place"), (F.col("parsed") * header_unit(F.col("header"))).alias("amount"))
+    # Records that no one asks for only tell that the document has figures.
+    at = F.when(F.col("field").isNotNull(), F.col("place"))
+    per_place = named.groupBy(*keys, "field", at.alias("place")).agg(F.min("amount").alias("amount"))
+    figure = lambda name: F.min_by("amount", F.when(F.col("field") == name, F.col("place")))
+    return per_place.groupBy(*keys).agg(*[figure(f).alias(f) for f, *_ in STRUCTURED_ITEMS])
 
 
 def absence_flags(metrics: DataFrame, absences: DataFrame) -> DataFrame:
