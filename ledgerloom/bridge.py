@@ -346,7 +346,7 @@ SELECT 'P' || cast(cast(floor(doc_id / 8) AS bigint) AS string) AS document_id,
        || '資産合計  ' || cast(n_chars AS string) || '  ' || cast(n_chars + doc_id % 10 AS string) || chr(10)
        || CASE WHEN doc_id % 4 < 2 THEN '売上高  △' || cast(n_chars % 977 AS string) || '  (1,' || lpad(cast(doc_id % 1000 AS string), 3, '0') || ')' || chr(10) ELSE '' END
        || CASE WHEN doc_id % 6 = 1 THEN '営業利益又は営業損失 ' || cast(doc_id AS string) || chr(10) ELSE '' END
-       || text AS text
+       || text || CASE WHEN doc_id % 11 = 5 THEN chr(10) || '注記（単位：千円）' ELSE '' END AS text
 FROM {documents}
 """
 
@@ -436,6 +436,24 @@ SELECT page_id, name, segment, k, nation,
 FROM {b_html}
 """
 
+# Raw pages as companies publish them: with a description, a site name and links to investor pages.
+BRIDGE_SQL["b_ir_pages"] = """
+SELECT page_id, url, replace(replace(html, '<title>',
+         CASE page_id % 4 WHEN 0 THEN '<meta name="description" content="Page &amp; ' || cast(page_id AS string) || '">'
+              WHEN 1 THEN '<META content=" about us " class="m" name="description">' ELSE '' END
+         || CASE WHEN page_id % 3 = 0 THEN '<meta property="og:site_name" content="Site ' || cast(page_id % 10 AS string) || '">' ELSE '' END || '<title>'),
+       '<footer>',
+         CASE WHEN page_id % 5 = 0 THEN '' ELSE '<a href="/ir/' || cast(page_id AS string) || '.html">IR &gt; News</a><a class="x" href="library/Investor/report.pdf"></a>'
+              || '<a href="/irregular/">no</a><a href="/ir/' || cast(page_id AS string) || '.html">again</a><a href="https://x.example/shareholders">holders</a>' END || '<footer>') AS html
+FROM {pages}
+"""
+
+# Listed companies, some of them too young to have statements.
+BRIDGE_SQL["b_companies"] = """
+SELECT ticker, company_name, industry, suppkey AS seq FROM {b_securities} WHERE listing NOT IN ('', '非上場')
+UNION ALL SELECT ticker || 'N', company_name || ' New', industry, suppkey + 50 FROM {b_securities} WHERE listing NOT IN ('', '非上場') AND suppkey % 4 = 1
+"""
+
 # Structured statement tables: one value cell per row.
 BRIDGE_SQL["b_cells"] = """
 SELECT cast(1000 + l_suppkey AS string) AS ticker,
@@ -456,6 +474,8 @@ FROM {lineitem}
 """
 
 
+# Tables whose SQL holds double quotes inside texts only.
+QUOTED_TEXT = {"b_ir_pages"}
 # Tables whose rows are built from much narrower ones.
 WIDENED = {"b_html"}
 
@@ -513,7 +533,7 @@ class Tables:
             scan = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             return scan
         text = BRIDGE_SQL[name]
-        if "{{" not in text:
+        if "{{" not in text and name not in QUOTED_TEXT:
             text = text.replace('"', "`")
         refs = {r: getattr(self, r) for r in bridge_refs(name)}
         if name in WIDENED:

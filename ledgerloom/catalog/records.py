@@ -319,9 +319,9 @@ def o1(t):
     return S.peer_warnings(companies(t), 3).withColumn("peer_count", F.col("peer_count").cast("bigint"))
 
 
-S_MATRIX = S_SNAP + ", " + S_COMP.format(n=10) + """,
+S_MATRIX = S_SNAP + ", " + S_COMP.format(n=10).replace("suppkey AS seq FROM b_securities WHERE listing NOT IN ('', '非上場')", "seq FROM b_companies") + """,
 sn AS (SELECT ticker, roe_percent AS roe, roa_percent AS roa, operating_margin_percent AS operating_margin, revenue_growth_yoy_percent AS revenue_growth
-   FROM snap WHERE CAST(ticker AS INTEGER) % 9 <> 2),
+   FROM snap),
 mem AS (SELECT ticker, peer_ticker AS member, false AS is_target FROM peers UNION ALL SELECT ticker, ticker, true FROM comp),
 matrix AS (SELECT m.ticker, m.member, m.is_target, roe, roa, operating_margin, revenue_growth, sn.ticker IS NOT NULL AS has_snapshot,
     coalesce(roe, roa, operating_margin, revenue_growth) IS NULL AS all_missing FROM mem m LEFT JOIN sn ON sn.ticker = m.member)"""
@@ -329,19 +329,19 @@ matrix AS (SELECT m.ticker, m.member, m.is_target, roe, roa, operating_margin, r
 
 def matrix(t):
     c = F.col
-    snap = snapshot(t).filter(c("ticker").cast("int") % 9 != 2).select(
+    snap = snapshot(t).select(
         "ticker", c("roe_percent").alias("roe"), c("roa_percent").alias("roa"),
         c("operating_margin_percent").alias("operating_margin"), c("revenue_growth_yoy_percent").alias("revenue_growth"),
     )
-    return S.benchmark_matrix(companies(t), snap)
+    return S.benchmark_matrix(t.b_companies, snap)
 
 
-@query("j17_benchmark_matrix", VDEPS, f"WITH {S_MATRIX} SELECT * FROM matrix")
+@query("j17_benchmark_matrix", [*VDEPS, "b_companies"], f"WITH {S_MATRIX} SELECT * FROM matrix")
 def j17(t):
     return matrix(t)
 
 
-@query("j17_benchmark_reliability", VDEPS, f"""WITH {S_MATRIX}
+@query("j17_benchmark_reliability", [*VDEPS, "b_companies"], f"""WITH {S_MATRIX}
 SELECT ticker, count(*) FILTER (WHERE NOT is_target) AS peer_count, count(*) FILTER (WHERE NOT is_target AND all_missing) AS missing_peers_count,
   count(*) FILTER (WHERE NOT is_target) > 0 AND count(*) FILTER (WHERE NOT is_target AND all_missing) < count(*) FILTER (WHERE NOT is_target) AS benchmark_reliable
 FROM matrix GROUP BY ticker""")
@@ -363,7 +363,7 @@ g AS (SELECT ticker, metric, coalesce(list(value ORDER BY value) FILTER (WHERE N
 st AS (SELECT *, len(v) AS n, list_sum(v) AS total FROM g)"""
 
 
-@query("a19_benchmarks", VDEPS, f"""WITH {S_BENCH},
+@query("a19_benchmarks", [*VDEPS, "b_companies"], f"""WITH {S_BENCH},
 m AS (SELECT *, total / n AS mean0 FROM st)
 SELECT ticker, metric, CASE WHEN n >= 2 THEN {s_r2(_s_med('v'))} ELSE v[1] END AS median, CASE WHEN n >= 2 THEN {s_r2('mean0')} ELSE v[1] END AS mean,
   CASE WHEN n >= 2 THEN {s_r2("sqrt(list_sum(list_transform(v, lambda x: (x - mean0) * (x - mean0))) / (n - 1))")} END AS std,
@@ -373,7 +373,7 @@ def a19(t):
     return S.benchmarks(matrix(t))
 
 
-@query("w4_percentile_rank", VDEPS, f"""WITH {S_MATRIX}
+@query("w4_percentile_rank", [*VDEPS, "b_companies"], f"""WITH {S_MATRIX}
 SELECT ticker, member, cume_dist() OVER (PARTITION BY ticker ORDER BY roe) AS roe_rank FROM matrix WHERE roe IS NOT NULL""")
 def w4(t):
     from pyspark.sql import Window
@@ -405,6 +405,13 @@ def a20(t):
     return peer_comparison(t)
 
 
-@query("v4_peer_comparison", VDEPS, f"WITH {S_PEERM} SELECT * FROM ({_PM}) WHERE peer_median IS NOT NULL")
+@query("v4_peer_comparison", VDEPS, f"""WITH {S_PEERM} SELECT metric, count(*) AS companies, count(target) AS with_multiple, count(peer_median) AS compared,
+  count(*) FILTER (WHERE vs_median < 0) AS below_median, {s_r2('max(vs_median)')} AS widest FROM ({_PM}) GROUP BY metric""")
 def v4(t):
-    return peer_comparison(t).filter(F.col("peer_median").isNotNull())
+    from ledgerloom.functions.numbers import round2
+
+    # All companies, with and without a comparison.
+    return peer_comparison(t).groupBy("metric").agg(
+        F.count("*").alias("companies"), F.count("target").alias("with_multiple"), F.count("peer_median").alias("compared"),
+        F.count_if(F.col("vs_median") < 0).alias("below_median"), round2(F.max("vs_median")).alias("widest"),
+    )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerloom.functions.numbers import CELL_NULLS, parse_statement_cell, strip
 from ledgerloom.functions.text import page_periods, page_statement, page_unit
+from ledgerloom.operators.ranking import landed
 from ledgerloom.rules.concepts import item_concept
 
 _CELL_START = r"[※０-９\d△▲（(－\-]"
@@ -15,6 +16,10 @@ TWO_VALUES = rf"^(.+?)\s+({_CELL_START}[^\n]*?)\s+({_CELL_START}[^\n]*?)$"
 ONE_VALUE = rf"^(.+?)\s+({_CELL_START}[,\d０-９，．.※]+)$"
 
 
+# Fixed value: rows at the head of a page in which a unit marks a continued table.
+HEAD_ROWS = 3
+
+
 def statement_headers(pages: DataFrame) -> DataFrame:
     """Pages with the statement their heading names, null on other pages."""
     return pages.withColumn("statement", page_statement(F.col("text")))
@@ -28,20 +33,21 @@ def first_pages(headers: DataFrame) -> DataFrame:
 
 
 def is_continuation(text: Column) -> Column:
-    """A page continues a statement when it names a money unit in its head rows."""
-    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(w)) for w in ("単位", "千円", "百万円")])
+    """A page continues a statement when it names a money unit in its head rows, the first ``HEAD_ROWS``."""
+    head = F.substring_index(text, "\n", HEAD_ROWS)
+    return reduce(lambda a, b: a | b, [F.contains(head, F.lit(w)) for w in ("単位", "千円", "百万円")])
 
 
 def statement_spans(headers: DataFrame, max_pages: int | None = None, block_pages: int = 1000) -> DataFrame:
     """Pages of each statement: from its first heading up to the next heading or the first other page.
 
-    With ``max_pages`` the last statement of a document takes at most so many pages. Only the page flags travel
-    through the windows, not the texts, and a document is worked on in blocks of pages: inside a block
+    With ``max_pages`` the last statement of a document takes at most so many pages. The texts are read once: the page flags are
+    written, and everything after works on them. A document is worked on in blocks of pages: inside a block
     the latest opening is a running value, and what a block takes over from earlier ones comes from one
     row per block. So a very long document is spread over many tasks.
     """
-    flags = headers.select("document_id", "page_no", "statement", is_continuation(F.col("text")).alias("continues"))
-    first = first_pages(headers)
+    flags = landed(headers.select("document_id", "page_no", "statement", is_continuation(F.col("text")).alias("continues")))
+    first = first_pages(flags)
     marked = flags.join(first.withColumn("is_first", F.lit(True)), ["document_id", "statement", "page_no"], "left")
     marked = marked.withColumn("block", F.floor(F.col("page_no") / block_pages))
     opening = F.struct("page_no", "statement", F.coalesce("is_first", F.lit(False)).alias("is_first"))

@@ -94,28 +94,48 @@ def valuation_reasonableness(multiples: DataFrame, profile: str = "default", ove
 
 _KINDS = {
     "number": r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)", "text": r"^STRING", "object": r"^OBJECT", "array": r"^ARRAY",
+    "boolean": r"^BOOLEAN", "null": r"^VOID",
 }
+# Where a field of a record may lie, in order of preference.
+LEVELS = ("$.cf", "$.pl", "$.bs", "$")
 
 
-def type_mismatches(rows: DataFrame, keys: list[str], record: str, mapping: dict[str, str]) -> DataFrame:
-    """Fields of a VARIANT record whose value has another kind than expected; nulls are allowed.
+def shredded(record: Column, levels: tuple[str, ...] = LEVELS) -> Column:
+    """Array of (path, kind) maps of a VARIANT record, one per level: the kind of value behind each field of the object there.
 
-    A field is looked up at the top level and inside bs, pl and cf; a boolean is never a number.
+    A level that is absent or no object is an empty map. Kinds are number, text, boolean, object, array and null.
     """
-    v = F.col(record)
+    def kinds(path: str) -> Column:
+        fields = F.try_variant_get(record, path, "map<string,variant>")
+        return F.coalesce(F.transform_values(fields, lambda _, v: _kind(v)), F.create_map().cast("map<string,string>"))
+
+    return F.array(*[kinds(p) for p in levels])
 
-    def check(name: str, kind: str) -> Column:
-        found = F.coalesce(*[F.try_variant_get(v, f"$.{p}{name}", "variant") for p in ("cf.", "pl.", "bs.", "")])
-        actual = F.schema_of_variant(found)
-        return F.when(
-            found.isNotNull() & (actual != "VOID") & ~actual.rlike(_KINDS[kind]),
-            F.struct(F.lit(name).alias("field"), F.lit(kind).alias("expected"), F.regexp_extract(actual, "^[A-Z]+", 0).alias("actual")),
-        )
 
-    checks = F.array_compact(F.array(*[check(n, k) for n, k in mapping.items()]))
-    return rows.select(*keys, F.explode(checks).alias("m")).select(*keys, "m.*")
+def _kind(value: Column) -> Column:
+    actual = F.schema_of_variant(value)
+    out = F.lit("other")
+    for kind, pattern in _KINDS.items():
+        out = F.when(actual.rlike(pattern), kind).otherwise(out)
+    return out
 
 
+def type_mismatches(rows: DataFrame, keys: list[str], record: str, maps: dict[str, dict[str, str]]) -> DataFrame:
+    """Fields of a VARIANT record whose value has another kind than a map expects; nulls are allowed.
+
+    The record is taken apart once, whatever the number of maps, which are data here: (map, field, expected). A field is looked up inside
+    cf, pl and bs, then at the top level; a boolean is never a number.
+    """
+    expected = F.array(*[
+        F.struct(F.lit(name).alias("map"), F.lit(field).alias("field"), F.lit(kind).alias("expected"))
+        for name, fields in maps.items() for field, kind in fields.items()
+    ])
+    parts = rows.select(*keys, shredded(F.col(record)).alias("levels"))
+    found = lambda e: F.coalesce(*[F.try_element_at(F.col("levels")[i], e["field"]) for i in range(len(LEVELS))])
+    judged = F.transform(expected, lambda e: F.struct(e["map"], e["field"], e["expected"], found(e).alias("actual")))
+    wrong = F.filter(judged, lambda e: e["actual"].isNotNull() & (e["actual"] != "null") & (e["actual"] != e["expected"]))
+    return parts.select(*keys, F.explode(wrong).alias("m")).select(*keys, "m.*")
+
 def required_keys(rows: DataFrame, keys: list[str], record: str, paths: list[str]) -> DataFrame:
     """Required dotted paths that are missing from a VARIANT record."""
     missing = [

@@ -19,31 +19,54 @@ VALUATION_PROFILES = {
     "financial": {"per": (0.0, 50.0), "pbr": (0.0, 10.0), "ev_ebitda": (0.0, 40.0)},
 }
 
-_PL3 = ("revenue", "operating_income", "net_income")
-_RATIOS = (
-    "roe_percent", "roa_percent", "operating_margin_percent", "revenue_growth_yoy_percent",
-    "profit_growth_yoy_percent", "equity_ratio_percent",
-)
-_METRICS = (*_RATIOS, *_PL3, "operating_cf", "free_cash_flow")
-_number = lambda *names: {n: "number" for n in names}
-
 # Expected kind of each field handed from one step to the next.
 TYPE_MAPS = {
-    "parsed_to_calculator": _number(*_PL3, "total_assets", "equity", "total_equity", "operating_cf", "investing_cf"),
-    "calculator_to_valuate": _number(*_METRICS),
-    "raw_to_risk": {"content": "text", "text": "text", "xbrl_content": "text"},
-    "calculator_to_valuate_relative": _number(*_METRICS),
-    "calculate_to_report": _number(
-        *_PL3, "roe_percent", "roa_percent", "operating_margin_percent", "equity_ratio_percent", "operating_cf", "free_cash_flow"
-    ),
-    "valuate_to_report": _number("enterprise_value", "equity_value", "per_share_value"),
-    "valuate_relative_to_report": _number("per", "pbr", "ev_ebitda"),
-    "web_research_to_harmonize": {"ticker": "text", "collected_at": "text", "sources": "object", "metadata": "object"},
-    "harmonize_to_integrate": _number(
-        *_PL3, "ordinary_income", "gross_profit", "total_assets", "total_equity", "net_assets", *CF_FIELDS[:3]
-    ),
-    "risk_analyzer_output": {"ticker": "text", "analyzed_at": "text", "source_documents": "array", "risk_categories": "object"},
-    "integrator_output": _number(*_PL3, "total_assets", "equity", "total_equity", "net_assets", *CF_FIELDS[:3]),
+    "parsed_to_calculator": {
+        "revenue": "number", "operating_income": "number", "net_income": "number", "total_assets": "number", "equity": "number",
+        "total_equity": "number", "operating_cf": "number", "investing_cf": "number",
+    },
+    "calculator_to_valuate": {
+        "roe_percent": "number", "roa_percent": "number", "operating_margin_percent": "number",
+        "revenue_growth_yoy_percent": "number", "profit_growth_yoy_percent": "number", "equity_ratio_percent": "number",
+        "revenue": "number", "operating_income": "number", "net_income": "number", "operating_cf": "number",
+        "free_cash_flow": "number",
+    },
+    "raw_to_risk": {
+        "content": "text", "text": "text", "xbrl_content": "text",
+    },
+    "calculator_to_valuate_relative": {
+        "roe_percent": "number", "roa_percent": "number", "operating_margin_percent": "number",
+        "revenue_growth_yoy_percent": "number", "profit_growth_yoy_percent": "number", "equity_ratio_percent": "number",
+        "revenue": "number", "operating_income": "number", "net_income": "number", "operating_cf": "number",
+        "free_cash_flow": "number",
+    },
+    "calculate_to_report": {
+        "revenue": "number", "operating_income": "number", "net_income": "number", "roe_percent": "number",
+        "roa_percent": "number", "operating_margin_percent": "number", "equity_ratio_percent": "number", "operating_cf": "number",
+        "free_cash_flow": "number",
+    },
+    "valuate_to_report": {
+        "enterprise_value": "number", "equity_value": "number", "per_share_value": "number",
+    },
+    "valuate_relative_to_report": {
+        "per": "number", "pbr": "number", "ev_ebitda": "number",
+    },
+    "web_research_to_harmonize": {
+        "ticker": "text", "collected_at": "text", "sources": "object", "metadata": "object",
+    },
+    "harmonize_to_integrate": {
+        "revenue": "number", "operating_income": "number", "net_income": "number", "ordinary_income": "number",
+        "gross_profit": "number", "total_assets": "number", "total_equity": "number", "net_assets": "number",
+        "operating_cf": "number", "investing_cf": "number", "financing_cf": "number",
+    },
+    "risk_analyzer_output": {
+        "ticker": "text", "analyzed_at": "text", "source_documents": "array", "risk_categories": "object",
+    },
+    "integrator_output": {
+        "revenue": "number", "operating_income": "number", "net_income": "number", "total_assets": "number", "equity": "number",
+        "total_equity": "number", "net_assets": "number", "operating_cf": "number", "investing_cf": "number",
+        "financing_cf": "number",
+    },
 }
 
 # Provenance contract of stored data.

@@ -322,3 +322,39 @@ def test_running_values_over_measured_ranges(spark):
     assert got == want
     sizes = [r["count"] for r in held[0].where("k = 'hot'").groupBy("_range").count().collect()]
     assert len(sizes) > 1 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+
+
+def test_type_maps_over_odd_records(spark):
+    records = ['{"revenue": "1", "cf": {"operating_cf": true}, "pl": {"revenue": 2}}', '{"ticker": 5, "sources": [], "metadata": null}', "[1]", "7", None, "{}"]
+    rows = spark.createDataFrame(list(enumerate(records)), "seq int, j string").select("seq", F.try_parse_json("j").alias("record"))
+    maps = {"one": {"revenue": "number", "operating_cf": "number"}, "two": {"ticker": "text", "sources": "object", "metadata": "object"}}
+    got = sorted(tuple(r) for r in quality.type_mismatches(rows, ["seq"], "record", maps).collect())
+    # The statement's own figure is preferred to the one at the top level.
+    assert got == [(0, "one", "operating_cf", "number", "boolean"), (1, "two", "sources", "object", "array"), (1, "two", "ticker", "text", "number")]
+
+
+def test_continued_statement_is_judged_by_its_head(spark):
+    rows = [("d", 1, "【貸借対照表】"), ("d", 2, "x\n（単位：千円）\n1"), ("d", 3, "a\nb\nc\n単位"), ("d", 4, "千円")]
+    headers = pages.statement_headers(spark.createDataFrame(rows, "document_id string, page_no int, text string"))
+    assert sorted(r.page_no for r in pages.statement_spans(headers).collect()) == [1, 2]
+
+
+def test_structured_figures_are_hashed_not_sorted(spark):
+    fields = "ticker string, doc_id string, doc_type_code string, period_end string, section string, table_no int, record_no int, item string, header string, column_index int, seq long, parsed double"
+    row = lambda item, column, seq, value, record=0, doc="d": ("1", doc, "120", "p", "income_statement", 0, record, item, "（円）", column, seq, value)
+    cells = [row("売上高", 0, 1, 1.0), row("売上高", 1, 5, 2.0), row("売上高", 1, 4, 3.0), row("営業利益", 2, 9, None), row("営業利益", 1, 8, 4.0), row("営業利益", 0, 3, 7.0, 1)]
+    out = reconcile.structured_figures(spark.createDataFrame([*cells, row("その他", 0, 2**40, 5.0, doc="other")], fields))
+    got = {r.doc_id: (r.revenue, r.operating_income, r.equity) for r in out.collect()}
+    # A record whose last column holds nothing has no figure; a document without a wanted record stays.
+    assert got == {"d": (3.0, 7.0, None), "other": (None, None, None)}
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_facts_of_unknown_concepts_and_documents_of_a_period(spark):
+    sources = [("1", "A", "c", 1, "Net Sales", "1,000", "-"), ("1", "B", "c", 2, "jp:Unknown", "5", None), ("1", "B", "c", 3, "netsales", "-", None), ("1", "B", "c", 4, "NetSales", "7", None), ("1", "B", "c", 5, None, "7", None)]
+    found = spark.createDataFrame(sources, "ticker string, document_id string, context_id string, seq long, concept string, text string, sign string")
+    assert sorted((r.document_id, r.seq, r.concept, r.value) for r in facts.numeric_facts(found).collect() if r.value is not None) == [("A", 1, "revenue", -1000.0), ("B", 4, "revenue", 7.0)]
+    contexts = spark.createDataFrame([(d, "c", "duration", None, dt.date(2024, 3, 31)) for d in "AB"], "document_id string, context_id string, period_type string, start_date date, period_end date")
+    rows = facts.derive_totals(facts.period_rows(found, contexts))
+    assert sorted(r.document_id for r in facts.period_documents(rows).collect()) == ["A", "B"]
+    assert facts.period_index(rows).first().revenue == -1000.0
