@@ -49,6 +49,11 @@ def written(df: DataFrame, name: str) -> str:
     return place
 
 
+def noted(df: DataFrame, name: str) -> DataFrame:
+    """As ``stored``, for tables of few or narrow rows: nothing is done about shuffle files of earlier steps."""
+    return df.sparkSession.read.schema(df.schema).parquet(written(df, name))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The rows of ``df`` written to the shared folder and read again: lineage ends here, lost executors cost nothing."""
     # Shuffle files of finished steps go when the driver forgets their plans; a long operator would else keep all of them. The

@@ -1,9 +1,8 @@
 """Line de-duplication by an exact set-similarity join.
 
 A line's set holds its distinct words. A line is removed when an earlier line, in the order of document id, document text and
-line number, has a set with ``100 * intersection >= percent * union``. Lines of fewer than ``least_words`` distinct
-words are neither compared nor removed; ``op9_line_dedup`` and the pipeline ask for ``EVERY_LINE``, which leaves out only lines
-without a word. Whether the earlier line is itself removed does not matter, so the result does not
+line number, has a set with ``100 * intersection >= percent * union``. Lines of every size are compared, but for those without
+a word; ``least_words`` leaves alone lines of fewer distinct words. Whether the earlier line is itself removed does not matter, so the result does not
 depend on the order of the work.
 
 Equal sets are one class, represented by its first line. The words of a set are ordered by rarity: how often words of
@@ -27,7 +26,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ledgerloom.llm.common import WORD, let, stored, workspace
 
 PERCENT = 80
-LEAST_WORDS = 5
 EVERY_LINE = 1
 BUCKET_BITS = 18
 GATHER_KEYS = 3
@@ -69,7 +67,7 @@ def _least_overlap(n: Column, up: int, down: int) -> Column:
     return F.floor((n * up + (down - 1)) / down).cast("int")
 
 
-def sketched(lines: DataFrame, levels: Column, percent: int = PERCENT, least_words: int = LEAST_WORDS) -> DataFrame:
+def sketched(lines: DataFrame, levels: Column, percent: int = PERCENT, least_words: int = EVERY_LINE) -> DataFrame:
     """Lines with at least ``least_words`` distinct words: class (s1, s2), size n, parity bits, and the first words in order of rarity."""
     # The table is the value of a one-row subquery, known to every task once; lambdas can only name it as a column.
     hashes = F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w)))
@@ -183,7 +181,7 @@ def classes(docs: DataFrame, percent: int, least_words: int, id_col: str, text_c
 
 
 def decisions(
-    docs: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, percent: int = PERCENT, least_words: int = EVERY_LINE, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """(doc, h, removed, n_repeated, n_similar): for each document with removed lines their numbers, and how many of them
     repeat a set of an earlier line or are similar to an earlier line of another set."""
@@ -203,7 +201,7 @@ def _removed(lines: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def report(docs: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def report(docs: DataFrame, percent: int = PERCENT, least_words: int = EVERY_LINE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``id_col``, n_lines, n_removed, n_repeated, n_similar and the numbers of removed lines, comma-joined."""
     found = decisions(docs, percent, least_words, id_col, text_col)
     text = docs[text_col].cast("string")
@@ -218,14 +216,18 @@ def report(docs: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WOR
     )
 
 
-def deduplicated(docs: DataFrame, percent: int = PERCENT, least_words: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicated(docs: DataFrame, percent: int = PERCENT, least_words: int = EVERY_LINE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows, with all their columns, their texts without the removed lines; rows left without a word are dropped, unless
     nothing was removed from them."""
     found = decisions(docs, percent, least_words, id_col, text_col).select("doc", "h", "removed")
     text = docs[text_col].cast("string")
     rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[id_col].cast("bigint").alias("d"), F.xxhash64(text).alias("g"), text.alias("text"))
     joined = rows.join(found, F.col("d").eqNullSafe(F.col("doc")) & (F.col("g") == F.col("h")), "left").select("row", "text", "removed")
-    kept = F.array_join(F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("removed", i)), "\n")
+    # The numbers of the kept lines come from one hashed difference, so a text of very many lines takes time in proportion.
+    kept = let(
+        F.split("text", "\n", -1),
+        lambda l: F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(l) - 1), "removed"), lambda i: F.get(l, i)), "\n"),
+    )
     out = joined.select("row", "removed", F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept).alias("text"))
     out = out.where(F.col("removed").isNull() | F.col("text").rlike(WORD))
     return out.select(*(F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns))

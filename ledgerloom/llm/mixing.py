@@ -2,35 +2,38 @@
 
 Each source gets a share of a budget by weight, clamped at ``max_epochs`` times its own size; what a clamp leaves over
 goes to the open sources by weight, until no target is above its clamp. A target becomes whole repetitions of
-every document and one fractional repetition: documents fall into seeded buckets, the buckets below a boundary are taken once
-more, and the documents of the boundary bucket give the missing share of their words, so a source's words come to its target.
-
-A missing text has size 0. A missing source is a source of its own, last in order. Repeated rows are mixed one by one;
-rows of equal id fall into the same bucket. An empty table gives an empty mix.
+every document and one fractional repetition, which is made of whole documents: in seeded order, documents that fit into the
+missing words are taken until the next one does not fit, and the room that is left is offered to the smaller ones behind it, ``ROUNDS`` times. So
+a source's words come to its target but for a room that few documents fit into. What is taken is told by a few limits per source, so
+texts are never shuffled for it.
+
+A missing text has size 0. A missing source is a source of its own, last in order. Repeated rows are mixed one by one; in the
+fractional repetition rows of equal id and size are taken together. Very long documents are taken whole or not at all. An empty table gives an empty mix. An
+input column named ``repetition`` is replaced by the number of the repetition.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerloom.llm.common import WORD, stored
+from ledgerloom.llm.common import WORD, noted, stored, workspace
+from ledgerloom.operators.ranking import running
 
 # Weights by place of the source in code-point order, and the budget as a share of all sizes.
 WEIGHTS = (3, 1, 2)
 BUDGET = (3, 2)
 MAX_EPOCHS = 2
 SEED = "mix-1"
-BUCKETS = 4096
+ROUNDS = 4
 
 
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def bucket_of(doc_id: Column, seed: str) -> Column:
-    """A seeded bucket from the first three hex digits of a digest."""
-    digest = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit(""))))
-    return F.conv(F.substring(digest, 1, 3), 16, 10).cast("int")
+def place_of(doc_id: Column, size: Column, seed: str) -> Column:
+    """A seeded place in the order of documents."""
+    return F.md5(F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), size.cast("string")))
 
 
 def water_fill(sources: DataFrame, max_epochs: int = MAX_EPOCHS, budget: tuple[int, int] = BUDGET) -> DataFrame:
@@ -72,52 +75,52 @@ def water_fill(sources: DataFrame, max_epochs: int = MAX_EPOCHS, budget: tuple[i
 
 
 def plan(sized: DataFrame, max_epochs: int = MAX_EPOCHS, budget: tuple[int, int] = BUDGET) -> DataFrame:
-    """One row per source: size, target, whole repetitions, boundary bucket and the boundary's share.
+    """One row per source: size, target, whole repetitions, and the limits of the fractional one as ``rounds``: an array of (room, after, upto).
 
-    ``sized`` has (source, bucket, size). It is summed by source and bucket before any shuffle of rows, so a source of any
-    size is at most ``BUCKETS`` rows here.
+    ``sized`` has (source, at, size) and is read several times. Running sums go over measured ranges of the order, so a
+    source of any size is dealt out; what is left in the end is one row per source.
     """
-    sums = sized.groupBy("source", "bucket").agg(F.sum("size").cast("bigint").alias("words"))
-    by_size = sums.groupBy("source").agg(F.sum("words").cast("bigint").alias("source_size"))
+    units = sized.groupBy("source", "at", "size").agg(F.sum("size").cast("bigint").alias("words"))
+    by_size = units.groupBy("source").agg(F.sum("words").cast("bigint").alias("source_size"))
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     weight = F.element_at(F.array(*(F.lit(w).cast("bigint") for w in WEIGHTS)), (F.col("place") % len(WEIGHTS) + 1).cast("int"))
-    ranked = by_size.withColumn("place", place).withColumn("weight", weight)
-    targets = water_fill(ranked, max_epochs, budget)
+    targets = water_fill(by_size.withColumn("place", place).withColumn("weight", weight), max_epochs, budget)
     size = F.col("source_size")
-    whole = F.when(size > 0, F.floor(F.col("target") / size)).otherwise(F.lit(0))
-    targets = targets.withColumn("whole", whole.cast("bigint"))
-    targets = targets.withColumn("rest", F.col("target") - F.col("whole") * size)
-    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sums.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    t = targets.withColumnRenamed("source", "its")
-    joined = placed.join(t, placed["source"].eqNullSafe(t["its"])).drop("its")
-    boundary = (F.col("words") > 0) & (F.col("before") <= F.col("rest")) & (F.col("before") + F.col("words") > F.col("rest"))
-    share = F.when(boundary, (F.col("rest") - F.col("before")) / F.col("words"))
-    return joined.groupBy("source").agg(
-        F.first("source_size").alias("source_size"),
-        F.first("target").alias("target"),
-        F.first("whole").alias("whole"),
-        F.coalesce(F.max(F.when(boundary, F.col("bucket"))), F.lit(BUCKETS)).alias("edge"),
-        F.coalesce(F.max(share), F.lit(0.0)).alias("edge_share"),
-    )
+    whole = F.when(size > 0, F.floor(F.col("target") / size)).otherwise(F.lit(0)).cast("bigint")
+    targets = targets.select("source", "source_size", "target", whole.alias("whole"))
+    room = F.floor(F.col("target") - F.col("whole") * size).cast("bigint")
+    limits = "array<struct<room: bigint, after: string, upto: string>>"
+    now = noted(targets.select("*", room.alias("room"), F.lit("").alias("after"), F.array().cast(limits).alias("rounds")), "mixing-plan")
+    for _ in range(ROUNDS):
+        its = now.select(F.col("source").alias("its"), "room", "after")
+        open_units = units.join(its, units["source"].eqNullSafe(its["its"]))
+        open_units = open_units.where((F.col("size") > 0) & (F.col("at") > F.col("after")) & (F.col("size") <= F.col("room")))
+        narrow = open_units.select("source", "at", "words", "room")
+        summed = running(narrow, ["source"], [F.col("at").asc()], sums={"sum": F.col("words")}, store=lambda rows: noted(rows, "mixing-ranges"))
+        taken = summed.where(F.col("sum") <= F.col("room")).groupBy(F.col("source").alias("its")).agg(F.max("at").alias("upto"), F.max("sum").alias("sum"))
+        step = now.join(taken, now["source"].eqNullSafe(taken["its"]), "left")
+        upto = F.coalesce("upto", "after")
+        now = noted(step.select(
+            "source", "source_size", "target", "whole", (F.col("room") - F.coalesce("sum", F.lit(0))).alias("room"), upto.alias("after"),
+            F.concat("rounds", F.array(F.struct("room", "after", upto.alias("upto")))).alias("rounds"),
+        ), "mixing-plan")
+    return now.select("source", "source_size", "target", "whole", "rounds")
 
 
 def _placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str) -> DataFrame:
-    return docs.select(
-        docs[id_col].alias("id"), docs[source_col].cast("string").alias("source"),
-        word_count(docs[text_col].cast("string")).alias("size"), bucket_of(docs[id_col], seed).alias("bucket"),
-    )
+    size = word_count(docs[text_col].cast("string"))
+    return docs.select(docs[id_col].alias("id"), docs[source_col].cast("string").alias("source"), size.alias("size"), place_of(docs[id_col], size, seed).alias("at"))
 
 
 def _with_plan(rows: DataFrame, sources: DataFrame) -> DataFrame:
-    """Rows with their source's plan and the words of the fractional repetition as ``part``.
+    """Rows with their source's plan and the words of the fractional repetition, all or none, as ``part``.
 
     The plan has a row per source; Spark joins it by its own size check, and otherwise the adaptive skew join splits a
     source that holds a third of all rows.
     """
     p = sources.withColumnRenamed("source", "its")
-    part = F.when(F.col("bucket") < F.col("edge"), F.col("size"))
-    part = part.when(F.col("bucket") == F.col("edge"), F.floor(F.col("size") * F.col("edge_share"))).otherwise(F.lit(0))
+    within = lambda r: (F.col("at") > r["after"]) & (F.col("at") <= r["upto"]) & (F.col("size") <= r["room"])
+    part = F.when(F.exists("rounds", within), F.col("size")).otherwise(F.lit(0))
     return rows.join(p, rows["source"].eqNullSafe(p["its"])).withColumn("part", part.cast("bigint"))
 
 
@@ -125,39 +128,35 @@ def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     seed: str = SEED, max_epochs: int = MAX_EPOCHS, budget: tuple[int, int] = BUDGET,
 ) -> DataFrame:
-    """``id_col``, ``size``, ``source_size``, ``target``, ``taken`` and how it is made up: ``whole`` and ``part`` words.
+    """``id_col``, ``size``, ``source_size``, ``target``, ``taken`` and how it is made up: ``whole`` repetitions and ``part`` words.
 
     The narrow table of sizes is written once, so that words are counted once.
     """
-    sized = stored(_placed(docs, id_col, text_col, source_col, seed), "mixing-sizes")
-    return _with_plan(sized, plan(sized, max_epochs, budget)).select(
-        F.col("id").alias(id_col), "size", "source_size", "target",
-        (F.col("whole") * F.col("size") + F.col("part")).cast("bigint").alias("taken"), "whole", "part",
-    )
+    with workspace(docs.sparkSession) as keep:
+        sized = stored(_placed(docs, id_col, text_col, source_col, seed), "mixing-sizes")
+        mixed = _with_plan(sized, plan(sized, max_epochs, budget)).select(
+            F.col("id").alias(id_col), "size", "source_size", "target",
+            (F.col("whole") * F.col("size") + F.col("part")).cast("bigint").alias("taken"), "whole", "part",
+        )
+        return keep(mixed, "mixing")
 
 
 def repetitions(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     seed: str = SEED, max_epochs: int = MAX_EPOCHS, budget: tuple[int, int] = BUDGET,
 ) -> DataFrame:
-    """The mix itself: all columns of ``docs``, one row for each repetition taken, numbered in ``repetition``.
-
-    A document of the boundary bucket gives its last repetition in part: the text up to its ``part``-th word.
-    """
-    sources = plan(_placed(docs, id_col, text_col, source_col, seed), max_epochs, budget)
+    """The mix itself: all columns of ``docs``, one row with the whole document for each repetition taken, numbered in ``repetition``."""
+    with workspace(docs.sparkSession) as keep:
+        sized = stored(_placed(docs, id_col, text_col, source_col, seed), "mixing-sizes")
+        sources = keep(plan(sized, max_epochs, budget), "mixing-plan")
+    size = word_count(docs[text_col].cast("string"))
     placed = docs.select(
-        F.struct(*(docs[c] for c in docs.columns)).alias("doc"), docs[text_col].cast("string").alias("text"),
-        docs[source_col].cast("string").alias("source"), bucket_of(docs[id_col], seed).alias("bucket"),
-        word_count(docs[text_col].cast("string")).alias("size"),
+        F.struct(*(docs[c] for c in docs.columns)).alias("doc"), docs[source_col].cast("string").alias("source"),
+        size.alias("size"), place_of(docs[id_col], size, seed).alias("at"),
     )
     rows = _with_plan(placed, sources)
-    whole = F.transform(F.sequence(F.lit(1), F.col("whole")), lambda i: F.struct(i.alias("n"), F.lit(None).cast("bigint").alias("words")))
-    none = F.array().cast("array<struct<n: bigint, words: bigint>>")
-    last = F.array(F.struct((F.col("whole") + 1).alias("n"), F.when(F.col("part") < F.col("size"), F.col("part")).alias("words")))
-    each = F.concat(F.when(F.col("whole") > 0, whole).otherwise(none), F.when(F.col("part") > 0, last).otherwise(none))
-    taken = rows.select("doc", "text", F.explode(each).alias("r"))
-    # The text up to its n-th word: n words, each with the white space before it.
-    words = F.regexp_extract_all(F.col("text"), F.lit(rf"[\x20\x09-\x0D]*{WORD}"), 0)
-    cut = F.when(F.col("r.words").isNull(), F.col("text")).otherwise(F.array_join(F.slice(words, F.lit(1), F.col("r.words").cast("int")), ""))
-    columns = [cut.alias(c) if c == text_col else F.col("doc")[c].alias(c) for c in docs.columns]
-    return taken.select(*columns, F.col("r.n").alias("repetition"))
+    times = F.col("whole") + (F.col("part") > 0).cast("bigint")
+    each = F.when(times > 0, F.sequence(F.lit(1).cast("bigint"), times))
+    taken = rows.select("doc", F.explode(each).alias("n"))
+    columns = [F.col("doc")[c].alias(c) for c in docs.columns if c != "repetition"]
+    return taken.select(*columns, F.col("n").alias("repetition"))

@@ -46,12 +46,23 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.labelled(pages))
 
 
-OP4_SQL = r"""
-WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-                  ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 1, 3))::INT AS bucket FROM documents),
-sums AS (SELECT source, bucket, sum(size)::BIGINT AS words FROM d GROUP BY ALL),
-s AS (SELECT source, sum(words)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
-      FROM sums GROUP BY source),
+def _mixing_sql() -> str:
+    """Water-filling, then each round of the fractional repetition as two tables: running sums, and what is taken of them."""
+    rounds = []
+    for k in range(1, mixing.ROUNDS + 1):
+        before = "t0" if k == 1 else f"t{k - 1}"
+        rounds.append(rf"""
+s{k} AS (SELECT u.source, pos, size, room, sum(words) OVER (PARTITION BY u.source ORDER BY pos) AS upto FROM u JOIN {before} b ON u.source IS NOT DISTINCT FROM b.source
+  WHERE size > 0 AND pos > after AND size <= room),
+g{k} AS (SELECT source, max(pos) AS last, max(upto) AS words FROM s{k} WHERE upto <= room GROUP BY source),
+t{k} AS (SELECT b.source, (room - coalesce(words, 0))::BIGINT AS room, coalesce(last, after) AS after FROM {before} b LEFT JOIN g{k} g ON b.source IS NOT DISTINCT FROM g.source)""")
+    chosen = " UNION ALL ".join(f"SELECT source, pos, size FROM s{k} WHERE upto <= room" for k in range(1, mixing.ROUNDS + 1))
+    return rf"""
+WITH c AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^ 	-
+]+')), 0)::BIGINT AS size FROM documents),
+d AS (SELECT *, md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || size) AS pos FROM c),
+u AS (SELECT source, pos, size, sum(size)::BIGINT AS words FROM d GROUP BY ALL),
+s AS (SELECT source, sum(words)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM u GROUP BY source),
 w AS (SELECT *, [3, 1, 2][place % 3 + 1]::BIGINT AS weight, source_size * 2 AS cap FROM s),
 r AS (SELECT *, coalesce(sum(cap) OVER before, 0)::BIGINT AS cb, coalesce(sum(weight) OVER before, 0)::BIGINT AS wb,
              (sum(source_size) OVER ())::BIGINT AS al, (sum(weight) OVER ())::BIGINT AS aw FROM w
@@ -60,21 +71,16 @@ l AS (SELECT *, al * 3 - cb * 2 AS lft, (aw - wb) * 2 AS ow FROM r),
 lev AS (SELECT lft, ow FROM l WHERE weight * lft <= cap * ow ORDER BY cap / weight, place LIMIT 1),
 t AS (SELECT source, source_size, CASE WHEN lev.ow IS NULL OR weight * lev.lft > cap * lev.ow THEN cap::DOUBLE
              ELSE (weight * lev.lft)::DOUBLE / lev.ow::DOUBLE END AS target FROM l LEFT JOIN lev ON true),
-u AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t),
-v AS (SELECT *, target - whole * source_size AS rest FROM u),
-b AS (SELECT sums.*, coalesce(sum(words) OVER (PARTITION BY source ORDER BY bucket
-             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS bef FROM sums),
-e AS (SELECT b.source, max(CASE WHEN words > 0 AND bef <= rest AND bef + words > rest THEN bucket END) AS edge,
-             max(CASE WHEN words > 0 AND bef <= rest AND bef + words > rest THEN (rest - bef) / words END) AS share
-      FROM b JOIN v ON b.source IS NOT DISTINCT FROM v.source GROUP BY b.source),
-p AS (SELECT d.*, v.source_size, v.target, v.whole,
-             CASE WHEN bucket < coalesce(edge, 4096) THEN size WHEN bucket = edge THEN floor(size * share)::BIGINT ELSE 0 END AS part
-      FROM d JOIN v ON d.source IS NOT DISTINCT FROM v.source JOIN e ON d.source IS NOT DISTINCT FROM e.source)
-SELECT doc_id, size, source_size, target, whole * size + part AS taken, whole, part FROM p
+v AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole FROM t),
+t0 AS (SELECT source, floor(target - whole * source_size)::BIGINT AS room, '' AS after FROM v),{",".join(rounds)},
+x AS ({chosen})
+SELECT d.doc_id, d.size, v.source_size, v.target, whole * d.size + CASE WHEN x.pos IS NULL THEN 0 ELSE d.size END AS taken, whole,
+       CASE WHEN x.pos IS NULL THEN 0 ELSE d.size END::BIGINT AS part
+FROM d JOIN v ON d.source IS NOT DISTINCT FROM v.source LEFT JOIN x ON d.source IS NOT DISTINCT FROM x.source AND d.pos = x.pos
 """
 
 
-@query("op4_mixing", OP4_SQL)
+@query("op4_mixing", _mixing_sql())
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 

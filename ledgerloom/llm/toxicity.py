@@ -55,8 +55,10 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col
     first = [known.where(F.col("toxic") == label).orderBy(F.xxhash64(F.lit(17), "id"), "id").limit(size) for label in (0, 1)]
     few = first[0].unionByName(first[1])
     texts = docs.select(docs[id_col].alias("id"), docs["text"].cast("string").cast("binary").alias("text"))
-    # At most 2 * size ids, so the broadcast has a fixed bound and the texts are not shuffled.
-    return texts.join(F.broadcast(few), "id").select("toxic", "text", "id")
+    # At most 2 * size ids, so the broadcast has a fixed bound and the other texts are not shuffled. Of an id's rows the greatest text
+    # is taken, so the sample is one row per id however often the id is repeated.
+    found = texts.join(F.broadcast(few), "id")
+    return found.groupBy("id").agg(F.max("toxic").alias("toxic"), F.max("text").alias("text")).select("toxic", "text", "id")
 
 
 class Model:

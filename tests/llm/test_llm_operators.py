@@ -157,7 +157,10 @@ def test_mixing(docs, empty, texts, budget):
         assert 0 <= r.taken <= 2 * r.size
     for s in order:
         rows = [r for r in got if r.source_size == sizes[s] and abs(r.target - target[s]) < 1e-6]
-        assert rows and abs(sum(r.taken for r in rows) - target[s]) <= len(rows) + 1
+        # Whole documents only: what is missing is less than a document that was left out.
+        missing = target[s] - sum(r.taken for r in rows)
+        assert rows and all(r.taken in (r.whole * r.size, (r.whole + 1) * r.size) for r in rows)
+        assert -1e-6 <= missing < max([r.size for r in rows if r.taken == r.whole * r.size], default=0) + 1
     assert mixing.mix(empty).count() == 0
 
 
@@ -167,6 +170,33 @@ def test_repetitions_hold_the_taken_words(docs, empty):
     taken = mixing.mix(docs).agg(F.sum("taken")).first()[0]
     assert rows.select(F.sum(mixing.word_count(F.col("text")))).first()[0] == taken
     assert mixing.repetitions(empty).count() == 0
+    # Every repetition is a whole document.
+    assert rows.join(docs, ["doc_id", "text"], "left_anti").where("doc_id IS NOT NULL AND text IS NOT NULL").count() == 0
+
+
+def test_repetitions_replace_a_column_of_that_name(docs):
+    rows = mixing.repetitions(docs.withColumn("repetition", F.lit("x")))
+    assert rows.columns == [*docs.columns, "repetition"] and rows.schema["repetition"].dataType.simpleString() == "bigint"
+
+
+def test_mixing_of_a_hot_source(spark):
+    """One source with nearly all rows, one with a single long document."""
+    words = [(i, "w " * (1 + i % 40), "hot") for i in range(3000)] + [(9000, "w " * 5000, "long"), (9001, "w", None)]
+    got = mixing.mix(spark.createDataFrame(words, "doc_id long, text string, source string").repartition(5)).collect()
+    hot = [r for r in got if r.doc_id < 9000]
+    assert abs(sum(r.taken for r in hot) - hot[0].target) <= 1
+
+
+def test_toxic_sample_has_one_row_per_id(spark):
+    docs = spark.createDataFrame([(1, "a b")] * 500 + [(1, "z"), (2, None), (3, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    assert sorted((r.id, r.toxic) for r in toxicity.sample(docs, labels).collect()) == [(1, 1), (2, 0), (3, 0)]
+
+
+def test_a_document_of_very_many_lines(spark):
+    text = "\n".join(["Of.", "one two three"] * 30000 + ["last line here"])
+    docs = spark.createDataFrame([(1, text, "x")], "doc_id long, text string, row string")
+    assert [r.text for r in line_dedup.deduplicated(docs).collect()] == ["Of.\none two three\nlast line here"]
 
 
 def brute_measures(text):
