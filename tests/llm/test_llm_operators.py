@@ -356,10 +356,10 @@ def brute_lines(texts, percent=80, least=5):
 
 def test_line_dedup(docs, empty, texts):
     gone = brute_lines(texts)
-    got = line_dedup.report(docs).collect()
+    got = line_dedup.report(docs, least_words=5).collect()
     want = sorted((repr(i), 0 if t is None else t.count("\n") + 1, ",".join(map(str, gone[i, t]))) for i, t in texts)
     assert sorted((repr(r.doc_id), r.n_lines, r.removed_lines) for r in got) == want
-    left = line_dedup.deduplicated(docs)
+    left = line_dedup.deduplicated(docs, least_words=5)
     assert left.columns == docs.columns
     words = lambda t: bool((t or "").encode().split())
     kept = lambda i, t: "\n".join(x for n, x in enumerate(t.split("\n")) if n not in gone[i, t]) if gone[i, t] else t
