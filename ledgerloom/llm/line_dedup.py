@@ -7,8 +7,9 @@ depend on the order of the work.
 
 Equal sets are one class, represented by its first line. The words of a set are ordered by rarity: how often words of
 the same hash bucket stand in all texts (a table of fixed size), then by hash. Two sets that are similar enough share a word among
-their first ones (prefix filter); sizes must be within the threshold (length filter), places of the shared word must leave
-enough words after them (positional filter), and a 64-bit parity of the words bounds the difference from below.
+their first ones, and long ones several among somewhat more of them (prefix filter); sizes must be within the threshold (length
+filter), places of a shared word must leave enough words after them (positional filter), and a 64-bit parity of the words bounds
+the difference from below.
 What is left is verified on the words of the lines themselves. Sets so small that one word more or less is beyond the
 threshold (up to three words at 80 percent) match equal sets only, so their class settles them and they are not posted.
 
@@ -29,6 +30,9 @@ PERCENT = 80
 EVERY_LINE = 1
 BUCKET_BITS = 18
 GATHER_KEYS = 3
+# Long lines meet by chance at one rare word, the oftener the more lines there are. So a pair must share one word of its
+# prefixes, and one more for every SHARED_STEP words of its smaller set.
+SHARED_STEP = 32
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -67,6 +71,11 @@ def _least_overlap(n: Column, up: int, down: int) -> Column:
     return F.floor((n * up + (down - 1)) / down).cast("int")
 
 
+def _least_shared(n: Column) -> Column:
+    """How many words two similar sets have in common in their prefixes, ``n`` being the smaller size."""
+    return (F.floor(n / SHARED_STEP) + 1).cast("int")
+
+
 def sketched(lines: DataFrame, levels: Column, percent: int = PERCENT, least_words: int = EVERY_LINE) -> DataFrame:
     """Lines with at least ``least_words`` distinct words: class (s1, s2), size n, parity bits, and the first words in order of rarity."""
     # The table is the value of a one-row subquery, known to every task once; lambdas can only name it as a column.
@@ -81,7 +90,7 @@ def sketched(lines: DataFrame, levels: Column, percent: int = PERCENT, least_wor
     ordered = words.select("doc", "h", "no", F.sort_array(keyed).alias("k"))
     n = F.size("k")
     parity = F.aggregate("k", F.lit(0).cast("bigint"), lambda s, x: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63)).cast("int"))))
-    prefix = F.transform(F.slice("k", F.lit(1), n - _least_overlap(n, percent, 100) + 1), lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    prefix = F.transform(F.slice("k", F.lit(1), n - _least_overlap(n, percent, 100) + _least_shared(n)), lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
     return ordered.select(
         "doc", "h", "no", F.xxhash64("k").alias("s1"), F.xxhash64(F.lit(1), "k").alias("s2"), n.alias("n"), parity.alias("bits"), prefix.alias("p")
     )
@@ -155,26 +164,31 @@ def classes(docs: DataFrame, percent: int, least_words: int, id_col: str, text_c
     # The join of all others: the larger set asks with its longer prefix, the smaller answers with its shorter one.
     open_sets = sets.join(settled.select(F.col("y").alias("id"), F.lit(False).alias("open")), "id", "left")
     open_sets = open_sets.select("id", "n", "bits", "p", F.coalesce("open", F.lit(True)).alias("open"))
-    short = F.slice("p", F.lit(1), F.col("n") - _least_overlap(F.col("n"), 2 * percent, 100 + percent) + 1)
+    short = F.slice("p", F.lit(1), F.col("n") - _least_overlap(F.col("n"), 2 * percent, 100 + percent) + _least_shared(F.col("n")))
 
     def posts(words: Column, side: str, fits: Column) -> DataFrame:
         rows = open_sets.where(fits).select("id", "n", "bits", "open", F.posexplode(words).alias("i", "e"))
         # Size, place and the open flag share one number, since every posting carries them through the shuffle.
-        packed = F.shiftleft(F.col("n"), 1).bitwiseOR(F.col("open").cast("int"))
-        return rows.select("e", F.col("id").alias(f"id{side}"), F.col("bits").alias(f"bits{side}"), packed.alias(f"m{side}"), F.col("i").alias(f"i{side}"))
+        packed = F.shiftleft(F.col("n").cast("bigint"), 32).bitwiseOR(F.shiftleft(F.col("i").cast("bigint"), 1)).bitwiseOR(F.col("open").cast("bigint"))
+        return rows.select("e", F.col("id").alias(f"id{side}"), F.col("bits").alias(f"bits{side}"), packed.alias(f"m{side}"))
 
     larger = posts(F.col("p"), "a", (F.col("n") - 1) * 100 >= F.col("n") * percent)
     smaller = posts(short, "b", pairable)
-    joined = larger.join(smaller, "e").withColumns({f"n{s}": F.shiftright(f"m{s}", 1) for s in "ab"} | {f"open{s}": F.col(f"m{s}").bitwiseAND(1) == 1 for s in "ab"})
+    parts = {f"n{s}": F.shiftright(f"m{s}", 32) for s in "ab"}
+    parts |= {f"i{s}": F.shiftright(f"m{s}", 1).bitwiseAND(F.lit((1 << 31) - 1)) for s in "ab"}
+    parts |= {f"open{s}": F.col(f"m{s}").bitwiseAND(1) == 1 for s in "ab"}
+    joined = larger.join(smaller, "e").withColumns(parts)
     a_later = F.col("ida") > F.col("idb")
     in_order = (F.col("na") > F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("ida") > F.col("idb")))
-    left_after = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
-    union_least = F.col("ia") + F.col("ib") + F.greatest(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
-    places_fit = left_after * 100 >= union_least * percent
+    # Of the first shared words that a pair must have, the last one has all others before it.
+    need = _least_shared(F.col("nb"))
+    most = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) + need - 1
+    places_fit = most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
     asked = F.when(a_later, F.col("opena")).otherwise(F.col("openb"))
     pairs = joined.where(in_order & asked & places_fit & _may_match(percent, "a", "b"))
-    pairs = pairs.select(F.when(a_later, F.col("idb")).otherwise(F.col("ida")).alias("x"), F.when(a_later, F.col("ida")).otherwise(F.col("idb")).alias("y"))
-    pairs = stored(pairs.distinct(), "line-pairs")
+    x, y = F.when(a_later, F.col("idb")).otherwise(F.col("ida")), F.when(a_later, F.col("ida")).otherwise(F.col("idb"))
+    shared = pairs.groupBy(x.alias("x"), y.alias("y"), need.alias("need")).agg(F.count("*").alias("c"))
+    pairs = stored(shared.where("c >= need").select("x", "y"), "line-pairs")
     rest = _verified(pairs, sets, docs, percent, id_col, text_col)
     later = settled.unionByName(rest).distinct().select(F.col("y").alias("id"), F.lit(True).alias("near"))
     return lines, sets.join(later, "id", "left").select("s1", "s2", "doc", "h", "no", F.coalesce("near", F.lit(False)).alias("near"))

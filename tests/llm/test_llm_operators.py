@@ -381,6 +381,33 @@ def test_short_lines_are_deduplicated(spark, tmp_path):
     assert left == {1: rows[0][1], 2: "\nb c d", 3: "five six", 4: "one two three\ni\n\n"}
 
 
+def test_long_lines_at_the_threshold(spark):
+    """Lines of up to 300 words, frequent and rare ones, replaced, dropped and added up to and just beyond the threshold."""
+    rng = random.Random(11)
+    zipf = [f"z{i}" for i in range(3000)]
+    weights = [1 / (i + 1) for i in range(3000)]
+    texts = []
+    for i in range(24):
+        base = list(dict.fromkeys(rng.choices(zipf, weights, k=[30, 64, 65, 130, 260, 520][i % 6])))
+        lines = [base]
+        for share in (0.05, 0.105, 0.11, 0.115, 0.12, 0.19, 0.2, 0.21):
+            line, n = list(rng.choice(lines[-2:])), max(1, round(len(base) * share))
+            way = rng.randrange(3)
+            if way < 2:  # replaced or dropped
+                gone = set(rng.sample(line, min(n, len(line) - 1)))
+                line = [w for w in line if w not in gone]
+            if way != 1:
+                line += [rng.choice([f"q{rng.randrange(10**6)}", rng.choice(zipf)]) for _ in range(n)]
+            rng.shuffle(line)
+            lines.append(line)
+        texts += [(1000 * k + i, " ".join(line)) for k, line in enumerate(lines)]
+    rows = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    gone = brute_lines(texts, least=1)
+    assert 60 < len(gone) < len(texts) - 40
+    got = {r.doc_id: r.removed_lines for r in line_dedup.report(rows).collect()}
+    assert got == {i: ",".join(map(str, gone[i, t])) for i, t in texts}
+
+
 def brute_components(texts, k, percent):
     sets = {}
     for i, t in texts:
