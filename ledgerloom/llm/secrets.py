@@ -5,7 +5,8 @@ characters are candidates: a window slides over them with incremental character
 threshold of the run's character class the windows' stretch is a span of kind ``entropy``. Runs on the allow list and runs that
 touch a pattern's span are left out.
 
-Spans are code points, end exclusive, of the whole text. A missing text is empty and has no spans. Repeated rows are scanned
+Spans are code points, end exclusive, of the whole text; positions are running sums in blocks and runs look their neighbours up by
+halving, so a text of very many matches takes time nearly in proportion. A missing text is empty and has no spans. Repeated rows are scanned
 each. Only the id and the text are read; nothing is shuffled.
 """
 
@@ -32,6 +33,33 @@ LEAST_HEX, LEAST_MIXED = 2.9, 3.6
 # Runs that are no secrets: identifiers with dashes, documentation keys, filler, plain numbers or words.
 ALLOWED = r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$|example|x{8}|0{8}|12345678|abcdefgh|^[0-9/_=+-]*$|^[A-Za-z/_=+-]*$"
 FIRST_CODE, CODES = 43, 80  # code points of the run's characters: + to z
+# Matches in one block of running sums.
+BLOCK = 64
+
+
+def _ends(lengths: Column) -> Column:
+    """Running sums of an array. They are made within blocks and then moved by the sums of the blocks before, since a sum over the
+    whole array would copy it at every element."""
+    block = F.lit(BLOCK)
+    none = F.array().cast("array<int>")
+
+    def running(values):
+        last = lambda s: F.coalesce(F.get(s, F.size(s) - 1), F.lit(0))
+        return F.aggregate(values, none, lambda s, x: F.concat(s, F.array(last(s) + x)))
+
+    def blocks(values):
+        firsts = F.filter(F.sequence(F.lit(0), F.greatest(F.size(values) - 1, F.lit(0)), block), lambda i: i < F.size(values))
+        return F.transform(firsts, lambda i: running(F.slice(values, i + 1, block)))
+
+    def moved(sums):
+        def shifted(before):
+            return F.flatten(F.transform(sums, lambda own, k: let(
+                F.when(k > 0, F.get(before, k - 1)).otherwise(0), lambda by: F.transform(own, lambda x: x + by)
+            )))
+
+        return let(running(F.transform(sums, F.array_max)), shifted)
+
+    return let(let(lengths, blocks), moved)
 
 
 def located(text: Column, pattern: str, gate: Column) -> Column:
@@ -41,13 +69,13 @@ def located(text: Column, pattern: str, gate: Column) -> Column:
     pairs = F.arrays_zip(F.slice(pieces, F.lit(1), F.size(found)).alias("gap"), found.alias("m"))
     none = F.array().cast("array<struct<start: int, m: string>>")
 
-    def add(state, pair):
-        start = state["at"] + F.char_length(pair["gap"])
-        one = F.array(F.struct(start.alias("start"), pair["m"].alias("m")))
-        return F.struct((start + F.char_length(pair["m"])).alias("at"), F.concat(state["out"], one).alias("out"))
+    def placed(pairs):
+        ends = _ends(F.transform(pairs, lambda p: F.char_length(p["gap"]) + F.char_length(p["m"])))
+        return let(ends, lambda e: F.transform(
+            pairs, lambda p, i: F.struct((F.get(e, i) - F.char_length(p["m"])).alias("start"), p["m"].alias("m"))
+        ))
 
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    return F.when(gate, F.aggregate(pairs, start, add, lambda s: s["out"])).otherwise(none)
+    return F.when(gate, let(pairs, placed)).otherwise(none)
 
 
 def _span(kind: int, start: Column, end: Column) -> Column:
@@ -58,14 +86,31 @@ def _to_span(kind: int):
     return lambda x: _span(kind, x["start"], x["start"] + F.char_length(x["m"]))
 
 
-def base_spans(text: Column) -> Column:
-    """Spans of the three patterns, unordered."""
+def base_groups(text: Column) -> Column:
+    """Spans of the three patterns: one array per kind, each in order and without overlap."""
     assigned = F.filter(
         located(text, ASSIGN, text.rlike(ASSIGN_WORD)),
         lambda x: F.char_length(F.regexp_extract(x["m"], ASSIGN, 2)) >= ASSIGN_LEAST,
     )
     groups = (assigned, located(text, ACCESS, text.contains("AKIA")), located(text, HEX, text.rlike(HEX)))
-    return F.concat(*(F.transform(g, _to_span(i)) for i, g in enumerate(groups)))
+    return F.array(*(F.transform(g, _to_span(i)) for i, g in enumerate(groups)))
+
+
+def _touched(spans: Column, start: Column, end: Column) -> Column:
+    """Whether a span of an ordered array without overlaps touches [start, end): the last one that begins before ``end`` tells,
+    and halving finds it."""
+    zero = F.struct(F.lit(0).alias("low"), F.size(spans).alias("high"))
+
+    def halve(state, _):
+        middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
+        before = (state["low"] < state["high"]) & (F.get(spans, middle)["start"] < end)
+        low = F.when(before, middle + 1).otherwise(state["low"])
+        high = F.when(before | (state["low"] >= state["high"]), state["high"]).otherwise(middle)
+        return F.struct(low.alias("low"), high.alias("high"))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size(spans) + 1)).cast("int"))
+    last = F.aggregate(steps, zero, halve, lambda state: state["low"] - 1)
+    return F.when(F.size(spans) == 0, False).otherwise(F.coalesce(let(last, lambda i: F.get(spans, F.when(i >= 0, i))["end"] > start), F.lit(False)))
 
 
 def hot_stretch(run: Column, least: Column) -> Column:
@@ -98,9 +143,9 @@ def hot_stretch(run: Column, least: Column) -> Column:
     return let(codes, lambda c: F.aggregate(places, zero, lambda s, i: step(s, i, c), lambda s: F.struct(s["low"], s["high"])))
 
 
-def entropy_spans(text: Column, base: Column) -> Column:
+def entropy_spans(text: Column, groups: Column) -> Column:
     runs = F.filter(located(text, RUN, text.rlike(RUN)), lambda x: ~x["m"].rlike(ALLOWED))
-    clear = F.filter(runs, lambda x: ~F.exists(base, lambda b: (b["start"] < x["start"] + F.char_length(x["m"])) & (x["start"] < b["end"])))
+    clear = F.filter(runs, lambda x: ~F.exists(groups, lambda g: _touched(g, x["start"], x["start"] + F.char_length(x["m"]))))
 
     def judge(x):
         least = F.when(x["m"].rlike("^[0-9a-fA-F]*$"), F.lit(LEAST_HEX)).otherwise(F.lit(LEAST_MIXED))
@@ -113,8 +158,8 @@ def entropy_spans(text: Column, base: Column) -> Column:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col``, ``base`` and ``spans``: arrays of (start, kind, end) in order; ``spans`` has the entropy spans too."""
     rows = docs.select(docs[id_col].alias("id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    found = rows.select("id", "text", base_spans(F.col("text")).alias("base"))
-    more = found.select("id", "base", entropy_spans(F.col("text"), F.col("base")).alias("more"))
+    found = rows.select("id", "text", base_groups(F.col("text")).alias("groups"))
+    more = found.select("id", F.flatten("groups").alias("base"), entropy_spans(F.col("text"), F.col("groups")).alias("more"))
     return more.select(
         F.col("id").alias(id_col), F.array_sort("base").alias("base"), F.array_sort(F.concat("base", "more")).alias("spans")
     )
