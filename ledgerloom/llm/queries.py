@@ -42,8 +42,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_url_filter")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    return url_filter.judge(pages, url_filter.labelled(pages))
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.known_urls(spark))
 
 
 def _mixing_sql() -> str:

@@ -3,8 +3,12 @@
 The host runs from the first ``://`` to the next ``/``, ``?``, ``#`` or the end, with A-Z lower-cased; the path runs from there
 to ``?``, ``#`` or the end. A missing url, or one without ``://``, has empty host and path. A rule fits its host and all
 subdomains if the path starts with the rule's path; the longest fitting rule decides. Urls that no rule fits are
-judged by logistic regression, trained on a small labelled table of urls. Without labelled urls of both kinds the
-method says what the labels say, or allow. Repeated urls are judged each; no shuffle but for drawing the labelled table.
+judged by logistic regression, trained on a small labelled table of urls (``url_labels``, or any other with the same columns); the
+rules' own verdicts are not labels. Without labelled urls of both kinds the method says what the labels say, or allow.
+
+Repeated urls and rows are judged each and alike. Of rules of one length the first by host and path decides, and a score of just one half blocks. Very
+long urls are read whole: work grows with their length, memory with their distinct n-grams, at most ``DIMENSIONS``. An empty
+table gives no rows. Only the id and the url are read, so other columns may have any name. No shuffle.
 """
 
 from __future__ import annotations
@@ -14,13 +18,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerloom.llm.common import UPPER
+from ledgerloom.llm.url_labels import labelled_urls
 
 DIMENSIONS = 1 << 14
 GRAMS = (2, 3, 4, 5)
-SAMPLE = 4000
 ROUNDS, RATE, L2 = 200, 2.0, 1e-4
 
 # Fixed values: (host, path, verdict).
@@ -63,17 +67,11 @@ def features(host: str, path: str) -> np.ndarray:
     return np.fromiter(sorted(found), np.int64, len(found))
 
 
-def labelled(urls: DataFrame, url_col: str = "url", rules=RULES, size: int = SAMPLE) -> DataFrame:
-    """The small labelled table: distinct urls that a rule decides, the first ``size`` of each verdict by a hash of the url."""
-    host, path = split_url(urls[url_col].cast("string"))
-    known = urls.select(urls[url_col].cast("string").alias("url"), host.alias("host"), path.alias("path"))
-    known = known.select("url", "host", "path", fitting_rule(F.col("host"), F.col("path"), rules)["verdict"].alias("verdict"))
-    parts = [
-        known.where(F.col("verdict") == v).groupBy("host", "path", "verdict").agg(F.min(F.xxhash64("url")).alias("h"))
-        .orderBy("h", "host", "path").limit(size)
-        for v in ("allow", "block")
-    ]
-    return parts[0].unionByName(parts[1]).select("host", "path", "verdict")
+def known_urls(spark: SparkSession) -> DataFrame:
+    """The small labelled table (host, path, verdict) that comes with the package; any other of these columns does as well."""
+    rows = spark.createDataFrame(labelled_urls(), "url string, verdict string")
+    host, path = split_url(rows["url"])
+    return rows.select(host.alias("host"), path.alias("path"), "verdict")
 
 
 def fit(rows: list[tuple[str, str, str]]) -> tuple[np.ndarray, float]:
@@ -81,7 +79,7 @@ def fit(rows: list[tuple[str, str, str]]) -> tuple[np.ndarray, float]:
     rows = sorted(rows)
     y = np.array([v == "block" for _, _, v in rows], float)
     if not rows or y.all() or not y.any():
-        return np.zeros(DIMENSIONS), 0.0 if not rows else (35.0 if y.all() else -35.0)
+        return np.zeros(DIMENSIONS), 35.0 if rows and y.all() else -35.0
     lists = [features(h, p) for h, p, _ in rows]
     index = np.concatenate(lists)
     row = np.repeat(np.arange(len(rows)), [len(a) for a in lists])
@@ -103,8 +101,8 @@ def judge(
 ) -> DataFrame:
     """``id_col``, host, path, rule, verdict and the method's block score of every row; only the id and the url are read.
 
-    ``known`` is the labelled table (host, path, verdict), at most a few thousand rows: it goes to the driver, and the
-    weights it gives are a fixed ``DIMENSIONS`` numbers.
+    ``known`` is the labelled table (host, path, verdict), small by definition and no part of the corpus: it goes to the driver, and
+    the weights it gives are a fixed ``DIMENSIONS`` numbers.
     """
     w, b = fit([tuple(r) for r in known.select("host", "path", "verdict").collect()])
     held = urls.sparkSession.sparkContext.broadcast((w, b))

@@ -85,18 +85,62 @@ def test_long_pre_tokens_merge_like_short_ones():
     assert "the" in whole
 
 
+def brute_url(url, model):
+    """Host, path, rule and verdict of one url, and its score, written out plainly."""
+    host = path = ""
+    if url is not None and "://" in url:
+        rest = re.split(r"[?#]", url.split("://", 1)[1], maxsplit=1)[0]
+        host, slash, tail = rest.partition("/")
+        host, path = "".join(c.lower() if c.isascii() else c for c in host), slash + tail
+    fits = [r for r in url_filter.RULES if (host == r[0] or host.endswith("." + r[0])) and path.startswith(r[1])]
+    grams = set()
+    for side, text in ((b"h", f"^{host}$".encode()), (b"p", f"^{path}$".encode())):
+        grams |= {zlib.crc32(text[i : i + n], zlib.crc32(side) + n) % url_filter.DIMENSIONS for n in (2, 3, 4, 5) for i in range(len(text) - n + 1)}
+    s = sum(model[0][g] for g in grams) / math.sqrt(max(1, len(grams))) + model[1]
+    best = max(fits, key=lambda r: len(r[0] + r[1]), default=None)
+    verdict = best[2] if best else "block" if s >= 0 else "allow"
+    return host, path, best and best[0] + best[1], verdict, 1 / (1 + math.exp(-max(-35, min(35, s))))
+
+
+def test_url_filter_equals_brute_force(spark):
+    odd = [None, "", "://", "http://", "no scheme/en/", "HTTP://CASINO-Ä.Example.ORG/en/?a://b", "http://a.org\n/x\ny#z", "http://b.net/" + "casino-bonus/" * 20000,
+           "x://y://z.com/", "http://tie.net/es/", "http://tie.net/es/"]
+    pages = spark.createDataFrame([(i if i != 3 else None, u, "extra") for i, u in enumerate(odd)], "page_id long, url string, path string")
+    both = pages.unionByName(spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url", F.lit("x").alias("path")))
+    known = url_filter.known_urls(spark)
+    model = url_filter.fit([tuple(r) for r in known.collect()])
+    got = url_filter.judge(both, known).collect()
+    key = lambda r: (repr(r[0]), r[1], r[2], repr(r[3]), r[4], round(r[5], 9))
+    assert sorted(map(key, got)) == sorted(key((r.page_id, *brute_url(r.url, model))) for r in both.collect())
+
+
+def test_url_labels_teach_hosts_held_out(spark):
+    rows = [tuple(r) for r in url_filter.known_urls(spark).collect()]
+    assert len(set(rows)) == len(rows) <= 200 and len({r[:2] for r in rows}) == len(rows)
+    right = 0
+    for fold in range(5):
+        held = [r for r in rows if zlib.crc32(r[0].encode()) % 5 == fold]
+        w, b = url_filter.fit([r for r in rows if zlib.crc32(r[0].encode()) % 5 != fold])
+        for host, path, verdict in held:
+            at = url_filter.features(host, path)
+            right += (w[at].sum() / math.sqrt(len(at)) + b >= 0) == (verdict == "block")
+    assert right >= 0.68 * len(rows)
+
+
 def test_url_filter(spark):
     urls = ["http://a.com/x", "https://EXAMPLE.com/en/1", "http://www.example.com/en/", "http://x.net/es/1?q", "x.net/es/", None, "", "ftp://q.org", "http://com/",
             "http://notcom.org/en/", "http://u.example.com/en/a#b", "http://example.com"]
     pages = spark.createDataFrame([(i, u, 5) for i, u in enumerate(urls * 2)], "page_id long, url string, host int")
-    got = {r.page_id: r for r in url_filter.judge(pages, url_filter.labelled(pages)).collect()}
+    got = {r.page_id: r for r in url_filter.judge(pages, url_filter.known_urls(spark)).collect()}
     assert len(got) == len(urls) * 2
     assert (got[1].host, got[1].path, got[1].rule, got[1].verdict) == ("example.com", "/en/1", "example.com/en/", "block")
     assert (got[2].rule, got[2].verdict) == ("www.example.com/en/", "allow")
     assert [got[i].rule for i in (0, 3, 4, 5, 7, 8, 10, 11)] == ["com/", "net/es/", None, None, None, "com/", "example.com/en/", None]
     assert (got[5].host, got[5].path) == ("", "")
     assert all(r.verdict in ("allow", "block") for r in got.values())
-    assert url_filter.judge(pages.limit(0), url_filter.labelled(pages.limit(0))).count() == 0
+    assert url_filter.judge(pages.limit(0), url_filter.known_urls(spark)).count() == 0
+    nothing = url_filter.known_urls(spark).limit(0)
+    assert {r.verdict for r in url_filter.judge(pages, nothing).collect() if r.rule is None} == {"allow"}
 
 
 def test_url_model_tells_hosts_apart(spark):
