@@ -80,8 +80,7 @@ def sketched(lines: DataFrame, levels: Column, percent: int = PERCENT, least_wor
     """Lines with at least ``least_words`` distinct words: class (s1, s2), size n, parity bits, and the first words in order of rarity."""
     # The table is the value of a one-row subquery, known to every task once; lambdas can only name it as a column.
     hashes = F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w)))
-    words = lines.select("doc", "h", "no", hashes.alias("t")).where(F.size("t") >= least_words)
-    words = words.select("doc", "h", "no", "t", levels.alias("levels"))
+    words = lines.select("doc", "h", "no", hashes.alias("t"), levels.alias("levels"))
 
     def rank(x):
         return F.coalesce(F.get("levels", _bucket(x)), F.lit(0).cast("tinyint")).cast("bigint")
@@ -91,9 +90,9 @@ def sketched(lines: DataFrame, levels: Column, percent: int = PERCENT, least_wor
     n = F.size("k")
     parity = F.aggregate("k", F.lit(0).cast("bigint"), lambda s, x: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63)).cast("int"))))
     prefix = F.transform(F.slice("k", F.lit(1), n - _least_overlap(n, percent, 100) + _least_shared(n)), lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
-    return ordered.select(
-        "doc", "h", "no", F.xxhash64("k").alias("s1"), F.xxhash64(F.lit(1), "k").alias("s2"), n.alias("n"), parity.alias("bits"), prefix.alias("p")
-    )
+    row = F.struct(F.xxhash64("k").alias("s1"), F.xxhash64(F.lit(1), "k").alias("s2"), n.alias("n"), parity.alias("bits"), prefix.alias("p"))
+    # A filter on the size would be pushed below and find the words of every line a second time; inside the generator it is not.
+    return ordered.select("doc", "h", "no", F.inline(F.filter(F.array(row), lambda r: r["n"] >= least_words)))
 
 
 def _may_match(percent: int, a: str, b: str) -> Column:
