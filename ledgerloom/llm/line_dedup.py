@@ -218,7 +218,7 @@ def report(docs: DataFrame, percent: int = PERCENT, least_words: int = EVERY_LIN
     """Per row: ``id_col``, n_lines, n_removed, n_repeated, n_similar and the numbers of removed lines, comma-joined."""
     found = decisions(docs, percent, least_words, id_col, text_col)
     text = docs[text_col].cast("string")
-    n_lines = F.when(text.isNull(), 0).otherwise(F.regexp_count(text, F.lit("\n")) + 1)
+    n_lines = F.when(text.isNull(), 0).otherwise(F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
     rows = docs.select(docs[id_col].alias("id"), F.xxhash64(text).alias("g"), n_lines.cast("bigint").alias("n_lines"))
     out = rows.join(found, F.col("id").cast("bigint").eqNullSafe(F.col("doc")) & (F.col("g") == F.col("h")), "left")
     zero = F.lit(0).cast("bigint")
