@@ -112,6 +112,22 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("*", (~base).alias("base_failed"), (base & quality_rules.passes("v2")).alias("kept"))
 
 
+def _ablations_sql() -> str:
+    cases = ", ".join(
+        f"('{p}', '{r}', {quality_rules.mask_of(rules)}, {quality_rules.mask_of((r,))})" for p, rules in quality_rules.POLICIES.items() for r in rules
+    )
+    return rf"""
+SELECT policy, rule, count(*)::BIGINT AS n_docs, (count(*) FILTER (failed & mask = 0))::BIGINT AS n_kept,
+       (count(*) FILTER (failed & mask & ~bit = 0))::BIGINT AS n_kept_without
+FROM ({OP5_SQL}), (VALUES {cases}) AS c(policy, rule, mask, bit) GROUP BY policy, rule
+"""
+
+
+@query("quality_ablations", _ablations_sql())
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.ablations(quality_rules.ledger(table(spark, sf_dir, "documents")))
+
+
 @query("op8_toxicity")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
