@@ -134,9 +134,9 @@ def company_names(facts: DataFrame, contexts: DataFrame) -> DataFrame:
 
 
 def period_index(periods: DataFrame) -> DataFrame:
-    """Per company and period end: first known value of each field in document order; see `period_documents` for the documents.
+    """Per company and period end: first known value of each field in document order, with its documents, sorted.
 
-    The calculated fields are three names at most.
+    The calculated fields are three names at most. `period_documents` has the documents as rows.
     """
     first = lambda name: F.min(F.when(F.col(name).isNotNull(), F.struct("document_id", name)))[name].alias(name)
     opening = F.min(F.struct("document_id", "period_start", "period_type", "fiscal_year"))
@@ -145,6 +145,7 @@ def period_index(periods: DataFrame) -> DataFrame:
         opening["period_type"].alias("period_type"),
         opening["fiscal_year"].alias("fiscal_year"),
         *[first(f) for f in ALL_FIELDS],
+        F.array_sort(F.collect_set("document_id")).alias("source_document_ids"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("calculated_fields")))).alias("calculated_fields"),
     )
 

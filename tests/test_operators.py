@@ -358,3 +358,11 @@ def test_facts_of_unknown_concepts_and_documents_of_a_period(spark):
     rows = facts.derive_totals(facts.period_rows(found, contexts))
     assert sorted(r.document_id for r in facts.period_documents(rows).collect()) == ["A", "B"]
     assert facts.period_index(rows).first().revenue == -1000.0
+
+
+def test_period_index_names_its_documents(spark):
+    sources = [("1", d, "c", i, "NetSales", "7", None) for i, d in enumerate("BAC")]
+    found = spark.createDataFrame(sources, "ticker string, document_id string, context_id string, seq long, concept string, text string, sign string")
+    contexts = spark.createDataFrame([(d, "c", "duration", None, dt.date(2024, 3, 31)) for d in "ABC"], "document_id string, context_id string, period_type string, start_date date, period_end date")
+    index = facts.period_index(facts.derive_totals(facts.period_rows(found, contexts)))
+    assert [r.source_document_ids for r in index.collect()] == [["A", "B", "C"]]
