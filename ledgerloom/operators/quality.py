@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.functions.numbers import round_to
+from ledgerloom.functions.numbers import let, round_to
 from ledgerloom.rules import gates as G
 
 Rules = dict[str, tuple[float | None, float | None]]
@@ -92,49 +92,69 @@ def valuation_reasonableness(multiples: DataFrame, profile: str = "default", ove
     return value_range(multiples, ["ticker"], valuation_bounds(profile, overrides))
 
 
+# How the type names of each kind begin.
 _KINDS = {
-    "number": r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL)", "text": r"^STRING", "object": r"^OBJECT", "array": r"^ARRAY",
-    "boolean": r"^BOOLEAN", "null": r"^VOID",
+    "text": ("STRING",), "number": ("DECIMAL", "BIGINT", "DOUBLE", "TINYINT", "SMALLINT", "INT", "FLOAT"), "object": ("OBJECT",),
+    "array": ("ARRAY",), "boolean": ("BOOLEAN",), "null": ("VOID",),
 }
 # Where a field of a record may lie, in order of preference.
 LEVELS = ("$.cf", "$.pl", "$.bs", "$")
 
 
-def shredded(record: Column, levels: tuple[str, ...] = LEVELS) -> Column:
+def shredded(record: Column, levels: tuple[str, ...] = LEVELS, fields: list[str] | None = None) -> Column:
     """Array of (path, kind) maps of a VARIANT record, one per level: the kind of value behind each field of the object there.
 
-    A level that is absent or no object is an empty map. Kinds are number, text, boolean, object, array and null.
+    A level that is absent or no object is an empty map. Kinds are number, text, boolean, object, array and null. With ``fields`` only
+    these are looked at.
     """
     def kinds(path: str) -> Column:
-        fields = F.try_variant_get(record, path, "map<string,variant>")
-        return F.coalesce(F.transform_values(fields, lambda _, v: _kind(v)), F.create_map().cast("map<string,string>"))
+        found = F.try_variant_get(record, path, "map<string,variant>")
+        if fields is not None:
+            found = F.map_filter(found, lambda name, _: name.isin(*fields))
+        return F.coalesce(F.transform_values(found, lambda _, v: _kind(v)), F.create_map().cast("map<string,string>"))
 
     return F.array(*[kinds(p) for p in levels])
 
 
 def _kind(value: Column) -> Column:
-    actual = F.schema_of_variant(value)
-    out = F.lit("other")
-    for kind, pattern in _KINDS.items():
-        out = F.when(actual.rlike(pattern), kind).otherwise(out)
-    return out
+    """The type name is worked out once; a missing value has another kind."""
+    def of(actual: Column) -> Column:
+        out = F.lit("other")
+        for kind, names in reversed(_KINDS.items()):
+            out = F.when(reduce(lambda a, b: a | b, [actual.startswith(n) for n in names]), kind).otherwise(out)
+        return out
+
+    return let(F.schema_of_variant(value), of)
 
 
 def type_mismatches(rows: DataFrame, keys: list[str], record: str, maps: dict[str, dict[str, str]]) -> DataFrame:
     """Fields of a VARIANT record whose value has another kind than a map expects; nulls are allowed.
 
-    The record is taken apart once, whatever the number of maps, which are data here: (map, field, expected). A field is looked up inside
-    cf, pl and bs, then at the top level; a boolean is never a number.
+    The record is taken apart once, whatever the number of maps. A field is looked up inside cf, pl and bs, then at the top level; what was
+    found is compared with the maps that know the field. A boolean is never a number. All of this is done by functions on arrays: one
+    expression per field and level would be too long to be compiled.
     """
-    expected = F.array(*[
-        F.struct(F.lit(name).alias("map"), F.lit(field).alias("field"), F.lit(kind).alias("expected"))
-        for name, fields in maps.items() for field, kind in fields.items()
-    ])
-    parts = rows.select(*keys, shredded(F.col(record)).alias("levels"))
-    found = lambda e: F.coalesce(*[F.try_element_at(F.col("levels")[i], e["field"]) for i in range(len(LEVELS))])
-    judged = F.transform(expected, lambda e: F.struct(e["map"], e["field"], e["expected"], found(e).alias("actual")))
-    wrong = F.filter(judged, lambda e: e["actual"].isNotNull() & (e["actual"] != "null") & (e["actual"] != e["expected"]))
-    return parts.select(*keys, F.explode(wrong).alias("m")).select(*keys, "m.*")
+    rules: dict[str, list[Column]] = {}
+    for name, expected in maps.items():
+        for field, kind in expected.items():
+            rules.setdefault(field, []).append(F.struct(F.lit(name).alias("map"), F.lit(kind).alias("expected")))
+    known = F.create_map(*[x for field, its in rules.items() for x in (F.lit(field), F.array(*its))])
+    parts = rows.select(*keys, shredded(F.col(record), fields=sorted(rules)).alias("levels"))
+
+    def first_found(level: int) -> Column:
+        earlier = [F.col("levels")[i] for i in range(level)]
+        new = lambda field, kind: reduce(lambda a, b: a & b, [~F.map_contains_key(m, field) for m in earlier], kind != "null")
+        return F.map_entries(F.map_filter(F.col("levels")[level], new))
+
+    def wrong(e: Column) -> Column:
+        others = F.filter(F.try_element_at(known, e["key"]), lambda r: r["expected"] != e["value"])
+        return F.transform(others, lambda r: F.struct(r["map"], e["key"].alias("field"), r["expected"], e["value"].alias("actual")))
+
+    found = parts.select(*keys, F.flatten(F.array(*[first_found(i) for i in range(len(LEVELS))])).alias("found"))
+    judged = found.select(*keys, F.flatten(F.transform("found", wrong)).alias("wrong"))
+    # An inner explode would put a filter on the array below it and work out the record twice.
+    return judged.select(*keys, F.explode_outer("wrong").alias("m")).filter(F.col("m").isNotNull()).select(*keys, "m.*")
+
 
 def required_keys(rows: DataFrame, keys: list[str], record: str, paths: list[str]) -> DataFrame:
     """Required dotted paths that are missing from a VARIANT record."""

@@ -366,3 +366,28 @@ def test_period_index_names_its_documents(spark):
     contexts = spark.createDataFrame([(d, "c", "duration", None, dt.date(2024, 3, 31)) for d in "ABC"], "document_id string, context_id string, period_type string, start_date date, period_end date")
     index = facts.period_index(facts.derive_totals(facts.period_rows(found, contexts)))
     assert [r.source_document_ids for r in index.collect()] == [["A", "B", "C"]]
+
+
+def test_type_maps_put_no_filter_below_the_array_of_wrong_fields(spark):
+    rows = spark.createDataFrame([(1, '{"a": "x"}')], "seq int, j string").select("seq", F.parse_json("j").alias("record"))
+    found = quality.type_mismatches(rows, ["seq"], "record", {"m": {"a": "number", "b": "text"}, "n": {"a": "array"}})
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_variant_get") == len(quality.LEVELS) and "element_at(levels" not in plan
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "m", "a", "number", "text"), (1, "n", "a", "array", "text")]
+
+
+def test_figures_are_resolved_by_one_aggregation_with_priority_before_place(spark):
+    fields = "ticker string, document_id string, period_end string, concept string, priority int, seq long, value double"
+    rows = [("1", "d", "p", "c", 60, 9_000_000_000_000_000_000, 1.0), ("1", "d", "p", "c", 100, 5, 2.0), ("1", "d", "p", "c", 100, 7, 3.0), ("1", "d", "p", "x", -80, 1, 4.0), ("1", "d", "p", "x", -65, 0, 5.0)]
+    out = facts._resolved(spark.createDataFrame(rows, fields).repartition("document_id", "period_end"))
+    assert sorted((r.concept, r.value, r.priority) for r in out.collect()) == [("c", 3.0, 100), ("x", 5.0, -65)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_leaves_are_dealt_out_before_they_are_sorted(spark):
+    old, new = [("1", 1, "a", "1", "int"), ("1", 2, "a", "2", "int"), (None, None, "b", "3", "int")], [("1", 1, "a", "4", "int"), (None, None, "b", "3", "int"), ("1", 3, "a", "5", "int")]
+    frame = lambda r: spark.createDataFrame(r, "ticker string, seq int, path string, value string, kind string")
+    out = changes.snapshot_diff(frame(old), frame(new), ["ticker", "seq"])
+    assert sorted((r.seq, r.change) for r in out.collect()) == [(1, "changed"), (2, "removed"), (3, "added")]
+    assert "RebalancePartitions" in out._jdf.queryExecution().optimizedPlan().toString()
