@@ -52,12 +52,14 @@ def context_facts(facts: DataFrame, contexts: DataFrame) -> DataFrame:
 def _resolved(rows: DataFrame) -> DataFrame:
     """Best figure per document, period and concept, over rows laid out by document and period.
 
-    The later fact per priority and then the highest priority: two plain maxima, which run as hash
-    aggregations, where one maximum over a pair would sort.
+    Priority and place are one decimal, so one hash aggregation finds the figure; a maximum over a pair would sort, and two
+    aggregations would hold all figures of a task twice.
     """
-    keys = ["ticker", "document_id", "period_end", "concept"]
-    per_priority = rows.groupBy(*keys, "priority").agg(F.max_by("value", "seq").alias("value"))
-    return per_priority.groupBy(*keys).agg(F.max_by("value", "priority").alias("value"), F.max("priority").alias("priority"))
+    # A priority goes before any place: places have at most 19 digits.
+    order = F.col("priority").cast("decimal(10,0)") * F.lit("1" + "0" * 20).cast("decimal(21,0)") + F.col("seq").cast("decimal(20,0)")
+    return rows.groupBy("ticker", "document_id", "period_end", "concept").agg(
+        F.max_by("value", order).alias("value"), F.max("priority").alias("priority")
+    )
 
 
 def _laid_out(facts: DataFrame, contexts: DataFrame) -> DataFrame:
