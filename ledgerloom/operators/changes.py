@@ -23,11 +23,14 @@ def flatten_values(rows: DataFrame, keys: list[str], fields: dict[str, str]) ->
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Added, removed and changed leaves; a change of kind counts as changed.
 
-    Both versions hold a leaf once, so they are tagged and grouped instead of joined outright.
+    Both versions hold a leaf once, so they are tagged and grouped instead of joined outright. Leaves are many times as long as the rows they
+    come from: they are dealt out in pieces of bounded size before the grouping sorts them, whatever the size of the tasks before.
     """
     tag = lambda df, side: df.select(*keys, "path", F.lit(side).alias("side"), "value", "kind")
     of = lambda side: F.max(F.when(F.col("side") == side, F.struct("kind", "value")))
-    paired = tag(old, 0).unionByName(tag(new, 1)).groupBy(*keys, "path").agg(of(0).alias("o"), of(1).alias("n"))
+    leaves = tag(old, 0).unionByName(tag(new, 1))
+    dealt = leaves.withColumn("_leaf", F.xxhash64(*keys, "path")).hint("rebalance", "_leaf")
+    paired = dealt.groupBy(*keys, "path").agg(of(0).alias("o"), of(1).alias("n"))
     change = (
         F.when(F.col("o").isNull(), "added").when(F.col("n").isNull(), "removed")
         .when(~F.col("o").eqNullSafe(F.col("n")), "changed")
