@@ -191,3 +191,20 @@ def test_company_without_gates_has_not_passed(spark):
     gates = spark.createDataFrame([("1", "g", "error", True)], "ticker string, gate_id string, severity string, pass boolean")
     companies = spark.createDataFrame([("1",), ("2",)], "ticker string")
     assert {r.ticker: (r.gates, r.overall_pass) for r in quality.gate_rollup(gates, companies=companies).collect()} == {"1": (1, True), "2": (0, False)}
+
+
+def test_rows_of_many_archives_share_a_batch():
+    import pyarrow as pa
+
+    paths, contents = [], []
+    for i in range(50):
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w") as archive:
+            archive.writestr("XBRL/PublicDoc/main.xbrl", '<xbrl><context id="c"><period><instant>2024-03-31</instant></period></context><f contextRef="c">7</f></xbrl>')
+        paths.append(f"a/{i}.zip")
+        contents.append(b"<html>" if i == 7 else buffer.getvalue())
+    batch = pa.RecordBatch.from_pydict({"path": paths, "content": contents})
+    out = list(xbrl._reader(False)(iter([batch])))
+    assert len(out) == 1 and out[0].num_rows == 50
+    assert [r["document_id"] for r in out[0].to_pylist() if r["error"]] == ["7"]
+    assert list(xbrl._reader(True)(iter([batch.slice(0, 3)]))) == []
