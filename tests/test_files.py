@@ -208,3 +208,27 @@ def test_rows_of_many_archives_share_a_batch():
     assert len(out) == 1 and out[0].num_rows == 50
     assert [r["document_id"] for r in out[0].to_pylist() if r["error"]] == ["7"]
     assert list(xbrl._reader(True)(iter([batch.slice(0, 3)]))) == []
+
+
+def test_batches_that_wait_are_merged_together(spark, tmp_path):
+    source, store, checkpoint = str(tmp_path / "m"), str(tmp_path / "store"), str(tmp_path / "c")
+    for i in range(4):
+        put(tmp_path / "m", f"m{i}.json", json.dumps(manifest(["A", f"D{i}"], str(i))))
+    rows = jobs.manifest_upsert(spark, source, store, checkpoint, files_per_batch=1)
+    assert {r.doc_id: r.source_file for r in rows.collect()} == {"A": "m3.json", **{f"D{i}": f"m{i}.json" for i in range(4)}}
+    table = BucketStore(spark, store, jobs.STORED_MANIFESTS, ["ticker"])
+    assert table.versions() == [0] and list(table.entry()["batches"].values()) == [3]
+    assert not any((tmp_path / "store_waiting").glob("*/rows"))
+    put(tmp_path / "m", "m4.json", json.dumps(manifest(["D0"], "9")))
+    rows = jobs.manifest_upsert(spark, source, store, checkpoint, files_per_batch=1)
+    assert {r.doc_id: r.source_file for r in rows.collect()}["D0"] == "m4.json" and table.versions() == [0, 1]
+
+
+def test_rows_that_an_ended_run_left_waiting_are_merged(spark, tmp_path, monkeypatch):
+    source, store, checkpoint = str(tmp_path / "m"), str(tmp_path / "store"), str(tmp_path / "c")
+    put(tmp_path / "m", "m0.json", json.dumps(manifest(["A"], "1")) + '\n{"ticker')
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "_batches_in", lambda *_: [])
+        assert jobs.manifest_upsert(spark, source, store, checkpoint).count() == 0
+    assert [r.doc_id for r in jobs.manifest_upsert(spark, source, store, checkpoint).collect()] == ["A"]
+    assert [r.payload for r in jobs.read_errors(spark, f"{store}_errors").collect()] == ['{"ticker']
