@@ -112,7 +112,8 @@ l AS (SELECT *, lag(revenue) OVER (PARTITION BY ticker ORDER BY fiscal_year) AS
 SELECT ticker, fiscal_year, revenue, net_income, {s_r2(s_ratio('net_income', 'equity'))} AS roe_percent, {s_r2(s_growth('revenue', 'p'))} AS revenue_growth_yoy_percent FROM l""")
 def chain(t):
     """Facts to periods, merge with the statements, and annual metrics: one plan for all companies."""
-    periods = chains.period_table(t.b_facts, t.b_contexts, t.b_securities)
+    # Lists that no entry of the merge has.
+    periods = chains.period_table(t.b_facts, t.b_contexts, t.b_securities, ["source_context_ids", "calculated_fields"])
     integrated = chains.integrated_series(periods, t.b_statements.withColumnRenamed("equity", "total_equity"))
     annual, _, _ = chains.metric_tables(integrated)
     return annual.select("ticker", "fiscal_year", "revenue", "net_income", "roe_percent", "revenue_growth_yoy_percent")

@@ -56,17 +56,19 @@ def running(
 
 
 def running_position(
-    df: DataFrame, keys: list[str], bucket: list[Column], order: list[Column], name: str = "position"
+    df: DataFrame, keys: list[str], bucket: list[Column], order: list[Column], name: str = "position",
+    store: Callable[[DataFrame], DataFrame] = landed,
 ) -> DataFrame:
     """Row number inside ``keys``, worked out bucket by bucket.
 
     ``bucket`` columns must order rows the way ``order`` does, coarser. Rows are numbered inside their
     bucket, and the rows of the earlier buckets are added from per-bucket counts, which are combined
     before the shuffle. So a group holding a large part of all rows is spread over its buckets; the
-    counts themselves are one row per bucket.
+    counts themselves are one row per bucket. The rows are written once, since both the counts and the
+    numbers are taken from them: what they are made from is not worked out a second time.
     """
     cols = [f"_bucket_{i}" for i in range(len(bucket))]
-    tagged = df.select("*", *[b.alias(c) for b, c in zip(bucket, cols)])
+    tagged = store(df.select("*", *[b.alias(c) for b, c in zip(bucket, cols)]))
     before = Window.partitionBy(*keys).orderBy(*cols).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         tagged.groupBy(*keys, *cols).agg(F.count("*").alias("_n"))

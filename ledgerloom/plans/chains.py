@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerloom.operators import facts as facts_ops
@@ -10,15 +12,16 @@ from ledgerloom.operators.ranking import running_position
 from ledgerloom.rules.concepts import RECORD_FIELDS
 
 
-def period_table(facts: DataFrame, contexts: DataFrame, securities: DataFrame) -> DataFrame:
+def period_table(facts: DataFrame, contexts: DataFrame, securities: DataFrame, leave_out: Sequence[str] = ()) -> DataFrame:
     """Facts to completed period rows with the company's fiscal month and an ingest order.
 
     The order counts a company's documents by id and their periods by date. It is worked out from the
-    period rows, of which a document has a handful.
+    period rows, of which a document has a handful, and which are written for that: columns that nothing
+    reads later can be named in ``leave_out``.
     """
     periods = facts_ops.derive_totals(facts_ops.period_rows(facts, contexts)).join(
         securities.select("ticker", "fye_month"), "ticker", "left"
-    )
+    ).drop(*leave_out)
     return running_position(
         periods.withColumn("statement_type", F.lit("consolidated")), ["ticker"], [F.substring("document_id", 1, 12)],
         [F.col("document_id"), F.col("period_end")], "seq",

@@ -10,6 +10,7 @@ from ledgerloom.bridge import Tables
 from ledgerloom.catalog import CHECKS, PLANS
 from ledgerloom.operators import facts, inventory
 from ledgerloom.operators.ranking import running_position
+from ledgerloom.plans import chains
 from ledgerloom.sources.landing import SHARED_SETTING, shared_folder
 
 SF = "/root/testdata/sf0.001"
@@ -61,6 +62,24 @@ def test_running_position_equals_plain_numbering(spark, pairs):
     assert got == want
 
 
+def test_numbered_rows_are_worked_out_once(spark, tmp_path):
+    tables = Tables(spark, SF)
+    spark.createDataFrame([("b", "d1", 2), ("b", "d0", 9), (None, "d2", 1), ("b", "d1", 1)], "k string, d string, v int").write.parquet(f"{tmp_path}/rows")
+    df = spark.read.parquet(f"{tmp_path}/rows")
+    got = running_position(df, ["k"], [F.col("d")], [F.col("d"), F.col("v")])
+    assert not set(got.inputFiles()) & set(df.inputFiles())
+    assert sorted(map(repr, got.collect())) == sorted(
+        f"Row(k={k!r}, d={d!r}, v={v}, position={n})" for k, d, v, n in [("b", "d0", 9, 1), ("b", "d1", 1, 2), ("b", "d1", 2, 3), (None, "d2", 1, 1)]
+    )
+    # The chain numbers periods, which are made from all facts: these are not read again for it.
+    facts_read = set(tables.lineitem.inputFiles())
+    whole = chains.period_table(tables.b_facts, tables.b_contexts, tables.b_securities)
+    assert not set(whole.inputFiles()) & facts_read
+    part = chains.period_table(tables.b_facts, tables.b_contexts, tables.b_securities, ["source_context_ids", "calculated_fields"])
+    assert set(whole.columns) - set(part.columns) == {"source_context_ids", "calculated_fields"}
+    assert whole.select(*part.columns).exceptAll(part).isEmpty() and part.exceptAll(whole.select(*part.columns)).isEmpty()
+
+
 def test_row_order_does_not_matter(spark):
     tables = Tables(spark, SF)
     sample = [tuple(r) for r in tables.b_facts.filter("ticker = '1001'").collect()]
