@@ -8,13 +8,17 @@ depend on the order of the work.
 Equal sets are one class, represented by its first line. The words of a set are ordered by rarity: how often words of
 the same hash bucket stand in all texts (a table of fixed size), then by hash. Two sets that are similar enough share a word among
 their first ones, and long ones several among somewhat more of them (prefix filter); sizes must be within the threshold (length
-filter), places of a shared word must leave enough words after them (positional filter), and a 64-bit parity of the words bounds
-the difference from below.
+filter), places of a shared word must leave enough words after them (positional filter), and a parity of the words, of 64 bits
+or of 128 for long lines, bounds the difference from below.
 What is left is verified on the words of the lines themselves. Sets so small that one word more or less is beyond the
 threshold (up to three words at 80 percent) match equal sets only, so their class settles them and they are not posted.
 
 A group of near-identical lines would give all its pairs. So each line is first compared with the earliest line that
-shares one of its rarest words at about its size; what that settles is not asked again in the join of all others.
+shares two of its minhashes, which near copies have in common however rare their own changed words are; what that settles is not
+asked again in the join of all others.
+
+Few lines have near copies. Before a table is shuffled to meet them, a bitmap of their hashes leaves out the rows that cannot
+(:func:`marked`); its size is bounded, and what it lets through by chance falls out in the join.
 
 A missing text has no lines, and the row comes back as it is. Documents that lose every line with a word are reported with
 no line kept. Repeated rows are one document: their lines are found once, and each row gets the same result.
@@ -22,29 +26,35 @@ no line kept. Repeated rows are one document: their lines are found once, and ea
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerloom.llm.common import WORD, let, stored, workspace
+from ledgerloom.llm.common import WORD, let, noted, stored, workspace
 
 PERCENT = 80
 EVERY_LINE = 1
 BUCKET_BITS = 18
-GATHER_KEYS = 3
+MARK_BITS = 25
+# Pairs of the four minhashes by which lines are gathered.
+GATHER = ((0, 1), (2, 3), (0, 2))
 # Long lines meet by chance at one rare word, the oftener the more lines there are. So a pair must share one word of its
 # prefixes, and one more for every SHARED_STEP words of its smaller set.
-SHARED_STEP = 32
+SHARED_STEP = 64
+# Lines of so many words have 128 bits of parity.
+LONG = 48
 
 
-def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = docs[text_col].cast("string")
-    rows = docs.select(docs[id_col].cast("bigint").alias("doc"), F.xxhash64(text).alias("h"), text.alias("text"))
-    return rows.select("doc", "h", F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
+    return docs.select(docs[id_col].cast("bigint").alias("doc"), F.xxhash64(text).alias("h"), text.alias("text"))
 
 
 def _words(line: Column) -> Column:
     """Words of a line. Most lines have no white space but blanks, and are split at them without a pattern."""
-    plain = ~line.rlike(r"[\x09-\x0D]")
-    return F.when(plain, F.array_remove(F.split(line, " "), "")).otherwise(F.regexp_extract_all(line, F.lit(WORD), 0))
+    other = [F.contains(line, F.lit(c)) for c in "\t\n\x0b\x0c\r"]
+    return F.when(~reduce(Column.__or__, other), F.array_remove(F.split(line, " "), "")).otherwise(F.regexp_extract_all(line, F.lit(WORD), 0))
 
 
 def rarity(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -55,11 +65,37 @@ def rarity(docs: DataFrame, text_col: str = "text") -> DataFrame:
     lines = docs.select(F.explode(F.split(docs[text_col].cast("string"), "\n", -1)).alias("line"))
     words = lines.select(F.explode(_words(F.col("line"))).alias("w"))
     counts = words.groupBy(_bucket(F.xxhash64("w")).alias("b")).agg(F.count("*").alias("n"))
-    every = docs.sparkSession.range(1 << BUCKET_BITS).select(F.col("id").cast("int").alias("b"), F.lit(0).cast("bigint").alias("n"))
-    summed = counts.unionByName(every).groupBy("b").agg(F.sum("n").alias("n"))
-    level = F.least(F.lit(126), F.floor(F.log2(F.col("n") + 1) * 3)).cast("tinyint")
-    ordered = summed.agg(F.sort_array(F.collect_list(F.struct("b", level.alias("l")))).alias("k"))
-    return ordered.select(F.transform("k", lambda x: x["l"]).alias("levels"))
+    level = F.least(F.lit(126), F.floor(F.log2(F.col("n") + 1) * 3)).cast("bigint")
+    return _dense(counts.select("b", level.alias("v")), 1 << BUCKET_BITS).select(F.col("values").cast("array<tinyint>").alias("values"))
+
+
+def _dense(values: DataFrame, size: int) -> DataFrame:
+    """One row with one array ``values`` of ``size`` numbers: the ``v`` of every place ``b``, 0 where there is none."""
+    every = values.sparkSession.range(size).select(F.col("id").cast("int").alias("b"), F.lit(0).cast("bigint").alias("v"))
+    whole = values.unionByName(every).groupBy("b").agg(F.max("v").alias("least"), F.min("v").alias("most"))
+    value = F.when(F.col("least") == 0, F.col("most")).otherwise(F.col("least"))
+    ordered = whole.agg(F.sort_array(F.collect_list(F.struct("b", value.alias("v")))).alias("k"))
+    return ordered.select(F.transform("k", lambda x: x["v"]).alias("values"))
+
+
+def marked(keys: DataFrame, name: str) -> Callable[[Column], Column]:
+    """A test for values of a column like the only one of ``keys``: true for all of these, and for few others.
+
+    One bit per hash, 16 to 32 times as many bits as keys while that is no more than ``2 ** MARK_BITS`` (4 MB).
+    """
+    bits = min(MARK_BITS, max(10, keys.count().bit_length() + 4))
+
+    def place(key: Column) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(key), 70 - bits).cast("int")
+
+    def bit(key: Column) -> Column:
+        at = F.shiftrightunsigned(F.xxhash64(key), 64 - bits).bitwiseAND(F.lit(63)).cast("int")
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), at)
+
+    key = keys[keys.columns[0]]
+    held = keys.groupBy(place(key).alias("b")).agg(F.bit_or(bit(key)).alias("v"))
+    table = noted(_dense(held, 1 << (bits - 6)), name).scalar()
+    return lambda value: F.get(table, place(value)).bitwiseAND(bit(value)) != 0
 
 
 def _bucket(h: Column) -> Column:
@@ -76,29 +112,48 @@ def _least_shared(n: Column) -> Column:
     return (F.floor(n / SHARED_STEP) + 1).cast("int")
 
 
-def sketched(lines: DataFrame, levels: Column, percent: int = PERCENT, least_words: int = EVERY_LINE) -> DataFrame:
-    """Lines with at least ``least_words`` distinct words: class (s1, s2), size n, parity bits, and the first words in order of rarity."""
-    # The table is the value of a one-row subquery, known to every task once; lambdas can only name it as a column.
-    hashes = F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w)))
-    words = lines.select("doc", "h", "no", hashes.alias("t"), levels.alias("levels"))
+def sketched(texts: DataFrame, levels: Column, percent: int = PERCENT, least_words: int = EVERY_LINE) -> DataFrame:
+    """Lines of ``texts`` (doc, h, text) with at least ``least_words`` distinct words: class (s1, s2), size n, parity bits, the first words in order of
+    rarity, and the gathering keys g."""
+    # The table is the value of a one-row subquery, known to every task once; lambdas can only name it as a column. A column is copied
+    # with its row, so the lines of a text are keyed in one row.
+    hashes = F.transform(F.split("text", "\n", -1), lambda l: F.array_distinct(F.transform(_words(l), lambda w: F.xxhash64(w))))
+    texts = texts.where("text IS NOT NULL").select("doc", "h", hashes.alias("ts"), levels.alias("levels"))
 
-    def rank(x):
-        return F.coalesce(F.get("levels", _bucket(x)), F.lit(0).cast("tinyint")).cast("bigint")
+    def keyed(x):
+        return F.shiftleft(F.get("levels", _bucket(x)).cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(x, 8))
 
-    keyed = F.transform("t", lambda x: F.shiftleft(rank(x), 56).bitwiseOR(F.shiftrightunsigned(x, 8)))
-    ordered = words.select("doc", "h", "no", F.sort_array(keyed).alias("k"))
+    def minhashes(t):  # four: the ends of the hashes, and of another hash of theirs
+        ends = lambda a: F.array(F.array_min(a), F.array_max(a))
+        return F.concat(ends(t), let(F.transform(t, lambda x: F.xxhash64(x)), ends))
+
+    each = F.transform("ts", lambda t: F.struct(F.sort_array(F.transform(t, keyed)).alias("k"), minhashes(t).alias("m")))
+    ordered = texts.select("doc", "h", F.posexplode(each).alias("no", "c")).select("doc", "h", "no", "c.k", "c.m")
     n = F.size("k")
-    parity = F.aggregate("k", F.lit(0).cast("bigint"), lambda s, x: s.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x.bitwiseAND(F.lit(63)).cast("int"))))
+    one = F.lit(1).cast("bigint")
+
+    def parity(keys):
+        return F.aggregate(keys, F.lit(0).cast("bigint"), lambda s, x: s.bitwiseXOR(F.call_function("shiftleft", one, x.bitwiseAND(F.lit(63)).cast("int"))))
+
+    upper = F.when(n >= LONG, parity(F.filter("k", lambda x: x.bitwiseAND(F.lit(64)) != 0))).otherwise(F.lit(0).cast("bigint"))
     prefix = F.transform(F.slice("k", F.lit(1), n - _least_overlap(n, percent, 100) + _least_shared(n)), lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
-    row = F.struct(F.xxhash64("k").alias("s1"), F.xxhash64(F.lit(1), "k").alias("s2"), n.alias("n"), parity.alias("bits"), prefix.alias("p"))
+    keys = F.array(*(F.hash(F.lit(i), *(F.get("m", F.lit(j)) for j in pair)) for i, pair in enumerate(GATHER)))
+    row = F.struct(
+        F.xxhash64("k").alias("s1"), F.xxhash64(F.lit(1), "k").alias("s2"), n.alias("n"), parity("k").alias("bits"), upper.alias("upper"),
+        prefix.alias("p"), keys.alias("g"),
+    )
     # A filter on the size would be pushed below and find the words of every line a second time; inside the generator it is not.
     return ordered.select("doc", "h", "no", F.inline(F.filter(F.array(row), lambda r: r["n"] >= least_words)))
 
 
 def _may_match(percent: int, a: str, b: str) -> Column:
-    """Length and parity filters for two sets: size and bits columns have the given suffixes."""
+    """Length and parity filters for two sets: size and bits columns have the given suffixes.
+
+    ``bits`` are the parity of all words in 64 bits, ``upper`` that of half of them; so two long sets have 128 bits."""
     na, nb = F.col(f"n{a}"), F.col(f"n{b}")
-    differ = F.bit_count(F.col(f"bits{a}").bitwiseXOR(F.col(f"bits{b}")))
+    every, half = (F.col(f"{c}{a}").bitwiseXOR(F.col(f"{c}{b}")) for c in ("bits", "upper"))
+    both = F.bit_count(half) + F.bit_count(every.bitwiseXOR(half))
+    differ = F.when(F.least(na, nb) >= LONG, both).otherwise(F.bit_count(every))
     # With J >= p, |x| + |y| - 2 I <= (100 - p) / (100 + p) (|x| + |y|).
     return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (differ * (100 + percent) <= (na + nb) * (100 - percent))
 
@@ -117,16 +172,16 @@ def wide_parity(hashes: Column) -> Column:
 
 def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int, id_col: str, text_col: str) -> DataFrame:
     """Ids ``y`` of pairs (x, y) whose lines' words are similar enough."""
-    both = pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct()
-    places = sets.join(both, "id").select("id", "doc", "h", "no")
+    both = noted(pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "line-ids")
+    places = sets.select("id", "doc", "h", "no").where(marked(both, "line-marks")(F.col("id"))).join(both, "id")
     wanted = stored(places.groupBy("doc", "h").agg(F.collect_list(F.struct("no", "id")).alias("w")), "line-places")
     text = docs[text_col].cast("string")
     texts = docs.select(docs[id_col].cast("bigint").alias("d"), F.xxhash64(text).alias("g"), text.alias("text"))
-    held = texts.join(wanted, F.col("d").eqNullSafe(F.col("doc")) & (F.col("g") == F.col("h")))
+    held = texts.where(marked(wanted.select("h"), "text-marks")(F.col("g"))).join(wanted, F.col("d").eqNullSafe(F.col("doc")) & (F.col("g") == F.col("h")))
     # The wanted lines are taken out of the text before they become rows, so no row carries a whole text.
     taken = let(F.split("text", "\n", -1), lambda l: F.transform("w", lambda w: F.struct(w["id"].alias("id"), F.get(l, w["no"]).alias("line"))))
     held = held.select(F.explode(taken).alias("w"))
-    words = F.array_distinct(F.regexp_extract_all(F.col("w.line"), F.lit(WORD), 0))
+    words = F.array_distinct(_words(F.col("w.line")))
     # Repeated rows of a document give the same line again; one of them is enough.
     line_words = held.select(F.col("w.id").alias("id"), words.alias("t")).dropDuplicates(["id"])
     line_words = stored(line_words.select("id", "t", F.size("t").alias("n"), let(F.transform("t", lambda w: F.xxhash64(w)), wide_parity).alias("w")), "line-words")
@@ -142,37 +197,36 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int,
 
 
 def classes(docs: DataFrame, percent: int, least_words: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """The compared lines with their class, and the classes with their first line and whether an earlier class matches."""
+    """The compared lines with their class, and the classes of several lines or with an earlier class that matches:
+    their first line and whether there is such a class."""
     levels = stored(rarity(docs, text_col), "rarity").scalar()
-    lines = stored(sketched(_lines(docs, id_col, text_col), levels, percent, least_words), "lines")
-    first = lines.groupBy("s1", "s2").agg(F.min(F.struct("doc", "h", "no", "n", "bits", "p")).alias("f"))
+    lines = stored(sketched(_texts(docs, id_col, text_col), levels, percent, least_words), "lines")
+    first = lines.groupBy("s1", "s2").agg(F.min(F.struct("doc", "h", "no", "n", "bits", "upper", "p", "g")).alias("f"), (F.count("*") > 1).alias("more"))
     # Sorted by place, so that ids are in the order of the lines: an earlier line has a smaller id.
-    sets = first.select("s1", "s2", "f.*").orderBy("doc", "h", "no").select(F.monotonically_increasing_id().alias("id"), "*")
+    sets = first.select("s1", "s2", "more", "f.*").orderBy("doc", "h", "no").select(F.monotonically_increasing_id().alias("id"), "*")
     sets = stored(sets, "line-sets")
-    # Gathering: the earliest line for each of a line's rarest words and its size, to a quarter.
-    scale = F.floor(F.log2(F.col("n")) / F.log2(F.lit(1.25))).cast("int")
     # A set that differs by one word is the nearest one that is not equal.
     pairable = F.col("n") * 100 >= (F.col("n") + 1) * percent
-    few = sets.where(pairable).select("id", "n", "bits", scale.alias("scale"), F.explode(F.slice("p", 1, GATHER_KEYS)).alias("e"))
+    # Gathering: the earliest line for each of a line's keys.
+    few = sets.where(pairable).select("id", "n", "bits", "upper", F.explode("g").alias("e"))
     # Maxima of numbers are combined in hash tables: the least id, and its size and parity by the same order.
-    heads = few.groupBy("e", "scale").agg(F.min("id").alias("x"), F.min_by("n", "id").alias("nx"), F.min_by("bits", "id").alias("bitsx"), F.count("*").alias("c"))
+    heads = few.groupBy("e").agg(F.min("id").alias("x"), *(F.min_by(c, "id").alias(f"{c}x") for c in ("n", "bits", "upper")), F.count("*").alias("c"))
     heads = heads.where("c > 1").drop("c")
-    near = few.select("e", "scale", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("bits").alias("bitsy")).join(heads, ["e", "scale"])
+    near = few.select("e", F.col("id").alias("y"), *(F.col(c).alias(f"{c}y") for c in ("n", "bits", "upper"))).join(heads, "e")
     near = stored(near.where((F.col("x") != F.col("y")) & _may_match(percent, "x", "y")).select("x", "y").distinct(), "line-pairs")
     settled = stored(_verified(near, sets, docs, percent, id_col, text_col), "settled")
     # The join of all others: the larger set asks with its longer prefix, the smaller answers with its shorter one.
-    open_sets = sets.join(settled.select(F.col("y").alias("id"), F.lit(False).alias("open")), "id", "left")
-    open_sets = open_sets.select("id", "n", "bits", "p", F.coalesce("open", F.lit(True)).alias("open"))
-    short = F.slice("p", F.lit(1), F.col("n") - _least_overlap(F.col("n"), 2 * percent, 100 + percent) + _least_shared(F.col("n")))
-
-    def posts(words: Column, side: str, fits: Column) -> DataFrame:
-        rows = open_sets.where(fits).select("id", "n", "bits", "open", F.posexplode(words).alias("i", "e"))
-        # Size, place and the open flag share one number, since every posting carries them through the shuffle.
-        packed = F.shiftleft(F.col("n").cast("bigint"), 32).bitwiseOR(F.shiftleft(F.col("i").cast("bigint"), 1)).bitwiseOR(F.col("open").cast("bigint"))
-        return rows.select("e", F.col("id").alias(f"id{side}"), F.col("bits").alias(f"bits{side}"), packed.alias(f"m{side}"))
-
-    larger = posts(F.col("p"), "a", (F.col("n") - 1) * 100 >= F.col("n") * percent)
-    smaller = posts(short, "b", pairable)
+    maybe = marked(settled, "settled-marks")(F.col("id"))
+    asking = sets.where(pairable).select("id", "n", "bits", "upper", "p")
+    done = asking.where(maybe).join(settled.select(F.col("y").alias("id"), F.lit(False).alias("open")), "id", "left")
+    done = done.select("id", "n", "bits", "upper", "p", F.coalesce("open", F.lit(True)).alias("open"))
+    rows = asking.where(~maybe).withColumn("open", F.lit(True)).unionByName(done)
+    rows = rows.select("id", "n", "bits", "upper", "open", F.posexplode("p").alias("i", "e"))
+    # Size, place and the open flag share one number, since every posting carries them through the shuffle.
+    packed = F.shiftleft(F.col("n").cast("bigint"), 32).bitwiseOR(F.shiftleft(F.col("i").cast("bigint"), 1)).bitwiseOR(F.col("open").cast("bigint"))
+    # Both sides are the same rows of one table, so Spark shuffles them once.
+    posts = stored(rows.select("e", "id", "bits", "upper", packed.alias("m")), "postings")
+    larger, smaller = (posts.select("e", *(F.col(c).alias(f"{c}{side}") for c in ("id", "bits", "upper", "m"))) for side in "ab")
     parts = {f"n{s}": F.shiftright(f"m{s}", 32) for s in "ab"}
     parts |= {f"i{s}": F.shiftright(f"m{s}", 1).bitwiseAND(F.lit((1 << 31) - 1)) for s in "ab"}
     parts |= {f"open{s}": F.col(f"m{s}").bitwiseAND(1) == 1 for s in "ab"}
@@ -182,7 +236,9 @@ def classes(docs: DataFrame, percent: int, least_words: int, id_col: str, text_c
     # Of the first shared words that a pair must have, the last one has all others before it.
     need = _least_shared(F.col("nb"))
     most = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) + need - 1
-    places_fit = most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
+    # Written as one comparison of both sides: a filter of one side would be pushed down, and its rows shuffled for themselves.
+    beyond = F.col("ib") - (F.col("nb") - _least_overlap(F.col("nb"), 2 * percent, 100 + percent) + need) + 1
+    places_fit = F.greatest((F.col("na") + F.col("nb")) * percent - most * (100 + percent), beyond) <= 0
     asked = F.when(a_later, F.col("opena")).otherwise(F.col("openb"))
     pairs = joined.where(in_order & asked & places_fit & _may_match(percent, "a", "b"))
     x, y = F.when(a_later, F.col("idb")).otherwise(F.col("ida")), F.when(a_later, F.col("ida")).otherwise(F.col("idb"))
@@ -190,7 +246,11 @@ def classes(docs: DataFrame, percent: int, least_words: int, id_col: str, text_c
     pairs = stored(shared.where("c >= need").select("x", "y"), "line-pairs")
     rest = _verified(pairs, sets, docs, percent, id_col, text_col)
     later = settled.unionByName(rest).distinct().select(F.col("y").alias("id"), F.lit(True).alias("near"))
-    return lines, sets.join(later, "id", "left").select("s1", "s2", "doc", "h", "no", F.coalesce("near", F.lit(False)).alias("near"))
+    later = noted(later, "later")
+    # Only these have lines to remove.
+    maybe = F.col("more") | marked(later.select("id"), "later-marks")(F.col("id"))
+    some = sets.select("id", "s1", "s2", "doc", "h", "no", "more").where(maybe).join(later, "id", "left").where("more OR near")
+    return lines, some.select("s1", "s2", "doc", "h", "no", F.coalesce("near", F.lit(False)).alias("near"))
 
 
 def decisions(
@@ -205,12 +265,15 @@ def decisions(
 
 def _removed(lines: DataFrame, sets: DataFrame) -> DataFrame:
     its = sets.select("s1", "s2", F.struct("doc", "h", "no").alias("first"), "near")
-    each = lines.select("doc", "h", "no", "s1", "s2").distinct().join(its, ["s1", "s2"])
+    each = lines.select("doc", "h", "no", "s1", "s2").join(its, ["s1", "s2"])
     repeated = ~F.struct("doc", "h", "no").eqNullSafe(F.col("first"))
     gone = each.select("doc", "h", "no", repeated.alias("repeated"), "near").where("repeated OR near")
-    return gone.groupBy("doc", "h").agg(
-        F.sort_array(F.collect_list("no")).alias("removed"),
-        F.sum(F.col("repeated").cast("bigint")).alias("n_repeated"), F.sum((~F.col("repeated")).cast("bigint")).alias("n_similar"),
+    # Repeated rows of a document say the same; a set takes each line once.
+    found = gone.groupBy("doc", "h").agg(F.sort_array(F.collect_set(F.struct("no", "repeated"))).alias("f"))
+    n_repeated = F.size(F.filter("f", lambda x: x["repeated"])).cast("bigint")
+    return found.select(
+        "doc", "h", F.transform("f", lambda x: x["no"]).alias("removed"), n_repeated.alias("n_repeated"),
+        (F.size("f").cast("bigint") - n_repeated).alias("n_similar"),
     )
 
 

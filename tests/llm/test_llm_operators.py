@@ -452,6 +452,36 @@ def test_long_lines_at_the_threshold(spark):
     assert got == {i: ",".join(map(str, gone[i, t])) for i, t in texts}
 
 
+def test_near_copies_with_words_of_their_own_give_few_pairs(spark, monkeypatch):
+    """The rarest words of a near copy are its own, so they do not lead to the first copy."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    texts = [(0, " ".join(base))]
+    for i in range(1, 121):
+        changed = rng.sample(range(60), 3)
+        texts.append((i, " ".join(f"own{i}x{at}" if at in changed else w for at, w in enumerate(base))))
+    sizes, plain = [], line_dedup.stored
+
+    def counted(df, name):
+        out = plain(df, name)
+        if name == "line-pairs":
+            sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(line_dedup, "stored", counted)
+    got = {r.doc_id: r.removed_lines for r in line_dedup.report(spark.createDataFrame(texts, "doc_id long, text string").repartition(2)).collect()}
+    assert got == {i: "0" if i else "" for i, _ in texts}
+    # First the pairs with the earliest line, then those of all others; each is counted before and after the wide parity.
+    assert len(sizes) == 4 and sizes[2] < 1500
+
+
+def test_marked_keeps_every_key(spark):
+    keys = spark.range(0, 3000, 3)
+    few = line_dedup.marked(keys, "marks")
+    kept = {r.id for r in spark.range(100_000).where(few(F.col("id"))).collect()}
+    assert kept >= set(range(0, 3000, 3)) and len(kept) < 1000 + 99_000 // 10
+
+
 def brute_components(texts, k, percent):
     sets = {}
     for i, t in texts:
