@@ -221,12 +221,16 @@ def classes(docs: DataFrame, percent: int, least_words: int, id_col: str, text_c
     done = asking.where(maybe).join(settled.select(F.col("y").alias("id"), F.lit(False).alias("open")), "id", "left")
     done = done.select("id", "n", "bits", "upper", "p", F.coalesce("open", F.lit(True)).alias("open"))
     rows = asking.where(~maybe).withColumn("open", F.lit(True)).unionByName(done)
-    rows = rows.select("id", "n", "bits", "upper", "open", F.posexplode("p").alias("i", "e"))
-    # Size, place and the open flag share one number, since every posting carries them through the shuffle.
-    packed = F.shiftleft(F.col("n").cast("bigint"), 32).bitwiseOR(F.shiftleft(F.col("i").cast("bigint"), 1)).bitwiseOR(F.col("open").cast("bigint"))
-    # Both sides are the same rows of one table, so Spark shuffles them once.
-    posts = stored(rows.select("e", "id", "bits", "upper", packed.alias("m")), "postings")
-    larger, smaller = (posts.select("e", *(F.col(c).alias(f"{c}{side}") for c in ("id", "bits", "upper", "m"))) for side in "ab")
+    short = F.slice("p", F.lit(1), F.col("n") - _least_overlap(F.col("n"), 2 * percent, 100 + percent) + _least_shared(F.col("n")))
+
+    def posts(words: Column, side: str, fits: Column) -> DataFrame:
+        each = rows.where(fits).select("id", "n", "bits", "upper", "open", F.posexplode(words).alias("i", "e"))
+        # Size, place and the open flag share one number, since every posting carries them through the shuffle.
+        packed = F.shiftleft(F.col("n").cast("bigint"), 32).bitwiseOR(F.shiftleft(F.col("i").cast("bigint"), 1)).bitwiseOR(F.col("open").cast("bigint"))
+        return each.select("e", *(F.col(c).alias(f"{c}{side}") for c in ("id", "bits", "upper")), packed.alias(f"m{side}"))
+
+    larger = posts(F.col("p"), "a", (F.col("n") - 1) * 100 >= F.col("n") * percent)
+    smaller = posts(short, "b", F.lit(True))
     parts = {f"n{s}": F.shiftright(f"m{s}", 32) for s in "ab"}
     parts |= {f"i{s}": F.shiftright(f"m{s}", 1).bitwiseAND(F.lit((1 << 31) - 1)) for s in "ab"}
     parts |= {f"open{s}": F.col(f"m{s}").bitwiseAND(1) == 1 for s in "ab"}
@@ -236,9 +240,7 @@ def classes(docs: DataFrame, percent: int, least_words: int, id_col: str, text_c
     # Of the first shared words that a pair must have, the last one has all others before it.
     need = _least_shared(F.col("nb"))
     most = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) + need - 1
-    # Written as one comparison of both sides: a filter of one side would be pushed down, and its rows shuffled for themselves.
-    beyond = F.col("ib") - (F.col("nb") - _least_overlap(F.col("nb"), 2 * percent, 100 + percent) + need) + 1
-    places_fit = F.greatest((F.col("na") + F.col("nb")) * percent - most * (100 + percent), beyond) <= 0
+    places_fit = most * (100 + percent) >= (F.col("na") + F.col("nb")) * percent
     asked = F.when(a_later, F.col("opena")).otherwise(F.col("openb"))
     pairs = joined.where(in_order & asked & places_fit & _may_match(percent, "a", "b"))
     x, y = F.when(a_later, F.col("idb")).otherwise(F.col("ida")), F.when(a_later, F.col("ida")).otherwise(F.col("idb"))
