@@ -72,13 +72,16 @@ def discard(spark: SparkSession, place: str) -> None:
 
 @contextlib.contextmanager
 def workspace(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
-    """Tables stored inside are deleted at the end; what the given function stores stays, as a result that is read later."""
-    places: list[str] = []
+    """Tables stored inside are deleted at the end; what the given function stores stays, as a result that is read later. Inside
+    another workspace it stays until that one ends."""
+    outer, places = _IN_USE.get(), []
     token = _IN_USE.set(places)
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         out = stored(df, name)
-        places.pop()
+        place = places.pop()
+        if outer is not None:
+            outer.append(place)
         return out
 
     try:

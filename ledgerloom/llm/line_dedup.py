@@ -14,7 +14,7 @@ What is left is verified on the words of the lines themselves. Sets so small tha
 threshold (up to three words at 80 percent) match equal sets only, so their class settles them and they are not posted.
 
 A group of near-identical lines would give all its pairs. So each line is first compared with the earliest line that
-shares two of its minhashes, which near copies have in common however rare their own changed words are; what that settles is not
+shares two of its minhashes (with a few early ones, where many lines share them), which near copies have in common however rare their own changed words are; what that settles is not
 asked again in the join of all others.
 
 Few lines have near copies. Before a table is shuffled to meet them, a bitmap of their hashes leaves out the rows that cannot
@@ -35,15 +35,20 @@ from ledgerloom.llm.common import WORD, let, noted, stored, workspace
 
 PERCENT = 80
 EVERY_LINE = 1
-BUCKET_BITS = 18
+BUCKET_BITS = 16
 MARK_BITS = 25
 # Pairs of the four minhashes by which lines are gathered.
 GATHER = ((0, 1), (2, 3), (0, 2))
+# A group with a key in common has so many parts; each part of so many lines or more gives its earliest line to the others.
+HEADS = 4
+LARGE = 8
 # Long lines meet by chance at one rare word, the oftener the more lines there are. So a pair must share one word of its
 # prefixes, and one more for every SHARED_STEP words of its smaller set.
 SHARED_STEP = 64
-# Lines of so many words have 128 bits of parity.
-LONG = 48
+# Lines of so many words have 128 bits of parity; 64 bits tell shorter ones apart, and zeros take little room in postings.
+LONG = 40
+# Turns hashes over for two of the minhashes.
+OTHER = 0x5555555555555555
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -62,8 +67,8 @@ def rarity(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     The counts are combined in the tasks; the array has ``2 ** BUCKET_BITS`` small numbers, whatever the data.
     """
-    lines = docs.select(F.explode(F.split(docs[text_col].cast("string"), "\n", -1)).alias("line"))
-    words = lines.select(F.explode(_words(F.col("line"))).alias("w"))
+    # Only the order of the words depends on it, so a tab or the like may stay inside a word here.
+    words = docs.select(F.explode(F.split(F.replace(docs[text_col].cast("string"), F.lit("\n"), F.lit(" ")), " ")).alias("w"))
     counts = words.groupBy(_bucket(F.xxhash64("w")).alias("b")).agg(F.count("*").alias("n"))
     level = F.least(F.lit(126), F.floor(F.log2(F.col("n") + 1) * 3)).cast("bigint")
     return _dense(counts.select("b", level.alias("v")), 1 << BUCKET_BITS).select(F.col("values").cast("array<tinyint>").alias("values"))
@@ -115,20 +120,20 @@ def _least_shared(n: Column) -> Column:
 def sketched(texts: DataFrame, levels: Column, percent: int = PERCENT, least_words: int = EVERY_LINE) -> DataFrame:
     """Lines of ``texts`` (doc, h, text) with at least ``least_words`` distinct words: class (s1, s2), size n, parity bits, the first words in order of
     rarity, and the gathering keys g."""
-    # The table is the value of a one-row subquery, known to every task once; lambdas can only name it as a column. A column is copied
-    # with its row, so the lines of a text are keyed in one row.
-    hashes = F.transform(F.split("text", "\n", -1), lambda l: F.array_distinct(F.transform(_words(l), lambda w: F.xxhash64(w))))
-    texts = texts.where("text IS NOT NULL").select("doc", "h", hashes.alias("ts"), levels.alias("levels"))
-
+    lines = texts.where("text IS NOT NULL").select("doc", "h", F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
+    own = lines.select("doc", "h", "no", F.array_distinct(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w))).alias("t"))
+    # The generator keeps the steps apart: a filter on the size would else be pushed below and find the words of every line a
+    # second time, and what a lambda works on would be worked out without compiled code.
+    own = own.select("doc", "h", "no", F.explode(F.array("t")).alias("t")).where(F.size("t") >= least_words)
+
+    # The table is the value of a one-row subquery, known to every task once; lambdas can only name it as a column. It is used once, so
+    # the optimizer puts it in that place; as a column of its own it would be copied with every line.
     def keyed(x):
-        return F.shiftleft(F.get("levels", _bucket(x)).cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(x, 8))
-
-    def minhashes(t):  # four: the ends of the hashes, and of another hash of theirs
-        ends = lambda a: F.array(F.array_min(a), F.array_max(a))
-        return F.concat(ends(t), let(F.transform(t, lambda x: F.xxhash64(x)), ends))
+        level = F.coalesce(F.get("levels", _bucket(x)), F.lit(0).cast("tinyint"))  # never null: arrays of plain numbers are sorted faster
+        return F.shiftleft(level.cast("bigint"), 56).bitwiseOR(F.shiftrightunsigned(x, 8))
 
-    each = F.transform("ts", lambda t: F.struct(F.sort_array(F.transform(t, keyed)).alias("k"), minhashes(t).alias("m")))
-    ordered = texts.select("doc", "h", F.posexplode(each).alias("no", "c")).select("doc", "h", "no", "c.k", "c.m")
+    own = own.select("doc", "h", "no", "t", levels.alias("levels"))
+    own = own.select("doc", "h", "no", "t", F.sort_array(F.transform("t", keyed)).alias("k"), F.transform("t", lambda x: x.bitwiseXOR(F.lit(OTHER))).alias("o"))
     n = F.size("k")
     one = F.lit(1).cast("bigint")
 
@@ -137,13 +142,14 @@ def sketched(texts: DataFrame, levels: Column, percent: int = PERCENT, least_wor
 
     upper = F.when(n >= LONG, parity(F.filter("k", lambda x: x.bitwiseAND(F.lit(64)) != 0))).otherwise(F.lit(0).cast("bigint"))
     prefix = F.transform(F.slice("k", F.lit(1), n - _least_overlap(n, percent, 100) + _least_shared(n)), lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
-    keys = F.array(*(F.hash(F.lit(i), *(F.get("m", F.lit(j)) for j in pair)) for i, pair in enumerate(GATHER)))
-    row = F.struct(
-        F.xxhash64("k").alias("s1"), F.xxhash64(F.lit(1), "k").alias("s2"), n.alias("n"), parity("k").alias("bits"), upper.alias("upper"),
+    # Four minhashes: the words nearest to the ends of the range of hashes, and to two places inside.
+    m = [F.array_min("t"), F.array_max("t"), F.array_min("o"), F.array_max("o")]
+    keys = F.array(*(F.hash(F.lit(i), *(m[j] for j in pair)) for i, pair in enumerate(GATHER)))
+    # The second half of a class takes sizes and single words only: sets with the same first half differ in these.
+    return own.select(
+        "doc", "h", "no", F.xxhash64("k").alias("s1"), F.xxhash64(n, *m).alias("s2"), n.alias("n"), parity("k").alias("bits"), upper.alias("upper"),
         prefix.alias("p"), keys.alias("g"),
     )
-    # A filter on the size would be pushed below and find the words of every line a second time; inside the generator it is not.
-    return ordered.select("doc", "h", "no", F.inline(F.filter(F.array(row), lambda r: r["n"] >= least_words)))
 
 
 def _may_match(percent: int, a: str, b: str) -> Column:
@@ -196,6 +202,20 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int,
     return rows.where(both_n * 100 >= (F.size("a") + F.size("b") - both_n) * percent).select("y").distinct()
 
 
+def _gathered(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of sets that share a gathering key and may match, x being the earliest line that has the key."""
+    few = sets.select("id", "n", "bits", "upper", F.explode("g").alias("e"))
+    # Only lines whose key others have go on.
+    several = noted(few.groupBy("e").agg(F.count("*").alias("c")).where("c > 1").select("e"), "line-keys")
+    members = stored(few.where(marked(several, "key-marks")(F.col("e"))).join(several, "e"), "line-members")
+    # In large groups a line can be far from the earliest one, so there are more to compare with: the earliest of each part.
+    earliest = [F.min("id").alias("x"), *(F.min_by(c, "id").alias(f"{c}x") for c in ("n", "bits", "upper"))]
+    parts = members.groupBy("e", F.pmod("id", F.lit(HEADS)).alias("part")).agg(*earliest, F.count("*").alias("c"))
+    heads = members.groupBy("e").agg(*earliest).unionByName(parts.where(F.col("c") >= LARGE).drop("part", "c"))
+    near = members.select("e", F.col("id").alias("y"), *(F.col(c).alias(f"{c}y") for c in ("n", "bits", "upper"))).join(heads, "e")
+    return stored(near.where((F.col("x") < F.col("y")) & _may_match(percent, "x", "y")).select("x", "y").distinct(), "line-pairs")
+
+
 def classes(docs: DataFrame, percent: int, least_words: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """The compared lines with their class, and the classes of several lines or with an earlier class that matches:
     their first line and whether there is such a class."""
@@ -207,14 +227,8 @@ def classes(docs: DataFrame, percent: int, least_words: int, id_col: str, text_c
     sets = stored(sets, "line-sets")
     # A set that differs by one word is the nearest one that is not equal.
     pairable = F.col("n") * 100 >= (F.col("n") + 1) * percent
-    # Gathering: the earliest line for each of a line's keys.
-    few = sets.where(pairable).select("id", "n", "bits", "upper", F.explode("g").alias("e"))
-    # Maxima of numbers are combined in hash tables: the least id, and its size and parity by the same order.
-    heads = few.groupBy("e").agg(F.min("id").alias("x"), *(F.min_by(c, "id").alias(f"{c}x") for c in ("n", "bits", "upper")), F.count("*").alias("c"))
-    heads = heads.where("c > 1").drop("c")
-    near = few.select("e", F.col("id").alias("y"), *(F.col(c).alias(f"{c}y") for c in ("n", "bits", "upper"))).join(heads, "e")
-    near = stored(near.where((F.col("x") != F.col("y")) & _may_match(percent, "x", "y")).select("x", "y").distinct(), "line-pairs")
-    settled = stored(_verified(near, sets, docs, percent, id_col, text_col), "settled")
+    with workspace(docs.sparkSession) as keep:
+        settled = keep(_verified(_gathered(sets.where(pairable), percent), sets, docs, percent, id_col, text_col), "settled")
     # The join of all others: the larger set asks with its longer prefix, the smaller answers with its shorter one.
     maybe = marked(settled, "settled-marks")(F.col("id"))
     asking = sets.where(pairable).select("id", "n", "bits", "upper", "p")
@@ -224,10 +238,10 @@ def classes(docs: DataFrame, percent: int, least_words: int, id_col: str, text_c
     short = F.slice("p", F.lit(1), F.col("n") - _least_overlap(F.col("n"), 2 * percent, 100 + percent) + _least_shared(F.col("n")))
 
     def posts(words: Column, side: str, fits: Column) -> DataFrame:
-        each = rows.where(fits).select("id", "n", "bits", "upper", "open", F.posexplode(words).alias("i", "e"))
         # Size, place and the open flag share one number, since every posting carries them through the shuffle.
-        packed = F.shiftleft(F.col("n").cast("bigint"), 32).bitwiseOR(F.shiftleft(F.col("i").cast("bigint"), 1)).bitwiseOR(F.col("open").cast("bigint"))
-        return each.select("e", *(F.col(c).alias(f"{c}{side}") for c in ("id", "bits", "upper")), packed.alias(f"m{side}"))
+        m = F.shiftleft(F.col("n").cast("bigint"), 32).bitwiseOR(F.col("open").cast("bigint"))
+        each = rows.where(fits).select("id", "bits", "upper", m.alias("m"), F.posexplode(words).alias("i", "e"))
+        return each.select("e", *(F.col(c).alias(f"{c}{side}") for c in ("id", "bits", "upper")), (F.col("m") + F.col("i") * 2).alias(f"m{side}"))
 
     larger = posts(F.col("p"), "a", (F.col("n") - 1) * 100 >= F.col("n") * percent)
     smaller = posts(short, "b", F.lit(True))

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -475,6 +476,39 @@ def test_near_copies_with_words_of_their_own_give_few_pairs(spark, monkeypatch):
     assert len(sizes) == 4 and sizes[2] < 1500
 
 
+def test_words_of_a_line_are_ordered_without_copying_the_rarity_table(spark):
+    """The table is read in its place; as a column of a row it would be copied with each of them."""
+    docs = spark.createDataFrame([(1, "a b c\n\nc  a\tb a"), (2, None)], "doc_id long, text string")
+    with line_dedup.workspace(spark):
+        levels = line_dedup.stored(line_dedup.rarity(docs), "rarity").scalar()
+        lines = line_dedup.sketched(line_dedup._texts(docs, "doc_id", "text"), levels)
+        plan = lines._jdf.queryExecution().optimizedPlan().toString()
+        assert "AS levels" not in plan and "scalar-subquery" in plan
+        first, second = lines.orderBy("no").collect()
+    assert (first.doc, first.no, second.no, first.n) == (1, 0, 2, 3)
+    assert (first.s1, first.s2, first.bits, first.p, first.g) == (second.s1, second.s2, second.bits, second.p, second.g)
+
+
+def test_large_groups_have_several_heads(spark):
+    """Lines far from the earliest one of their group, but near to another early one, are settled before the join of all others."""
+    sets = spark.createDataFrame([(i, 50, 0 if i % 4 == 0 else (1 << 30) - 1, 0, [7]) for i in range(80)], "id long, n int, bits long, upper long, g array<int>")
+    with line_dedup.workspace(spark):
+        pairs = {(r.x, r.y) for r in line_dedup._gathered(sets, 80).collect()}
+    assert {y for _, y in pairs} == set(range(80)) - {0, 1}
+    assert len(pairs) <= 80 * (line_dedup.HEADS + 1)
+
+
+def test_kept_tables_stay_until_the_outer_workspace_ends(spark):
+    with line_dedup.workspace(spark):
+        with line_dedup.workspace(spark) as keep:
+            inner = line_dedup.stored(spark.range(3), "inner")
+            kept = keep(inner, "kept")
+            place = inner.inputFiles()[0]
+        assert kept.count() == 3 and not os.path.exists(place.removeprefix("file://"))
+        place = kept.inputFiles()[0].removeprefix("file://")
+    assert not os.path.exists(place)
+
+
 def test_marked_keeps_every_key(spark):
     keys = spark.range(0, 3000, 3)
     few = line_dedup.marked(keys, "marks")
