@@ -220,11 +220,14 @@ def classes(docs: DataFrame, percent: int, least_words: int, id_col: str, text_c
     """The compared lines with their class, and the classes of several lines or with an earlier class that matches:
     their first line and whether there is such a class."""
     levels = stored(rarity(docs, text_col), "rarity").scalar()
-    lines = stored(sketched(_texts(docs, id_col, text_col), levels, percent, least_words), "lines")
-    first = lines.groupBy("s1", "s2").agg(F.min(F.struct("doc", "h", "no", "n", "bits", "upper", "p", "g")).alias("f"), (F.count("*") > 1).alias("more"))
-    # Sorted by place, so that ids are in the order of the lines: an earlier line has a smaller id.
-    sets = first.select("s1", "s2", "more", "f.*").orderBy("doc", "h", "no").select(F.monotonically_increasing_id().alias("id"), "*")
-    sets = stored(sets, "line-sets")
+    with workspace(docs.sparkSession) as keep:
+        whole = stored(sketched(_texts(docs, id_col, text_col), levels, percent, least_words), "lines")
+        first = whole.groupBy("s1", "s2").agg(F.min(F.struct("doc", "h", "no", "n", "bits", "upper", "p", "g")).alias("f"), (F.count("*") > 1).alias("more"))
+        # Sorted by place, so that ids are in the order of the lines: an earlier line has a smaller id.
+        sets = first.select("s1", "s2", "more", "f.*").orderBy("doc", "h", "no").select(F.monotonically_increasing_id().alias("id"), "*")
+        sets = keep(sets, "line-sets")
+        # Only the sets need the rest of a line.
+        lines = keep(whole.select("doc", "h", "no", "s1", "s2"), "line-classes")
     # A set that differs by one word is the nearest one that is not equal.
     pairable = F.col("n") * 100 >= (F.col("n") + 1) * percent
     with workspace(docs.sparkSession) as keep:
