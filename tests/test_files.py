@@ -1,11 +1,12 @@
 """Readers, archives and streams on files as they are found: indented, damaged, restarted; and rows with nulls in keys."""
 
+import hashlib
 import io
 import json
 import zipfile
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from ledgerloom.functions.text import page_periods
 from ledgerloom.operators import pages, quality
@@ -232,3 +233,37 @@ def test_rows_that_an_ended_run_left_waiting_are_merged(spark, tmp_path, monkeyp
         assert jobs.manifest_upsert(spark, source, store, checkpoint).count() == 0
     assert [r.doc_id for r in jobs.manifest_upsert(spark, source, store, checkpoint).collect()] == ["A"]
     assert [r.payload for r in jobs.read_errors(spark, f"{store}_errors").collect()] == ['{"ticker']
+
+
+def test_a_waiting_batch_is_one_job(spark, tmp_path, monkeypatch):
+    source, store = str(tmp_path / "m"), str(tmp_path / "store")
+    for i in range(4):
+        put(tmp_path / "m", f"m{i}.json", json.dumps(manifest([f"D{i}", "A"], str(i))) + '\n{"ticker": "' + str(i))
+    put(tmp_path / "m", "indented.json", manifest(["C"], "2"))
+    put(tmp_path / "m", "page.json", "<html>\n</html>")
+    calls = []
+    frame = type(spark.range(1))
+    for kind, name in ((frame, "collect"), (frame, "persist"), (DataFrameWriter, "parquet")):
+        def counted(self, *args, _run=getattr(kind, name), _name=name, **kwargs):
+            calls.append((_name, *args))
+            return _run(self, *args, **kwargs)
+        monkeypatch.setattr(kind, name, counted)
+    merged = jobs.manifest_upsert(spark, source, store, str(tmp_path / "c"), files_per_batch=1)
+    waiting = [c for c in calls if "_waiting/" in str(c)]
+    # One write per file, one more for the two files without a payload in their lines, and nothing else until they are merged.
+    assert len(waiting) == 8 and [c[0] for c in calls].count("collect") == 1 and ("persist",) not in calls
+    monkeypatch.undo()
+    assert sorted((r.doc_id, r.source_file, r.seq) for r in merged.collect()) == [
+        ("A", "m3.json", 1), ("C", "indented.json", 0), *((f"D{i}", f"m{i}.json", 0) for i in range(4))]
+    errors = sorted((r.file_name, r.payload) for r in jobs.read_errors(spark, f"{store}_errors").collect())
+    assert errors == [*((f"m{i}.json", f'{{"ticker": "{i}') for i in range(4)), ("page.json", "</html>"), ("page.json", "<html>")]
+
+
+def test_rows_waiting_in_the_earlier_form_are_merged(spark, tmp_path):
+    source, store, checkpoint = str(tmp_path / "m"), str(tmp_path / "store"), str(tmp_path / "c")
+    put(tmp_path / "m", "m0.json", json.dumps(manifest(["A"], "1")))
+    waiting = f"{store}_waiting/{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
+    stored_rows(spark, [("7", "B", "1")]).write.parquet(f"{waiting}/rows/batch=0")
+    spark.createDataFrame([("x.json", "<html>")], jobs.ERRORS).write.parquet(f"{waiting}/errors/batch=0")
+    assert sorted(r.doc_id for r in jobs.manifest_upsert(spark, source, store, checkpoint).collect()) == ["A", "B"]
+    assert [r.payload for r in jobs.read_errors(spark, f"{store}_errors").collect()] == ["<html>"]
