@@ -108,7 +108,9 @@ def near_pairs(words: DataFrame) -> DataFrame:
     b = _posted(words, _grams(length, 0) + _grams(length - 1, 1), "b")
     same = [a[c] == b[c] for c in ("size", "hit", "gram")]
     once = (F.char_length("wordb") > F.char_length("worda")) | (F.col("worda") < F.col("wordb"))
-    pairs = a.join(b, [*same, once, F.levenshtein("worda", "wordb", 1) == 1])
+    # Spark sizes the posted rows by the stored words, as if each of them were posted once and as short as in the file; it would take
+    # millions of rows for a table to copy through the driver.
+    pairs = a.join(b.hint("merge"), [*same, once, F.levenshtein("worda", "wordb", 1) == 1])
     # An edit inside a run of equal letters can be seen in two quarters.
     return pairs.select("worda", "na", "wordb", "nb").distinct()
 
@@ -117,7 +119,8 @@ def _ends(links: DataFrame) -> DataFrame:
     """(word, up) with ``up`` the last word of the chain of links that begins at ``word``."""
     now = stored(links, "spelling-links")
     while True:
-        further = now.select(F.col("word").alias("mid"), F.col("up").alias("far"))
+        # As long as the words, and in the file a tenth of its size in memory: nothing to copy through the driver.
+        further = now.select(F.col("word").alias("mid"), F.col("up").alias("far")).hint("merge")
         step = now.join(further, now["up"] == further["mid"], "left")
         step = stored(step.select("word", F.coalesce("far", "up").alias("up"), F.col("far").isNotNull().alias("moved")), "spelling-links")
         now = step.select("word", "up")
@@ -146,5 +149,5 @@ def variants(
         )
         formed = stored(formed, "spelling-forms")
         ends = _ends(formed.where("form IS NOT NULL").select("word", F.col("form").alias("up")))
-        out = formed.join(ends, "word", "left")
+        out = formed.join(ends.hint("merge"), "word", "left")
         return keep(out.select("word", "form", F.coalesce("up", "word").alias("root"), "n", "n_near", "form_n"), "spelling-variants")

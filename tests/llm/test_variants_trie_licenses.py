@@ -98,6 +98,23 @@ def test_every_word_pair_of_a_small_alphabet(spark):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_posted_rows_and_links_are_not_broadcast(spark, monkeypatch):
+    # A small file of words is posted as many rows, and the links are as many as the words: neither is copied through the driver.
+    plans, stored = [], spelling.stored
+    plan = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+
+    def seen(df, name):
+        plans.append((name, plan(df)))
+        return stored(df, name)
+
+    monkeypatch.setattr(spelling, "stored", seen)
+    links = spark.createDataFrame([("alphass", "alphas"), ("alphas", "alpha")], "word string, up string")
+    assert {tuple(r) for r in spelling._ends(links).collect()} == {("alphass", "alpha"), ("alphas", "alpha")}
+    joins = [p for _, p in plans if "Join" in p]
+    joins.append(plan(spelling.near_pairs(spark.createDataFrame([("alpha", 9), ("alphas", 3)], "word string, n bigint"))))
+    assert len(joins) > 1 and not any("Broadcast" in p for p in joins)
+
+
 def test_variants_of_nothing(spark):
     assert spelling.variants(docs_of(spark, [])).collect() == []
     assert spelling.variants(docs_of(spark, [(1, None), (None, "")])).collect() == []
