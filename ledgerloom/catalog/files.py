@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import io
-import zipfile
+import struct
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -137,18 +137,29 @@ def s6(t):
 _XMLNS = 'xmlns="http://www.xbrl.org/2003/instance" xmlns:jp="http://example.com/jp"'
 
 
+def _stored_zip(members: list[tuple[bytes, bytes]]) -> bytes:
+    """An archive of stored members, as zipfile writes it at a tenth of the speed."""
+    parts, directory, at = [], [], 0
+    for name, data in members:
+        fixed = (20, 0, 0, 0, 33, zlib.crc32(data), len(data), len(data), len(name), 0)
+        parts += [b"PK\3\4", struct.pack("<5H3L2H", *fixed), name, data]
+        directory += [b"PK\1\2\x14\3", struct.pack("<5H3L5H2L", *fixed, 0, 0, 0, 0o600 << 16, at), name]
+        at += 30 + len(name) + len(data)
+    whole = b"".join(directory)
+    return b"".join([*parts, whole, struct.pack("<4s4H2LH", b"PK\5\6", 0, 0, len(members), len(members), len(whole), at, 0)])
+
+
 def _zip_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Test archives: the instance among other members; every ninth is damaged."""
     for batch in batches:
         paths, contents = [], []
         for key, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            buffer = io.BytesIO()
-            with zipfile.ZipFile(buffer, "w") as archive:
-                archive.writestr("XBRL/AuditDoc/audit.xbrl", f"<xbrl {_XMLNS}/>")
-                archive.writestr("XBRL/PublicDoc/main.xbrl", f"<xbrl {_XMLNS}>{body}</xbrl>")
-                archive.writestr("readme.txt", "x")
             paths.append(f"file:/cache/O{key}.zip")
-            contents.append(b"<html>error" if key % 9 == 0 else buffer.getvalue())
+            contents.append(b"<html>error" if key % 9 == 0 else _stored_zip([
+                (b"XBRL/AuditDoc/audit.xbrl", f"<xbrl {_XMLNS}/>".encode()),
+                (b"XBRL/PublicDoc/main.xbrl", f"<xbrl {_XMLNS}>{body}</xbrl>".encode()),
+                (b"readme.txt", b"x"),
+            ]))
         yield pa.RecordBatch.from_pydict({"path": paths, "content": contents, "length": [len(c) for c in contents]})
 
 

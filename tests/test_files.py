@@ -3,11 +3,14 @@
 import hashlib
 import io
 import json
+import random
 import zipfile
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.sql import DataFrameWriter, functions as F
 
+from ledgerloom.catalog.files import _stored_zip
 from ledgerloom.functions.text import page_periods
 from ledgerloom.operators import pages, quality
 from ledgerloom.operators.inventory import latest_manifest
@@ -267,3 +270,53 @@ def test_rows_waiting_in_the_earlier_form_are_merged(spark, tmp_path):
     spark.createDataFrame([("x.json", "<html>")], jobs.ERRORS).write.parquet(f"{waiting}/errors/batch=0")
     assert sorted(r.doc_id for r in jobs.manifest_upsert(spark, source, store, checkpoint).collect()) == ["A", "B"]
     assert [r.payload for r in jobs.read_errors(spark, f"{store}_errors").collect()] == ["<html>"]
+
+
+def archive(members, **kwargs):
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", **kwargs) as out:
+        for name, data in members:
+            out.writestr(name, data)
+    return buffer.getvalue()
+
+
+INSTANCE = '<xbrl><context id="c"><period><instant>2024-03-31</instant></period></context><f contextRef="c">' + "7" * 40 + "</f></xbrl>"
+MEMBERS = [("XBRL/AuditDoc/audit.xbrl", "<xbrl/>"), ("XBRL/PublicDoc/main.xbrl", INSTANCE), ("読む.txt", "x")]
+
+
+def read_by(content, narrative):
+    try:
+        return ElementTree.tostring(xbrl._instance(content, narrative))
+    except Exception as exc:
+        return type(exc).__name__
+
+
+def test_ordinary_archives_are_read_without_the_library(monkeypatch):
+    stored, packed = archive(MEMBERS), archive(MEMBERS, compression=zipfile.ZIP_DEFLATED)
+    made = _stored_zip([(n.encode(), d.encode()) for n, d in MEMBERS[:2]])
+    with zipfile.ZipFile(io.BytesIO(made)) as opened:
+        assert opened.testzip() is None and {n: opened.read(n).decode() for n in opened.namelist()} == dict(MEMBERS[:2])
+    monkeypatch.setattr(zipfile, "ZipFile", None)
+    for content in (stored, packed, made):
+        assert read_by(content, False) == read_by(content, True) == INSTANCE.encode()
+    assert read_by(stored.replace(b".xbrl", b".text"), False) == "ValueError"
+
+
+def test_damaged_archives_are_read_as_by_the_library(monkeypatch):
+    rng = random.Random(5)
+    whole = [archive(MEMBERS), archive(MEMBERS, compression=zipfile.ZIP_DEFLATED), archive(MEMBERS[:1]), archive([])]
+    whole += [archive(MEMBERS + [MEMBERS[1]]), archive(MEMBERS, compression=zipfile.ZIP_BZIP2), b"before" + whole[0], whole[0] + b"behind"]
+    damaged = []
+    for content in whole * 150:
+        data = bytearray(content)
+        for _ in range(rng.choice([1, 1, 2, 5])):
+            # Mostly in the directory, where the fields of the format are dense.
+            at = rng.randrange(max(0, len(data) - 240), len(data)) if rng.random() < 0.7 else rng.randrange(len(data))
+            data[at] = rng.choice([0, 1, 255, data[at] ^ 1 << rng.randrange(8)])
+        damaged.append(bytes(data[: rng.randrange(len(data))] if rng.random() < 0.1 else data))
+    contents = whole + damaged
+    got = [read_by(c, n) for c in contents for n in (False, True)]
+    plain = sum(xbrl._plain_members(c) is not None for c in contents)
+    monkeypatch.setattr(xbrl, "_plain_members", lambda _: None)
+    assert got == [read_by(c, n) for c in contents for n in (False, True)]
+    assert plain > 100 and len({g for g in got if isinstance(g, str)}) > 2
